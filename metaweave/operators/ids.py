@@ -62,16 +62,40 @@ def dense_code(df: DataFrame, column: str, out: str, prefix: str | None = "NEW_"
     splits a skewed value on the left side otherwise). Sort order is binary
     (UTF-8 bytes), not locale order.
     """
-    keys = df.select(c(column).alias("__v")).filter(F.col("__v").isNotNull()).distinct()
-    coded = _number(keys, ["__v"], "__code")
-    code = F.concat(F.lit(prefix), F.col("__code").cast("string")) if prefix is not None else F.col("__code")
-    table = coded.select("__v", code.alias(out))
-    return df.join(table, c(column) == F.col("__v"), "left").drop("__v")
+    return dense_codes(df, [column], outs=[out], prefix=prefix)
 
 
-def dense_codes(df: DataFrame, columns: Sequence[str], suffix: str = "_code") -> DataFrame:
-    """``dense_code`` for several columns (numeric codes), e.g. all string columns."""
+def dense_codes(df: DataFrame, columns: Sequence[str], suffix: str = "_code", outs: Sequence[str] | None = None,
+                prefix: str | None = None) -> DataFrame:
+    """``dense_code`` for several columns with one numbering pass per data type.
+
+    The distinct ``(column, value)`` pairs of all columns of a type are written
+    once to the checkpoint folder, numbered together in ``(column, value)`` order
+    (values keep their type, so numbers sort numerically), and each column's codes
+    are shifted to start at 1.
+    """
+    columns = list(columns)
+    outs = list(outs) if outs is not None else [x + suffix for x in columns]
+    by_type: dict[str, list[int]] = {}
+    for i, col in enumerate(columns):
+        by_type.setdefault(df.schema[col].dataType.simpleString(), []).append(i)
+    ensure_checkpoint_dir(df.sparkSession)
     out = df
-    for col in columns:
-        out = dense_code(out, col, col + suffix, prefix=None)
+    for members in by_type.values():
+        pairs = None
+        for i in members:
+            part = df.select(F.lit(i).alias("__c"), c(columns[i]).alias("__v")).filter(F.col("__v").isNotNull())
+            pairs = part if pairs is None else pairs.unionByName(part)
+        # Materialise the distinct values once: the range partitioner samples its
+        # input in a separate job, which would otherwise re-run the upstream plan.
+        distinct = pairs.distinct().checkpoint(eager=True)
+        numbered = _number(distinct, ["__c", "__v"], "__idx")
+        starts = numbered.groupBy("__c").agg(F.min("__idx").alias("__start"))  # one row per column
+        codes = numbered.join(F.broadcast(starts), "__c").select(
+            "__c", "__v", (F.col("__idx") - F.col("__start") + F.lit(1)).alias("__code"))
+        for i in members:
+            name = outs[i]
+            code = F.concat(F.lit(prefix), F.col("__code").cast("string")) if prefix is not None else F.col("__code")
+            table = codes.filter(F.col("__c") == i).select(F.col("__v").alias(f"__v{i}"), code.alias(name))
+            out = out.join(table, c(columns[i]) == F.col(f"__v{i}"), "left").drop(f"__v{i}")
     return out

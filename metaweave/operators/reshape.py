@@ -1,8 +1,9 @@
 """Long-to-wide pivots and keep-first de-duplication.
 
-Both are hash aggregations with map-side partial aggregation, so a key that holds
-a large share of the rows is combined inside each task before the shuffle. No
-window over the whole frame is used.
+Both reduce each key inside every map task before the shuffle (partial
+aggregation for pivots, a partial group limit for keep-first), so a key that
+holds a large share of the rows is not moved whole to one task. No window over
+the whole (unpartitioned) frame is used.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from metaweave.operators.schema import c
@@ -20,18 +21,17 @@ def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> D
     """One row per ``keys``: the row that sorts first by ``order_by`` (ascending, NULLs first).
 
     The remaining columns are appended to the ordering, so the choice is total and
-    does not depend on row order or partitioning. Runs as a partial + final
-    ``min_by`` aggregation (skew-safe), not as a window.
+    does not depend on row order or partitioning. Written as ``row_number() == 1``
+    over a window partitioned by ``keys``; Spark plans it with a partial
+    per-partition group limit *before* the shuffle, so every map task sends at most
+    one row per key and a key holding a large share of the rows stays cheap.
     """
     keys = list(keys)
     order = list(order_by) + [x for x in df.columns if x not in keys and x not in order_by]
-    payload = [x for x in df.columns if x not in keys]
-    if not payload:
+    if not order:
         return df.select(*[c(k) for k in keys]).distinct()
-    agg = df.groupBy(*[c(k) for k in keys]).agg(
-        F.min_by(F.struct(*[c(x) for x in payload]), F.struct(*[c(x) for x in order])).alias("__first")
-    )
-    return agg.select(*[c(x) if x in keys else F.col("__first").getField(x).alias(x) for x in df.columns])
+    w = Window.partitionBy(*[c(k) for k in keys]).orderBy(*[c(x).asc_nulls_first() for x in order])
+    return df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") == 1).drop("__rn")
 
 
 def pivot_wider(

@@ -75,6 +75,7 @@ from metaweave.plans.standins import (
     samples,
     table,
 )
+from metaweave.session import materialize
 from metaweave.sources.readers import id_table, null_scaffold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -686,11 +687,15 @@ def assay_table(spark: SparkSession, d: str) -> DataFrame:
     # one file per sample and colour, then colour -> columns
     files = keep_first(files, ["sample_submitter_id", "idat"], ["l_linenumber", "l_partkey", "l_suppkey"])
     files = files.drop("l_linenumber", "l_partkey", "l_suppkey")
+    # keep_first left one file per (sample, colour), so no cell can hold two values
     wide = pivot_wider(files, "idat", ["file_name", "updated_datetime"], values=["green", "red"],
-                       id_cols=["case_submitter_id", "sample_submitter_id", "sample_type", "priority"])
+                       id_cols=["case_submitter_id", "sample_submitter_id", "sample_type", "priority"],
+                       on_duplicate="first")
     # curated exclusions: low-priority samples are the replicates to remove
     bad = s.filter(F.col("priority") == "5-LOW").select("sample_submitter_id")
     wide = restrict_to(wide, bad, "sample_submitter_id", keep=False)
+    # one row per sample from here on: evaluate the file-level plan once
+    wide = materialize(wide)
     wide = dense_code(wide, "case_submitter_id", "PPCG_Donor_ID", prefix="NEW_")
     wide = flag_membership(wide, _wgs_specimens(spark, d), "sample_submitter_id", "__wgs")
     st = F.col("sample_type")

@@ -45,3 +45,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir is not set; point it at shared storage (HDFS/S3/ABFS) "
         "before using operators that number rows (dense_code, with_row_index)"
     )
+
+
+def materialize(df):
+    """Write ``df`` to the session's checkpoint folder and return the reloaded frame.
+
+    Cuts the lineage (a lost executor recomputes from the checkpoint, not from the
+    sources) and lets several jobs reuse one evaluation of an expensive plan. Uses a
+    reliable checkpoint, never a local one.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
