@@ -104,7 +104,7 @@ def conform(df: DataFrame, template: Sequence[tuple[str, DataType | str]] | Stru
     for name, dtype in fields:
         tname = dtype if isinstance(dtype, str) else dtype.simpleString()
         if name in df.columns:
-            cols.append(F.try_cast(c(name), tname).alias(name) if _type_of(df, name) != tname else c(name))
+            cols.append(c(name).try_cast(tname).alias(name) if _type_of(df, name) != tname else c(name))
         else:
             cols.append(F.lit(None).cast(tname).alias(name))
     if extra == "keep":
