@@ -27,8 +27,11 @@ def _number(df: DataFrame, order_by: Sequence[str], name: str, partitions: int |
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = df.repartitionByRange(n, *[c(x).asc_nulls_first() for x in order_by]).sortWithinPartitions(
-        *[c(x).asc_nulls_first() for x in order_by])
+    # A final tie-break lets the range partitioner split runs of identical rows;
+    # which of several identical rows gets which number does not change the result.
+    keyed = df.withColumn("__tb", F.monotonically_increasing_id())
+    sort_cols = [c(x).asc_nulls_first() for x in order_by] + [F.col("__tb")]
+    ordered = keyed.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols).drop("__tb")
     tagged = ordered.withColumn("__mono", F.monotonically_increasing_id()).checkpoint(eager=True)
     pid = F.shiftright(F.col("__mono"), _PID_SHIFT)
     counts = tagged.groupBy(pid.alias("__pid")).agg(F.count(F.lit(1)).alias("__cnt"))

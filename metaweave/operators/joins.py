@@ -4,11 +4,12 @@ Every join here is an equi-join, so Spark keeps its hash/sort-merge strategies a
 AQE decides broadcast at run time from measured sizes. No helper forces a
 broadcast of a side whose size grows with the data.
 
-Skew. A NULL-safe key puts every NULL key on one reducer. For inner, left, semi
-and anti joins AQE's skew-join handling splits such a partition on the left side.
-It cannot split full outer joins, so ``full_join_na`` joins rows with NULL keys
-separately from rows with non-NULL keys. A row with a NULL key can only match
-a row with NULL in the same key, so the result is the same.
+Skew. A key that holds a large share of the rows (a NULL-safe NULL key is one)
+lands on one reducer. For inner, left, semi and anti joins AQE's skew-join
+handling splits such a partition on the left side. It cannot split full outer
+joins, so ``full`` joins run as ``left outer`` plus ``right anti left``, each of
+which it can split. Id sets are de-duplicated before semi/anti joins, so a hot
+key on the id side collapses in the map-side partial aggregation.
 """
 
 from __future__ import annotations
@@ -49,18 +50,16 @@ def _name_norm(df: DataFrame) -> Callable[[str], str]:
     return (lambda x: x) if sensitive else str.lower
 
 
-def _any_null(cols: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a | b, [x.isNull() for x in cols])
-
-
 def join_na(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner",
             right_keys: Sequence[str] | None = None, suffix: tuple[str, str] = ("_x", "_y"),
-            null_equal: bool = True, split_null_keys: bool | None = None) -> DataFrame:
+            null_equal: bool = True, skew_safe_full: bool = True) -> DataFrame:
     """Join on ``keys`` (right side may name them ``right_keys``); left names survive.
 
     ``null_equal`` makes NULL match NULL. Non-key columns present on both sides get
     ``suffix``. Output: left columns (keys in place), then right non-key columns.
-    For ``full`` the key is ``coalesce(left, right)``.
+    For ``full`` the key is ``coalesce(left, right)``; with ``skew_safe_full`` (default)
+    it runs as a left outer join plus an anti join of the right side, which AQE's
+    skew handling can split, instead of one full outer join, which it cannot.
     """
     if how not in _HOW:
         raise ValueError(f"join_na: unknown how={how!r}")
@@ -94,7 +93,7 @@ def join_na(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "
     rsel = right.select(*[c(k).alias(t) for k, t in zip(rkeys, rtmp)], *[c(x).alias(rmap[x]) for x in r_other])
     lk = [lmap[k] for k in keys]
 
-    def joined(l_df: DataFrame, r_df: DataFrame, safe: bool) -> DataFrame:
+    def joined(l_df: DataFrame, r_df: DataFrame, safe: bool, how: str = how) -> DataFrame:
         conds = [(c(a).eqNullSafe(c(b)) if safe else c(a) == c(b)) for a, b in zip(lk, rtmp)]
         cond = reduce(lambda a, b: a & b, conds)
         out = l_df.join(r_df, cond, how)
@@ -116,17 +115,23 @@ def join_na(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "
         cols += [c(rmap[x]) for x in r_other]
         return out.select(*cols)
 
-    if not null_equal:
-        return joined(lsel, rsel, safe=False)
-    if split_null_keys is None:
-        split_null_keys = how == "full"
-    if not split_null_keys:
-        return joined(lsel, rsel, safe=True)
-    l_null = _any_null([c(k) for k in lk])
-    r_null = _any_null([c(t) for t in rtmp])
-    dense = joined(lsel.filter(~l_null), rsel.filter(~r_null), safe=False)
-    sparse = joined(lsel.filter(l_null), rsel.filter(r_null), safe=True)
-    return dense.unionByName(sparse)
+    if how == "full" and skew_safe_full:
+        # full = (left outer join) + (right rows without a partner). AQE can split a
+        # skewed partition of either part (it cannot split a full outer join), so a
+        # hot key -- including NULL under null_equal -- never lands whole in one task.
+        matched = joined(lsel, rsel, null_equal, "left")
+        conds = [(c(b).eqNullSafe(c(a)) if null_equal else c(b) == c(a)) for a, b in zip(lk, rtmp)]
+        lonely = rsel.join(lsel.select(*[c(k) for k in lk]), reduce(lambda a, b: a & b, conds), "left_anti")
+        cols = []
+        for x in left.columns:
+            name = lmap[x]
+            if x in keys:
+                cols.append(c(rtmp[keys.index(x)]).alias(name))
+            else:
+                cols.append(F.lit(None).cast(left.schema[x].dataType).alias(name))
+        cols += [c(rmap[x]) for x in r_other]
+        return matched.unionByName(lonely.select(*cols))
+    return joined(lsel, rsel, safe=null_equal)
 
 
 def natural_join(left: DataFrame, right: DataFrame, how: str = "inner", null_equal: bool = True) -> DataFrame:
@@ -196,7 +201,7 @@ def restrict_to(df: DataFrame, ids: DataFrame, on: str | Column, ids_on: str | N
     lk = _key(df, on, derive)
     rk = _key(ids, ids_on, derive_ids or derive)
     left = df.withColumn("__mk", lk)
-    right = ids.select(rk.alias("__ik"))
+    right = ids.select(rk.alias("__ik")).distinct()
     cond = c("__mk").eqNullSafe(c("__ik")) if null_equal else c("__mk") == c("__ik")
     return left.join(right, cond, "left_semi" if keep else "left_anti").drop("__mk")
 

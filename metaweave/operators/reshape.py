@@ -56,7 +56,11 @@ def pivot_wider(
     vcols = [values_from] if isinstance(values_from, str) else list(values_from)
     ids = list(id_cols) if id_cols is not None else [x for x in df.columns if x != names_from and x not in vcols]
     if values is None:
-        values = [r[0] for r in df.select(names_from).distinct().filter(c(names_from).isNotNull()).collect()]
+        cap = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues", "10000"))
+        found = df.select(c(names_from)).distinct().filter(c(names_from).isNotNull()).limit(cap + 1).collect()
+        if len(found) > cap:
+            raise ValueError(f"pivot_wider: more than {cap} distinct values in {names_from!r}; pass `values`")
+        values = [r[0] for r in found]
     values = sorted(values)
     if on_duplicate == "error":
         dup = df.groupBy(*[c(x) for x in ids], c(names_from)).count().filter(F.col("count") > 1).limit(1).count()

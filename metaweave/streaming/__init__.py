@@ -1,0 +1,21 @@
+"""Streaming notes.
+
+The toolkit's workload is batch: no reader, trigger, watermark or state exists in
+the scripts it was built from, so no streaming operator is provided.
+
+Which operators are stream-safe when applied to a streaming DataFrame (they are
+plain DataFrame transformations):
+
+* ``functions.*`` (recode, if_else, case_when, barcode parts, rewrite_path)
+* ``operators.clean.replace_sentinels`` (not ``drop_all_null_columns``: it needs an
+  eager pass over the whole table)
+* ``operators.joins.restrict_to`` / ``flag_membership`` / ``join_na`` with a *static*
+  id table or registry (stream-static joins; ``full`` joins are not supported on
+  streams by Spark)
+* schema helpers (rename, relocate, prefix/lower names, conform)
+
+Not stream-safe: ``dense_code``/``with_row_index`` (global order), ``pivot_wider``
+(needs complete groups), ``keep_first`` (needs a watermark-bounded key), profiling.
+Use ``foreachBatch`` to run those on each micro-batch if per-batch results are
+acceptable.
+"""

@@ -34,10 +34,10 @@ def test_inner_null_matches_null(null_keys):
     assert plain.count() == 3
 
 
-@pytest.mark.parametrize("split", [True, False])
-def test_full_join_na_split_equals_unsplit(null_keys, split):
+@pytest.mark.parametrize("skew_safe", [True, False])
+def test_full_join_skew_safe_equals_plain(null_keys, skew_safe):
     left, right = null_keys
-    out = join_na(left, right, ["sample_id"], how="full", suffix=("_analyte", "_aliquot"), split_null_keys=split)
+    out = join_na(left, right, ["sample_id"], how="full", suffix=("_analyte", "_aliquot"), skew_safe_full=skew_safe)
     assert out.columns == ["sample_id", "v_analyte", "v_aliquot"]
     assert rows(out) == [(None, "lnull", "rnull"), (None, "lnull", "rnull2"), (1, "l1", "r1"), (2, "l2", "r2"),
                          (2, "l2b", "r2"), (4, "l4", None), (5, None, "r5")]
