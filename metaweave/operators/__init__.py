@@ -22,8 +22,10 @@ from metaweave.operators.clean import (
     drop_all_null_columns,
     replace_sentinels,
 )
+from metaweave.operators.dictionary import apply_dictionary, recode_columns
 from metaweave.operators.ids import dense_code, dense_codes, with_row_index
 from metaweave.operators.joins import (
+    check_unique,
     flag_membership,
     full_join_na,
     join_all_na,

@@ -43,6 +43,17 @@ def shared_keys(*frames: DataFrame, pattern: str | None = "id") -> list[str]:
     return names
 
 
+def check_unique(df: DataFrame, keys: Sequence[str], what: str = "table") -> DataFrame:
+    """Raise if ``keys`` repeat in ``df`` (guards a many-to-one join against fan-out).
+
+    One aggregation job (partial aggregation, stops at the first repeated key).
+    """
+    dup = df.groupBy(*[c(k) for k in keys]).count().filter(F.col("count") > 1).limit(1).collect()
+    if dup:
+        raise ValueError(f"{what} is not unique on {list(keys)}: e.g. {dup[0].asDict()}")
+    return df
+
+
 # ----------------------------------------------------------------------------- core join
 
 def _name_norm(df: DataFrame) -> Callable[[str], str]:

@@ -482,4 +482,29 @@ SELECT f.sample_id, f.l_linenumber, f.l_partkey, f.l_suppkey,
             ELSE f.analyte_type_id END AS analyte_type_id,
        f.status_analyte, COALESCE(f.case_id, c.case_id) AS case_id, f.status_sample, c.case_submitter_id, c.segment
 FROM f FULL OUTER JOIN c ON f.case_id IS NOT DISTINCT FROM c.case_id"""
+    q["drop_replicates_suffix"] = """
+WITH c AS (SELECT c_custkey, c_name, left(c_name, length(c_name) - 1) AS k FROM customer),
+reps AS (SELECT k FROM c GROUP BY k HAVING count(*) > 1)
+SELECT c_custkey, c_name FROM c
+WHERE NOT (k IN (SELECT k FROM reps) AND regexp_matches(c_name, '[5-9]$'))"""
+    q["drop_replicates_exclude"] = """
+SELECT o_orderkey, o_custkey, o_orderstatus FROM orders o
+WHERE NOT EXISTS (SELECT 1 FROM orders b WHERE b.o_orderpriority = '5-LOW' AND b.o_orderstatus = 'P'
+                  AND b.o_orderkey IS NOT DISTINCT FROM o.o_orderkey)"""
+    q["row_index"] = """
+SELECT o_orderkey, o_custkey, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate,
+       CAST(row_number() OVER (ORDER BY strftime(o_orderdate, '%Y-%m-%d'), o_orderkey) AS BIGINT) AS row_index
+FROM orders"""
+    q["top_priorities"] = f"""
+WITH long AS (
+  SELECT 'o_orderpriority' AS "column", o_orderpriority AS value FROM ({ORDERS_NULLED})
+  UNION ALL
+  SELECT 'o_orderstatus', o_orderstatus FROM ({ORDERS_NULLED})),
+counts AS (SELECT "column", value, count(*) AS n FROM long WHERE value IS NOT NULL GROUP BY "column", value)
+SELECT * FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY "column" ORDER BY n DESC, value) AS BIGINT) AS rank FROM counts)
+WHERE rank <= 3"""
+    q["registry_unique_join"] = """
+SELECT d.doc_id, d.source, l.quality, l.toxic
+FROM documents d LEFT JOIN labels l ON d.doc_id IS NOT DISTINCT FROM l.doc_id"""
     return q

@@ -25,6 +25,10 @@ from metaweave.functions.strings import (
 )
 from metaweave.operators import (
     DEFAULT_SENTINELS,
+    apply_dictionary,
+    check_unique,
+    top_values,
+    with_row_index,
     annotate_match,
     apply_by_type,
     attach_registry,
@@ -351,8 +355,14 @@ def reconcile_counts(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def profile_columns(spark: SparkSession, d: str) -> DataFrame:
-    o = _orders_nulled(spark, d).join(table(spark, d, "orders").select("o_orderkey", "o_totalprice"), "o_orderkey")
-    prof = profile(o.select("o_totalprice", "o_custkey", "o_orderpriority", "o_orderstatus"))
+    o = table(spark, d, "orders").select(
+        "o_totalprice",
+        "o_custkey",
+        F.nullif(F.col("o_orderpriority"), F.lit(SENTINEL)).alias("o_orderpriority"),
+        F.when(F.col("o_orderpriority") == SENTINEL, F.lit(None).cast(StringType()))
+        .otherwise(F.col("o_orderstatus")).alias("o_orderstatus"),
+    )
+    prof = profile(o)
     return prof.withColumn("value", F.round("value", 4))
 
 
@@ -731,12 +741,13 @@ def assay_table(spark: SparkSession, d: str) -> DataFrame:
 def clinical_dictionary(spark: SparkSession, d: str) -> DataFrame:
     raw = table(spark, d, "customer")
     raw = raw.toDF(*[x.upper() for x in raw.columns])  # the legacy export has upper-case headers
-    clinical = lower_names(raw)
-    clinical = rename(clinical, {"c_name": "local_donor_id", "c_acctbal": "balance", "c_mktsegment": "segment",
-                                 "c_nationkey": "nation"})
-    clinical = clinical.select("local_donor_id", "nation", "balance", "segment")
-    clinical = clinical.withColumn(
-        "segment", recode("segment", [("BUILDING", "building"), ("AUTOMOBILE", None), ("MACHINERY", "machinery")]))
+    clinical = apply_dictionary(
+        lower_names(raw),
+        renames={"c_name": "local_donor_id", "c_acctbal": "balance", "c_mktsegment": "segment",
+                 "c_nationkey": "nation"},
+        keep=["local_donor_id", "nation", "balance", "segment"],
+        recodes={"segment": [("BUILDING", "building"), ("AUTOMOBILE", None), ("MACHINERY", "machinery")]},
+    )
     clinical = clinical.withColumn("status", if_else(F.col("balance") < 0, "negative", "positive"))
     clinical = clinical.withColumn("segment", if_else(F.col("status") == "negative", F.lit("negative"),
                                                       F.col("segment")))
@@ -782,6 +793,41 @@ def biospecimen_flat(spark: SparkSession, d: str) -> DataFrame:
                                                                          ("N", "Total RNA")]))
 
 
+@query
+def drop_replicates_suffix(spark: SparkSession, d: str) -> DataFrame:
+    """Among customers sharing a name without its last digit, drop the 'second vial' (last digit 5-9)."""
+    cu = table(spark, d, "customer").select("c_custkey", "c_name")
+    return drop_replicates(cu, drop_last(F.col("c_name"), 1), rule="suffix", pattern="[5-9]$", column="c_name")
+
+
+@query
+def drop_replicates_exclude(spark: SparkSession, d: str) -> DataFrame:
+    """Remove a curated exclusion list (low-priority urgent orders) by exact sample id."""
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    bad = table(spark, d, "orders").filter((F.col("o_orderpriority") == "5-LOW") & (F.col("o_orderstatus") == "P"))
+    return drop_replicates(o, F.col("o_orderkey"), rule="exclude", exclude=bad.select("o_orderkey"),
+                           column="o_orderkey")
+
+
+@query
+def row_index(spark: SparkSession, d: str) -> DataFrame:
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey", _day("o_orderdate"))
+    return with_row_index(o, ["o_orderdate", "o_orderkey"], name="row_index")
+
+
+@query
+def top_priorities(spark: SparkSession, d: str) -> DataFrame:
+    o = _orders_nulled(spark, d)
+    return top_values(o, ["o_orderpriority", "o_orderstatus"], k=3).withColumn("rank", F.col("rank").cast("long"))
+
+
+@query
+def registry_unique_join(spark: SparkSession, d: str) -> DataFrame:
+    """Many-to-one join guarded by a uniqueness probe on the registry key."""
+    reg = check_unique(table(spark, d, "labels"), ["doc_id"], what="labels")
+    return join_on(table(spark, d, "documents").select("doc_id", "source"), reg, {"doc_id": "doc_id"}, how="left")
+
+
 def queries() -> dict[str, Query]:
     """Registered queries, keyed without the ``_q`` suffix used to avoid name clashes."""
     return {(k[:-2] if k.endswith("_q") else k): v for k, v in REGISTRY.items()}
