@@ -92,7 +92,8 @@ def query(fn: Query) -> Query:
 
 
 def _day(col: str) -> F.Column:
-    return F.date_format(F.col(col), "yyyy-MM-dd").alias(col)
+    # timestamp_ntz -> date -> 'yyyy-MM-dd' involves no session time zone
+    return F.col(col).cast("date").cast("string").alias(col)
 
 
 def _orders_nulled(spark: SparkSession, d: str) -> DataFrame:
@@ -692,7 +693,7 @@ def assay_table(spark: SparkSession, d: str) -> DataFrame:
         F.when(F.col("l_linestatus") == "O", "red").otherwise("green").alias("idat"),
         F.concat(F.lit("li_"), F.concat_ws("_", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"),
                                            F.col("l_partkey").cast("string")), F.lit(".idat")).alias("file_name"),
-        F.date_format("l_shipdate", "yyyy-MM-dd").alias("updated_datetime"),
+        _day("l_shipdate").alias("updated_datetime"),
     )
     # one file per sample and colour, then colour -> columns
     files = keep_first(files, ["sample_submitter_id", "idat"], ["l_linenumber", "l_partkey", "l_suppkey"])
