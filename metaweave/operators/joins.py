@@ -170,10 +170,17 @@ def full_join_na(left: DataFrame, right: DataFrame, by: Sequence[str] | None = N
 
 
 def join_all_na(tables: Mapping[str, DataFrame], by: Sequence[str], how: str = "full") -> DataFrame:
-    """Fold ``join_na`` over a catalogue in its order.
+    """N-way join of a catalogue on the same ``by`` keys.
 
     Suffix policy: a non-key column that appears in more than one table is renamed
     ``{column}_{table}`` in every table that has it, so no name depends on the fold order.
+
+    ``how='full'`` does not fold pairwise full joins (each fold would reference the
+    accumulated plan twice, doubling it per table). It builds the set of all keys
+    once (union + distinct, partial-aggregated) and left-joins every table to it:
+    linear in the number of tables, the same rows as the fold (per-key products,
+    NULL keys matching NULL keys), and every join splittable by AQE. Other ``how``
+    values fold ``join_na`` left to right.
     """
     names = list(tables)
     if not names:
@@ -188,7 +195,20 @@ def join_all_na(tables: Mapping[str, DataFrame], by: Sequence[str], how: str = "
     for name in names:
         df = tables[name]
         renamed.append(df.toDF(*[f"{x}_{name}" if seen.get(x, 0) > 1 else x for x in df.columns]))
-    return reduce(lambda a, b: join_na(a, b, by, how=how), renamed)
+    if how != "full":
+        return reduce(lambda a, b: join_na(a, b, by, how=how), renamed)
+    first = renamed[0]
+    key_types = {k: first.schema[k].dataType for k in by}
+    universe = reduce(DataFrame.unionByName,
+                      [t.select(*[c(k).cast(key_types[k]).alias(k) for k in by]) for t in renamed]).distinct()
+    out = universe
+    for t in renamed:
+        out = join_na(out, t, by, how="left")
+    # column order as in a left-to-right fold: keys where the first table has them
+    order = []
+    for t in renamed:
+        order += [x for x in t.columns if x not in order]
+    return out.select(*[c(x) for x in order])
 
 
 # ----------------------------------------------------------------------------- membership

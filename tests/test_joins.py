@@ -148,3 +148,14 @@ def test_match_any_regex_chunks(spark):
     pats = spark.createDataFrame([(f"^s{i:03d}",) for i in range(0, 40, 2)], "p string")
     out = match_any(df, "name", pats, mode="regex", max_broadcast_patterns=3)
     assert rows(out, "id") == [(i,) for i in range(0, 40, 2)]
+
+
+def test_join_all_matches_pairwise_fold_with_dups_and_nulls(spark):
+    a = spark.createDataFrame([(1, "a1"), (1, "a1b"), (None, "an"), (2, "a2")], "k int, x string")
+    b = spark.createDataFrame([(1, "b1"), (None, "bn"), (3, "b3")], "k int, y string")
+    d = spark.createDataFrame([(1, "d1"), (1, "d1b"), (4, "d4"), (None, "dn")], "k int, z string")
+    nway = join_all_na({"a": a, "b": b, "d": d}, by=["k"])
+    fold = join_na(join_na(a, b, ["k"], how="full"), d, ["k"], how="full")
+    assert nway.columns == fold.columns == ["k", "x", "y", "z"]
+    assert rows(nway) == rows(fold)
+    assert len(rows(nway)) == 4 + 1 + 1 + 1  # key 1: 2x1x2, NULL: 1x1x1, keys 2, 3, 4 alone
