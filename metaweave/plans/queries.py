@@ -613,10 +613,13 @@ def wgs_table(spark: SparkSession, d: str) -> DataFrame:
 def _rna_core(spark: SparkSession, d: str) -> DataFrame:
     """RNA analytes of cohort cases, one per sample, with sample type and registry ids."""
     s = samples(spark, d)
-    rna = join_on(rna_analytes(spark, d), s, {"sample_key": "sample_key"})
-    rna = restrict_to(rna, cohort_ids(spark, d), "case_id")
-    rna = drop_replicates(rna, F.col("sample_submitter_id"), rule="first",
+    # replicates: keep the first analyte per sample, decided on the narrow analyte rows
+    # before the joins (the sample key and barcode are one-to-one, and the cohort
+    # filter keeps or drops all analytes of a sample together, so the order commutes)
+    rna = drop_replicates(rna_analytes(spark, d), F.col("sample_key"), rule="first",
                           order_by=["l_linenumber", "l_partkey", "l_suppkey"])
+    rna = join_on(rna, s, {"sample_key": "sample_key"})
+    rna = restrict_to(rna, cohort_ids(spark, d), "case_id")
     return rna.select("case_submitter_id", "sample_submitter_id", "analyte_submitter_id", "sample_type")
 
 
@@ -684,20 +687,20 @@ ASSAY_COLUMNS = ["case_submitter_id", "sample_submitter_id", "Country", "PPCG_Do
 @query
 def assay_table(spark: SparkSession, d: str) -> DataFrame:
     s = samples(spark, d)
-    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_linestatus",
-                                            "l_shipdate")
+    li = table(spark, d, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate",
+        F.when(F.col("l_linestatus") == "O", "red").otherwise("green").alias("idat"))
+    # one file per sample and colour, chosen on the narrow lineitem columns before any
+    # join or string building (sample barcode and order key are one-to-one)
+    li = keep_first(li, ["l_orderkey", "idat"], ["l_linenumber", "l_partkey", "l_suppkey"])
     files = join_on(li, s.select("sample_key", "case_submitter_id", "sample_submitter_id", "sample_type", "priority"),
                     {"l_orderkey": "sample_key"})
     files = files.select(
-        "case_submitter_id", "sample_submitter_id", "sample_type", "priority", "l_linenumber", "l_partkey", "l_suppkey",
-        F.when(F.col("l_linestatus") == "O", "red").otherwise("green").alias("idat"),
+        "case_submitter_id", "sample_submitter_id", "sample_type", "priority", "idat",
         F.concat(F.lit("li_"), F.concat_ws("_", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"),
                                            F.col("l_partkey").cast("string")), F.lit(".idat")).alias("file_name"),
         _day("l_shipdate").alias("updated_datetime"),
     )
-    # one file per sample and colour, then colour -> columns
-    files = keep_first(files, ["sample_submitter_id", "idat"], ["l_linenumber", "l_partkey", "l_suppkey"])
-    files = files.drop("l_linenumber", "l_partkey", "l_suppkey")
     # keep_first left one file per (sample, colour), so no cell can hold two values
     wide = pivot_wider(files, "idat", ["file_name", "updated_datetime"], values=["green", "red"],
                        id_cols=["case_submitter_id", "sample_submitter_id", "sample_type", "priority"],
