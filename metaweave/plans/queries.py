@@ -79,6 +79,7 @@ from metaweave.plans.standins import (
     samples,
     table,
 )
+from metaweave.plans.tables import build_manifest
 from metaweave.session import materialize
 from metaweave.sources.readers import id_table, null_scaffold
 
@@ -553,8 +554,6 @@ def manifest(spark: SparkSession, d: str) -> DataFrame:
         F.when(F.col("sample_type") == "Metastatic", "Y").otherwise("N").alias("Is_Normal_for_Donor"),
         F.col("sample_submitter_id").alias("Local_Sample_ID"),
     )
-    registry_us = registry.filter(F.col("Country") == COHORT_SEGMENT).select(
-        "PPCG_Donor_ID", "Sample_Type", "PPCG_Sample_ID", "Is_Normal", "Is_Normal_for_Donor", "Local_Sample_ID")
     files = join_on(
         table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey"),
         s.select("sample_key", "sample_submitter_id"), {"l_orderkey": "sample_key"},
@@ -563,17 +562,7 @@ def manifest(spark: SparkSession, d: str) -> DataFrame:
                                            F.col("l_partkey").cast("string")), F.lit(".bam")).alias("file_name"),
         F.col("sample_submitter_id").alias("sample_barcode"),
     )
-    tab = rename(files.select("file_name", "sample_barcode"),
-                 {"sample_barcode": "Local_Sample_ID", "file_name": "relative_file_path"})
-    tab = natural_join(tab, registry_us)
-    tab = relocate(tab, "relative_file_path", after="Is_Normal_for_Donor")
-    tab = tab.withColumn("relative_file_path",
-                         rewrite_path("relative_file_path", prefix="/data/wgs/", old_suffix=".bam",
-                                      new_suffix="_unmapped.bam"))
-    tab = tab.drop("Local_Sample_ID")
-    tab = rename(tab, {"PPCG_Donor_ID": "Donor_ID", "Sample_Type": "Tissue_ID", "Is_Normal": "is_normal",
-                       "Is_Normal_for_Donor": "is_normal_for_donor", "PPCG_Sample_ID": "Sample_ID"})
-    return relocate(tab, "Sample_ID", before="relative_file_path")
+    return build_manifest(files, registry, country=COHORT_SEGMENT, path_prefix="/data/wgs/")
 
 
 def _wgs_specimens(spark: SparkSession, d: str) -> DataFrame:

@@ -45,9 +45,15 @@ def read_tsv(spark: SparkSession, path: str, schema: StructType | str | None = N
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None, sanitize: bool = False,
-             **options: Any) -> DataFrame:
-    """Comma-separated file with a header; ``sanitize`` turns ``A.B`` names into ``A_B``."""
+             drop_index: bool = False, **options: Any) -> DataFrame:
+    """Comma-separated file with a header.
+
+    ``sanitize`` turns ``A.B`` names into ``A_B``; ``drop_index`` removes the leading
+    row-number column of a file written with an index (its blank header reads as ``_c0``).
+    """
     df = _delimited(spark, path, ",", schema, None, **options)
+    if drop_index and df.columns and df.columns[0] in ("_c0", ""):
+        df = df.drop(df.columns[0])
     return sanitize_names(df) if sanitize else df
 
 

@@ -72,6 +72,7 @@ def test_writers_na_policy(spark, tmpdir_path):
     write_csv_indexed(df, os.path.join(tmpdir_path, "i"), order_by=["k"])
     back = read_csv(spark, os.path.join(tmpdir_path, "i"))
     assert back.columns[0] == "_c0" and rows(back, "_c0", "k") == [("1", "a"), ("2", "b")]
+    assert read_csv(spark, os.path.join(tmpdir_path, "i"), drop_index=True).columns == ["k", "v", "z"]
     paths = save_tables({"one": df}, os.path.join(tmpdir_path, "ck"))
     assert spark.read.parquet(paths["one"]).count() == 2
 
