@@ -4,9 +4,11 @@ import os
 
 from pyspark.sql import functions as F
 
-from metaweave.operators import catalog_columns, conform, relocate, select_range
+from pyspark.sql.types import StringType
+
+from metaweave.operators import add_constants, apply_by_type, catalog_columns, conform, relocate, select_range
 from metaweave.sources import (
-    id_table, null_scaffold, read_catalog, read_commented_tsv, read_csv, read_json_array, read_tsv, save_tables,
+    id_table, read_checkpoint, null_scaffold, read_catalog, read_commented_tsv, read_csv, read_json_array, read_tsv, save_tables,
     write_csv, write_csv_indexed, write_tsv,
 )
 from tests.conftest import rows
@@ -74,7 +76,8 @@ def test_writers_na_policy(spark, tmpdir_path):
     assert back.columns[0] == "_c0" and rows(back, "_c0", "k") == [("1", "a"), ("2", "b")]
     assert read_csv(spark, os.path.join(tmpdir_path, "i"), drop_index=True).columns == ["k", "v", "z"]
     paths = save_tables({"one": df}, os.path.join(tmpdir_path, "ck"))
-    assert spark.read.parquet(paths["one"]).count() == 2
+    back = read_checkpoint(spark, paths["one"])
+    assert back.count() == 2 and dict(back.dtypes)["z"] == "string"  # void column typed on write
 
 
 def test_scaffold_and_conform(spark):
@@ -94,3 +97,12 @@ def test_names_helpers(spark):
     assert select_range(df, "b", "d").columns == ["b", "c", "d"]
     assert relocate(df, "d", before="b").columns == ["a", "d", "b", "c"]
     assert relocate(df, "a", after="c").columns == ["b", "c", "a", "d"]
+
+
+def test_apply_by_type_and_constants(spark):
+    df = spark.createDataFrame([("ab", 1), (None, 2)], "s string, n int")
+    up = apply_by_type(df, lambda t: isinstance(t, StringType), F.upper)
+    assert rows(up) == [(None, 2), ("AB", 1)]
+    out = add_constants(df, {"Platform": ("RNA_seq", "string"), "MetastaticSite": (None, "string")})
+    assert dict(out.dtypes)["MetastaticSite"] == "string"
+    assert rows(out, "Platform", "MetastaticSite") == [("RNA_seq", None), ("RNA_seq", None)]
