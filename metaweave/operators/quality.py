@@ -13,7 +13,8 @@ from metaweave.operators.schema import c
 NUMERIC_METRICS = ("mean", "sd", "p0", "p25", "p50", "p75", "p100")
 
 
-def profile(df: DataFrame, columns: Sequence[str] | None = None, accuracy: int = 1_000_000) -> DataFrame:
+def profile(df: DataFrame, columns: Sequence[str] | None = None, accuracy: int = 1_000_000,
+            exact_unique: bool = True, rsd: float = 0.01) -> DataFrame:
     """Per-column metrics ``(column, metric, value)``.
 
     Every column: ``n_missing``, ``complete_rate``, ``n_unique`` (non-NULL values).
@@ -23,13 +24,18 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, accuracy: int =
     and ``p100`` are exact ``min``/``max``.
 
     Two jobs' worth of work: one aggregation for counts/moments/quantiles, and one
-    distinct count per column run over the unpivoted (column, value) pairs.
+    distinct count per column run over the unpivoted (column, value) pairs. With
+    ``exact_unique=False`` the distinct counts come from HyperLogLog
+    (``approx_count_distinct``, relative error ``rsd``) inside the single
+    aggregation, which avoids shuffling every distinct value at large scale.
     """
     cols = list(columns) if columns is not None else df.columns
     numeric = [x for x in cols if isinstance(df.schema[x].dataType, NumericType)]
     aggs: list[Column] = [F.count(F.lit(1)).alias("__rows")]
     for i, x in enumerate(cols):
         aggs.append(F.count_if(c(x).isNull()).alias(f"m{i}"))
+        if not exact_unique:
+            aggs.append(F.approx_count_distinct(c(x), rsd).alias(f"u{i}"))
         if x in numeric:
             v = c(x).cast("double")
             aggs += [
@@ -46,6 +52,9 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, accuracy: int =
                                 F.col(f"m{i}").cast("double").alias("value")))
         entries.append(F.struct(F.lit(x).alias("column"), F.lit("complete_rate").alias("metric"),
                                 (F.lit(1.0) - F.col(f"m{i}") / F.col("__rows")).alias("value")))
+        if not exact_unique:
+            entries.append(F.struct(F.lit(x).alias("column"), F.lit("n_unique").alias("metric"),
+                                    F.col(f"u{i}").cast("double").alias("value")))
         if x in numeric:
             for metric, expr in (
                 ("mean", F.col(f"mean{i}")),
@@ -59,6 +68,8 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, accuracy: int =
                 entries.append(F.struct(F.lit(x).alias("column"), F.lit(metric).alias("metric"),
                                         expr.cast("double").alias("value")))
     moments = wide.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+    if not exact_unique:
+        return moments
     uniques = (
         long_values(df, cols)
         .filter(F.col("value").isNotNull())

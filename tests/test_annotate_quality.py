@@ -55,6 +55,8 @@ def test_profile_and_top_values(spark):
     assert prof[("x", "n_missing")] == 1 and prof[("s", "n_unique")] == 2
     assert prof[("x", "mean")] == 2.0 and prof[("x", "p0")] == 1.0 and prof[("x", "p100")] == 3.0
     assert prof[("x", "p50")] == 2.0 and abs(prof[("s", "complete_rate")] - 0.75) < 1e-12
+    approx = {(r.column, r.metric): r.value for r in profile(df, exact_unique=False).collect()}
+    assert approx[("s", "n_unique")] == 2 and approx[("x", "mean")] == 2.0
     top = top_values(df, ["s"], k=1).collect()
     assert [(r.column, r.value, r.n, r.rank) for r in top] == [("s", "a", 2, 1)]
 
