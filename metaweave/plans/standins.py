@@ -30,10 +30,42 @@ STATUS_TO_CODE = [("F", "BEN"), ("O", "TUM"), ("P", "MET")]
 SAMPLE_TYPE_TO_CODE = [("Solid Tissue Normal", "BEN"), ("Primary Tumor", "TUM"), ("Metastatic", "MET")]
 
 
+_TABLES: dict[tuple[int, str], DataFrame] = {}
+
+
+def _per_session(fn):
+    """Build a role frame once per (session, folder); the frame is lazy and reusable."""
+    cache: dict[tuple[int, str], DataFrame] = {}
+
+    def wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
+        key = (id(spark), sf_dir)
+        df = cache.get(key)
+        if df is None or df.sparkSession is not spark:
+            df = fn(spark, sf_dir)
+            cache[key] = df
+        return df
+
+    wrapper.__name__ = fn.__name__
+    wrapper.__doc__ = fn.__doc__
+    return wrapper
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The parquet table, opened once per session (file listing and footers are read once).
+
+    DataFrames are immutable and lazy, so the same one can feed several branches of
+    a plan; Spark gives each use its own attribute ids.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _TABLES.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(path)
+        _TABLES[key] = df
+    return df
 
 
+@_per_session
 def cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("case_id"),
@@ -44,12 +76,14 @@ def cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_per_session
 def cohort_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Case ids of the cohort (grows with the customer table)."""
     return table(spark, sf_dir, "customer").filter(F.col("c_mktsegment") == COHORT_SEGMENT).select(
         F.col("c_custkey").alias("id"))
 
 
+@_per_session
 def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order with a barcode-like ``sample_submitter_id``."""
     o = table(spark, sf_dir, "orders")
@@ -64,6 +98,7 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_per_session
 def rna_analytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """RNA analytes: lineitems flagged R, with an analyte barcode."""
     li = table(spark, sf_dir, "lineitem").filter(F.col("l_returnflag") == "R")
