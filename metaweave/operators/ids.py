@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from metaweave.operators.schema import c
-from metaweave.session import ensure_checkpoint_dir
+from metaweave.session import ensure_checkpoint_dir, materialize
 
 _PID_SHIFT = 33  # monotonically_increasing_id puts the partition index above bit 33
 
@@ -32,7 +32,7 @@ def _number(df: DataFrame, order_by: Sequence[str], name: str, partitions: int |
     keyed = df.withColumn("__tb", F.monotonically_increasing_id())
     sort_cols = [c(x).asc_nulls_first() for x in order_by] + [F.col("__tb")]
     ordered = keyed.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols).drop("__tb")
-    tagged = ordered.withColumn("__mono", F.monotonically_increasing_id()).checkpoint(eager=True)
+    tagged = materialize(ordered.withColumn("__mono", F.monotonically_increasing_id()))
     pid = F.shiftright(F.col("__mono"), _PID_SHIFT)
     counts = tagged.groupBy(pid.alias("__pid")).agg(F.count(F.lit(1)).alias("__cnt"))
     offsets = counts.select(
@@ -91,7 +91,7 @@ def dense_codes(df: DataFrame, columns: Sequence[str], suffix: str = "_code", ou
             pairs = part if pairs is None else pairs.unionByName(part)
         # Materialise the distinct values once: the range partitioner samples its
         # input in a separate job, which would otherwise re-run the upstream plan.
-        distinct = pairs.distinct().checkpoint(eager=True)
+        distinct = materialize(pairs.distinct())
         numbered = _number(distinct, ["__c", "__v"], "__idx")
         starts = numbered.groupBy("__c").agg(F.min("__idx").alias("__start"))  # one row per column
         codes = numbered.join(F.broadcast(starts), "__c").select(

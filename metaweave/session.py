@@ -49,11 +49,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialize(df):
-    """Write ``df`` to the session's checkpoint folder and return the reloaded frame.
+    """Write ``df`` as a Parquet table under the session's checkpoint folder and read it back.
 
-    Cuts the lineage (a lost executor recomputes from the checkpoint, not from the
-    sources) and lets several jobs reuse one evaluation of an expensive plan. Uses a
-    reliable checkpoint, never a local one.
+    Cuts the lineage (a lost executor re-reads the written table, never the
+    sources) and lets several jobs reuse one evaluation of an expensive plan. One
+    pass over the plan: ``Dataset.checkpoint`` on an un-persisted plan computes it
+    twice (once to count, once to write), which at scale doubles e.g. the range
+    sort behind global numbering. The folder is the shared one named by
+    ``spark.checkpoint.dir``; never a local checkpoint.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    import uuid
+
+    from pyspark.sql import functions as F
+    from pyspark.sql.types import NullType
+
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{root}/metaweave-{uuid.uuid4().hex}"
+    fixes = {f.name: F.col(f"`{f.name}`").cast("string") for f in df.schema.fields if isinstance(f.dataType, NullType)}
+    (df.withColumns(fixes) if fixes else df).write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
