@@ -30,7 +30,6 @@ from metaweave.operators import (
     top_values,
     with_row_index,
     annotate_match,
-    apply_by_type,
     attach_registry,
     clean_catalog,
     clean_frame,
@@ -60,7 +59,6 @@ from metaweave.operators import (
     profile,
     reconcile,
     relocate,
-    rename,
     restrict_to,
     row_sum,
     select_range,
