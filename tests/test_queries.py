@@ -61,3 +61,12 @@ def test_result_independent_of_shuffle_partitions(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert a == b
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_every_plan_is_jvm_only_and_has_no_cartesian(spark, name):
+    plan = QUERIES[name](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan and "PythonUDF" not in plan
+    assert "CartesianProduct" not in plan
+    if name != "match_any_pattern":  # regex patterns: a nested loop over a bounded, broadcast pattern chunk
+        assert "BroadcastNestedLoopJoin" not in plan
