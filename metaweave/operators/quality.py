@@ -13,15 +13,16 @@ from metaweave.operators.schema import c
 NUMERIC_METRICS = ("mean", "sd", "p0", "p25", "p50", "p75", "p100")
 
 
-def profile(df: DataFrame, columns: Sequence[str] | None = None, accuracy: int = 1_000_000,
+def profile(df: DataFrame, columns: Sequence[str] | None = None, accuracy: int = 10_000,
             exact_unique: bool = True, rsd: float = 0.01) -> DataFrame:
     """Per-column metrics ``(column, metric, value)``.
 
     Every column: ``n_missing``, ``complete_rate``, ``n_unique`` (non-NULL values).
     Numeric columns add ``mean``, ``sd`` and quantiles ``p0``-``p100``. Quantiles
-    come from ``percentile_approx`` (bounded memory per task; ``accuracy`` sets the
-    rank error to about n/accuracy, exact for fewer rows than ``accuracy``); ``p0``
-    and ``p100`` are exact ``min``/``max``.
+    come from ``percentile_approx``: its sketch holds O(``accuracy``) entries per
+    column and task whatever the row count, and the rank error is about
+    n/``accuracy`` (exact below ``accuracy`` rows). The default is Spark's 10,000;
+    raise it only for a few columns. ``p0`` and ``p100`` are exact ``min``/``max``.
 
     Two jobs' worth of work: one aggregation for counts/moments/quantiles, and one
     distinct count per column run over the unpivoted (column, value) pairs. With
