@@ -61,7 +61,8 @@ def pivot_wider(
         if len(found) > cap:
             raise ValueError(f"pivot_wider: more than {cap} distinct values in {names_from!r}; pass `values`")
         values = [r[0] for r in found]
-    values = sorted(values)
+    # sorted order; a NULL key (if listed) becomes the last column, named "NA"
+    values = sorted(v for v in values if v is not None) + ([None] if any(v is None for v in values) else [])
     if on_duplicate == "error":
         dup = df.groupBy(*[c(x) for x in ids], c(names_from)).count().filter(F.col("count") > 1).limit(1).count()
         if dup:
@@ -75,14 +76,21 @@ def pivot_wider(
 
     aggs = [agg(v).alias(v) for v in vcols]
     wide = df.groupBy(*[c(x) for x in ids]).pivot(names_from, values).agg(*aggs)
+
+    def spark_name(v: Any) -> str:
+        return "null" if v is None else str(v)
+
+    def our_name(v: Any) -> str:
+        return "NA" if v is None else str(v)
+
     if len(vcols) == 1:
-        new_names = {str(v): str(v) for v in values}
-        out = wide
+        new_names = {spark_name(v): our_name(v) for v in values}
+        out = wide.withColumnsRenamed({k: x for k, x in new_names.items() if k != x}) if None in values else wide
     else:
         # Spark names them {key}_{value column}; rename to {value column}{sep}{key}.
-        new_names = {f"{v}_{vc}": f"{vc}{names_sep}{v}" for vc in vcols for v in values}
+        new_names = {f"{spark_name(v)}_{vc}": f"{vc}{names_sep}{our_name(v)}" for vc in vcols for v in values}
         out = wide.withColumnsRenamed(new_names)
-        ordered = ids + [f"{vc}{names_sep}{v}" for vc in vcols for v in values]
+        ordered = ids + [f"{vc}{names_sep}{our_name(v)}" for vc in vcols for v in values]
         out = out.select(*[c(x) for x in ordered])
     if fill is not None:
         out = out.na.fill(fill, subset=list(new_names.values()))

@@ -40,6 +40,13 @@ def test_pivot_fill_and_resum_invariant(spark):
     assert total == df.filter(F.col("t").isNotNull()).count()
 
 
+def test_pivot_null_key_column(spark):
+    df = spark.createDataFrame([(1, "a", 1), (1, None, 2), (2, "a", 3)], "d int, k string, v int")
+    out = pivot_wider(df, "k", "v", values=["a", None])
+    assert out.columns == ["d", "a", "NA"]
+    assert rows(out) == [(1, 1, 2), (2, 3, None)]
+
+
 def test_pivot_values_discovered(spark):
     df = spark.createDataFrame([(1, "b", 1), (1, "a", 2)], "d int, k string, v int")
     assert pivot_wider(df, "k", "v").columns == ["d", "a", "b"]
