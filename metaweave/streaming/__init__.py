@@ -14,6 +14,10 @@ plain DataFrame transformations):
   streams by Spark)
 * schema helpers (rename, relocate, prefix/lower names, conform)
 
+``tests/test_streaming.py`` runs sentinel cleaning, recoding and a static-cohort
+semi join on a ``readStream`` of a parquet folder through a memory sink and checks
+the result equals the batch result.
+
 Not stream-safe: ``dense_code``/``with_row_index`` (global order), ``pivot_wider``
 (needs complete groups), ``keep_first`` (needs a watermark-bounded key), profiling.
 Use ``foreachBatch`` to run those on each micro-batch if per-batch results are
