@@ -68,3 +68,14 @@ def test_keep_first_hot_key_is_reduced_before_shuffle(skewed):
     final_plan = plan.split("== Initial Plan ==")[0]
     _, _, below = final_plan.partition("Exchange hashpartitioning")
     assert "WindowGroupLimit" in below and "Partial" in below
+
+
+def test_plain_full_outer_join_is_not_split_by_aqe(skewed):
+    """Why full joins are rewritten: AQE leaves a skewed FullOuter sort-merge join whole."""
+    facts, dim, _, n = skewed
+    hot = facts.withColumn("k", F.coalesce(F.col("k"), F.lit(5)))  # the NULL third becomes key 5
+    count, plan = _final_plan(join_na(hot, dim, ["k"], how="full", null_equal=False, skew_safe_full=False))
+    assert count > n
+    assert "FullOuter" in plan and "skew=true" not in plan
+    count2, plan2 = _final_plan(join_na(hot, dim, ["k"], how="full", null_equal=False))
+    assert count2 == count and "SortMergeJoin(skew=true)" in plan2
