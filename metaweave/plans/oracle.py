@@ -37,6 +37,7 @@ SELECT o_custkey,
        count(*) FILTER (WHERE o_orderstatus = 'O') AS TUM
 FROM orders GROUP BY o_custkey"""
 
+# The 14-column sample template of the consortium's WGS table.
 WGS_TEMPLATE_NAMES = [
     "Country", "Donor_UUID", "PPCG_Donor_ID", "PPCG_Sample_ID", "Local_Sample_ID", "Local_Donor_ID", "Sanger_UUID",
     "EO_UUID", "Sample_UUID", "Matched_Normal_PPCG_Sample_ID", "Is_Normal", "Is_Normal_for_Donor", "Sample_Type",
@@ -102,34 +103,34 @@ core AS (
     SELECT *, row_number() OVER (PARTITION BY sample_submitter_id
                                  ORDER BY l_linenumber, l_partkey, l_suppkey) AS rn FROM j) WHERE rn = 1),
 donor_reg AS (
-  SELECT min('PPCG_' || lpad(CAST(c_custkey AS VARCHAR), 6, '0')) AS PPCG_Donor_ID, c_name AS case_submitter_id
+  SELECT min('DONOR_' || lpad(CAST(c_custkey AS VARCHAR), 6, '0')) AS PPCG_Donor_ID, c_name AS case_submitter_id
   FROM customer WHERE c_nationkey < 12 GROUP BY c_name),
 wgs_reg AS (
-  SELECT sample_submitter_id AS WGS_Local_Sample_ID, min('WGS_' || CAST(sample_key AS VARCHAR)) AS wgs_PPCG_Sample_ID
+  SELECT sample_submitter_id AS WGS_Local_Sample_ID, min('WGS_' || CAST(sample_key AS VARCHAR)) AS wgs_sample_code
   FROM s WHERE priority = '1-URGENT' GROUP BY sample_submitter_id),
 meth AS (SELECT DISTINCT substr(sample_submitter_id, 1, 18) AS k FROM s WHERE priority = '2-HIGH'),
 new_reg AS (
-  SELECT ppcg_donor_id, min(tcga_donor_id) AS tcga_donor_id FROM (
-    SELECT 'PPCGN_' || CAST(c_custkey AS VARCHAR) AS ppcg_donor_id, c_name AS tcga_donor_id
-    FROM customer WHERE c_acctbal > 8000) GROUP BY ppcg_donor_id),
+  SELECT new_donor_id, min(source_donor_id) AS source_donor_id FROM (
+    SELECT 'DONORN_' || CAST(c_custkey AS VARCHAR) AS new_donor_id, c_name AS source_donor_id
+    FROM customer WHERE c_acctbal > 8000) GROUP BY new_donor_id),
 t AS (
-  SELECT 'USA' AS center, d.PPCG_Donor_ID, w.wgs_PPCG_Sample_ID AS Matching_WGS_Sample,
-         CASE WHEN w.wgs_PPCG_Sample_ID IS NOT NULL THEN core.sample_submitter_id END AS WGS_Local_Sample_ID,
+  SELECT 'USA' AS center, d.PPCG_Donor_ID, w.wgs_sample_code AS Matching_WGS_Sample,
+         CASE WHEN w.wgs_sample_code IS NOT NULL THEN core.sample_submitter_id END AS WGS_Local_Sample_ID,
          CAST(NULL AS VARCHAR) AS PPCG_Meth_Sample_ID, 'RNA_seq' AS Platform,
          core.sample_submitter_id AS RNA_Local_Sample_ID,
          CASE core.sample_type WHEN 'Solid Tissue Normal' THEN 'BEN' WHEN 'Primary Tumor' THEN 'TUM'
               WHEN 'Metastatic' THEN 'MET' ELSE core.sample_type END AS RNA_Sample_Type,
          CAST(NULL AS VARCHAR) AS MetastaticSite,
-         CASE WHEN w.wgs_PPCG_Sample_ID IS NOT NULL THEN 'MATCH' END AS RNA_Distance_To_WGS_Sample,
+         CASE WHEN w.wgs_sample_code IS NOT NULL THEN 'MATCH' END AS RNA_Distance_To_WGS_Sample,
          CASE WHEN EXISTS (SELECT 1 FROM meth m WHERE m.k IS NOT DISTINCT FROM substr(core.sample_submitter_id, 1, 18))
               THEN 'MATCH' END AS Meth_RNAseq_annot
   FROM core
   LEFT JOIN donor_reg d ON core.case_submitter_id IS NOT DISTINCT FROM d.case_submitter_id
   LEFT JOIN wgs_reg w ON core.sample_submitter_id IS NOT DISTINCT FROM w.WGS_Local_Sample_ID)
-SELECT t.center, COALESCE(n.ppcg_donor_id, t.PPCG_Donor_ID) AS PPCG_Donor_ID, t.Matching_WGS_Sample,
+SELECT t.center, COALESCE(n.new_donor_id, t.PPCG_Donor_ID) AS PPCG_Donor_ID, t.Matching_WGS_Sample,
        t.WGS_Local_Sample_ID, t.PPCG_Meth_Sample_ID, t.Platform, t.RNA_Local_Sample_ID, t.RNA_Sample_Type,
        t.MetastaticSite, t.RNA_Distance_To_WGS_Sample, t.Meth_RNAseq_annot
-FROM t LEFT JOIN new_reg n ON substr(t.RNA_Local_Sample_ID, 1, 18) IS NOT DISTINCT FROM n.tcga_donor_id"""
+FROM t LEFT JOIN new_reg n ON substr(t.RNA_Local_Sample_ID, 1, 18) IS NOT DISTINCT FROM n.source_donor_id"""
 
 
 def _assay_sql() -> str:
@@ -201,13 +202,13 @@ first_li AS (
                         row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS rn
                  FROM lineitem) WHERE rn = 1),
 f AS (
-  SELECT s.sample_submitter_id AS tcga_sample_id, 'DO' || CAST(first_li.l_suppkey AS VARCHAR) AS ICGC_Donor,
+  SELECT s.sample_submitter_id AS source_sample_id, 'DO' || CAST(first_li.l_suppkey AS VARCHAR) AS Archive_Donor,
          'SA' || CAST(first_li.l_partkey AS VARCHAR) AS Sample_ID,
          CAST(first_li.l_orderkey AS VARCHAR) || '-' || CAST(first_li.l_linenumber AS VARCHAR) AS Object_ID
   FROM first_li JOIN s ON first_li.l_orderkey = s.sample_key)
 SELECT {cols},
-       f.ICGC_Donor, f.Sample_ID
-FROM x JOIN f ON x.sample_submitter_id = f.tcga_sample_id"""
+       f.Archive_Donor, f.Sample_ID
+FROM x JOIN f ON x.sample_submitter_id = f.source_sample_id"""
 
 
 def _manifest_sql() -> str:

@@ -574,8 +574,8 @@ def _wgs_files(spark: SparkSession, d: str) -> DataFrame:
                        ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey"])
     files = join_on(first, samples(spark, d).select("sample_key", "sample_submitter_id"), {"l_orderkey": "sample_key"})
     return files.select(
-        F.col("sample_submitter_id").alias("tcga_sample_id"),
-        F.concat(F.lit("DO"), F.col("l_suppkey").cast("string")).alias("ICGC_Donor"),
+        F.col("sample_submitter_id").alias("source_sample_id"),
+        F.concat(F.lit("DO"), F.col("l_suppkey").cast("string")).alias("Archive_Donor"),
         F.concat(F.lit("SA"), F.col("l_partkey").cast("string")).alias("Sample_ID"),
         F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("Object_ID"),
     )
@@ -593,8 +593,8 @@ def wgs_table(spark: SparkSession, d: str) -> DataFrame:
         (st == "Primary Tumor", st),
         (st == "Metastatic", "Metastatic (Germline)"),
     )).drop("biospecimen_type")
-    tab = join_on(tab, _wgs_files(spark, d).select("tcga_sample_id", "ICGC_Donor", "Sample_ID", "Object_ID"),
-                  {"Local_Sample_ID": "tcga_sample_id"})
+    tab = join_on(tab, _wgs_files(spark, d).select("source_sample_id", "Archive_Donor", "Sample_ID", "Object_ID"),
+                  {"Local_Sample_ID": "source_sample_id"})
     return tab.withColumn("Sample_UUID", F.col("Object_ID")).drop("Object_ID")
 
 
@@ -613,7 +613,7 @@ def _rna_core(spark: SparkSession, d: str) -> DataFrame:
 
 def _donor_registry(spark: SparkSession, d: str) -> DataFrame:
     cu = cases(spark, d).filter(F.col("nation") < 12)
-    reg = cu.select(F.concat(F.lit("PPCG_"), F.lpad(F.col("case_id").cast("string"), 6, "0")).alias("PPCG_Donor_ID"),
+    reg = cu.select(F.concat(F.lit("DONOR_"), F.lpad(F.col("case_id").cast("string"), 6, "0")).alias("PPCG_Donor_ID"),
                     "case_submitter_id")
     return keep_first(reg, ["case_submitter_id"], ["PPCG_Donor_ID"])
 
@@ -621,17 +621,18 @@ def _donor_registry(spark: SparkSession, d: str) -> DataFrame:
 def _wgs_sample_registry(spark: SparkSession, d: str) -> DataFrame:
     s = samples(spark, d).filter(F.col("priority") == "1-URGENT")
     reg = s.select(F.col("sample_submitter_id").alias("WGS_Local_Sample_ID"),
-                   F.concat(F.lit("WGS_"), F.col("sample_key").cast("string")).alias("wgs_PPCG_Sample_ID"))
-    return keep_first(reg, ["WGS_Local_Sample_ID"], ["wgs_PPCG_Sample_ID"])
+                   F.concat(F.lit("WGS_"), F.col("sample_key").cast("string")).alias("wgs_sample_code"))
+    return keep_first(reg, ["WGS_Local_Sample_ID"], ["wgs_sample_code"])
 
 
 def _new_donor_registry(spark: SparkSession, d: str) -> DataFrame:
     cu = cases(spark, d).filter(F.col("balance") > 8000)
-    reg = cu.select(F.concat(F.lit("PPCGN_"), F.col("case_id").cast("string")).alias("ppcg_donor_id"),
-                    F.col("case_submitter_id").alias("tcga_donor_id"))
-    return keep_first(reg, ["ppcg_donor_id"], ["tcga_donor_id"])
+    reg = cu.select(F.concat(F.lit("DONORN_"), F.col("case_id").cast("string")).alias("new_donor_id"),
+                    F.col("case_submitter_id").alias("source_donor_id"))
+    return keep_first(reg, ["new_donor_id"], ["source_donor_id"])
 
 
+# The consortium's RNA table header.
 RNA_COLUMNS = ["center", "PPCG_Donor_ID", "Matching_WGS_Sample", "WGS_Local_Sample_ID", "PPCG_Meth_Sample_ID",
                "Platform", "RNA_Local_Sample_ID", "RNA_Sample_Type", "MetastaticSite", "RNA_Distance_To_WGS_Sample",
                "Meth_RNAseq_annot"]
@@ -642,7 +643,7 @@ def rna_table(spark: SparkSession, d: str) -> DataFrame:
     tab = _rna_core(spark, d)
     tab = join_on(tab, _donor_registry(spark, d), {"case_submitter_id": "case_submitter_id"}, how="left")
     tab = join_on(tab, _wgs_sample_registry(spark, d), {"sample_submitter_id": "WGS_Local_Sample_ID"}, how="left")
-    tab = tab.withColumnRenamed("wgs_PPCG_Sample_ID", "Matching_WGS_Sample")
+    tab = tab.withColumnRenamed("wgs_sample_code", "Matching_WGS_Sample")
     has_wgs = F.col("Matching_WGS_Sample").isNotNull()
     meth = samples(spark, d).filter(F.col("priority") == "2-HIGH").select("sample_submitter_id")
     tab = flag_membership(tab, meth, "sample_submitter_id", "__meth", derive=lambda x: str_sub(x, 1, 18))
@@ -661,11 +662,12 @@ def rna_table(spark: SparkSession, d: str) -> DataFrame:
     )
     # registry ids replace the placeholder donor ids where the registry has the donor
     tab = tab.withColumn("rna_donor_id", str_sub("RNA_Local_Sample_ID", 1, 18))
-    tab = attach_registry(tab, _new_donor_registry(spark, d), on=("rna_donor_id", "tcga_donor_id"),
-                          replace={"PPCG_Donor_ID": "ppcg_donor_id"})
+    tab = attach_registry(tab, _new_donor_registry(spark, d), on=("rna_donor_id", "source_donor_id"),
+                          replace={"PPCG_Donor_ID": "new_donor_id"})
     return tab.select(*RNA_COLUMNS)
 
 
+# The consortium's methylation-array table header.
 ASSAY_COLUMNS = ["case_submitter_id", "sample_submitter_id", "Country", "PPCG_Donor_ID", "Matching_WGS_Sample",
                  "WGS_Local_Sample_ID", "PPCG_Meth_Sample_ID", "Platform", "Meth_Local_Sample_ID", "Meth_Sample_Type",
                  "MetastaticSite", "Meth_Distance_To_WGS_Sample", "Meth_RNAseq_annot", "idat_grn_filename",

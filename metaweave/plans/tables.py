@@ -9,6 +9,7 @@ from metaweave.functions.strings import rewrite_path
 from metaweave.operators.joins import natural_join
 from metaweave.operators.schema import relocate, rename
 
+# The consortium registry columns and the pipeline manifest header.
 REGISTRY_COLUMNS = ["PPCG_Donor_ID", "Sample_Type", "PPCG_Sample_ID", "Is_Normal", "Is_Normal_for_Donor",
                     "Local_Sample_ID"]
 MANIFEST_COLUMNS = ["Donor_ID", "Tissue_ID", "is_normal", "is_normal_for_donor", "Sample_ID", "relative_file_path"]

@@ -60,7 +60,7 @@ def test_wgs_table_golden_shape(spark, tmpdir_path):
         "sample_submitter_id string, sample_type string")
     wgs_files = spark.createDataFrame([(f"PRJ-AA-{i:04d}-{t}", f"DO{i}", f"SA{i}{t}", f"obj{i}{t}")
                                        for i in range(4) for t in ("01A", "10A")],
-                                      "tcga_sample_id string, ICGC_Donor string, Sample_ID string, Object_ID string")
+                                      "source_sample_id string, Archive_Donor string, Sample_ID string, Object_ID string")
     tab = null_scaffold(specimens, WGS_TEMPLATE, id_column="Local_Sample_ID", fill={"Country": "USA"})
     tab = tab.withColumn("Local_Donor_ID", drop_suffix_regex("Local_Sample_ID", "-.{3}"))
     tab = join_on(tab, samples.withColumnRenamed("sample_type", "biospecimen_type"),
@@ -68,9 +68,9 @@ def test_wgs_table_golden_shape(spark, tmpdir_path):
     st = F.col("biospecimen_type")
     tab = tab.withColumn("Sample_Type", case_when((st == "Primary Tumor", st),
                                                   (st == "Blood Derived Normal", "Blood Derived Normal (Germline)")))
-    tab = join_on(tab.drop("biospecimen_type"), wgs_files, {"Local_Sample_ID": "tcga_sample_id"})
+    tab = join_on(tab.drop("biospecimen_type"), wgs_files, {"Local_Sample_ID": "source_sample_id"})
     tab = tab.withColumn("Sample_UUID", F.col("Object_ID")).drop("Object_ID")
-    assert tab.columns == [n for n, _ in WGS_TEMPLATE] + ["ICGC_Donor", "Sample_ID"]
+    assert tab.columns == [n for n, _ in WGS_TEMPLATE] + ["Archive_Donor", "Sample_ID"]
     out = os.path.join(tmpdir_path, "wgs")
     write_csv(tab, out, single_file=True)
     back = read_csv(spark, out)

@@ -44,9 +44,9 @@ def test_catalog_one_reader_per_file(spark, tmpdir_path):
 
 
 def test_csv_dotted_names(spark, tmpdir_path):
-    p = _write(os.path.join(tmpdir_path, "w.csv"), '"ICGC.Donor","Size..bytes."\n"DO1",1.54E+11\n')
+    p = _write(os.path.join(tmpdir_path, "w.csv"), '"Archive.Donor","Size..bytes."\n"DO1",1.54E+11\n')
     df = read_csv(spark, p, sanitize=True)
-    assert df.columns == ["ICGC_Donor", "Size__bytes_"]
+    assert df.columns == ["Archive_Donor", "Size__bytes_"]
     assert df.select(F.col("Size__bytes_").try_cast("double")).first()[0] == 1.54e11
 
 
