@@ -508,4 +508,22 @@ WHERE rank <= 3"""
     q["registry_unique_join"] = """
 SELECT d.doc_id, d.source, l.quality, l.toxic
 FROM documents d LEFT JOIN labels l ON d.doc_id IS NOT DISTINCT FROM l.doc_id"""
+    q["center_codes"] = f"""
+WITH s AS ({SAMPLES})
+SELECT DISTINCT right(concat_ws('-', CAST(l.l_orderkey AS VARCHAR), CAST(l.l_linenumber AS VARCHAR),
+                                CAST(l.l_partkey AS VARCHAR), CAST(l.l_suppkey AS VARCHAR)), 2) AS center
+FROM lineitem l JOIN s ON l.l_orderkey = s.sample_key
+WHERE l.l_returnflag = 'R'
+  AND EXISTS (SELECT 1 FROM ({COHORT}) c WHERE c.id IS NOT DISTINCT FROM s.case_id)"""
+    q["technical_replicates"] = """
+SELECT DISTINCT o_custkey FROM (
+  SELECT o_custkey, o_orderstatus, CAST(count(*) AS DOUBLE) / 2 AS n FROM orders GROUP BY o_custkey, o_orderstatus)
+WHERE n = 2"""
+    q["donor_extra_sample"] = f"""
+WITH s AS ({SAMPLES}),
+extra AS (SELECT case_submitter_id, count(*) AS n FROM s WHERE priority = '1-URGENT'
+          GROUP BY case_submitter_id HAVING count(*) > 1)
+SELECT * FROM extra WHERE NOT EXISTS (
+  SELECT 1 FROM s m WHERE m.priority = '2-HIGH' AND m.sample_type = 'Metastatic'
+  AND regexp_replace(m.sample_submitter_id, '(?:-[0-9]+)$', '') IS NOT DISTINCT FROM extra.case_submitter_id)"""
     return q

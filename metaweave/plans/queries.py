@@ -822,6 +822,32 @@ def registry_unique_join(spark: SparkSession, d: str) -> DataFrame:
     return join_on(table(spark, d, "documents").select("doc_id", "source"), reg, {"doc_id": "doc_id"}, how="left")
 
 
+@query
+def center_codes(spark: SparkSession, d: str) -> DataFrame:
+    """Distinct analysing-centre codes: the last two characters of the RNA analyte barcodes."""
+    rna = restrict_to(join_on(rna_analytes(spark, d), samples(spark, d).select("sample_key", "case_id"),
+                              {"sample_key": "sample_key"}), cohort_ids(spark, d), "case_id")
+    return distinct_values(rna.select(last_chars("analyte_submitter_id", 2).alias("center")), "center")
+
+
+@query
+def technical_replicates(spark: SparkSession, d: str) -> DataFrame:
+    """Donors with exactly two sample pairs of one type (two files per sample, so n/2 == 2)."""
+    pairs = pair_count(table(spark, d, "orders"), ["o_custkey", "o_orderstatus"])
+    return distinct_values(pairs.filter(F.col("n") == 2).select("o_custkey"), "o_custkey")
+
+
+@query
+def donor_extra_sample(spark: SparkSession, d: str) -> DataFrame:
+    """Donors with more than one urgent sample, minus donors of the not-matched samples (by barcode stem)."""
+    s = samples(spark, d)
+    extra = having_count(s.filter(F.col("priority") == "1-URGENT"), ["case_submitter_id"], lambda n: n > 1)
+    not_matched = s.filter((F.col("priority") == "2-HIGH") & (F.col("sample_type") == "Metastatic")).select(
+        "sample_submitter_id")
+    return restrict_to(extra, not_matched, "case_submitter_id", keep=False,
+                       derive_ids=lambda x: drop_suffix_regex(x, "-[0-9]+"))
+
+
 def queries() -> dict[str, Query]:
     """Registered queries, keyed without the ``_q`` suffix used to avoid name clashes."""
     return {(k[:-2] if k.endswith("_q") else k): v for k, v in REGISTRY.items()}
