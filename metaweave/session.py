@@ -67,5 +67,7 @@ def materialize(df):
     root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/metaweave-{uuid.uuid4().hex}"
     fixes = {f.name: F.col(f"`{f.name}`").cast("string") for f in df.schema.fields if isinstance(f.dataType, NullType)}
-    (df.withColumns(fixes) if fixes else df).write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    out = df.withColumns(fixes) if fixes else df
+    out.write.mode("errorifexists").parquet(path)
+    # the schema is known: skip footer-based schema inference on read-back
+    return spark.read.schema(out.schema).parquet(path)
