@@ -254,12 +254,39 @@ def flag_membership(df: DataFrame, ids: DataFrame, on: str | Column, out: str, i
     return joined.withColumn(out, flag).drop("__mk", "__fk", "__hit")
 
 
+def _chunked_semi(values: DataFrame, pats: DataFrame, cond: Callable[[Column, Column], Column],
+                  max_broadcast: int) -> DataFrame:
+    """Values matching any pattern under ``cond``: broadcast nested-loop semi joins over
+    pattern chunks of at most ``max_broadcast`` rows (checked), unioned and de-duplicated."""
+    n = pats.count()
+    if n == 0:
+        return values.limit(0)
+    if n <= max_broadcast:
+        return values.join(F.broadcast(pats), cond(F.col("__x"), F.col("__p")), "left_semi")
+    chunks = max(2, math.ceil(2 * n / max_broadcast))
+    while True:
+        tagged = pats.withColumn("__chunk", F.pmod(F.xxhash64("__p"), F.lit(chunks)))
+        biggest = tagged.groupBy("__chunk").count().agg(F.max("count")).first()[0]
+        if biggest <= max_broadcast:
+            break
+        chunks *= 2
+    parts = [
+        values.join(F.broadcast(tagged.filter(F.col("__chunk") == i).select("__p")),
+                    cond(F.col("__x"), F.col("__p")), "left_semi")
+        for i in range(chunks)
+    ]
+    return reduce(DataFrame.unionByName, parts).distinct()
+
+
 def match_any(df: DataFrame, column: str, patterns: DataFrame, pattern_column: str | None = None,
-              mode: str = "regex", keep: bool = True, max_broadcast_patterns: int = 10_000) -> DataFrame:
+              mode: str = "regex", keep: bool = True, max_broadcast_patterns: int = 10_000,
+              max_prefix_lengths: int = 1_000) -> DataFrame:
     """Keep (or drop) rows whose ``column`` matches any pattern of a pattern table.
 
     ``mode='prefix'``: patterns are literal prefixes; matched by equi-joins on
     ``substring(x, 1, L)`` for each distinct pattern length (no regex, no nested loop).
+    With more than ``max_prefix_lengths`` distinct lengths it falls back to the exact
+    chunked ``startswith`` semi join below.
     ``mode='regex'``: Java regexes searched anywhere; the pattern table is broadcast
     into a nested-loop semi join in chunks of at most ``max_broadcast_patterns``,
     so the broadcast side is bounded whatever the number of patterns.
@@ -274,33 +301,18 @@ def match_any(df: DataFrame, column: str, patterns: DataFrame, pattern_column: s
     values = df.select(c(column).alias("__x")).filter(F.col("__x").isNotNull()).distinct()
 
     if mode == "prefix":
-        # Distinct pattern lengths: at most the longest pattern, tiny, and metadata only.
-        lengths = sorted(r[0] for r in pats.select(F.length("__p").alias("n")).distinct().collect())
+        # Distinct pattern lengths: a bounded probe (at most max_prefix_lengths + 1 rows).
+        found = pats.select(F.length("__p").alias("n")).distinct().limit(max_prefix_lengths + 1).collect()
+        lengths = sorted(r[0] for r in found)
         if not lengths:
             matched = values.limit(0)
+        elif len(lengths) > max_prefix_lengths:
+            matched = _chunked_semi(values, pats, lambda x, p: x.startswith(p), max_broadcast_patterns)
         else:
             cands = values.select("__x", F.explode(F.array(*[F.substring("__x", 1, n) for n in lengths])).alias("__p"))
             matched = cands.join(pats, "__p", "left_semi").select("__x").distinct()
     elif mode == "regex":
-        n = pats.count()
-        if n == 0:
-            matched = values.limit(0)
-        elif n <= max_broadcast_patterns:
-            matched = values.join(F.broadcast(pats), F.regexp_like(F.col("__x"), F.col("__p")), "left_semi")
-        else:
-            chunks = max(2, math.ceil(2 * n / max_broadcast_patterns))
-            tagged = pats.withColumn("__chunk", F.pmod(F.xxhash64("__p"), F.lit(chunks)))
-            biggest = tagged.groupBy("__chunk").count().agg(F.max("count")).first()[0]
-            while biggest > max_broadcast_patterns:
-                chunks *= 2
-                tagged = pats.withColumn("__chunk", F.pmod(F.xxhash64("__p"), F.lit(chunks)))
-                biggest = tagged.groupBy("__chunk").count().agg(F.max("count")).first()[0]
-            parts = [
-                values.join(F.broadcast(tagged.filter(F.col("__chunk") == i).select("__p")),
-                            F.regexp_like(F.col("__x"), F.col("__p")), "left_semi")
-                for i in range(chunks)
-            ]
-            matched = reduce(DataFrame.unionByName, parts).distinct()
+        matched = _chunked_semi(values, pats, lambda x, p: F.regexp_like(x, p), max_broadcast_patterns)
     else:
         raise ValueError(f"match_any: unknown mode {mode!r}")
 

@@ -143,6 +143,14 @@ def test_match_any(spark, mode):
     assert match_any(df, "name", empty, mode=mode).count() == 0
 
 
+def test_match_any_prefix_many_lengths_falls_back_exactly(spark):
+    df = spark.createDataFrame([(1, "abcdef"), (2, "abx"), (3, "zzz"), (4, "ab")], "id int, name string")
+    pats = spark.createDataFrame([("abc",), ("abx",), ("a",), ("q",)], "p string")
+    fast = match_any(df, "name", pats, mode="prefix")
+    slow = match_any(df, "name", pats, mode="prefix", max_prefix_lengths=1, max_broadcast_patterns=2)
+    assert rows(fast, "id") == rows(slow, "id") == [(1,), (2,), (4,)]
+
+
 def test_match_any_regex_chunks(spark):
     df = spark.createDataFrame([(i, f"s{i:03d}x") for i in range(40)], "id int, name string")
     pats = spark.createDataFrame([(f"^s{i:03d}",) for i in range(0, 40, 2)], "p string")
