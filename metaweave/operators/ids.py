@@ -69,13 +69,19 @@ def dense_code(df: DataFrame, column: str, out: str, prefix: str | None = "NEW_"
 
 
 def dense_codes(df: DataFrame, columns: Sequence[str], suffix: str = "_code", outs: Sequence[str] | None = None,
-                prefix: str | None = None) -> DataFrame:
+                prefix: str | None = None, strategy: str = "auto") -> DataFrame:
     """``dense_code`` for several columns with one numbering pass per data type.
 
     The distinct ``(column, value)`` pairs of all columns of a type are written
     once to the checkpoint folder, numbered together in ``(column, value)`` order
     (values keep their type, so numbers sort numerically), and each column's codes
     are shifted to start at 1.
+
+    Attaching the codes: ``strategy='wide'`` joins the code table once per column;
+    ``'long'`` tags each row once (a table in the checkpoint folder), unpivots the
+    coded columns, joins all codes in one join and pivots them back per row, so
+    the shuffles do not grow with the number of columns. ``'auto'`` picks ``long``
+    from four columns up.
     """
     columns = list(columns)
     outs = list(outs) if outs is not None else [x + suffix for x in columns]
@@ -83,22 +89,48 @@ def dense_codes(df: DataFrame, columns: Sequence[str], suffix: str = "_code", ou
     for i, col in enumerate(columns):
         by_type.setdefault(df.schema[col].dataType.simpleString(), []).append(i)
     ensure_checkpoint_dir(df.sparkSession)
-    out = df
+    if strategy not in ("auto", "wide", "long"):
+        raise ValueError(f"dense_codes: unknown strategy {strategy!r}")
+    code_tables = {}
     for members in by_type.values():
         pairs = None
         for i in members:
             part = df.select(F.lit(i).alias("__c"), c(columns[i]).alias("__v")).filter(F.col("__v").isNotNull())
             pairs = part if pairs is None else pairs.unionByName(part)
-        # Materialise the distinct values once: the range partitioner samples its
-        # input in a separate job, which would otherwise re-run the upstream plan.
         distinct = materialize(pairs.distinct())
         numbered = _number(distinct, ["__c", "__v"], "__idx")
         starts = numbered.groupBy("__c").agg(F.min("__idx").alias("__start"))  # one row per column
-        codes = numbered.join(F.broadcast(starts), "__c").select(
+        code_tables[tuple(members)] = numbered.join(F.broadcast(starts), "__c").select(
             "__c", "__v", (F.col("__idx") - F.col("__start") + F.lit(1)).alias("__code"))
+    if strategy == "long" or (strategy == "auto" and len(columns) >= 4):
+        return _attach_long(df, columns, outs, prefix, code_tables)
+    out = df
+    for members, codes in code_tables.items():
         for i in members:
             name = outs[i]
             code = F.concat(F.lit(prefix), F.col("__code").cast("string")) if prefix is not None else F.col("__code")
             table = codes.filter(F.col("__c") == i).select(F.col("__v").alias(f"__v{i}"), code.alias(name))
             out = out.join(table, c(columns[i]) == F.col(f"__v{i}"), "left").drop(f"__v{i}")
-    return out
+    return out.select(*[c(x) for x in df.columns], *[c(x) for x in outs])
+
+
+def _attach_long(df: DataFrame, columns: list[str], outs: list[str], prefix: str | None,
+                 code_tables: dict[tuple[int, ...], DataFrame]) -> DataFrame:
+    """Attach codes through one unpivot/join/pivot instead of one join per column."""
+    tagged = materialize(df.withColumn("__rid", F.monotonically_increasing_id()))
+    codes_out = None
+    for members, codes in code_tables.items():
+        long = None
+        for i in members:
+            part = tagged.select("__rid", F.lit(i).alias("__c"), c(columns[i]).alias("__v")).filter(
+                F.col("__v").isNotNull())
+            long = part if long is None else long.unionByName(part)
+        coded = long.join(codes, ["__c", "__v"]).select("__rid", "__c", "__code")
+        codes_out = coded if codes_out is None else codes_out.unionByName(coded)
+    wide = codes_out.groupBy("__rid").pivot("__c", list(range(len(columns)))).agg(F.min("__code"))
+    cols = []
+    for i, name in enumerate(outs):
+        code = F.col(f"`{i}`")
+        cols.append((F.concat(F.lit(prefix), code.cast("string")) if prefix is not None else code).alias(name))
+    wide = wide.select("__rid", *cols)
+    return tagged.join(wide, "__rid", "left").drop("__rid")

@@ -418,6 +418,14 @@ SELECT p_partkey,
        CAST(dense_rank() OVER (ORDER BY p_brand) AS BIGINT) AS p_brand_code,
        CAST(dense_rank() OVER (ORDER BY p_type) AS BIGINT) AS p_type_code,
        p_size, p_retailprice
+FROM part"""
+    q["across_columns_long"] = """
+SELECT p_partkey,
+       CAST(dense_rank() OVER (ORDER BY p_name) AS BIGINT) AS p_name_code,
+       CAST(dense_rank() OVER (ORDER BY p_brand) AS BIGINT) AS p_brand_code,
+       CAST(dense_rank() OVER (ORDER BY p_type) AS BIGINT) AS p_type_code,
+       CAST(dense_rank() OVER (ORDER BY p_size) AS BIGINT) AS p_size_code,
+       CAST(dense_rank() OVER (ORDER BY p_retailprice) AS BIGINT) AS p_retailprice_code
 FROM part"""
     q["barcode_parts"] = """
 SELECT c_custkey, substr(c_name, 1, 12) AS case_part, substr(c_name, 1, 15) AS sample_part,

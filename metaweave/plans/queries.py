@@ -461,6 +461,15 @@ def across_string_codes(spark: SparkSession, d: str) -> DataFrame:
     return coded.select("p_partkey", *[f"{x}_code" for x in strings], "p_size", "p_retailprice")
 
 
+@query
+def across_columns_long(spark: SparkSession, d: str) -> DataFrame:
+    """Dense codes for five columns of mixed types, attached in one unpivot/join/pivot."""
+    part = table(spark, d, "part")
+    cols = ["p_name", "p_brand", "p_type", "p_size", "p_retailprice"]
+    coded = dense_codes(part.select("p_partkey", *cols), cols, strategy="long")
+    return coded.select("p_partkey", *[f"{x}_code" for x in cols])
+
+
 @query
 def barcode_parts(spark: SparkSession, d: str) -> DataFrame:
     cu = table(spark, d, "customer")

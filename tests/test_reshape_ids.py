@@ -97,3 +97,16 @@ def test_numbering_avoids_single_partition_window(spark):
     plan = dense_code(df, "x", "code")._jdf.queryExecution().executedPlan().toString()
     # the only window is over the per-partition count table; data never goes through one task
     assert "BatchEvalPython" not in plan and "CartesianProduct" not in plan
+
+
+def test_dense_codes_long_equals_wide(spark):
+    df = spark.createDataFrame(
+        [("b", "y", 10, "p", 1.5), ("a", None, 9, "q", 1.5), ("a", "y", 100, None, 0.5), ("c", "x", None, "p", 2.5)],
+        "s1 string, s2 string, n int, s3 string, d double")
+    cols = ["s1", "s2", "n", "s3", "d"]
+    wide = dense_codes(df, cols, strategy="wide", prefix="K")
+    long = dense_codes(df, cols, strategy="long", prefix="K")
+    assert wide.columns == long.columns
+    assert rows(wide) == rows(long)
+    got = {(r.s1, r.n): (r.s1_code, r.n_code, r.s2_code) for r in long.collect()}
+    assert got[("a", 100)] == ("K1", "K3", "K2") and got[("c", None)] == ("K3", None, "K1")
