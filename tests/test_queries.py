@@ -4,7 +4,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from tests.conftest import SF001, SF01
-from tools.check_oracle import TABLES, compare
+from tools.check_oracle import TABLES, compare, type_diffs
 
 QUERIES = queries()
 SQL = oracle_sql()
@@ -31,6 +31,7 @@ def test_query_matches_oracle(spark, duck, name):
     cur = duck.execute(SQL[name])
     ok, msg = compare(got, df.columns, cur.fetchall(), [d[0] for d in cur.description])
     assert ok, msg
+    assert not type_diffs(dict(df.dtypes), {d[0]: str(d[1]) for d in cur.description})
 
 
 def test_entry_smoke(spark):
