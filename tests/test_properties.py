@@ -46,3 +46,46 @@ def test_restrict_to_matches_in_semantics(spark, values, ids, keep):
     inside = [i for i, k in enumerate(values) if any(_eq(k, x, True) for x in ids)]  # R's %in%: NA in c(NA) is TRUE
     expect = inside if keep else [i for i in range(len(values)) if i not in inside]
     assert got == sorted(expect)
+
+
+small_rows = st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 2)), st.integers(0, 5), st.sampled_from("abc")),
+                      min_size=0, max_size=8)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(data=small_rows)
+def test_keep_first_matches_sorted_first(spark, data):
+    from metaweave.operators import keep_first
+
+    df = spark.createDataFrame(data, "k int, o int, v string")
+    got = sorted((tuple(r) for r in keep_first(df, ["k"], ["o"]).collect()), key=repr)
+    best = {}
+    for k, o, v in data:
+        if k not in best or (o, v) < best[k][1:]:
+            best[k] = (k, o, v)
+    assert got == sorted(best.values(), key=repr)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(data=small_rows)
+def test_dense_code_matches_sorted_distinct(spark, data):
+    from metaweave.operators import dense_code
+
+    df = spark.createDataFrame(data, "k int, o int, v string")
+    got = sorted((r.v, r.o, r.code) for r in dense_code(df, "v", "code", prefix=None).collect())
+    levels = {x: i + 1 for i, x in enumerate(sorted({v for _, _, v in data}))}
+    assert got == sorted((v, o, levels[v]) for _, o, v in data)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(data=small_rows)
+def test_pivot_counts_match_brute_force(spark, data):
+    from metaweave.operators import group_count, pivot_wider
+
+    df = spark.createDataFrame(data, "k int, o int, v string")
+    wide = pivot_wider(group_count(df, ["k", "v"]), "v", "n", values=["a", "b", "c"], fill=0)
+    got = sorted((tuple(r) for r in wide.collect()), key=repr)
+    counts = {}
+    for k, _, v in data:
+        counts.setdefault(k, {"a": 0, "b": 0, "c": 0})[v] += 1
+    assert got == sorted(((k, c["a"], c["b"], c["c"]) for k, c in counts.items()), key=repr)
