@@ -106,3 +106,15 @@ def test_apply_by_type_and_constants(spark):
     out = add_constants(df, {"Platform": ("RNA_seq", "string"), "MetastaticSite": (None, "string")})
     assert dict(out.dtypes)["MetastaticSite"] == "string"
     assert rows(out, "Platform", "MetastaticSite") == [("RNA_seq", None), ("RNA_seq", None)]
+
+
+def test_json_lines_and_positions(spark, tmpdir_path):
+    from metaweave.operators import drop_positions, select_positions
+    from metaweave.sources import read_json_lines
+
+    p = _write(os.path.join(tmpdir_path, "m.jsonl"), '{"a": 1, "b": "x", "c": null}\n{"a": 2, "b": null, "c": 3}\n')
+    df = read_json_lines(spark, p)
+    assert sorted(df.columns) == ["a", "b", "c"] and df.count() == 2
+    wide = spark.createDataFrame([(1, 2, 3, 4)], "w int, x int, y int, z int")
+    assert select_positions(wide, [1, 2]).columns == ["w", "x"]
+    assert drop_positions(wide, [1, 2]).columns == ["y", "z"]
