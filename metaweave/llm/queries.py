@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 from . import sql
 from .common import table
 from .line_frequency import line_frequency
+from .stream_dedup import exact_dedup
+
+
+def op2_stream_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup(table(spark, sf_dir, "documents")).drop("file", "pos")
 
 
 def op10_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,9 +22,11 @@ def op10_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_stream_exact_dedup": op2_stream_exact_dedup,
     "op10_line_frequency": op10_line_frequency,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_stream_exact_dedup": sql.EXACT_DEDUP,
     "op10_line_frequency": sql.LINE_FREQUENCY,
 }

@@ -39,3 +39,15 @@ WITH d AS (
 )
 SELECT *, (NOT base_failed AND NOT n_removed_words * 10 > n_words * 7) AS kept FROM b
 """
+
+EXACT_DEDUP = """
+WITH n AS (
+  SELECT doc_id,
+         sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256
+  FROM documents
+)
+SELECT doc_id, max(doc_id) OVER (PARTITION BY text_sha256) AS keep_id,
+       count(*) OVER (PARTITION BY text_sha256) AS group_size,
+       row_number() OVER (PARTITION BY text_sha256 ORDER BY doc_id DESC) = 1 AS kept, text_sha256
+FROM n
+"""
