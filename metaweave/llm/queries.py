@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from . import sql
 from .common import table
 from .line_frequency import line_frequency
+from .simhash import simhash_groups
 from .stream_dedup import exact_dedup
 
 
@@ -17,12 +18,17 @@ def op2_stream_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents")).drop("file", "pos")
 
 
+def op9_simhash_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_groups(table(spark, sf_dir, "documents"))
+
+
 def op10_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_frequency(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_stream_exact_dedup": op2_stream_exact_dedup,
+    "op9_simhash_multi_index": op9_simhash_multi_index,
     "op10_line_frequency": op10_line_frequency,
 }
 
