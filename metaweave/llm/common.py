@@ -43,3 +43,16 @@ def words(text: Column) -> Column:
     """The words of a text: runs of characters outside :data:`BLANKS`. NULL has none."""
     spaced = F.translate(F.coalesce(text, F.lit("")), BLANKS[:-1], " " * (len(BLANKS) - 1))
     return F.array_remove(F.split(spaced, " "), "")
+
+
+def tokenizer_path(name: str) -> str:
+    """The place of a public vocabulary file; the same on every machine that has the package."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def split_pattern() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.PATTERN

@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import sql
-from .common import table
+from .byte_bpe import round_trip_digests
+from .common import split_pattern, table, tokenizer_path
 from .line_frequency import line_frequency
+from .packing import pack_documents
 from .simhash import simhash_groups
 from .stream_dedup import exact_dedup
 
@@ -18,6 +20,17 @@ def op2_stream_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents")).drop("file", "pos")
 
 
+def op5_cost_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, pattern = tokenizer_path("byte_bpe_multi_50k.tiktoken"), split_pattern()
+    docs = table(spark, sf_dir, "documents")
+    coded = docs.select("doc_id", round_trip_digests(F.col("text"), path, pattern).alias("x"))
+    return coded.select("doc_id", "x.n_tokens", "x.ids_sha256", "x.decoded_sha256")
+
+
 def op9_simhash_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"))
 
@@ -28,6 +41,8 @@ def op10_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_stream_exact_dedup": op2_stream_exact_dedup,
+    "op5_cost_balanced_packing": op5_cost_balanced_packing,
+    "op6_byte_bpe": op6_byte_bpe,
     "op9_simhash_multi_index": op9_simhash_multi_index,
     "op10_line_frequency": op10_line_frequency,
 }
