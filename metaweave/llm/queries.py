@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import sql
+from . import quality_fm, sql, toxicity_crf
 from .byte_bpe import round_trip_digests
 from .common import split_pattern, table, tokenizer_path
+from .labelled import held_out
 from .line_frequency import line_frequency
 from .packing import pack_documents
 from .simhash import simhash_groups
@@ -20,6 +21,22 @@ def op2_stream_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents")).drop("file", "pos")
 
 
+def _classified(spark: SparkSession, sf_dir: str, operator) -> DataFrame:
+    """Fit on labelled rows that are not held out, score every whole text."""
+    docs = table(spark, sf_dir, "documents")
+    model = operator.train(docs, table(spark, sf_dir, "labels"))
+    scored = docs.select("doc_id", held_out().alias("held_out"), operator.score(F.col("text"), model, spark).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= operator.THRESHOLD).cast("int"))
+
+
+def op3_crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _classified(spark, sf_dir, toxicity_crf)
+
+
+def op4_fm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _classified(spark, sf_dir, quality_fm)
+
+
 def op5_cost_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
@@ -41,6 +58,8 @@ def op10_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_stream_exact_dedup": op2_stream_exact_dedup,
+    "op3_crf_toxicity": op3_crf_toxicity,
+    "op4_fm_quality": op4_fm_quality,
     "op5_cost_balanced_packing": op5_cost_balanced_packing,
     "op6_byte_bpe": op6_byte_bpe,
     "op9_simhash_multi_index": op9_simhash_multi_index,
