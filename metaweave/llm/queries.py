@@ -12,6 +12,7 @@ from .byte_bpe import round_trip_digests
 from .common import split_pattern, table, tokenizer_path
 from .labelled import held_out
 from .line_frequency import line_frequency
+from .maxent_lm import held_out_fold, lm_scores
 from .packing import pack_documents
 from .simhash import simhash_groups
 from .stream_dedup import exact_dedup
@@ -21,6 +22,11 @@ def op2_stream_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents")).drop("file", "pos")
 
 
+def op1_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return lm_scores(docs, ~held_out_fold(), carry={"held_out": held_out_fold()})
+
+
 def _classified(spark: SparkSession, sf_dir: str, operator) -> DataFrame:
     """Fit on labelled rows that are not held out, score every whole text."""
     docs = table(spark, sf_dir, "documents")
@@ -57,6 +63,7 @@ def op10_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_maxent_lm": op1_maxent_lm,
     "op2_stream_exact_dedup": op2_stream_exact_dedup,
     "op3_crf_toxicity": op3_crf_toxicity,
     "op4_fm_quality": op4_fm_quality,
