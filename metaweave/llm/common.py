@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,3 +57,24 @@ def split_pattern() -> str:
     import public_tokenizers
 
     return public_tokenizers.PATTERN
+
+
+def with_place(df: DataFrame) -> DataFrame:
+    """Add ``file`` and ``pos``, which tell any two rows apart: the file and row index of a file scan.
+
+    Any other input is first written to the shared folder, and read back from there.
+    """
+    place = {"file": F.col("_metadata.file_path"), "pos": F.col("_metadata.row_index")}
+    try:
+        return df.withColumns(place)
+    except AnalysisException:
+        return saved(df, "placed").withColumns(place)
+
+
+#: Up to so many rows of a few narrow columns are broadcast; more are joined by a shuffle.
+BROADCAST_ROWS = 50_000
+
+
+def join_narrow(df: DataFrame, narrow: DataFrame, on, how: str, bound: int = BROADCAST_ROWS) -> DataFrame:
+    """Join a narrow, written table to a wide one; the wide one is not shuffled while the other is counted small."""
+    return df.join(F.broadcast(narrow) if narrow.count() <= bound else narrow, on, how)

@@ -16,6 +16,7 @@ from .maxent_lm import held_out_fold, lm_scores
 from .packing import pack_documents
 from .simhash import simhash_groups
 from .stream_dedup import exact_dedup
+from .warc_zip import round_trip
 
 
 def op2_stream_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,6 +55,10 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", "x.n_tokens", "x.ids_sha256", "x.decoded_sha256")
 
 
+def op7_zip_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "pages"))
+
+
 def op9_simhash_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"))
 
@@ -69,11 +74,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_fm_quality": op4_fm_quality,
     "op5_cost_balanced_packing": op5_cost_balanced_packing,
     "op6_byte_bpe": op6_byte_bpe,
+    "op7_zip_warc": op7_zip_warc,
     "op9_simhash_multi_index": op9_simhash_multi_index,
     "op10_line_frequency": op10_line_frequency,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_stream_exact_dedup": sql.EXACT_DEDUP,
+    "op7_zip_warc": sql.WARC_RECORDS,
     "op10_line_frequency": sql.LINE_FREQUENCY,
 }

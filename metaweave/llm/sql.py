@@ -51,3 +51,17 @@ SELECT doc_id, max(doc_id) OVER (PARTITION BY text_sha256) AS keep_id,
        row_number() OVER (PARTITION BY text_sha256 ORDER BY doc_id DESC) = 1 AS kept, text_sha256
 FROM n
 """
+
+WARC_RECORDS = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY payload_digest ORDER BY page_id NULLS FIRST) AS k,
+         first_value(page_id) OVER (PARTITION BY payload_digest ORDER BY page_id NULLS FIRST) AS least
+  FROM p
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND k > 1 THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND k > 1 THEN least END AS refers_to
+FROM r
+"""
