@@ -14,6 +14,7 @@ from .labelled import held_out
 from .line_frequency import line_frequency
 from .maxent_lm import held_out_fold, lm_scores
 from .packing import pack_documents
+from .page_template import extract
 from .simhash import simhash_groups
 from .stream_dedup import exact_dedup
 from .warc_zip import round_trip
@@ -59,6 +60,10 @@ def op7_zip_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "pages"))
 
 
+def op8_page_template(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op9_simhash_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"))
 
@@ -75,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_cost_balanced_packing": op5_cost_balanced_packing,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_zip_warc": op7_zip_warc,
+    "op8_page_template": op8_page_template,
     "op9_simhash_multi_index": op9_simhash_multi_index,
     "op10_line_frequency": op10_line_frequency,
 }
