@@ -1,14 +1,83 @@
-"""The corpus pipeline: stages that each call one operator, applied to ``documents`` in order."""
+"""The corpus pipeline: five stages that each call one operator, applied to ``documents`` in order.
+
+Every stage takes what its predecessor kept, written as Parquet and read back, and returns whole rows
+of ``documents`` (the last one returns the packed pieces). NULL texts count as empty in every
+stage; repeated rows are rows of their own until the deduplications keep one of them; an empty table stays
+empty; further columns of ``documents`` are passed on untouched.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from metaweave.llm import quality_fm, toxicity_crf
+from metaweave.llm.common import join_narrow, saved, table, tokenizer_path, with_place
+from metaweave.llm.packing import pack_documents
+from metaweave.llm.simhash import simhash_groups
+from metaweave.llm.stream_dedup import exact_dedup
+
+#: Names of columns that the stages add for themselves and drop again.
+_FILE, _POS, _SCORE = "__file", "__pos", "__score"
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier does not reject."""
+    model = quality_fm.train(docs, table(spark, sf_dir, "labels"))
+    scored = docs.withColumn(_SCORE, quality_fm.score(F.col("text"), model, spark))
+    return scored.where(F.col(_SCORE) >= quality_fm.THRESHOLD).drop(_SCORE)
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not toxic."""
+    model = toxicity_crf.train(docs, table(spark, sf_dir, "labels"))
+    scored = docs.withColumn(_SCORE, toxicity_crf.score(F.col("text"), model, spark))
+    return scored.where(F.col(_SCORE) < toxicity_crf.THRESHOLD).drop(_SCORE)
+
+
+def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """The rows that are not listed by their place."""
+    return join_narrow(docs, saved(dropped.select(_FILE, _POS), "dropped"), [_FILE, _POS], "left_anti").drop(_FILE, _POS)
+
+
+def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts, the document with the largest identifier."""
+    rows = with_place(docs, _FILE, _POS)
+    groups = exact_dedup(rows, place=(_FILE, _POS))
+    return _without(rows, groups.where("not kept").select(F.col("file").alias(_FILE), F.col("pos").alias(_POS)))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of every group of near duplicates, the document with the smallest identifier."""
+    rows = with_place(docs, _FILE, _POS)
+    groups = saved(simhash_groups(rows, carry=[_FILE, _POS]), "near-groups")
+    # of rows that bear the group's identifier (none if no row has one), the first stays
+    bearers = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    stay = bearers.groupBy("component").agg(F.min(F.struct(_FILE, _POS)).alias("first"))
+    stay = stay.select(f"first.{_FILE}", f"first.{_POS}")
+    return _without(rows, groups.join(stay, [_FILE, _POS], "left_anti"))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents that are left, in sequences of 4096 tokens."""
+    return pack_documents(docs, tokenizer_path("word_bpe_49k.json"))
+
 
-STAGES: list = []
+STAGES = [
+    ("quality classifier", quality),
+    ("toxicity", toxicity),
+    ("exact dedup", exact_duplicates),
+    ("SimHash near-dedup", near_duplicates),
+    ("packing", packing),
+]
 
 #: Trained models decide in the first stages, which SQL cannot express.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """All stages, each written and read back, over ``documents``."""
+    docs = table(spark, sf_dir, "documents")
+    for _, stage in STAGES:
+        docs = saved(stage(spark, docs, sf_dir), "stage")
+    return docs

@@ -59,12 +59,12 @@ def split_pattern() -> str:
     return public_tokenizers.PATTERN
 
 
-def with_place(df: DataFrame) -> DataFrame:
-    """Add ``file`` and ``pos``, which tell any two rows apart: the file and row index of a file scan.
+def with_place(df: DataFrame, file: str = "file", pos: str = "pos") -> DataFrame:
+    """Add two columns which tell any two rows apart: the file and row index of a file scan.
 
     Any other input is first written to the shared folder, and read back from there.
     """
-    place = {"file": F.col("_metadata.file_path"), "pos": F.col("_metadata.row_index")}
+    place = {file: F.col("_metadata.file_path"), pos: F.col("_metadata.row_index")}
     try:
         return df.withColumns(place)
     except AnalysisException:

@@ -126,7 +126,8 @@ def simhash_groups(
 ) -> DataFrame:
     """One row per document: ``doc_id``, ``fingerprint`` (16 hex digits) and ``component_id``.
 
-    ``carry`` names further columns of the input to be returned.
+    ``carry`` names further columns of the input to be returned; then ``component`` is returned too, a
+    number that tells components apart even where they share an identifier or have none.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), *(carry or []), fingerprint(F.col(text), shingle).alias("fp"))
     rows = saved(rows, "fingerprints")
@@ -135,7 +136,6 @@ def simhash_groups(
     placed = prints.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     placed = saved(placed, "placed")
     named = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    placed = placed.join(named, "root").select("fp", "component_id")
-    return rows.join(placed, "fp").select(
-        "doc_id", *(carry or []), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
-    )
+    placed = placed.join(named, "root").select("fp", "component_id", F.col("root").alias("component"))
+    shown = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
+    return rows.join(placed, "fp").select("doc_id", *(carry or []), shown, "component_id", *(["component"] if carry else []))

@@ -22,11 +22,10 @@ from __future__ import annotations
 
 from contextlib import contextmanager
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import lower_ascii, saved, shared_folder
+from .common import lower_ascii, saved, shared_folder, with_place
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 BROADCAST_DIGESTS = 100_000  # up to so many hit digests (32 bytes each) are broadcast; more are joined by a shuffle
@@ -43,18 +42,18 @@ def _rocksdb(spark: SparkSession):
         spark.conf.set(key, before) if before else spark.conf.unset(key)
 
 
-def located(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def located(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", place: tuple[str, str] | None = None) -> DataFrame:
     """``doc_id``, ``file`` and ``pos`` (the content locator) and the normalised ``text``.
 
-    Rows of a file scan are located by file and row index; any other input is first
-    written to the shared folder, and located there.
+    ``place`` names two columns that tell rows apart, if the input has them; else rows are located
+    by file and row index.
     """
-    own = [F.col(doc_id).alias("doc_id"), lower_ascii(F.col(text)).alias("text")]
-    try:
-        return docs.select(*own, F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("pos"))
-    except AnalysisException:
-        kept = saved(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "dedup-input")
-        return located(kept)
+    own = [F.col(doc_id).alias("doc_id"), F.col(text).alias("text")]
+    if place:
+        rows = docs.select(*own, F.col(place[0]).alias("file"), F.col(place[1]).alias("pos"))
+    else:
+        rows = with_place(docs).select(*own, "file", "pos")
+    return rows.withColumn("text", lower_ascii(F.col("text")))
 
 
 def land(rows: DataFrame, folder: str) -> None:
@@ -94,10 +93,10 @@ def hit_texts(rows: DataFrame, hits: DataFrame, broadcast_digests: int = BROADCA
     return texts.join(keys, "digest", "left_semi")
 
 
-def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", place: tuple[str, str] | None = None) -> DataFrame:
     """One row per document: ``doc_id``, ``keep_id``, ``group_size``, ``kept``, ``text_sha256`` and its locator."""
     spark = docs.sparkSession
-    rows = located(docs, doc_id, text)
+    rows = located(docs, doc_id, text, place)
     folder = shared_folder(spark, "dedup-landed")
     land(rows, folder)
     state = saved(run_stream(spark, folder, shared_folder(spark, "dedup-state")), "dedup-groups")
