@@ -22,7 +22,7 @@ from __future__ import annotations
 
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import lower_ascii, saved, shared_folder, with_place
@@ -56,10 +56,13 @@ def located(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", place:
     return rows.withColumn("text", lower_ascii(F.col("text")))
 
 
+def digest(text: Column) -> Column:
+    return F.unhex(F.sha2(text.cast("binary"), 256))
+
+
 def land(rows: DataFrame, folder: str) -> None:
     """Append digest, identifier and locator of each row to the stream's source folder."""
-    digest = F.unhex(F.sha2(F.col("text").cast("binary"), 256))
-    rows.select("doc_id", "file", "pos", digest.alias("digest")).write.mode("append").parquet(folder)
+    rows.select("doc_id", "file", "pos", digest(F.col("text")).alias("digest")).write.mode("append").parquet(folder)
 
 
 def run_stream(spark: SparkSession, folder: str, state: str) -> DataFrame:
@@ -89,7 +92,7 @@ def hit_texts(rows: DataFrame, hits: DataFrame, broadcast_digests: int = BROADCA
     keys = hits.select("digest")
     if keys.count() <= broadcast_digests:
         keys = F.broadcast(keys)
-    texts = rows.withColumn("digest", F.unhex(F.sha2(F.col("text").cast("binary"), 256)))
+    texts = rows.withColumn("digest", digest(F.col("text")))
     return texts.join(keys, "digest", "left_semi")
 
 
