@@ -31,15 +31,24 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 BROADCAST_DIGESTS = 100_000  # up to so many hit digests (32 bytes each) are broadcast; more are joined by a shuffle
 
 
+#: Session settings while the stream runs: the disk-backed provider, without reserving disk ahead for each of its many small stores.
+STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
 @contextmanager
 def _rocksdb(spark: SparkSession):
-    key = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, ROCKSDB)
+    before = {k: spark.conf.get(k, None) for k in STATE_SETTINGS}
+    for k, v in STATE_SETTINGS.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.set(key, before) if before else spark.conf.unset(key)
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
 
 
 def located(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", place: tuple[str, str] | None = None) -> DataFrame:
