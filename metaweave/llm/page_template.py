@@ -53,7 +53,7 @@ NOT_MAIN_WORDS = frozenset("ad ads adv advert adverts advertisement advertising
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 PROSE = HEADINGS | frozenset("p blockquote pre li dd dt td th figcaption".split())
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z][^\s/>]*(?:[^>\"']|\"[^\"]*\"|'[^']*')*>|[^<]+|<", re.S)
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z][^\s/>]*(?:[^>\"']|\"[^\"]*\"|'[^']*')*>|</?[a-zA-Z][^>]*(?:>|\Z)|[^<]+|<", re.S)
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 _ATTRIBUTE = re.compile(r"\s(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])|[^A-Za-z]+")
