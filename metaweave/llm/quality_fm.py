@@ -29,6 +29,7 @@ RANK = 8
 STEPS = 60
 THRESHOLD = 0.3
 _BINS = 12
+_ROWS_AT_ONCE = 512
 #: The groups of characters whose shares are features.
 CHARACTER_GROUPS = ["0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "|", "!?", "#$%&*", "<>{}[]()/\\=_~^`@+", ".,;:'\"-", "\n"]
 _GROUP_OF = np.full(256, len(CHARACTER_GROUPS) + 1, np.uint8)  # the last group: bytes of no ASCII character
@@ -102,32 +103,33 @@ def fit(starts, index, x, y: np.ndarray, steps: int = STEPS, rate: float = 0.05,
     if not 0 < share < 1:
         fm.v[:] = 0
         return fm
-    row = np.repeat(np.arange(len(y)), np.diff(starts))
-    order = np.argsort(index, kind="stable")
-    row_t, x_t, index_t = row[order], x[order], index[order]
-    used, first = np.unique(index_t, return_index=True)
-    m, s = np.zeros((len(used), RANK + 1), np.float32), np.zeros((len(used), RANK + 1), np.float32)
+    parts = []
+    for a in range(0, len(y), _ROWS_AT_ONCE):  # the gradient of all rows, in parts of bounded memory
+        at = starts[a : a + _ROWS_AT_ONCE + 1]
+        i, v = index[at[0] : at[-1]], x[at[0] : at[-1]]
+        order = np.argsort(i, kind="stable").astype(np.int32)
+        used, first = np.unique(i[order], return_index=True)
+        parts.append((slice(a, a + len(at) - 1), at[:-1] - at[0], np.repeat(np.arange(len(at) - 1, dtype=np.int32), np.diff(at)), i, v, order, used, first))
+    m, s = np.zeros((DIMENSIONS, RANK + 1), np.float32), np.zeros((DIMENSIONS, RANK + 1), np.float32)
     m0 = s0 = 0.0
     for t in range(1, steps + 1):
-        vx = fm.v[index] * x[:, None]
-        sums = np.add.reduceat(vx, starts[:-1])
-        squares = np.add.reduceat(vx * vx, starts[:-1])
-        margin = fm.w0 + np.add.reduceat(fm.w[index] * x, starts[:-1]) + 0.5 * (sums**2 - squares).sum(1)
-        g = ((1 / (1 + np.exp(-np.clip(margin, -30, 30))) - y) / len(y)).astype(np.float32)
-        gx = g[row_t] * x_t
-        part = np.empty((len(x_t), RANK + 1), np.float32)
-        part[:, 0] = gx
-        part[:, 1:] = gx[:, None] * (sums[row_t] - fm.v[index_t] * x_t[:, None])
-        grad = np.add.reduceat(part, first)
-        grad[:, 0] += decay * fm.w[used]
-        grad[:, 1:] += decay * fm.v[used]
-        g0 = float(g.sum())
+        grad, g0 = np.empty((DIMENSIONS, RANK + 1), np.float32), 0.0
+        grad[:, 0], grad[:, 1:] = decay * fm.w, decay * fm.v
+        for rows, at, row, i, v, order, used, first in parts:
+            vx = fm.v[i] * v[:, None]
+            sums = np.add.reduceat(vx, at)
+            margin = fm.w0 + np.add.reduceat(fm.w[i] * v, at) + 0.5 * (sums**2 - np.add.reduceat(vx * vx, at)).sum(1)
+            g = ((1 / (1 + np.exp(-np.clip(margin, -30, 30))) - y[rows]) / len(y)).astype(np.float32)
+            gx = g[row] * v
+            each = np.concatenate([gx[:, None], gx[:, None] * (sums[row] - vx)], 1)
+            grad[used] += np.add.reduceat(each[order], first)
+            g0 += float(g.sum())
         m, s = 0.9 * m + 0.1 * grad, 0.99 * s + 0.01 * grad * grad
         m0, s0 = 0.9 * m0 + 0.1 * g0, 0.99 * s0 + 0.01 * g0 * g0
         a, b = 1 - 0.9**t, 1 - 0.99**t
         step = rate * (m / a) / (np.sqrt(s / b) + 1e-9)
-        fm.w[used] -= step[:, 0]
-        fm.v[used] -= step[:, 1:]
+        fm.w -= step[:, 0]
+        fm.v -= step[:, 1:]
         fm.w0 -= rate * (m0 / a) / (np.sqrt(s0 / b) + 1e-9)
     return fm
 
