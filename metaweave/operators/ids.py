@@ -14,18 +14,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from metaweave.operators.schema import c
-from metaweave.session import ensure_checkpoint_dir, materialize
+from metaweave.session import materialize
 
 _PID_SHIFT = 33  # monotonically_increasing_id puts the partition index above bit 33
 
 
-def _number(df: DataFrame, order_by: Sequence[str], name: str, partitions: int | None = None) -> DataFrame:
+def _placed(df: DataFrame, order_by: Sequence[str], group: str | None = None, partitions: int | None = None) -> DataFrame:
+    """Rows in range partitions of ``order_by``, written once, with ``__at``: the 1-based place (within ``group``).
+
+    The written partitions are contiguous, so a row's place is its position in the partition plus the
+    rows of the group before. Those counts, one row per partition and group, are read once (bounded by
+    ``partitions`` times the number of groups) and joined as a literal table.
+    """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # A final tie-break lets the range partitioner split runs of identical rows;
     # which of several identical rows gets which number does not change the result.
@@ -33,17 +38,16 @@ def _number(df: DataFrame, order_by: Sequence[str], name: str, partitions: int |
     sort_cols = [c(x).asc_nulls_first() for x in order_by] + [F.col("__tb")]
     ordered = keyed.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols).drop("__tb")
     tagged = materialize(ordered.withColumn("__mono", F.monotonically_increasing_id()))
-    pid = F.shiftright(F.col("__mono"), _PID_SHIFT)
-    counts = tagged.groupBy(pid.alias("__pid")).agg(F.count(F.lit(1)).alias("__cnt"))
-    offsets = counts.select(
-        "__pid",
-        F.coalesce(
-            F.sum("__cnt").over(Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-        ).alias("__off"),
-    )
-    numbered = tagged.join(F.broadcast(offsets), pid == F.col("__pid"))
-    local = F.col("__mono") - F.shiftleft(F.col("__pid"), _PID_SHIFT)
-    return numbered.withColumn(name, (F.col("__off") + local + F.lit(1)).cast("long")).drop("__mono", "__pid", "__off")
+    pid, kind = F.shiftright(F.col("__mono"), _PID_SHIFT), c(group) if group else F.lit(0)
+    parts = tagged.groupBy(pid.alias("p"), kind.alias("g")).agg(F.min("__mono").alias("first"), F.count(F.lit(1)).alias("n")).collect()
+    before: dict = {}
+    rows = []
+    for r in sorted(parts, key=lambda r: r["p"]):
+        rows.append((r["p"], r["g"], before.get(r["g"], 0) - r["first"] + 1))
+        before[r["g"]] = before.get(r["g"], 0) + r["n"]
+    base = spark.createDataFrame(rows, "__p long, __g int, __base long")
+    out = tagged.join(F.broadcast(base), (pid == F.col("__p")) & (kind == F.col("__g")))
+    return out.withColumn("__at", F.col("__mono") + F.col("__base")).drop("__mono", "__p", "__g", "__base")
 
 
 def with_row_index(df: DataFrame, order_by: Sequence[str], name: str = "row_index") -> DataFrame:
@@ -53,7 +57,7 @@ def with_row_index(df: DataFrame, order_by: Sequence[str], name: str = "row_inde
     numbering is total and repeatable.
     """
     order = list(order_by) + [x for x in df.columns if x not in order_by]
-    return _number(df, order, name).select(*[c(x) for x in df.columns], F.col(name))
+    return _placed(df, order).select(*[c(x) for x in df.columns], F.col("__at").alias(name))
 
 
 def dense_code(df: DataFrame, column: str, out: str, prefix: str | None = "NEW_") -> DataFrame:
@@ -69,68 +73,26 @@ def dense_code(df: DataFrame, column: str, out: str, prefix: str | None = "NEW_"
 
 
 def dense_codes(df: DataFrame, columns: Sequence[str], suffix: str = "_code", outs: Sequence[str] | None = None,
-                prefix: str | None = None, strategy: str = "auto") -> DataFrame:
-    """``dense_code`` for several columns with one numbering pass per data type.
-
-    The distinct ``(column, value)`` pairs of all columns of a type are written
-    once to the checkpoint folder, numbered together in ``(column, value)`` order
-    (values keep their type, so numbers sort numerically), and each column's codes
-    are shifted to start at 1.
-
-    Attaching the codes: ``strategy='wide'`` joins the code table once per column;
-    ``'long'`` tags each row once (a table in the checkpoint folder), unpivots the
-    coded columns, joins all codes in one join and pivots them back per row, so
-    the shuffles do not grow with the number of columns. ``'auto'`` picks ``long``
-    from four columns up.
+                prefix: str | None = None) -> DataFrame:
+    """``dense_code`` for several columns with one numbering pass.
+
+    The distinct ``(column, value)`` pairs of all columns are numbered together in ``(column, value)``
+    order and written once; values keep their type (one field per type), so numbers sort
+    numerically. The table of codes is joined once per column.
     """
     columns = list(columns)
     outs = list(outs) if outs is not None else [x + suffix for x in columns]
-    by_type: dict[str, list[int]] = {}
-    for i, col in enumerate(columns):
-        by_type.setdefault(df.schema[col].dataType.simpleString(), []).append(i)
-    ensure_checkpoint_dir(df.sparkSession)
-    if strategy not in ("auto", "wide", "long"):
-        raise ValueError(f"dense_codes: unknown strategy {strategy!r}")
-    code_tables = {}
-    for members in by_type.values():
-        pairs = None
-        for i in members:
-            part = df.select(F.lit(i).alias("__c"), c(columns[i]).alias("__v")).filter(F.col("__v").isNotNull())
-            pairs = part if pairs is None else pairs.unionByName(part)
-        distinct = materialize(pairs.distinct())
-        numbered = _number(distinct, ["__c", "__v"], "__idx")
-        starts = numbered.groupBy("__c").agg(F.min("__idx").alias("__start"))  # one row per column
-        code_tables[tuple(members)] = numbered.join(F.broadcast(starts), "__c").select(
-            "__c", "__v", (F.col("__idx") - F.col("__start") + F.lit(1)).alias("__code"))
-    if strategy == "long" or (strategy == "auto" and len(columns) >= 4):
-        return _attach_long(df, columns, outs, prefix, code_tables)
+    kinds = [df.schema[x].dataType.simpleString() for x in columns]
+    fields = {kind: f"__v{k}" for k, kind in enumerate(dict.fromkeys(kinds))}
+    pairs = None
+    for i, (x, kind) in enumerate(zip(columns, kinds)):
+        values = [(c(x) if k == kind else F.lit(None)).cast(k).alias(v) for k, v in fields.items()]
+        part = df.filter(c(x).isNotNull()).select(F.lit(i).alias("__c"), *values)
+        pairs = part if pairs is None else pairs.unionByName(part)
+    codes = _placed(pairs.distinct(), ["__c", *fields.values()], group="__c")
     out = df
-    for members, codes in code_tables.items():
-        for i in members:
-            name = outs[i]
-            code = F.concat(F.lit(prefix), F.col("__code").cast("string")) if prefix is not None else F.col("__code")
-            table = codes.filter(F.col("__c") == i).select(F.col("__v").alias(f"__v{i}"), code.alias(name))
-            out = out.join(table, c(columns[i]) == F.col(f"__v{i}"), "left").drop(f"__v{i}")
+    for i, (x, kind) in enumerate(zip(columns, kinds)):
+        code = F.concat(F.lit(prefix), F.col("__at").cast("string")) if prefix is not None else F.col("__at")
+        table = codes.filter(F.col("__c") == i).select(F.col(fields[kind]).alias(f"__k{i}"), code.alias(outs[i]))
+        out = out.join(table, c(x) == F.col(f"__k{i}"), "left").drop(f"__k{i}")
     return out.select(*[c(x) for x in df.columns], *[c(x) for x in outs])
-
-
-def _attach_long(df: DataFrame, columns: list[str], outs: list[str], prefix: str | None,
-                 code_tables: dict[tuple[int, ...], DataFrame]) -> DataFrame:
-    """Attach codes through one unpivot/join/pivot instead of one join per column."""
-    tagged = materialize(df.withColumn("__rid", F.monotonically_increasing_id()))
-    codes_out = None
-    for members, codes in code_tables.items():
-        long = None
-        for i in members:
-            part = tagged.select("__rid", F.lit(i).alias("__c"), c(columns[i]).alias("__v")).filter(
-                F.col("__v").isNotNull())
-            long = part if long is None else long.unionByName(part)
-        coded = long.join(codes, ["__c", "__v"]).select("__rid", "__c", "__code")
-        codes_out = coded if codes_out is None else codes_out.unionByName(coded)
-    wide = codes_out.groupBy("__rid").pivot("__c", list(range(len(columns)))).agg(F.min("__code"))
-    cols = []
-    for i, name in enumerate(outs):
-        code = F.col(f"`{i}`")
-        cols.append((F.concat(F.lit(prefix), code.cast("string")) if prefix is not None else code).alias(name))
-    wide = wide.select("__rid", *cols)
-    return tagged.join(wide, "__rid", "left").drop("__rid")

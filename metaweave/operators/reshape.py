@@ -43,58 +43,69 @@ def pivot_wider(
     fill: Any = None,
     on_duplicate: str = "error",
     names_sep: str = "_",
+    unlisted: str = "error",
+    max_names: int = 10_000,
 ) -> DataFrame:
-    """``pivot_wider``: one row per ``id_cols`` (default: every other column).
-
-    New columns follow the sorted order of ``values``; pass them to avoid an extra
-    job that finds them. With several ``values_from`` the names are
-    ``{value_column}{names_sep}{key}``. A cell that receives more than one value:
-    ``'error'`` raises (one extra aggregation job checks), ``'first'`` keeps the
-    smallest value (deterministic), ``'list'`` keeps a sorted array. Missing cells
-    are NULL or ``fill``.
+    """``pivot_wider``: one row per ``id_cols`` (default: every other column), in one aggregation.
+
+    New columns follow the sorted order of ``values``; without them one extra job finds the names (at
+    most ``max_names``, else an error; a schema cannot grow with the data). A NULL name becomes the last
+    column, ``NA``. With several ``values_from`` the names are ``{value_column}{names_sep}{key}``.
+
+    The action raises for a name that is not listed, unless ``unlisted='drop'``, and for a cell with
+    several rows under ``on_duplicate='error'``. ``'first'`` keeps one whole row of the cell, the one with the
+    smallest values (NULLs last); ``'list'`` keeps all as sorted arrays, NULLs first. ``fill`` goes to cells
+    without any row; a cell whose value is NULL stays NULL.
     """
+    if on_duplicate not in ("error", "first", "list") or unlisted not in ("error", "drop"):
+        raise ValueError(f"pivot_wider: unknown policy {on_duplicate!r} or {unlisted!r}")
     vcols = [values_from] if isinstance(values_from, str) else list(values_from)
     ids = list(id_cols) if id_cols is not None else [x for x in df.columns if x != names_from and x not in vcols]
     if values is None:
-        cap = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues", "10000"))
-        found = df.select(c(names_from)).distinct().filter(c(names_from).isNotNull()).limit(cap + 1).collect()
-        if len(found) > cap:
-            raise ValueError(f"pivot_wider: more than {cap} distinct values in {names_from!r}; pass `values`")
+        found = df.select(c(names_from)).distinct().limit(max_names + 1).collect()
+        if len(found) > max_names:
+            raise ValueError(f"pivot_wider: more than {max_names} distinct values in {names_from!r}; pass `values`")
         values = [r[0] for r in found]
-    # sorted order; a NULL key (if listed) becomes the last column, named "NA"
+    elif unlisted == "error":
+        listed = [v for v in values if v is not None]
+        known = F.coalesce(c(names_from).isin(listed), F.lit(False)) if listed else F.lit(False)
+        if any(v is None for v in values):
+            known = known | c(names_from).isNull()
+        message = F.concat(F.lit(f"pivot_wider: a name of {names_from} is not listed: "), F.coalesce(c(names_from).cast("string"), F.lit("NULL")))
+        df = df.withColumn(names_from, F.when(known, c(names_from)).otherwise(F.raise_error(message)))
     values = sorted(v for v in values if v is not None) + ([None] if any(v is None for v in values) else [])
-    if on_duplicate == "error":
-        dup = df.groupBy(*[c(x) for x in ids], c(names_from)).count().filter(F.col("count") > 1).limit(1).count()
-        if dup:
-            raise ValueError("pivot_wider: some cells have more than one value (use on_duplicate='first' or 'list')")
+    row = F.struct(*[c(v).alias(f"v{i}") for i, v in enumerate(vcols)])
     if on_duplicate == "list":
-        def agg(col: str) -> Column:
-            return F.array_sort(F.collect_list(c(col)))
-    else:
-        def agg(col: str) -> Column:
-            return F.min(c(col))
-
-    aggs = [agg(v).alias(v) for v in vcols]
-    wide = df.groupBy(*[c(x) for x in ids]).pivot(names_from, values).agg(*aggs)
-
-    def spark_name(v: Any) -> str:
-        return "null" if v is None else str(v)
-
-    def our_name(v: Any) -> str:
-        return "NA" if v is None else str(v)
-
-    if len(vcols) == 1:
-        new_names = {spark_name(v): our_name(v) for v in values}
-        out = wide.withColumnsRenamed({k: x for k, x in new_names.items() if k != x}) if None in values else wide
+        value = F.collect_list(row)
     else:
-        # Spark names them {key}_{value column}; rename to {value column}{sep}{key}.
-        new_names = {f"{spark_name(v)}_{vc}": f"{vc}{names_sep}{our_name(v)}" for vc in vcols for v in values}
-        out = wide.withColumnsRenamed(new_names)
-        ordered = ids + [f"{vc}{names_sep}{our_name(v)}" for vc in vcols for v in values]
-        out = out.select(*[c(x) for x in ordered])
-    if fill is not None:
-        out = out.na.fill(fill, subset=list(new_names.values()))
-    return out
+        value = F.min_by(row, F.struct(*[x for v in vcols for x in (c(v).isNull(), c(v))]))
+    wide = df.groupBy(*[c(x) for x in ids]).pivot(names_from, values).agg(F.count(F.lit(1)).alias("n"), value.alias("v"))
+    wide = wide.toDF(*[f"id{i}" for i in range(len(ids))], *[f"{x}{i}" for i in range(len(values)) for x in ("n", "v")])
+
+    def cell(k: int, i: int) -> Column:
+        n, v = F.col(f"n{k}"), F.col(f"v{k}")
+        if on_duplicate == "list":
+            out = F.when(n > 0, F.array_sort(F.transform(v, lambda x: x[f"v{i}"]), _nulls_first))
+        else:
+            out = v[f"v{i}"]
+        if on_duplicate == "error":
+            message = "pivot_wider: some cells have more than one row (use on_duplicate='first' or 'list')"
+            out = F.when(n > 1, F.raise_error(F.lit(message))).otherwise(out)
+        return out if fill is None else F.when(F.coalesce(n, F.lit(0)) > 0, out).otherwise(F.lit(fill))
+
+    def name(vcol: str, v: Any) -> str:
+        key = "NA" if v is None else str(v)
+        return key if len(vcols) == 1 else f"{vcol}{names_sep}{key}"
+
+    return wide.select(
+        *[F.col(f"id{i}").alias(x) for i, x in enumerate(ids)],
+        *[cell(k, i).alias(name(vcol, v)) for i, vcol in enumerate(vcols) for k, v in enumerate(values)],
+    )
+
+
+def _nulls_first(a: Column, b: Column) -> Column:
+    order = F.when(a.isNull() & b.isNull(), 0).when(a.isNull(), -1).when(b.isNull(), 1)
+    return order.when(a < b, -1).when(a > b, 1).otherwise(0)
 
 
 def unpivot_longer(df: DataFrame, id_cols: Sequence[str], value_cols: Sequence[str],

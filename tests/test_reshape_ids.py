@@ -22,8 +22,8 @@ def test_pivot_two_values_names_and_missing(pairs):
 
 
 def test_pivot_duplicate_policies(pairs):
-    with pytest.raises(ValueError):
-        pivot_wider(pairs, "idat", "file_name", values=["green", "red"], id_cols=["sample"])
+    with pytest.raises(Exception, match="more than one row"):
+        pivot_wider(pairs, "idat", "file_name", values=["green", "red"], id_cols=["sample"]).collect()
     first = pivot_wider(pairs, "idat", "file_name", values=["green", "red"], id_cols=["sample"], on_duplicate="first")
     assert ("s3", None, "f3a") in rows(first)
     lst = pivot_wider(pairs, "idat", "file_name", values=["green", "red"], id_cols=["sample"], on_duplicate="list")
@@ -99,14 +99,38 @@ def test_numbering_avoids_single_partition_window(spark):
     assert "BatchEvalPython" not in plan and "CartesianProduct" not in plan
 
 
-def test_dense_codes_long_equals_wide(spark):
+def test_pivot_keeps_real_rows_nulls_and_names(spark):
+    df = spark.createDataFrame(
+        [(1, "i", "b.idat", 2020), (1, "i", "a.idat", 2021), (2, "i", None, 2022), (2, "i", "c", None), (3, None, "d", 1)],
+        "s int, k string, f string, y int")
+    first = pivot_wider(df, "k", ["f", "y"], id_cols=["s"], on_duplicate="first")
+    assert first.columns == ["s", "f_i", "f_NA", "y_i", "y_NA"]
+    assert rows(first) == [(1, "a.idat", None, 2021, None), (2, "c", None, None, None), (3, None, "d", None, 1)]
+    lists = pivot_wider(df, "k", "f", values=["i", None], id_cols=["s"], on_duplicate="list")
+    assert {r.s: (r.i, r.NA) for r in lists.collect()} == {1: (["a.idat", "b.idat"], None), 2: ([None, "c"], None), 3: (None, ["d"])}
+
+
+def test_pivot_fills_absent_cells_only(spark):
+    df = spark.createDataFrame([(1, "a", None), (1, "b", 5), (2, "a", 3)], "d int, k string, v int")
+    assert rows(pivot_wider(df, "k", "v", values=["a", "b"], fill=0)) == [(1, None, 5), (2, 3, 0)]
+
+
+def test_pivot_raises_for_names_that_are_not_listed(spark):
+    df = spark.createDataFrame([(1, "a", 1), (3, "z", 9), (1, None, 6)], "d int, k string, v int")
+    for listed in (["a"], ["a", "z"]):
+        with pytest.raises(Exception, match="is not listed"):
+            pivot_wider(df, "k", "v", values=listed).collect()
+    assert rows(pivot_wider(df, "k", "v", values=["a"], unlisted="drop")) == [(1, 1), (3, None)]
+    with pytest.raises(ValueError, match="more than 1 distinct"):
+        pivot_wider(df, "k", "v", max_names=1)
+
+
+def test_dense_codes_of_mixed_types(spark):
     df = spark.createDataFrame(
         [("b", "y", 10, "p", 1.5), ("a", None, 9, "q", 1.5), ("a", "y", 100, None, 0.5), ("c", "x", None, "p", 2.5)],
         "s1 string, s2 string, n int, s3 string, d double")
     cols = ["s1", "s2", "n", "s3", "d"]
-    wide = dense_codes(df, cols, strategy="wide", prefix="K")
-    long = dense_codes(df, cols, strategy="long", prefix="K")
-    assert wide.columns == long.columns
-    assert rows(wide) == rows(long)
-    got = {(r.s1, r.n): (r.s1_code, r.n_code, r.s2_code) for r in long.collect()}
+    wide = dense_codes(df, cols, prefix="K")
+    assert wide.columns == cols + [f"{x}_code" for x in cols]
+    got = {(r.s1, r.n): (r.s1_code, r.n_code, r.s2_code) for r in wide.collect()}
     assert got[("a", 100)] == ("K1", "K3", "K2") and got[("c", None)] == ("K3", None, "K1")
