@@ -5,24 +5,27 @@ AQE decides broadcast at run time from measured sizes. No helper forces a
 broadcast of a side whose size grows with the data.
 
 Skew. A key that holds a large share of the rows (a NULL-safe NULL key is one)
-lands on one reducer. For inner, left, semi and anti joins AQE's skew-join
-handling splits such a partition on the left side. It cannot split full outer
-joins, so ``full`` joins run as ``left outer`` plus ``right anti left``, each of
-which it can split. Id sets are de-duplicated before semi/anti joins, so a hot
+lands on one reducer. AQE's skew-join handling splits such a partition on either
+side of an inner join, and on the left side of left outer, semi and anti joins (a
+hot key on the right side of a left outer join stays whole). It cannot split full
+outer joins, so ``full`` joins run as an inner join plus two anti joins against
+distinct keys. Id sets are de-duplicated before semi/anti joins, so a hot
 key on the id side collapses in the map-side partial aggregation.
 """
 
 from __future__ import annotations
 
-import math
 import re
+from collections import Counter
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from metaweave.operators.schema import c
+from metaweave.session import materialize
 
 _HOW = {"inner", "left", "right", "full", "left_semi", "left_anti"}
 
@@ -46,7 +49,7 @@ def shared_keys(*frames: DataFrame, pattern: str | None = "id") -> list[str]:
 def check_unique(df: DataFrame, keys: Sequence[str], what: str = "table") -> DataFrame:
     """Raise if ``keys`` repeat in ``df`` (guards a many-to-one join against fan-out).
 
-    One aggregation job (partial aggregation, stops at the first repeated key).
+    One whole aggregation job, with partial aggregation; only one repeated key comes to the driver.
     """
     dup = df.groupBy(*[c(k) for k in keys]).count().filter(F.col("count") > 1).limit(1).collect()
     if dup:
@@ -69,8 +72,9 @@ def join_na(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "
     ``null_equal`` makes NULL match NULL. Non-key columns present on both sides get
     ``suffix``. Output: left columns (keys in place), then right non-key columns.
     For ``full`` the key is ``coalesce(left, right)``; with ``skew_safe_full`` (default)
-    it runs as a left outer join plus an anti join of the right side, which AQE's
-    skew handling can split, instead of one full outer join, which it cannot.
+    both inputs are written once to the shared folder and it runs as an inner join plus the rows
+    of either side without a partner, which AQE's skew handling can split whichever
+    side a hot key is on, instead of one full outer join, which it cannot.
     """
     if how not in _HOW:
         raise ValueError(f"join_na: unknown how={how!r}")
@@ -127,21 +131,25 @@ def join_na(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "
         return out.select(*cols)
 
     if how == "full" and skew_safe_full:
-        # full = (left outer join) + (right rows without a partner). AQE can split a
-        # skewed partition of either part (it cannot split a full outer join), so a
-        # hot key -- including NULL under null_equal -- never lands whole in one task.
-        matched = joined(lsel, rsel, null_equal, "left")
-        conds = [(c(b).eqNullSafe(c(a)) if null_equal else c(b) == c(a)) for a, b in zip(lk, rtmp)]
-        lonely = rsel.join(lsel.select(*[c(k) for k in lk]), reduce(lambda a, b: a & b, conds), "left_anti")
-        cols = []
-        for x in left.columns:
-            name = lmap[x]
-            if x in keys:
-                cols.append(c(rtmp[keys.index(x)]).alias(name))
-            else:
-                cols.append(F.lit(None).cast(left.schema[x].dataType).alias(name))
-        cols += [c(rmap[x]) for x in r_other]
-        return matched.unionByName(lonely.select(*cols))
+        # full = matching pairs + left rows without a partner + right rows without one. AQE splits a
+        # skewed partition on either side of an inner join, and on the left of an anti join, whose
+        # right side here holds every key once. Each input is evaluated once.
+        lsel, rsel = materialize(lsel), materialize(rsel)
+
+        def lonely(df: DataFrame, own: list[str], other: DataFrame, theirs: list[str]) -> DataFrame:
+            ids = other.select(*[c(k).alias(f"__o{i}") for i, k in enumerate(theirs)]).distinct()
+            conds = [(c(k).eqNullSafe(c(f"__o{i}")) if null_equal else c(k) == c(f"__o{i}")) for i, k in enumerate(own)]
+            return df.join(ids, reduce(lambda x, y: x & y, conds), "left_anti")
+
+        left_only = lonely(lsel, lk, rsel, rtmp).select(
+            *[c(lmap[x]) for x in left.columns],
+            *[F.lit(None).cast(rsel.schema[rmap[x]].dataType).alias(rmap[x]) for x in r_other],
+        )
+        right_only = lonely(rsel, rtmp, lsel, lk).select(
+            *[(c(rtmp[keys.index(x)]) if x in keys else F.lit(None).cast(left.schema[x].dataType)).alias(lmap[x]) for x in left.columns],
+            *[c(rmap[x]) for x in r_other],
+        )
+        return joined(lsel, rsel, null_equal, "inner").unionByName(left_only).unionByName(right_only)
     return joined(lsel, rsel, safe=null_equal)
 
 
@@ -169,46 +177,46 @@ def full_join_na(left: DataFrame, right: DataFrame, by: Sequence[str] | None = N
     return join_na(left, right, keys, how="full", suffix=suffix)
 
 
-def join_all_na(tables: Mapping[str, DataFrame], by: Sequence[str], how: str = "full") -> DataFrame:
-    """N-way join of a catalogue on the same ``by`` keys.
+def join_all_na(tables: Mapping[str, DataFrame], by: Sequence[str] | None = None, how: str = "full",
+                pattern: str | None = "id") -> DataFrame:
+    """N-way join of a catalogue on the same ``by`` keys (or on the names that all tables share and that match ``pattern``).
 
-    Suffix policy: a non-key column that appears in more than one table is renamed
-    ``{column}_{table}`` in every table that has it, so no name depends on the fold order.
+    Suffix policy: a non-key column that appears in more than one table (names compared as the session
+    does) is renamed ``{column}_{table}`` in every table that has it, so no name depends on the fold order. Keys of
+    different types are brought to their common type, text if one of them is text.
 
-    ``how='full'`` does not fold pairwise full joins (each fold would reference the
-    accumulated plan twice, doubling it per table). It builds the set of all keys
-    once (union + distinct, partial-aggregated) and left-joins every table to it:
-    linear in the number of tables, the same rows as the fold (per-key products,
-    NULL keys matching NULL keys), and every join splittable by AQE. Other ``how``
-    values fold ``join_na`` left to right.
+    Folds ``join_na`` left to right; for ``how='full'`` each step writes its inputs once, so the
+    plan does not grow with the number of tables and a hot key of any table is split.
     """
     names = list(tables)
     if not names:
         raise ValueError("join_all_na: no tables")
-    by = list(by)
-    seen: dict[str, int] = {}
-    for df in tables.values():
+    by = list(by) if by is not None else shared_keys(*tables.values(), pattern=pattern)
+    if not by:
+        raise ValueError("join_all_na: the tables share no key")
+    norm = _name_norm(tables[names[0]])
+    keys = {norm(k): k for k in by}
+    seen = Counter(norm(x) for df in tables.values() for x in df.columns if norm(x) not in keys)
+    types = {}
+    for k in by:
+        own = [next(f.dataType for f in df.schema.fields if norm(f.name) == norm(k)) for df in tables.values()]
+        if any(t != own[0] for t in own):
+            if any(isinstance(t, StringType) for t in own):
+                types[norm(k)] = StringType()
+            else:
+                one_column = [df.select(c(k).alias("k")) for df in tables.values()]
+                types[norm(k)] = reduce(DataFrame.unionByName, one_column).schema["k"].dataType
+    shaped = []
+    for name, df in tables.items():
+        cols = []
         for x in df.columns:
-            if x not in by:
-                seen[x] = seen.get(x, 0) + 1
-    renamed = []
-    for name in names:
-        df = tables[name]
-        renamed.append(df.toDF(*[f"{x}_{name}" if seen.get(x, 0) > 1 else x for x in df.columns]))
-    if how != "full":
-        return reduce(lambda a, b: join_na(a, b, by, how=how), renamed)
-    first = renamed[0]
-    key_types = {k: first.schema[k].dataType for k in by}
-    universe = reduce(DataFrame.unionByName,
-                      [t.select(*[c(k).cast(key_types[k]).alias(k) for k in by]) for t in renamed]).distinct()
-    out = universe
-    for t in renamed:
-        out = join_na(out, t, by, how="left")
-    # column order as in a left-to-right fold: keys where the first table has them
-    order = []
-    for t in renamed:
-        order += [x for x in t.columns if x not in order]
-    return out.select(*[c(x) for x in order])
+            if norm(x) in keys:
+                col = c(x).cast(types[norm(x)]) if norm(x) in types else c(x)
+                cols.append(col.alias(keys[norm(x)]))
+            else:
+                cols.append(c(x).alias(f"{x}_{name}" if seen[norm(x)] > 1 else x))
+        shaped.append(df.select(*cols))
+    return reduce(lambda a, b: join_na(a, b, by, how=how), shaped)
 
 
 # ----------------------------------------------------------------------------- membership
@@ -254,65 +262,35 @@ def flag_membership(df: DataFrame, ids: DataFrame, on: str | Column, out: str, i
     return joined.withColumn(out, flag).drop("__mk", "__fk", "__hit")
 
 
-def _chunked_semi(values: DataFrame, pats: DataFrame, cond: Callable[[Column, Column], Column],
-                  max_broadcast: int) -> DataFrame:
-    """Values matching any pattern under ``cond``: broadcast nested-loop semi joins over
-    pattern chunks of at most ``max_broadcast`` rows (checked), unioned and de-duplicated."""
-    n = pats.count()
-    if n == 0:
-        return values.limit(0)
-    if n <= max_broadcast:
-        return values.join(F.broadcast(pats), cond(F.col("__x"), F.col("__p")), "left_semi")
-    chunks = max(2, math.ceil(2 * n / max_broadcast))
-    while True:
-        tagged = pats.withColumn("__chunk", F.pmod(F.xxhash64("__p"), F.lit(chunks)))
-        biggest = tagged.groupBy("__chunk").count().agg(F.max("count")).first()[0]
-        if biggest <= max_broadcast:
-            break
-        chunks *= 2
-    parts = [
-        values.join(F.broadcast(tagged.filter(F.col("__chunk") == i).select("__p")),
-                    cond(F.col("__x"), F.col("__p")), "left_semi")
-        for i in range(chunks)
-    ]
-    return reduce(DataFrame.unionByName, parts).distinct()
-
-
 def match_any(df: DataFrame, column: str, patterns: DataFrame, pattern_column: str | None = None,
-              mode: str = "regex", keep: bool = True, max_broadcast_patterns: int = 10_000,
-              max_prefix_lengths: int = 1_000) -> DataFrame:
+              mode: str = "regex", keep: bool = True, blocks: int = 32) -> DataFrame:
     """Keep (or drop) rows whose ``column`` matches any pattern of a pattern table.
 
-    ``mode='prefix'``: patterns are literal prefixes; matched by equi-joins on
-    ``substring(x, 1, L)`` for each distinct pattern length (no regex, no nested loop).
-    With more than ``max_prefix_lengths`` distinct lengths it falls back to the exact
-    chunked ``startswith`` semi join below.
-    ``mode='regex'``: Java regexes searched anywhere; the pattern table is broadcast
-    into a nested-loop semi join in chunks of at most ``max_broadcast_patterns``,
-    so the broadcast side is bounded whatever the number of patterns.
-
-    Matching runs on the distinct values of ``column`` and the result is semi/anti
-    joined back, so each row is kept at most once. NULL values never match and are
-    dropped in both modes (a NULL match result filters the row out). An empty
-    pattern table matches nothing.
+    ``mode='prefix'``: patterns are literal prefixes. Every value is cut at the lengths that occur among
+    the patterns (a join with the table of lengths) and the cuts are semi joined: equi-joins only.
+    ``mode='regex'``: Java regexes searched anywhere. Every value meets every pattern, which no index
+    avoids; the patterns are dealt into ``blocks`` by hash and the values go to each block, an equi-join
+    on the block that AQE may broadcast when it measures a small side.
+
+    One plan for any number of patterns, without a job at build time. Matching runs on the distinct values of
+    ``column`` and the result is semi/anti joined back, so each row is kept at most once. NULL
+    values never match and are dropped in both modes (a NULL match result filters the row out).
+    An empty pattern table matches nothing.
     """
     pattern_column = pattern_column or patterns.columns[0]
     pats = patterns.select(c(pattern_column).alias("__p")).filter(F.col("__p").isNotNull()).distinct()
     values = df.select(c(column).alias("__x")).filter(F.col("__x").isNotNull()).distinct()
 
     if mode == "prefix":
-        # Distinct pattern lengths: a bounded probe (at most max_prefix_lengths + 1 rows).
-        found = pats.select(F.length("__p").alias("n")).distinct().limit(max_prefix_lengths + 1).collect()
-        lengths = sorted(r[0] for r in found)
-        if not lengths:
-            matched = values.limit(0)
-        elif len(lengths) > max_prefix_lengths:
-            matched = _chunked_semi(values, pats, lambda x, p: x.startswith(p), max_broadcast_patterns)
-        else:
-            cands = values.select("__x", F.explode(F.array(*[F.substring("__x", 1, n) for n in lengths])).alias("__p"))
-            matched = cands.join(pats, "__p", "left_semi").select("__x").distinct()
+        lengths = pats.select(F.length("__p").alias("__n")).distinct()
+        cuts = values.select("__x", F.explode(F.sequence(F.lit(0), F.length("__x"))).alias("__n")).join(lengths, "__n", "left_semi")
+        cuts = cuts.select("__x", F.expr("substring(__x, 1, __n)").alias("__p"))
+        matched = cuts.join(pats, "__p", "left_semi").select("__x").distinct()
     elif mode == "regex":
-        matched = _chunked_semi(values, pats, lambda x, p: F.regexp_like(x, p), max_broadcast_patterns)
+        dealt = pats.select("__p", F.pmod(F.xxhash64("__p"), F.lit(blocks)).alias("__pb"))
+        each = values.select("__x", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("__xb"))
+        hit = (F.col("__xb") == F.col("__pb")) & F.regexp_like(F.col("__x"), F.col("__p"))
+        matched = each.join(dealt, hit, "left_semi").select("__x").distinct()
     else:
         raise ValueError(f"match_any: unknown mode {mode!r}")
 

@@ -143,19 +143,42 @@ def test_match_any(spark, mode):
     assert match_any(df, "name", empty, mode=mode).count() == 0
 
 
-def test_match_any_prefix_many_lengths_falls_back_exactly(spark):
-    df = spark.createDataFrame([(1, "abcdef"), (2, "abx"), (3, "zzz"), (4, "ab")], "id int, name string")
-    pats = spark.createDataFrame([("abc",), ("abx",), ("a",), ("q",)], "p string")
-    fast = match_any(df, "name", pats, mode="prefix")
-    slow = match_any(df, "name", pats, mode="prefix", max_prefix_lengths=1, max_broadcast_patterns=2)
-    assert rows(fast, "id") == rows(slow, "id") == [(1,), (2,), (4,)]
+def test_match_any_prefix_of_any_length(spark):
+    df = spark.createDataFrame([(1, "abcdef"), (2, "abx"), (3, "zzz"), (4, "ab"), (5, "")], "id int, name string")
+    pats = spark.createDataFrame([("abc",), ("abx",), ("a",), ("q",), ("abcdefg",)], "p string")
+    assert rows(match_any(df, "name", pats, mode="prefix"), "id") == [(1,), (2,), (4,)]
+    assert len(rows(match_any(df, "name", spark.createDataFrame([("",)], "p string"), mode="prefix"))) == 5
 
 
-def test_match_any_regex_chunks(spark):
+@pytest.mark.parametrize("blocks", [1, 7, 32])
+def test_match_any_regex_blocks(spark, blocks):
     df = spark.createDataFrame([(i, f"s{i:03d}x") for i in range(40)], "id int, name string")
     pats = spark.createDataFrame([(f"^s{i:03d}",) for i in range(0, 40, 2)], "p string")
-    out = match_any(df, "name", pats, mode="regex", max_broadcast_patterns=3)
-    assert rows(out, "id") == [(i,) for i in range(0, 40, 2)]
+    assert rows(match_any(df, "name", pats, mode="regex", blocks=blocks), "id") == [(i,) for i in range(0, 40, 2)]
+
+
+def test_match_any_with_more_patterns_than_any_former_limit(spark):
+    df = spark.range(30_000).select("id", F.format_string("n%06dz", "id").alias("name"))
+    pats = spark.range(0, 30_000, 2).select(F.format_string("n%06d", "id").alias("p"))
+    assert match_any(df, "name", pats, mode="prefix").agg(F.count(F.lit(1)), F.sum(F.col("id") % 2)).first()[:] == (15_000, 0)
+
+
+def test_join_all_names_by_case_mixed_key_types_and_found_keys(spark):
+    a = spark.createDataFrame([(1, "a")], "case_id int, V string")
+    b = spark.createDataFrame([(1, "b"), (2, "c")], "case_id long, v string")
+    d = spark.createDataFrame([("2", "d")], "case_id string, w string")
+    out = join_all_na({"a": a, "b": b, "d": d})
+    assert out.columns == ["case_id", "V_a", "v_b", "w"]
+    assert rows(out) == [("1", "a", "b", None), ("2", None, "c", "d")]
+
+
+def test_full_join_reads_each_input_once(spark, tmp_path):
+    spark.range(5).select(F.col("id").alias("k"), F.lit("l").alias("x")).write.parquet(f"{tmp_path}/l")
+    left = spark.read.parquet(f"{tmp_path}/l")
+    out = join_na(left, spark.range(3, 8).select(F.col("id").alias("k"), F.lit("r").alias("y")), ["k"], how="full")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert f"{tmp_path}/l" not in str(out.inputFiles()) and "FullOuter" not in plan
+    assert len(rows(out)) == 8
 
 
 def test_join_all_matches_pairwise_fold_with_dups_and_nulls(spark):
