@@ -52,17 +52,22 @@ def case_when(*branches: tuple[Column, Any], default: Any = None) -> Column:
     return expr if default is None else expr.otherwise(_lit(default))
 
 
+#: Default of :func:`recode`: unmatched values pass through.
+PASSTHROUGH = object()
+
+
 def recode(
     column: str | Column,
     mapping: Mapping[Any, Any] | Sequence[tuple[Any, Any]],
-    default: Any = "passthrough",
+    default: Any = PASSTHROUGH,
     duplicate_key: str = "error",
 ) -> Column:
     """Map values; unmatched values pass through (or take ``default``).
 
     A key mapped to ``None`` produces NULL, and NULL input stays NULL. ``mapping``
     may be a list of pairs; a repeated key raises unless ``duplicate_key`` is
-    ``'first'`` or ``'last'`` (which pair wins).
+    ``'first'`` or ``'last'`` (which pair wins). Where the new values are text, values that pass
+    through are cast to text, so a number may be recoded to words.
     """
     pairs = list(mapping.items()) if isinstance(mapping, Mapping) else list(mapping)
     seen: dict[Any, Any] = {}
@@ -82,10 +87,11 @@ def recode(
     expr = None
     for key in order:
         value = seen[key]
-        out = F.lit(None).cast(StringType()) if value is None else _lit(value)
+        out = F.lit(None) if value is None else _lit(value)
         expr = F.when(src == F.lit(key), out) if expr is None else expr.when(src == F.lit(key), out)
-    if isinstance(default, str) and default == "passthrough":
-        return expr.otherwise(src)
+    if default is PASSTHROUGH:
+        text = any(isinstance(seen[key], str) for key in order)
+        return expr.otherwise(src.cast(StringType()) if text else src)
     return expr.otherwise(_lit(default))
 
 

@@ -36,7 +36,7 @@ from metaweave.operators.joins import (
     restrict_to,
     shared_keys,
 )
-from metaweave.operators.quality import long_values, profile, reconcile, top_values
+from metaweave.operators.quality import long_values, histogram, profile, reconcile, top_values
 from metaweave.operators.reshape import keep_first, pivot_wider, unpivot_longer
 from metaweave.operators.schema import (
     add_constants,

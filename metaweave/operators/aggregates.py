@@ -45,7 +45,7 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
 def n_unique(df: DataFrame, column: str, name: str = "n_unique") -> DataFrame:
     """Number of distinct values counting NULL as one value (one-row frame)."""
     return df.agg(
-        (F.count_distinct(c(column)) + F.max(c(column).isNull().cast("long"))).cast("long").alias(name)
+        (F.count_distinct(c(column)) + F.coalesce(F.max(c(column).isNull().cast("long")), F.lit(0))).cast("long").alias(name)
     )
 
 

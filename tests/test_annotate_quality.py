@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from metaweave.operators import (
-    annotate_match, attach_registry, count_all_null_rows, drop_replicates, find_replicates, n_unique, profile,
+    annotate_match, attach_registry, count_all_null_rows, drop_replicates, find_replicates, histogram, n_unique, profile,
     reconcile, top_values,
 )
 from tests.conftest import rows
@@ -55,12 +55,38 @@ def test_profile_and_top_values(spark):
     assert prof[("x", "n_missing")] == 1 and prof[("s", "n_unique")] == 2
     assert prof[("x", "mean")] == 2.0 and prof[("x", "p0")] == 1.0 and prof[("x", "p100")] == 3.0
     assert prof[("x", "p50")] == 2.0 and abs(prof[("s", "complete_rate")] - 0.75) < 1e-12
-    approx = {(r.column, r.metric): r.value for r in profile(df, exact_unique=False).collect()}
-    assert approx[("s", "n_unique")] == 2 and approx[("x", "mean")] == 2.0
+    approx = {(r.column, r.metric): r.value for r in profile(df, exact=False).collect()}
+    assert approx[("s", "n_unique_approx")] == 2 and approx[("x", "mean")] == 2.0 and ("x", "p50") not in approx
     top = top_values(df, ["s"], k=1).collect()
     assert [(r.column, r.value, r.n, r.rank) for r in top] == [("s", "a", 2, 1)]
 
 
+def test_profile_of_an_empty_table(spark):
+    df = spark.createDataFrame([], "x double, s string")
+    prof = {(r.column, r.metric): r.value for r in profile(df).collect()}
+    assert prof[("x", "n_missing")] == prof[("s", "n_unique")] == 0
+    assert prof[("x", "complete_rate")] is None and prof[("x", "p50")] is None and prof[("x", "mean")] is None
+    assert n_unique(df, "s").first()[0] == 0
+
+
+def test_quantiles_are_exact_at_any_size(spark):
+    """More rows than any former sketch size; skewed and repeated values."""
+    df = spark.range(1_500_000).select(F.when(F.col("id") < 500_000, F.lit(7)).otherwise((F.col("id") * 7919) % 1_000_003).alias("x"))
+    prof = {r.metric: r.value for r in profile(df).collect()}
+    import numpy as np
+
+    i = np.arange(1_500_000)
+    x = np.sort(np.where(i < 500_000, 7, i * 7919 % 1_000_003))
+    assert [prof["p25"], prof["p50"], prof["p75"]] == [float(x[int(np.ceil(q * len(x))) - 1]) for q in (0.25, 0.5, 0.75)]
+
+
+def test_histogram(spark):
+    df = spark.createDataFrame([(0.0, 5.0), (1.0, 5.0), (7.9, None), (8.0, 5.0)], "x double, y double")
+    got = rows(histogram(df, ["x", "y"], bins=4))
+    assert got == [("x", 1, 2), ("x", 2, 0), ("x", 3, 0), ("x", 4, 2), ("y", 1, 3), ("y", 2, 0), ("y", 3, 0), ("y", 4, 0)]
+    assert rows(histogram(df.limit(0), ["x"])) == []
+
+
 def test_reconcile(spark):
     df = spark.createDataFrame([("TUM",), ("BEN",), ("TUM",)], "t string")
     out = reconcile(df, [("parts", F.count(F.lit(1)), F.count_if(F.col("t") == "TUM") + F.count_if(F.col("t") == "BEN")),

@@ -39,6 +39,15 @@ def test_recode_duplicate_keys(cond):
     assert (first.r, last.r) == ("first", "second")
 
 
+def test_recode_numbers_to_words_and_any_default_text(cond):
+    out = cond.select("id", recode("id", [(1, "one"), (2, None)]).alias("r"), recode("v", {"a": "AA"}, default="passthrough").alias("s"))
+    got = {r["id"]: (r["r"], r["s"]) for r in out.collect()}
+    assert got[1][0] == "one" and got[2][0] is None and got[3][0] == "3"
+    assert {s for _, s in got.values()} <= {"AA", "passthrough"}
+    kept = cond.select(recode("id", [(1, 10), (2, None)]).alias("r"))
+    assert kept.schema["r"].dataType.simpleString() in ("int", "bigint")
+
+
 def test_recode_default(cond):
     out = cond.select("id", recode("v", {"a": "AA"}, default="other").alias("r"))
     assert rows(out) == [(1, "AA"), (2, "other"), (3, "other"), (4, "other")]
