@@ -268,19 +268,20 @@ SELECT count(*) FILTER (WHERE o_orderpriority = {SENT} AND o_orderstatus = 'P')
     q["catalog_clean"] = _catalog_sql()
     q["shared_keys_full_join"] = f"""
 WITH l AS (
-  SELECT CASE WHEN o_orderpriority = {SENT} AND o_orderstatus = 'P' THEN NULL ELSE o_orderkey END AS order_id,
+  SELECT CASE WHEN o_orderpriority = {SENT} AND o_orderstatus = 'P' THEN NULL
+              WHEN o_orderpriority = '5-LOW' THEN -o_orderkey ELSE o_orderkey END AS order_id,
          o_custkey, o_orderstatus AS status
-  FROM orders WHERE o_orderdate < TIMESTAMP '1997-01-01 00:00:00'),
+  FROM orders),
 r AS (
   SELECT l_orderkey AS order_id, l_linenumber, l_partkey, l_suppkey, l_linestatus AS status
-  FROM lineitem WHERE l_shipdate >= TIMESTAMP '1996-01-01 00:00:00')
+  FROM lineitem)
 SELECT COALESCE(l.order_id, r.order_id) AS order_id, l.o_custkey, l.status AS status_orders,
        r.l_linenumber, r.l_partkey, r.l_suppkey, r.status AS status_lineitem
 FROM l FULL OUTER JOIN r ON l.order_id IS NOT DISTINCT FROM r.order_id"""
     q["join_all_fold"] = """
-WITH c AS (SELECT c_custkey AS cust_id, c_name FROM customer WHERE c_mktsegment = 'BUILDING'),
-o AS (SELECT o_custkey AS cust_id, count(*) AS n, max(o_totalprice) AS top FROM orders WHERE o_orderstatus = 'F'
-      GROUP BY o_custkey),
+WITH c AS (SELECT CASE WHEN c_mktsegment = 'MACHINERY' THEN -c_custkey ELSE c_custkey END AS cust_id, c_name FROM customer),
+o AS (SELECT CASE WHEN o_orderstatus = 'P' THEN -o_custkey ELSE o_custkey END AS cust_id, count(*) AS n,
+             max(o_totalprice) AS top FROM orders GROUP BY 1),
 e AS (SELECT user_id AS cust_id, count(*) AS n, max(value) AS top FROM events GROUP BY user_id),
 co AS (SELECT COALESCE(c.cust_id, o.cust_id) AS cust_id, c.c_name, o.n AS n_orders, o.top AS top_orders
        FROM c FULL OUTER JOIN o ON c.cust_id IS NOT DISTINCT FROM o.cust_id)
@@ -296,7 +297,7 @@ SELECT o.o_orderkey, o.o_custkey, o.o_orderstatus, c.c_name, c.c_mktsegment
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey"""
     q["join_renamed_key_left"] = """
 SELECT o.o_orderkey, o.o_custkey, o.o_orderstatus, c.c_name
-FROM orders o LEFT JOIN (SELECT * FROM customer WHERE c_mktsegment = 'BUILDING') c ON o.o_custkey = c.c_custkey"""
+FROM orders o LEFT JOIN (SELECT * FROM customer WHERE c_mktsegment = 'BUILDING') c ON o.o_custkey IS NOT DISTINCT FROM c.c_custkey"""
     q["semi_cohort"] = f"""
 WITH x AS ({LINEITEM_WITH_CASE})
 SELECT * FROM x WHERE EXISTS (SELECT 1 FROM ({COHORT}) c WHERE c.id IS NOT DISTINCT FROM x.cust_id)"""
@@ -370,11 +371,13 @@ SELECT o_custkey, BEN, MET, TUM, TUM + BEN + MET AS tot FROM ({STATUS_COUNTS}) O
 WITH f AS (
   SELECT conv_id, role, turn, text FROM (
     SELECT *, row_number() OVER (PARTITION BY conv_id, role ORDER BY turn, text) AS rn
-    FROM conversations WHERE role IN ('user', 'assistant')) WHERE rn = 1)
+    FROM conversations) WHERE rn = 1)
 SELECT conv_id,
        min(text) FILTER (WHERE role = 'assistant') AS text_assistant,
+       min(text) FILTER (WHERE role = 'system') AS text_system,
        min(text) FILTER (WHERE role = 'user') AS text_user,
        min(turn) FILTER (WHERE role = 'assistant') AS turn_assistant,
+       min(turn) FILTER (WHERE role = 'system') AS turn_system,
        min(turn) FILTER (WHERE role = 'user') AS turn_user
 FROM f GROUP BY conv_id"""
     q["pivot_attribute_wide"] = """
@@ -411,7 +414,7 @@ FROM documents d LEFT JOIN (
 ON d.doc_id IS NOT DISTINCT FROM r.doc_id"""
     q["dense_code"] = """
 SELECT c_custkey, c_name, 'NEW_' || CAST(dense_rank() OVER (ORDER BY c_name) AS VARCHAR) AS donor_code
-FROM customer WHERE c_mktsegment = 'BUILDING'"""
+FROM customer"""
     q["across_string_codes"] = """
 SELECT p_partkey,
        CAST(dense_rank() OVER (ORDER BY p_name) AS BIGINT) AS p_name_code,
@@ -446,14 +449,14 @@ SELECT page_id, path, regexp_replace(path, '\\.html$', '.cached.html') AS html_p
     scaffold["Local_Sample_ID"] = "CAST(o_orderkey AS VARCHAR) AS Local_Sample_ID"
     q["scaffold_template"] = (
         "SELECT " + ", ".join(scaffold[n] for n in WGS_TEMPLATE_NAMES)
-        + " FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'"
+        + " FROM orders"
     )
     q["prefix_lower_relocate"] = """
 SELECT c_custkey AS cust_c_custkey, c_acctbal AS cust_c_acctbal, c_name AS cust_c_name FROM customer"""
     q["annotate_match"] = """
 WITH rna AS (
   SELECT l.l_orderkey, o.o_custkey AS rna_custkey FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
-  WHERE l.l_returnflag = 'R' AND l.l_linestatus = 'O')
+  WHERE l.l_returnflag = 'R')
 SELECT o_orderkey, o_custkey,
        CASE WHEN o_orderkey IN (SELECT l_orderkey FROM rna) THEN 'MATCHED'
             WHEN o_custkey IN (SELECT rna_custkey FROM rna) THEN 'DISTANT' END AS rna_annot

@@ -156,15 +156,15 @@ def catalog_clean(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def shared_keys_full_join(spark: SparkSession, d: str) -> DataFrame:
-    o = table(spark, d, "orders").filter(F.expr("o_orderdate < TIMESTAMP_NTZ '1997-01-01 00:00:00'"))
-    left = o.select(
+    # NULL keys, and keys that only the left side has, so that both sides have rows without a partner
+    left = table(spark, d, "orders").select(
         F.when((F.col("o_orderpriority") == SENTINEL) & (F.col("o_orderstatus") == "P"), F.lit(None).cast("long"))
+        .when(F.col("o_orderpriority") == "5-LOW", -F.col("o_orderkey"))
         .otherwise(F.col("o_orderkey")).alias("order_id"),
         "o_custkey",
         F.col("o_orderstatus").alias("status"),
     )
-    li = table(spark, d, "lineitem").filter(F.expr("l_shipdate >= TIMESTAMP_NTZ '1996-01-01 00:00:00'"))
-    right = li.select(F.col("l_orderkey").alias("order_id"), "l_linenumber", "l_partkey", "l_suppkey",
+    right = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("order_id"), "l_linenumber", "l_partkey", "l_suppkey",
                       F.col("l_linestatus").alias("status"))
     keys = shared_keys(left, right, pattern="id")
     return full_join_na(left, right, by=keys, suffix=("_orders", "_lineitem"))
@@ -172,10 +172,9 @@ def shared_keys_full_join(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def join_all_fold(spark: SparkSession, d: str) -> DataFrame:
-    cu = table(spark, d, "customer").filter(F.col("c_mktsegment") == COHORT_SEGMENT).select(
-        F.col("c_custkey").alias("cust_id"), "c_name")
-    o = table(spark, d, "orders").filter(F.col("o_orderstatus") == "F").groupBy(
-        F.col("o_custkey").alias("cust_id")).agg(F.count(F.lit(1)).alias("n"), F.max("o_totalprice").alias("top"))
+    shifted = lambda key, cond: F.when(cond, -F.col(key)).otherwise(F.col(key)).alias("cust_id")
+    cu = table(spark, d, "customer").select(shifted("c_custkey", F.col("c_mktsegment") == "MACHINERY"), "c_name")
+    o = table(spark, d, "orders").groupBy(shifted("o_custkey", F.col("o_orderstatus") == "P")).agg(F.count(F.lit(1)).alias("n"), F.max("o_totalprice").alias("top"))
     ev = table(spark, d, "events").groupBy(F.col("user_id").alias("cust_id")).agg(
         F.count(F.lit(1)).alias("n"), F.max("value").alias("top"))
     return join_all_na({"customer": cu, "orders": o, "events": ev}, by=["cust_id"])
@@ -205,7 +204,8 @@ def join_renamed_key(spark: SparkSession, d: str) -> DataFrame:
 @query
 def join_renamed_key_left(spark: SparkSession, d: str) -> DataFrame:
     o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
-    cu = table(spark, d, "customer").filter(F.col("c_mktsegment") == COHORT_SEGMENT).select("c_custkey", "c_name")
+    known = F.when(F.col("c_mktsegment") == COHORT_SEGMENT, F.col("c_custkey")).alias("c_custkey")
+    cu = table(spark, d, "customer").select(known, "c_name")  # customers of other segments have no key here
     return join_on(o, cu, {"o_custkey": "c_custkey"}, how="left")
 
 
@@ -362,8 +362,7 @@ def profile_columns(spark: SparkSession, d: str) -> DataFrame:
         F.when(F.col("o_orderpriority") == SENTINEL, F.lit(None).cast(StringType()))
         .otherwise(F.col("o_orderstatus")).alias("o_orderstatus"),
     )
-    # a sketch accuracy above the row count makes the four quantiles exact here
-    prof = profile(o, accuracy=1_000_000)
+    prof = profile(o)
     return prof.withColumn("value", F.round("value", 4))
 
 
@@ -392,9 +391,9 @@ def pivot_rowsum(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def pivot_two_values(spark: SparkSession, d: str) -> DataFrame:
-    conv = table(spark, d, "conversations").filter(F.col("role").isin("user", "assistant"))
+    conv = table(spark, d, "conversations")
     first = keep_first(conv.select("conv_id", "role", "turn", "text"), ["conv_id", "role"], ["turn"])
-    return pivot_wider(first, "role", ["text", "turn"], values=["assistant", "user"], id_cols=["conv_id"])
+    return pivot_wider(first, "role", ["text", "turn"], values=["assistant", "system", "user"], id_cols=["conv_id"])
 
 
 @query
@@ -449,7 +448,7 @@ def coalesce_registry(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def dense_code_q(spark: SparkSession, d: str) -> DataFrame:
-    cu = table(spark, d, "customer").filter(F.col("c_mktsegment") == COHORT_SEGMENT).select("c_custkey", "c_name")
+    cu = table(spark, d, "customer").select("c_custkey", "c_name")
     return dense_code(cu, "c_name", "donor_code", prefix="NEW_")
 
 
@@ -463,10 +462,10 @@ def across_string_codes(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def across_columns_long(spark: SparkSession, d: str) -> DataFrame:
-    """Dense codes for five columns of mixed types, attached in one unpivot/join/pivot."""
+    """Dense codes for five columns of mixed types, numbered together."""
     part = table(spark, d, "part")
     cols = ["p_name", "p_brand", "p_type", "p_size", "p_retailprice"]
-    coded = dense_codes(part.select("p_partkey", *cols), cols, strategy="long")
+    coded = dense_codes(part.select("p_partkey", *cols), cols)
     return coded.select("p_partkey", *[f"{x}_code" for x in cols])
 
 
@@ -523,8 +522,7 @@ WGS_TEMPLATE = [
 
 @query
 def scaffold_template(spark: SparkSession, d: str) -> DataFrame:
-    o = table(spark, d, "orders").filter((F.col("o_orderstatus") == "F") & (F.col("o_orderpriority") == "1-URGENT"))
-    ids = o.select(F.col("o_orderkey").cast("string").alias("id"))
+    ids = table(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("id"))
     return null_scaffold(ids, WGS_TEMPLATE, id_column="Local_Sample_ID", fill={"Country": "USA"})
 
 
@@ -540,7 +538,7 @@ def prefix_lower_relocate(spark: SparkSession, d: str) -> DataFrame:
 @query
 def annotate_match_q(spark: SparkSession, d: str) -> DataFrame:
     o = table(spark, d, "orders").select("o_orderkey", "o_custkey")
-    rna = table(spark, d, "lineitem").filter((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "O"))
+    rna = table(spark, d, "lineitem").filter(F.col("l_returnflag") == "R")
     rna = join_on(rna.select("l_orderkey"), o.withColumnRenamed("o_custkey", "rna_custkey"),
                   {"l_orderkey": "o_orderkey"})
     return annotate_match(o, rna, "rna_annot", exact=("o_orderkey", "l_orderkey"), coarse=("o_custkey", "rna_custkey"))

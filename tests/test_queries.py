@@ -2,7 +2,8 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from metaweave.plans import oracle_sql, queries
 from tests.conftest import SF001, SF01
 from tools.check_oracle import TABLES, compare, type_diffs
 
