@@ -166,35 +166,36 @@ def fit_field(lines: list[list[str]], tags: list[np.ndarray], steps: int = STEPS
         return model
     lengths = np.array([len(x) for x in lines])
     y = np.concatenate(tags).astype(float)
-    ends = np.cumsum(lengths) - 1
-    inner = np.ones(len(y), bool)
-    inner[ends] = False
-    features = [own_features(s) for x in lines for s in x]
-    flat = [s for x in lines for s in x]
-    for i in np.flatnonzero(inner):
-        features[i + 1] += near_features("l", flat[i])
-        features[i] += near_features("r", flat[i + 1])
-    row = np.repeat(np.arange(len(y)), [len(f) for f in features])
-    index = np.concatenate([np.array(f) for f in features])
-    starts = np.concatenate([[0], np.cumsum([len(f) for f in features])])[:-1]
-    order = np.argsort(index, kind="stable")
-    used, first = np.unique(index[order], return_index=True)
+    inner = np.ones(len(y), bool)  # tokens with a right neighbour in their line
+    inner[np.cumsum(lengths) - 1] = False
+    pair = np.flatnonzero(inner)
+    number: dict[str, int] = {}
+    word = np.array([number.setdefault(s, len(number)) for x in lines for s in x])
+    n, k = len(y), len(number)
+    own = [own_features(s) for s in number]
+    own_n = np.array([len(f) for f in own])
+    own_at, own = np.cumsum(own_n) - own_n, np.array([i for f in own for i in f])
+    left, right = (np.array([near_features(side, s) for s in number]) for side in "lr")
     seen = np.zeros((2, 2))
-    np.add.at(seen, (y[:-1][inner[:-1]].astype(int), y[1:][inner[:-1]].astype(int)), 1)
-    m, s = np.zeros(len(used)), np.zeros(len(used))
+    np.add.at(seen, (y[pair].astype(int), y[pair + 1].astype(int)), 1)
+    m, s = np.zeros(BUCKETS), np.zeros(BUCKETS)
     mt, st = np.zeros((2, 2)), np.zeros((2, 2))
-    n = len(y)
     model.w[_number("bias", "")] = np.log(y.mean() + 1e-6) - 2
     for t in range(1, steps + 1):
-        e = np.add.reduceat(model.w[index], starts)
+        e = np.add.reduceat(model.w[own], own_at)[word]
+        e[pair + 1] += model.w[left].sum(1)[word[pair]]
+        e[pair] += model.w[right].sum(1)[word[pair + 1]]
         p, pairs = forward_backward(e, lengths, model.trans, with_pairs=True)
-        g = (p - y) / n
-        grad = np.add.reduceat(g[row[order]], first) + decay * model.w[used]
-        gt = (pairs[inner].sum(0) - seen) / n + decay * model.trans
+        g = (p - y) / n  # per token; summed per word, then per feature
+        grad = np.bincount(own, np.repeat(np.bincount(word, g, k), own_n), BUCKETS)
+        grad += np.bincount(left.ravel(), np.repeat(np.bincount(word[pair], g[pair + 1], k), 2), BUCKETS)
+        grad += np.bincount(right.ravel(), np.repeat(np.bincount(word[pair + 1], g[pair], k), 2), BUCKETS)
+        grad += decay * model.w
+        gt = (pairs[pair].sum(0) - seen) / n + decay * model.trans
         m, s = 0.9 * m + 0.1 * grad, 0.99 * s + 0.01 * grad**2
         mt, st = 0.9 * mt + 0.1 * gt, 0.99 * st + 0.01 * gt**2
         a, b = 1 - 0.9**t, 1 - 0.99**t
-        model.w[used] -= rate * (m / a) / (np.sqrt(s / b) + 1e-8)
+        model.w -= rate * (m / a) / (np.sqrt(s / b) + 1e-8)
         model.trans -= 0.25 * rate * (mt / a) / (np.sqrt(st / b) + 1e-8)
     return model
 
