@@ -537,4 +537,45 @@ extra AS (SELECT case_submitter_id, count(*) AS n FROM s WHERE priority = '1-URG
 SELECT * FROM extra WHERE NOT EXISTS (
   SELECT 1 FROM s m WHERE m.priority = '2-HIGH' AND m.sample_type = 'Metastatic'
   AND regexp_replace(m.sample_submitter_id, '(?:-[0-9]+)$', '') IS NOT DISTINCT FROM extra.case_submitter_id)"""
+    q["tsv_round_trip"] = f"""
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus, NULLIF(o_orderpriority, {SENT}) AS o_orderpriority FROM orders"""
+    q["csv_round_trip"] = q["tsv_round_trip"]
+    q["csv_index_round_trip"] = """
+SELECT CAST(row_number() OVER (ORDER BY c_name, c_mktsegment) AS VARCHAR) AS row_index, c_name, c_mktsegment FROM customer"""
+    q["tables_round_trip"] = """
+SELECT n_nationkey, n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey"""
+    q["catalog_round_trip"] = "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS name, (SELECT count(*) FROM {t}) AS n_rows, CAST(count(*) AS INT) AS n_columns FROM (DESCRIBE SELECT * FROM {t})"
+        for t in ("nation", "region", "supplier")
+    )
+    q["commented_tsv"] = "SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name FROM nation"
+    q["json_array_round_trip"] = "SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, n_name FROM nation"
+    q["literal_id_set"] = f"""
+SELECT o_orderkey, o_orderstatus, NULLIF(o_orderpriority, {SENT}) AS o_orderpriority FROM orders
+WHERE o_orderpriority IN ('1-URGENT', '5-LOW', {SENT})"""
+    q["concat_with_na"] = f"""
+SELECT o_orderkey, o_orderstatus || '/' || CASE WHEN o_orderpriority = {SENT} THEN 'NA' ELSE o_orderpriority END AS label FROM orders"""
+    q["conform_template"] = f"""
+SELECT NULLIF(o_orderpriority, {SENT}) AS o_orderpriority, CAST(NULL AS VARCHAR) AS "Country",
+       CAST(o_orderkey AS VARCHAR) AS o_orderkey, TRY_CAST(o_orderstatus AS INT) AS o_orderstatus FROM orders"""
+    q["catalog_names"] = "\nUNION ALL\n".join(
+        f"""SELECT '{t}' AS "table", CAST(row_number() OVER () AS INT) AS position, column_name AS "column"
+FROM (DESCRIBE SELECT * FROM {t})"""
+        for t in ("nation", "customer")
+    )
+    q["sorted_positions"] = "SELECT o_orderkey, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS place FROM orders"
+    parts = []
+    for x in ("l_quantity", "l_linenumber"):
+        parts.append(f"""
+SELECT '{x}' AS "column", CAST(b AS INT) AS bin,
+       (SELECT count(*) FROM lineitem WHERE least(CASE WHEN hi > lo THEN floor(({x} - lo) * 8 / (hi - lo)) ELSE 0 END, 7) + 1 = b) AS n
+FROM (SELECT min(CAST({x} AS DOUBLE)) AS lo, max(CAST({x} AS DOUBLE)) AS hi FROM lineitem), unnest(range(1, 9)) AS t(b)""")
+    q["profile_histogram"] = "\nUNION ALL\n".join(parts)
+    q["join_all_found_keys"] = """
+WITH o AS (SELECT CAST(o_custkey AS VARCHAR) AS k, count(*) AS n FROM orders GROUP BY 1),
+e AS (SELECT CAST(user_id AS VARCHAR) AS k, count(*) AS n FROM events GROUP BY 1),
+c AS (SELECT CAST(c_custkey AS VARCHAR) AS k, c_name FROM customer),
+u AS (SELECT k FROM o UNION SELECT k FROM e UNION SELECT k FROM c)
+SELECT u.k AS cust_id, c_name, o.n AS n_orders, e.n AS n_events
+FROM u LEFT JOIN c ON u.k = c.k LEFT JOIN o ON u.k = o.k LEFT JOIN e ON u.k = e.k"""
     return q

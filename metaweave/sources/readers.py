@@ -8,9 +8,8 @@ because the files have different schemas.
 
 from __future__ import annotations
 
-import os
 import re
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,7 +25,7 @@ def _delimited(spark: SparkSession, path: str, sep: str, schema: StructType | st
         spark.read.option("header", str(header).lower())
         .option("sep", sep)
         .option("nullValue", NA_TEXT)
-        .option("emptyValue", None)
+        .option("emptyValue", NA_TEXT)  # a quoted blank cell is NULL too, and a blank name is _c0
         .option("mode", "PERMISSIVE")
         .option("multiLine", "false")
     )
@@ -57,14 +56,19 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = N
     return sanitize_names(df) if sanitize else df
 
 
-def read_commented_tsv(spark: SparkSession, path: str, comment: str = "#",
-                       schema: StructType | str | None = None) -> DataFrame:
-    """TSV whose leading lines start with a comment character.
+def read_commented_tsv(spark: SparkSession, path: str, comment: str = "#") -> DataFrame:
+    """TSV with a header, without what follows a comment character, in the header too; blank lines are left out.
 
-    Spark skips lines that *start* with the character; text after a comment
-    character in the middle of a line is kept (documented difference).
+    One small job reads the header; repeated headers (one per part file) are dropped. Columns are strings.
     """
-    return _delimited(spark, path, "\t", schema, comment)
+    cut = F.regexp_replace("value", re.escape(comment) + ".*$", "")
+    lines = spark.read.text(path).select(F.regexp_replace(cut, "[ ]+$", "").alias("line")).filter(F.trim("line") != "")
+    first = lines.first()
+    names = first["line"].split("\t") if first else []
+    fields = F.split("line", "\t")
+    cells = [F.get(fields, F.lit(i)) for i in range(len(names))]
+    cols = [F.when((x != NA_TEXT) & (F.trim(x) != ""), F.trim(x)).alias(n.strip()) for x, n in zip(cells, names)]
+    return lines.filter(F.col("line") != first["line"]).select(*cols) if first else lines.select()
 
 
 def read_json_array(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
@@ -92,19 +96,22 @@ def read_checkpoint(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def list_table_files(folder: str, suffix: str = ".tsv") -> dict[str, str]:
-    """``{file stem: path}`` for the files of a folder (stem = name with the first ``suffix`` removed)."""
-    out: dict[str, str] = {}
-    for name in sorted(os.listdir(folder)):
-        full = os.path.join(folder, name)
-        if os.path.isfile(full) and suffix in name:
-            out[name.replace(suffix, "", 1)] = full
-    return out
+def list_table_files(spark: SparkSession, folder: str, suffix: str = ".tsv") -> dict[str, str]:
+    """``{stem: path}`` for the files, or folders of part files, of a folder (stem = name without the first ``suffix``).
+
+    Spark lists the folder, so any file system that it reads will do; only names come to the driver.
+    """
+    root = folder.rstrip("/")
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path")
+    below = F.substring_index(F.col("path"), root.rsplit("/", 1)[-1] + "/", -1)
+    names = sorted(r[0] for r in found.select(F.split_part(below, F.lit("/"), F.lit(1))).distinct().collect())
+    return {name.replace(suffix, "", 1): f"{root}/{name}" for name in names if suffix in name}
 
 
-def read_catalog(spark: SparkSession, folder: str, suffix: str = ".tsv", sep: str = "\t") -> dict[str, DataFrame]:
-    """Load a folder of delimited files as ``{stem: DataFrame}``, one reader per file."""
-    return {stem: _delimited(spark, path, sep, None, None) for stem, path in list_table_files(folder, suffix).items()}
+def read_catalog(spark: SparkSession, source: str | Mapping[str, str], suffix: str = ".tsv", sep: str = "\t") -> dict[str, DataFrame]:
+    """Load a folder (or ``{name: path}``) of delimited files as ``{stem: DataFrame}``, one reader per file."""
+    paths = source if isinstance(source, Mapping) else list_table_files(spark, source, suffix)
+    return {stem: _delimited(spark, path, sep, None, None) for stem, path in paths.items()}
 
 
 def id_table(spark: SparkSession, ids: Iterable[Any], name: str = "id", data_type: str = "string") -> DataFrame:

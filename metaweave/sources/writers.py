@@ -22,7 +22,10 @@ def _typed(df: DataFrame) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, quote_all: bool = True, single_file: bool = False) -> None:
-    """Quoted CSV with a header and ``NA`` for NULL."""
+    """Quoted CSV with a header and ``NA`` for NULL.
+
+    ``single_file`` writes through one task, for tables that one machine can hold.
+    """
     out = _typed(df)
     if single_file:
         out = out.coalesce(1)
@@ -37,13 +40,11 @@ def write_csv(df: DataFrame, path: str, quote_all: bool = True, single_file: boo
 
 
 def write_csv_indexed(df: DataFrame, path: str, order_by: Sequence[str], index_name: str = "") -> None:
-    """CSV with a leading 1..N row-number column (header ``index_name``)."""
+    """CSV with a leading 1..N row-number column (header ``index_name``, blank by default)."""
     from metaweave.operators.ids import with_row_index
 
     indexed = with_row_index(df, order_by, name="__row_index")
-    cols = ["__row_index"] + [c for c in df.columns]
-    out = indexed.select(*[F.col(f"`{c}`") for c in cols]).withColumnRenamed("__row_index", index_name or "_c0")
-    write_csv(out.orderBy(F.col(f"`{index_name or '_c0'}`")), path)
+    write_csv(indexed.select("__row_index", *[F.col(f"`{c}`") for c in df.columns]).toDF(index_name, *df.columns), path)
 
 
 def write_tsv(df: DataFrame, path: str, single_file: bool = False) -> None:
