@@ -108,7 +108,7 @@ donor_reg AS (
 wgs_reg AS (
   SELECT sample_submitter_id AS WGS_Local_Sample_ID, min('WGS_' || CAST(sample_key AS VARCHAR)) AS wgs_sample_code
   FROM s WHERE priority = '1-URGENT' GROUP BY sample_submitter_id),
-meth AS (SELECT DISTINCT substr(sample_submitter_id, 1, 18) AS k FROM s WHERE priority = '2-HIGH'),
+meth AS (SELECT DISTINCT left(sample_submitter_id, length(sample_submitter_id) - 1) AS k FROM s WHERE priority = '2-HIGH'),
 new_reg AS (
   SELECT new_donor_id, min(source_donor_id) AS source_donor_id FROM (
     SELECT 'DONORN_' || CAST(c_custkey AS VARCHAR) AS new_donor_id, c_name AS source_donor_id
@@ -122,7 +122,8 @@ t AS (
               WHEN 'Metastatic' THEN 'MET' ELSE core.sample_type END AS RNA_Sample_Type,
          CAST(NULL AS VARCHAR) AS MetastaticSite,
          CASE WHEN w.wgs_sample_code IS NOT NULL THEN 'MATCH' END AS RNA_Distance_To_WGS_Sample,
-         CASE WHEN EXISTS (SELECT 1 FROM meth m WHERE m.k IS NOT DISTINCT FROM substr(core.sample_submitter_id, 1, 18))
+         CASE WHEN EXISTS (SELECT 1 FROM meth m
+                           WHERE m.k = left(core.sample_submitter_id, length(core.sample_submitter_id) - 1))
               THEN 'MATCH' END AS Meth_RNAseq_annot
   FROM core
   LEFT JOIN donor_reg d ON core.case_submitter_id IS NOT DISTINCT FROM d.case_submitter_id
@@ -537,6 +538,17 @@ extra AS (SELECT case_submitter_id, count(*) AS n FROM s WHERE priority = '1-URG
 SELECT * FROM extra WHERE NOT EXISTS (
   SELECT 1 FROM s m WHERE m.priority = '2-HIGH' AND m.sample_type = 'Metastatic'
   AND regexp_replace(m.sample_submitter_id, '(?:-[0-9]+)$', '') IS NOT DISTINCT FROM extra.case_submitter_id)"""
+    q["replicate_rule"] = f"""
+WITH s AS ({SAMPLES}), k AS (
+  SELECT left(sample_submitter_id, length(sample_submitter_id) - 1) AS sample_id FROM s GROUP BY 1 HAVING count(*) > 1)
+SELECT case_submitter_id, sample_submitter_id, sample_type FROM s
+WHERE NOT (right(sample_submitter_id, 1) BETWEEN '5' AND '9'
+           AND EXISTS (SELECT 1 FROM k WHERE starts_with(s.sample_submitter_id, k.sample_id)))"""
+    q["derived_key_exclusion"] = f"""
+WITH s AS (SELECT *, left(sample_submitter_id, length(sample_submitter_id) - 1) AS vial_free FROM ({SAMPLES}))
+SELECT sample_submitter_id, sample_type,
+       CASE WHEN vial_free IN (SELECT vial_free FROM s WHERE priority = '1-URGENT') THEN 'MATCH' END AS matching
+FROM s WHERE vial_free NOT IN (SELECT vial_free FROM s WHERE priority = '5-LOW')"""
     q["tsv_round_trip"] = f"""
 SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus, NULLIF(o_orderpriority, {SENT}) AS o_orderpriority FROM orders"""
     q["csv_round_trip"] = q["tsv_round_trip"]

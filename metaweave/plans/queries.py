@@ -653,7 +653,8 @@ def rna_table(spark: SparkSession, d: str) -> DataFrame:
     tab = tab.withColumnRenamed("wgs_sample_code", "Matching_WGS_Sample")
     has_wgs = F.col("Matching_WGS_Sample").isNotNull()
     meth = samples(spark, d).filter(F.col("priority") == "2-HIGH").select("sample_submitter_id")
-    tab = flag_membership(tab, meth, "sample_submitter_id", "__meth", derive=lambda x: str_sub(x, 1, 18))
+    # the sample without its last character (the vial), on both sides
+    tab = flag_membership(tab, meth, "sample_submitter_id", "__meth", derive=drop_last)
     tab = tab.select(
         F.lit("USA").alias("center"),
         "PPCG_Donor_ID",
@@ -855,6 +856,26 @@ def donor_extra_sample(spark: SparkSession, d: str) -> DataFrame:
                        derive_ids=lambda x: drop_suffix_regex(x, "-[0-9]+"))
 
 
+@query
+def replicate_rule(spark: SparkSession, d: str) -> DataFrame:
+    """Samples without later replicates: of samples that differ in the last character only, those that end in 5 to 9 go."""
+    s = samples(spark, d).select("case_submitter_id", "sample_submitter_id", "sample_type")
+    several = having_count(s.select(drop_last("sample_submitter_id").alias("sample_id")), ["sample_id"], lambda n: n > 1)
+    later = match_any(s.select("sample_submitter_id"), "sample_submitter_id", several.select("sample_id"), mode="prefix")
+    later = later.filter(F.col("sample_submitter_id").rlike("[5-9]$"))
+    return restrict_to(s, later, "sample_submitter_id", keep=False)
+
+
+@query
+def derived_key_exclusion(spark: SparkSession, d: str) -> DataFrame:
+    """Samples whose vial-free barcode is not that of a low-priority sample; flags a vial-free match with urgent ones."""
+    s = samples(spark, d)
+    bad = s.filter(F.col("priority") == "5-LOW").select("sample_submitter_id")
+    urgent = s.filter(F.col("priority") == "1-URGENT").select("sample_submitter_id")
+    left = restrict_to(s.select("sample_submitter_id", "sample_type"), bad, "sample_submitter_id", keep=False, derive=drop_last)
+    return flag_membership(left, urgent, "sample_submitter_id", "matching", derive=drop_last, true_value="MATCH", false_value=None)
+
+
 def queries() -> dict[str, Query]:
     """Registered queries, keyed without the ``_q`` suffix used to avoid name clashes."""
     return {(k[:-2] if k.endswith("_q") else k): v for k, v in REGISTRY.items()}
