@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from metaweave.llm import quality_fm, toxicity_crf
-from metaweave.llm.common import join_narrow, saved, table, tokenizer_path, with_place
+from metaweave.llm.common import importable, join_narrow, saved, table, tokenizer_path, with_place
 from metaweave.llm.packing import pack_documents
 from metaweave.llm.simhash import simhash_groups
 from metaweave.llm.stream_dedup import exact_dedup
@@ -21,6 +21,7 @@ from metaweave.llm.stream_dedup import exact_dedup
 _FILE, _POS, _SCORE = "__file", "__pos", "__score"
 
 
+@importable
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject."""
     model = quality_fm.train(docs, table(spark, sf_dir, "labels"))
@@ -28,6 +29,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.where(F.col(_SCORE) >= quality_fm.THRESHOLD).drop(_SCORE)
 
 
+@importable
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not toxic."""
     model = toxicity_crf.train(docs, table(spark, sf_dir, "labels"))
@@ -40,6 +42,7 @@ def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     return join_narrow(docs, saved(dropped.select(_FILE, _POS), "dropped"), [_FILE, _POS], "left_anti").drop(_FILE, _POS)
 
 
+@importable
 def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts, the document with the largest identifier."""
     rows = with_place(docs, _FILE, _POS)
@@ -47,6 +50,7 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return _without(rows, groups.where("not kept").select(F.col("file").alias(_FILE), F.col("pos").alias(_POS)))
 
 
+@importable
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of every group of near duplicates, the document with the smallest identifier."""
     rows = with_place(docs, _FILE, _POS)
@@ -58,6 +62,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return _without(rows, groups.join(stay, [_FILE, _POS], "left_anti"))
 
 
+@importable
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents that are left, in sequences of 4096 tokens."""
     return pack_documents(docs, tokenizer_path("word_bpe_49k.json"))

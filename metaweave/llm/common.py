@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import functools
+import os
 import uuid
+from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +18,23 @@ from metaweave.session import ensure_checkpoint_dir
 BLANKS = "\t\n\x0b\x0c\r "
 
 
+def importable(fn: Callable) -> Callable:
+    """For functions of ``(spark, ...)``: Python workers that share the driver's files can import this package.
+
+    Where they share none, ship it as usual (``--py-files``).
+    """
+
+    @functools.wraps(fn)
+    def run(spark: SparkSession, *args):
+        env, root = spark.sparkContext.environment, str(Path(__file__).resolve().parents[2])
+        paths = [x for x in env.get("PYTHONPATH", "").split(os.pathsep) if x]
+        if root not in paths:
+            env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+        return fn(spark, *args)
+
+    return run
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from . import quality_fm, sql, toxicity_crf
 from .byte_bpe import round_trip_digests
-from .common import split_pattern, table, tokenizer_path
+from .common import importable, split_pattern, table, tokenizer_path
 from .labelled import held_out
 from .line_frequency import line_frequency
 from .maxent_lm import held_out_fold, lm_scores
@@ -72,18 +72,20 @@ def op10_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_frequency(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_maxent_lm": op1_maxent_lm,
-    "op2_stream_exact_dedup": op2_stream_exact_dedup,
-    "op3_crf_toxicity": op3_crf_toxicity,
-    "op4_fm_quality": op4_fm_quality,
-    "op5_cost_balanced_packing": op5_cost_balanced_packing,
-    "op6_byte_bpe": op6_byte_bpe,
-    "op7_zip_warc": op7_zip_warc,
-    "op8_page_template": op8_page_template,
-    "op9_simhash_multi_index": op9_simhash_multi_index,
-    "op10_line_frequency": op10_line_frequency,
-}
+_ALL = [
+    op1_maxent_lm,
+    op2_stream_exact_dedup,
+    op3_crf_toxicity,
+    op4_fm_quality,
+    op5_cost_balanced_packing,
+    op6_byte_bpe,
+    op7_zip_warc,
+    op8_page_template,
+    op9_simhash_multi_index,
+    op10_line_frequency,
+]
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: importable(f) for f in _ALL}
 
 ORACLE_SQL: dict[str, str] = {
     "op2_stream_exact_dedup": sql.EXACT_DEDUP,
