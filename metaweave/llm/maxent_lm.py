@@ -23,6 +23,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 from zlib import crc32
 
 import numpy as np
@@ -33,9 +34,9 @@ from pyspark.sql import functions as F
 
 from .common import fold, saved
 
-TABLE_WORDS = 500_000  # words whose counts are broadcast for scoring, at most
-CLASSES = 64
-OWN_CLASSES = 23  # words that are a class of their own; class 0 is the end of a text
+TABLE_WORDS = 250_000  # words whose counts are broadcast for scoring, at most
+CLASSES = 40
+OWN_CLASSES = 15  # words that are a class of their own; class 0 is the end of a text
 OWN_ROWS = 2048  # words with a feature number of their own; others share one by their last letters
 SHARED_ROWS = 512
 PAIR_ROWS = 1 << 13
@@ -44,7 +45,7 @@ FAN_IN = 16
 RATE = 0.3
 _WORDS = OWN_ROWS + SHARED_ROWS + 2  # and one each for the end and the beginning of a text
 _ROWS = 2 * _WORDS + PAIR_ROWS + 1
-_BATCH = 4096
+_BATCH = 1024
 _DOCS = 256
 _FLUSH = 300_000
 _MEMO = 1_500_000
@@ -74,6 +75,20 @@ class Vocabulary:
         return np.log((self.class_totals + 1) / (self.class_totals.sum() + CLASSES)).astype(np.float32)
 
 
+class _Numbers(dict):
+    """Numbers of words; a word that is new gets the next one."""
+
+    def __init__(self, known: dict[bytes, int]):
+        super().__init__(known)
+        self.next, self.new = len(known), []
+
+    def __missing__(self, word: bytes) -> int:
+        n = self[word] = self.next
+        self.next += 1
+        self.new.append(word)
+        return n
+
+
 class Index:
     """Word numbers with their class, feature number and count, for one worker; grows with the words it meets."""
 
@@ -84,8 +99,9 @@ class Index:
     def reset(self) -> None:
         v, m = self.v, len(self.v.words)
         self.end, self.begin = m, m + 1
-        self.number = {w: i for i, w in enumerate(v.words)}
+        self.number = _Numbers({w: i for i, w in enumerate(v.words)})
         self.number[b""] = m  # no word is empty: the end of a text
+        self.number.next = m + 2
         cls, fid = self._describe(v.words, 0)
         self.cls = np.concatenate([cls, [0, 0]]).astype(np.int64)
         self.fid = np.concatenate([fid, [_WORDS - 2, _WORDS - 1]]).astype(np.int64)
@@ -94,7 +110,7 @@ class Index:
         self.inside = np.concatenate([inside, [0, 0]])
         self.known = np.concatenate([v.counts > 0, [v.total > 0, False]])
         self.in_table = len(self.cls)
-        self.extra: list[bytes] = []
+        self.extra = self.number.new
 
     def _describe(self, words: list[bytes], first: int) -> tuple[np.ndarray, np.ndarray]:
         tails = [w.decode() for w in words]
@@ -111,22 +127,19 @@ class Index:
         """Beginning twice, words, end: for each text in a row."""
         if len(self.number) > _MEMO:
             self.reset()
-        number = self.number
-        new = list(set().union(*texts).difference(number))
+        lengths = np.array([len(t) for t in texts]) + 3
+        flat = np.full(lengths.sum(), self.begin, np.int32)
+        spots = np.ones(len(flat), bool)
+        firsts = np.cumsum(lengths) - lengths
+        spots[firsts] = spots[firsts + 1] = False
+        flat[spots] = np.fromiter(map(self.number.__getitem__, chain.from_iterable(chain(t, (b"",)) for t in texts)), np.int32, spots.sum())
+        new = self.extra[len(self.cls) - self.in_table :]
         if new:
             cls, fid = self._describe(new, 1)
-            at = len(self.cls)
-            number.update(zip(new, range(at, at + len(new))))
             self.cls, self.fid = np.concatenate([self.cls, cls]), np.concatenate([self.fid, fid])
             self.inside = np.concatenate([self.inside, -np.log10(self.v.class_totals[cls] + self.v.class_words[cls] + 1)])
             self.known = np.concatenate([self.known, np.zeros(len(new), bool)])
-            self.extra += new
-        out: list[int] = []
-        for t in texts:
-            out += (self.begin, self.begin)
-            out += map(number.__getitem__, t)
-            out.append(self.end)
-        return np.array(out, np.int64)
+        return flat
 
     def examples(self, flat: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Places of the predicted tokens, their feature rows and classes."""
@@ -152,13 +165,15 @@ def gradient_steps(w: np.ndarray, scale: np.ndarray, rows: np.ndarray, cls: np.n
     g = np.exp(log_softmax(w, rows))
     g[np.arange(len(cls)), cls] -= 1
     for k in range(rows.shape[1]):
-        order = np.argsort(rows[:, k], kind="stable")
-        r = rows[order, k]
+        key = rows[:, k].astype(np.uint16)  # a key of 16 bits is sorted by radix
+        order = np.argsort(key, kind="stable")
+        r = key[order]
         first = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1]]))
         used = r[first]
         part = np.add.reduceat(g[order], first, axis=0)
-        scale[used] += (part * part).sum(1)
-        w[used] -= rate * part / np.sqrt(scale[used, None] + 1.0)
+        scale[used] += np.einsum("ij,ij->i", part, part)
+        part *= (rate / np.sqrt(scale[used] + 1.0))[:, None]
+        w[used] -= part
     part = g.sum(0)
     scale[-1] += (part * part).sum()
     w[-1] -= rate * part / np.sqrt(scale[-1] + 1.0)
@@ -187,7 +202,14 @@ def count_words(train: DataFrame, text: str) -> DataFrame:
 
 def vocabulary(counts: DataFrame, table_words: int = TABLE_WORDS) -> Vocabulary:
     """The bounded statistics of the whole count table."""
-    top = counts.where("word <> ''").orderBy(F.desc("n"), "word").limit(table_words).toPandas()
+    # as many bins of counts, the largest first, as hold no more words than the table
+    size = F.floor(F.log2("n") * 16)
+    bins = sorted(((r["b"], r["v"]) for r in counts.where("word <> ''").groupBy(size.alias("b")).agg(F.count(F.lit(1)).alias("v")).collect()), reverse=True)
+    held = np.cumsum([v for _, v in bins])
+    fit = int(np.searchsorted(held, table_words, side="right"))
+    least = bins[fit - 1][0] if fit else None
+    top = counts.where("word <> ''").where(size >= least if fit else F.lit(False)).toPandas()
+    top = top.sort_values(["n", "word"], ascending=[False, True])
     own = top["word"].tolist()[:OWN_CLASSES]
     cls = F.when(F.col("word") == "", F.lit(0))
     for i, w in enumerate(own):

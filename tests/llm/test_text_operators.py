@@ -25,7 +25,7 @@ def lm_rows(df, **options):
     return sorted((r.asDict() for r in found.collect()), key=lambda r: str(r["doc_id"]) + str(r["n_tokens"]))
 
 
-@pytest.mark.parametrize("table_words", [500_000, 30])
+@pytest.mark.parametrize("table_words", [250_000, 30, 0])
 def test_lm_counts_and_base(docs, table_words):
     """Base scores are exact, whether a word's count is in the broadcast table or joined."""
     held = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 7 == 2
