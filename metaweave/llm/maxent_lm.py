@@ -48,7 +48,7 @@ _ROWS = 2 * _WORDS + PAIR_ROWS + 1
 _BATCH = 1024
 _DOCS = 256
 _FLUSH = 300_000
-_MEMO = 1_500_000
+_MEMO = 900_000  # words that a worker remembers, about 200 bytes each
 
 
 def tail_class(word: Column) -> Column:

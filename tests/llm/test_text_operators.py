@@ -59,6 +59,24 @@ def test_lm_probabilities_sum_to_one(docs):
     assert np.isclose((10.0**said).sum() + unseen, 1, atol=1e-4)
 
 
+def test_lm_numbers_after_the_memo_is_emptied(monkeypatch):
+    v = maxent_lm.Vocabulary([b"the", b"a"], np.array([5, 3]), 20, 9, np.full(maxent_lm.CLASSES, 2.0), np.ones(maxent_lm.CLASSES))
+    texts = [[f"w{i % 90}".encode(), b"the", f"x{i}".encode()] for i in range(200)]
+
+    def seen(index):
+        out = []
+        for t in texts:
+            flat = index.numbers([t, [b"a"]])
+            place, rows, cls = index.examples(flat)
+            words = [index.extra[x - index.in_table] if x >= index.in_table else x for x in flat[place].tolist()]
+            out.append((words, rows.tolist(), cls.tolist(), index.inside[flat[place]].tolist(), index.known[flat[place]].tolist()))
+        return out
+
+    want = seen(maxent_lm.Index(v))
+    monkeypatch.setattr(maxent_lm, "_MEMO", 20)
+    assert seen(maxent_lm.Index(v)) == want
+
+
 def test_lm_beats_its_base_on_held_out_text(spark):
     rng = random.Random(3)
     a, b = [f"al{i}" for i in range(40)], [f"{i}be" for i in range(40)]
