@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MEMO_ENTRIES = 1_200_000  # about 250 bytes each
+MEMO_ENTRIES = 800_000  # about 250 bytes each
 
 
 def byte_characters() -> list[str]:
