@@ -20,6 +20,7 @@ Repeated rows get the same score. Other columns are never read.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from zlib import crc32
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 from .labelled import labelled_sample
 
 MAX_TRAIN = 6_000  # labelled rows, at most half of them toxic
-MAX_LINES = 12_000  # training lines, at most half of them with a toxic token
+MAX_LINES = 8_000  # training lines, at most half of them with a toxic token
 MIN_SHARE = 0.012  # of the toxic documents that a marking feature must occur in
 MIN_DOCS = 5  # and at least so many
 MIN_RATIO = 25.0  # how much likelier it must be in toxic documents
@@ -40,8 +41,8 @@ BUCKETS = 1 << 18
 STEPS = 40
 THRESHOLD = 0.5
 SPAN_MARGINAL = 0.5
-MEMO_ENTRIES = 1_000_000
-_CHUNK = 2048
+MEMO_ENTRIES = 400_000  # about 180 bytes each
+_CHUNK = 1_500_000  # characters at once; a longer text is a chunk of its own
 _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 
 
@@ -77,29 +78,37 @@ class Field:
     trans: np.ndarray
     slope: np.ndarray = field(default_factory=lambda: np.array([0.5, 0.5]))
     shift: float = 0.0
-    memo: dict = field(default_factory=dict, repr=False)
-    table: list = field(default_factory=list, repr=False)
+
+    def __post_init__(self):
+        self.memo: dict[bytes, int] = {}
+        self.table = tuple(array("d") for _ in range(3))  # of each known token: its own weight, and what it adds to the next and to the one before
 
     def __getstate__(self):
-        return {"w": self.w, "trans": self.trans, "slope": self.slope, "shift": self.shift, "memo": {}, "table": []}
+        return {"w": self.w, "trans": self.trans, "slope": self.slope, "shift": self.shift}
+
+    def __setstate__(self, state):
+        self.__dict__.update(state)
+        self.__post_init__()
 
-    def numbers(self, tokens: list[bytes]) -> list[int]:
-        memo = self.memo
+    def numbers(self, tokens: list[bytes]) -> Iterator[int]:
+        memo, (own, left, right) = self.memo, self.table
         for t in set(tokens).difference(memo):
             s = normal(t)
-            memo[t] = len(self.table)
-            self.table.append([self.w[f].sum() for f in (own_features(s), near_features("l", s), near_features("r", s))])
-        return list(map(memo.__getitem__, tokens))
+            memo[t] = len(own)
+            for side, features in ((own, own_features(s)), (left, near_features("l", s)), (right, near_features("r", s))):
+                side.append(sum(map(self.plain.__getitem__, features)))
+        return map(memo.__getitem__, tokens)
 
     def emissions(self, texts: list[list[bytes]]) -> np.ndarray:
         """One log-odds of T for every token of the texts in a row."""
         if len(self.memo) > MEMO_ENTRIES:
-            self.memo, self.table = {}, []
-        flat = np.array([i for t in texts for i in self.numbers(t)], np.int64)
+            self.__post_init__()
+        if not self.memo:
+            self.plain = self.w.tolist()  # read one by one, a list is faster
+        flat = np.fromiter((i for t in texts for i in self.numbers(t)), np.int32, sum(map(len, texts)))
         if not len(flat):
             return np.zeros(0)
-        used, at = np.unique(flat, return_inverse=True)
-        own, left, right = np.array([self.table[i] for i in used.tolist()])[at].T
+        own, left, right = (np.array(x)[flat] for x in self.table)
         e = own.copy()
         ends = np.cumsum([len(t) for t in texts])
         inner = np.ones(len(flat), bool)
@@ -202,9 +211,12 @@ def fit_field(lines: list[list[str]], tags: list[np.ndarray], steps: int = STEPS
 
 def doc_evidence(model: Field, texts: list[str | None]) -> np.ndarray:
     """Per text: the log-odds of its most toxic token, within +-12, and the log of its expected toxic tokens."""
-    out = []
-    for i in range(0, len(texts), _CHUNK):
-        tokens = [(t or "").encode().split() for t in texts[i : i + _CHUNK]]
+    out = np.zeros((len(texts), 2))
+    sizes = np.array([len(t or "") for t in texts], np.int64)
+    order = np.argsort(-sizes, kind="stable")  # texts of like length together: the passes take as many steps as the longest has tokens
+    chunk = np.cumsum(sizes[order]) // _CHUNK
+    for part in np.split(order, np.flatnonzero(np.diff(chunk)) + 1) if len(order) else []:
+        tokens = [(texts[i] or "").encode().split() for i in part]
         lengths = np.array([len(t) for t in tokens], np.int64)
         p, _ = forward_backward(model.emissions(tokens), lengths, model.trans)
         top, expected = np.zeros((2, len(tokens)))
@@ -213,8 +225,9 @@ def doc_evidence(model: Field, texts: list[str | None]) -> np.ndarray:
             at = (np.cumsum(lengths) - lengths)[some]
             top[some], expected[some] = np.maximum.reduceat(p, at), np.add.reduceat(np.where(p > 0.01, p, 0), at)
         top = np.clip(top, 1e-12, 1 - 1e-12)
-        out.append(np.stack([np.clip(np.log(top) - np.log1p(-top), -12, 12), np.log(np.clip(expected, 0.01, 20))], 1))
-    return np.concatenate(out) if out else np.zeros((0, 2))
+        out[part, 0] = np.clip(np.log(top) - np.log1p(-top), -12, 12)
+        out[part, 1] = np.log(np.clip(expected, 0.01, 20))
+    return out
 
 
 def spans(model: Field, text: str | None, marginal: float = SPAN_MARGINAL) -> list[tuple[int, int, float]]:
@@ -236,7 +249,7 @@ def spans(model: Field, text: str | None, marginal: float = SPAN_MARGINAL) -> li
 
 def _calibrate(model: Field, x: np.ndarray, y: np.ndarray, share: float) -> None:
     """Logistic map from evidence to the label, classes weighted to their share among all labels."""
-    if not 0 < share < 1 or not 0 < y.mean() < 1:
+    if not 0 < share < 1 or not len(y) or not 0 < y.mean() < 1:
         model.slope, model.shift = np.zeros(2), float(np.log(max(share, 1e-4) / max(1 - share, 1e-4)))
         return
     weight = np.where(y > 0, share / y.mean(), (1 - share) / (1 - y.mean())) / len(y)
@@ -285,6 +298,7 @@ def train(
         rows = sample.mapInPandas(_sketch, f"doc_id {kind}, label int, feats array<int>, mins array<long>").toPandas()
         rows = rows.sort_values("doc_id", kind="stable")
         marks = np.packbits(lexicon(rows)) if len(rows) else np.zeros(BUCKETS // 8, np.uint8)
+        del rows
         shared = spark.sparkContext.broadcast(marks)
 
         def tagged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
