@@ -29,6 +29,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .plain_words import encode_words, is_letters, split_tail, without_split
+
 CAPACITY = 4096
 END = 2
 LINEAR = 1.0
@@ -45,11 +47,13 @@ class WordCoder:
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.letters = without_split(Tokenizer.from_file(path), byte_level)
         self.memo: dict[bytes, bytes] = {}
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
@@ -65,26 +69,28 @@ class WordCoder:
         return out
 
     def _learn(self, new: set[bytes]) -> None:
-        """ASCII letters are lower-cased by the tokenizer, and one closing stop or comma is a token of its own."""
-        plain = {}
+        """The tokenizer lower-cases letters itself; a run of signs at the end of a word has ids of its own."""
+        cut, letters, others = {}, set(), set()
         for w in new:
-            if w.isascii():
-                x = w.lower()
-                plain[w] = (x[:-1], x[-1:]) if x[-1:] in (b".", b",") and x[-2:-1].isalnum() else (x, b"")
-        need = {b".", b","}.union(new.difference(plain), (x for x, _ in plain.values())).difference(self.memo)
-        self._encode(list(need))
-        self.memo[b""] = b""
-        for w, (x, tail) in plain.items():
-            self.memo[w] = self.memo[x] + self.memo[tail]
-
-    def _encode(self, words: list[bytes]) -> None:
-        for i in range(0, len(words), 20_000):
-            part = words[i : i + 20_000]
-            e = self.tokenizer.encode_batch([[w.decode() for w in part]], add_special_tokens=False, is_pretokenized=True)[0]
-            ids = np.array(e.ids, "<u4").tobytes()
-            ends = (4 * np.searchsorted(np.array(e.word_ids, np.int64), np.arange(len(part) + 1))).tolist()
-            for w, a, b in zip(part, ends, ends[1:]):
-                self.memo[w] = ids[a:b]
+            core, tail = split_tail(w.decode())
+            if is_letters(core):
+                low = core.lower()
+                if is_letters(low):
+                    core = low
+                    letters.add(core)
+                else:
+                    others.add(core)
+            else:
+                others.add(core)
+            if tail:
+                others.add(tail)
+            cut[w] = core, tail
+        memo = self.memo
+        for tokenizer, words in ((self.letters, letters), (self.tokenizer, others)):
+            for x, ids in encode_words(tokenizer, [x for x in words if x.encode() not in memo]):
+                memo[x.encode()] = ids
+        for w, (core, tail) in cut.items():
+            memo[w] = memo[core.encode()] + (memo[tail.encode()] if tail else b"")
 
 
 @lru_cache(maxsize=4)
