@@ -45,7 +45,7 @@ _FLUSH = 200_000
 #: Fixed values of HTML: elements that start a block, that have no content, whose content is no text.
 BLOCKS = frozenset("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html li main menu nav ol option p pre section select summary table tbody td tfoot th thead title tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea noscript template iframe noframes xmp".split())
+RAW = frozenset("script style textarea noscript template iframe noframes xmp title".split())
 #: Elements, roles and words of class or id that mark what is not the article.
 NOT_MAIN_ELEMENTS = frozenset("nav header footer aside form head title button select option dialog menu svg canvas object figcaption".split())
 NOT_MAIN_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog alertdialog menu menubar toolbar".split())
@@ -54,6 +54,7 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 PROSE = HEADINGS | frozenset("p blockquote pre li dd dt td th figcaption".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z][^\s/>]*(?:[^>\"']|\"[^\"]*\"|'[^']*')*>|</?[a-zA-Z][^>]*(?:>|\Z)|[^<]+|<", re.S)
+_RAW_END = {x: re.compile(rf"</{x}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for x in RAW}
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 _ATTRIBUTE = re.compile(r"\s(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])|[^A-Za-z]+")
@@ -90,13 +91,10 @@ def parse(html: str | None) -> tuple[list[Block], list[str]]:
     stack: list[tuple[str, str, bool, bool]] = []
     blocks: list[Block] = []
     tags: list[str] = []
-    skip, fresh = "", True
-    for m in _TOKEN.finditer(html or ""):
-        t = m.group()
-        if skip:  # inside an element whose content is no text: only its own end matters
-            if t[:2] == "</" and _NAME.match(t).group(1).lower() == skip:
-                skip = ""
-            continue
+    fresh, html, behind = True, html or "", 0
+    while behind < len(html):
+        m = _TOKEN.match(html, behind)
+        t, behind = m.group(), m.end()
         if t[0] != "<" or t == "<":
             if fresh and not t.isspace():
                 path = ">".join(x[1] for x in stack)
@@ -134,8 +132,9 @@ def parse(html: str | None) -> tuple[list[Block], list[str]]:
         e = _element(t)
         tags.append(">".join(x[1] for x in stack) + ">" + e[1])
         if name in RAW:
-            if not t.endswith("/>"):
-                skip = name
+            if not t.endswith("/>"):  # its content is no text: go on behind its own end tag, whatever lies between
+                end = _RAW_END[name].search(html, behind)
+                behind = end.end() if end else len(html)
         elif name not in VOID and not (t.endswith("/>") and name not in BLOCKS):
             stack.append(e)
             if e[2] and name not in BLOCKS:  # an inline element that is not main ends the block around it
