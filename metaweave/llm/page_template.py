@@ -14,7 +14,7 @@ token and task is shuffled, however many pages a host has.
 
 Slots are kept by their place: inside the article (or main) element if the page has one, never
 inside menus, headers, footers, sidebars, notices, adverts, forms, comments, scripts or styles (told by
-element, role, class and id); and a block that has template words only is kept inside the
+element, role, and whole names of class and id that neither the article nor what holds it is judged by); and a block that has template words only is kept inside the
 article's paragraphs and headings alone.
 
 Defined results: a NULL page or one without text gives empty text. A NULL url is a host of its own. A host of few or of
@@ -46,8 +46,8 @@ _FLUSH = 200_000
 BLOCKS = frozenset("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html li main menu nav ol option p pre section select summary table tbody td tfoot th thead title tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea noscript template iframe noframes xmp title".split())
-#: Elements, roles and words of class or id that mark what is not the article.
-NOT_MAIN_ELEMENTS = frozenset("nav header footer aside form head title button select option dialog menu svg canvas object figcaption".split())
+#: Elements, roles and whole names of class or id that mark what is not the article.
+NOT_MAIN_ELEMENTS = frozenset("nav header footer aside form head title button select option dialog menu svg canvas object".split())
 NOT_MAIN_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog alertdialog menu menubar toolbar".split())
 NOT_MAIN_WORDS = frozenset("ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter notice notices notification overlay pagination pager popup promo promoted promotion recommended related replies reply respond search share sharing sidebar signup skip social sponsor sponsored subscribe toolbar tooltip widget".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -57,20 +57,19 @@ _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:
 _RAW_END = {x: re.compile(rf"</{x}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for x in RAW}
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 _ATTRIBUTE = re.compile(r"\s(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
-_CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])|[^A-Za-z]+")
 _HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#]*)"
 
 
 @lru_cache(maxsize=20_000)
-def _element(tag: str) -> tuple[str, str, bool, bool]:
-    """Name, signature (name, class, id), whether it is not main, whether it is the main part, of an opening tag."""
+def _element(tag: str) -> tuple[str, str, int, bool]:
+    """Name, signature (name, class, id), whether it is not main (1: only its class or id says so), whether it is the main part, of an opening tag."""
     name = _NAME.match(tag).group(1).lower()
     said = {k.lower(): (v or "").strip("\"'") for k, v in _ATTRIBUTE.findall(tag)} if " " in tag or "\n" in tag or "\t" in tag else {}
-    marks = {w.lower() for k in ("class", "id") for w in _CAMEL.split(said.get(k, ""))}
+    marks = {w.lower() for k in ("class", "id") for w in said.get(k, "").split()}
     role = said.get("role", "").lower()
     hidden = "hidden" in said or said.get("aria-hidden") == "true" or "display:none" in said.get("style", "").replace(" ", "").lower()
     main = name in ("article", "main") or role in ("article", "main")
-    out = hidden or name in NOT_MAIN_ELEMENTS or role in NOT_MAIN_ROLES or bool(marks & NOT_MAIN_WORDS and name not in ("html", "body"))
+    out = 2 if hidden or name in NOT_MAIN_ELEMENTS or role in NOT_MAIN_ROLES else int(bool(marks & NOT_MAIN_WORDS) and name not in ("html", "body"))
     return name, f"{name}.{said.get('class', '')}#{said.get('id', '')}", out, main
 
 
@@ -88,7 +87,7 @@ class Block:
 
 def parse(html: str | None) -> tuple[list[Block], list[str]]:
     """The blocks of a page in order, and its tags with their paths."""
-    stack: list[tuple[str, str, bool, bool]] = []
+    stack: list[tuple[str, str, int, bool]] = []
     blocks: list[Block] = []
     tags: list[str] = []
     fresh, html, behind = True, html or "", 0
@@ -99,7 +98,8 @@ def parse(html: str | None) -> tuple[list[Block], list[str]]:
             if fresh and not t.isspace():
                 path = ">".join(x[1] for x in stack)
                 depth = next((i for i, x in enumerate(stack) if x[3]), None)
-                outs = [i for i, x in enumerate(stack) if x[2]]
+                # a class or id never takes away the article or what holds it
+                outs = [i for i, x in enumerate(stack) if x[2] == 2 or x[2] and (depth is None or i > depth)]
                 own = depth is not None and bool(outs) and all(stack[i][0] == "header" and i > depth for i in outs)
                 blocks.append(Block(path, depth is not None, bool(outs), own, stack[-1][0] if stack else ""))
                 fresh = False

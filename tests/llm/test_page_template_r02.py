@@ -7,3 +7,13 @@ def test_script_with_a_less_than_sign_keeps_the_article():
     page = "<html><head><title>a<b</title></head><body><script>for(i=0;i<n;i++)f(i);</SCRIPT ><article><p>One</p><style>a<b{}</style><p>Two</p></article></body></html>"
     assert page_template.main_text(page) == "One\n\nTwo"
     assert page_template.main_text("<p>One</p><script>i<n") == "One"
+
+
+def test_class_and_id_never_take_the_article():
+    for around, own in (
+        ('<div class="layout has-sidebar">', ""), ('<div id="page" class="no-sidebar">', ""), ("<div>", ' class="post comment-status-open"'),
+        ("<div>", ' class="article-with-ad"'), ("<div>", ' id="search-result-page"'), ('<div class="widget sidebar">', ' class="promoted"'),
+    ):
+        page = f'<body>{around}<p>Out</p><article{own}><p>One</p><div class="ad">Buy</div><div class="adPost">Two</div></article></div></body>'
+        assert page_template.main_text(page) == "One\n\nTwo"
+    assert page_template.main_text("<article><figure><img><figcaption>Seen from above</figcaption></figure></article>") == "Seen from above"
