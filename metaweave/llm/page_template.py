@@ -2,20 +2,22 @@
 
 A token is a tag or a word together with its path of elements. Its occurrence vector says how
 often it occurs in each page of a host. Tokens with equal vectors form an equivalence class; a class is
-valid if its tokens occur in every page of a host of at least ``min_pages`` different pages and
-it has at least ``min_class`` of them. The valid class of single occurrences is the root of the
-template, the others (equal counts above one, such as the parts of list entries) are nested
-in its slots. What is left between template tokens are the slots.
+valid if its tokens occur in ``min_share`` of the pages (empty ones not counted) of a host of at least
+``min_pages`` different pages and it has at least ``min_class`` of them. The valid classes of single
+occurrences are the root of the template, in the order of the page that has most of them; the others (such as the
+parts of list entries) are nested: between two root tokens of a page they have to repeat in one order.
+What is left between template tokens are the slots.
 
 Vectors are never collected: a token's vector is a 64-bit signature, the exclusive or of a hash
-of (page, count) over its pages, so that classes come from grouping by signature. Each task first keeps
-the tokens of all its pages of a host, which drops no token that occurs in every page; one row a
+of (page, count) over its pages, so that classes come from grouping by signature. A first pass finds the tokens
+that can have the support: one that has the share of a host's pages has it in the pages of some task, and
+what tasks left out is bounded by what they say. The second pass counts these tokens exactly. One row a
 token and task is shuffled, however many pages a host has.
 
-Slots are kept by their place: inside the article (or main) element if the page has one, never
+A block all of whose words are template tokens in their place is dropped, inside the article too; a block with a slot is
+kept whole. Place then chooses among these blocks: inside the article (or main) element if the page has one, never
 inside menus, headers, footers, sidebars, notices, adverts, forms, comments, scripts or styles (told by
-element, role, and whole names of class and id that neither the article nor what holds it is judged by); and a block that has template words only is kept inside the
-article's paragraphs and headings alone.
+element, role, and whole names of class and id that neither the article nor what holds it is judged by).
 
 Defined results: a NULL page or one without text gives empty text. A NULL url is a host of its own. A host of few or of
 equal pages has no template; its pages are cut by place alone. Unclosed elements end with their container.
@@ -24,13 +26,14 @@ Repeated rows are pages of their own. An empty table gives an empty result. Othe
 
 from __future__ import annotations
 
+import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 from html import unescape
 
-import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -40,7 +43,8 @@ from .common import join_narrow, saved, with_place
 
 MIN_PAGES = 10
 MIN_CLASS = 3
-_FLUSH = 200_000
+MIN_SHARE = 0.9  # of the pages of a host that have words
+_FLUSH = 400_000
 
 #: Fixed values of HTML: elements that start a block, that have no content, whose content is no text.
 BLOCKS = frozenset("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html li main menu nav ol option p pre section select summary table tbody td tfoot th thead title tr ul".split())
@@ -51,7 +55,6 @@ NOT_MAIN_ELEMENTS = frozenset("nav header footer aside form head title button se
 NOT_MAIN_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog alertdialog menu menubar toolbar".split())
 NOT_MAIN_WORDS = frozenset("ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter notice notices notification overlay pagination pager popup promo promoted promotion recommended related replies reply respond search share sharing sidebar signup skip social sponsor sponsored subscribe toolbar tooltip widget".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-PROSE = HEADINGS | frozenset("p blockquote pre li dd dt td th figcaption".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z][^\s/>]*(?:[^>\"']|\"[^\"]*\"|'[^']*')*>|</?[a-zA-Z][^>]*(?:>|\Z)|[^<]+|<", re.S)
 _RAW_END = {x: re.compile(rf"</{x}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for x in RAW}
@@ -60,6 +63,11 @@ _ATTRIBUTE = re.compile(r"\s(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(\
 _HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#]*)"
 
 
+@lru_cache(maxsize=20_000)
+def _name(tag: str) -> str:
+    return _NAME.match(tag).group(1).lower()
+
+
 @lru_cache(maxsize=20_000)
 def _element(tag: str) -> tuple[str, str, int, bool]:
     """Name, signature (name, class, id), whether it is not main (1: only its class or id says so), whether it is the main part, of an opening tag."""
@@ -76,27 +84,33 @@ def _element(tag: str) -> tuple[str, str, int, bool]:
 class Block:
     """Text between two block boundaries: its path, and where it lies."""
 
-    __slots__ = ("path", "inside", "out", "own_header", "kind", "parts")
+    __slots__ = ("path", "inside", "out", "own_header", "kind", "parts", "own")
 
     def __init__(self, path: str, inside: bool, out: bool, own_header: bool, kind: str):
-        self.path, self.inside, self.out, self.own_header, self.kind, self.parts = path, inside, out, own_header, kind, []
+        self.path, self.inside, self.out, self.own_header, self.kind, self.parts, self.own = path, inside, out, own_header, kind, [], None
 
     def text(self) -> str:
-        return " ".join(unescape("".join(self.parts)).split())
+        if self.own is None:  # asked for once the page is read
+            self.own = " ".join(unescape("".join(self.parts)).split())
+        return self.own
 
 
-def parse(html: str | None) -> tuple[list[Block], list[str]]:
-    """The blocks of a page in order, and its tags with their paths."""
-    stack: list[tuple[str, str, int, bool]] = []
+def parse(html: str | None) -> tuple[list[Block], list[tuple[str, int]]]:
+    """The blocks of a page in order, and its tags with their paths and the number of blocks begun before."""
+    stack: list[tuple[str, str, int, bool]] = []  # name, path, out, main
     blocks: list[Block] = []
-    tags: list[str] = []
+    tags: list[tuple[str, int]] = []
     fresh, html, behind = True, html or "", 0
     while behind < len(html):
-        m = _TOKEN.match(html, behind)
-        t, behind = m.group(), m.end()
+        if html[behind] != "<":
+            end = html.find("<", behind)
+            t = html[behind:end] if end >= 0 else html[behind:]
+        else:
+            t = _TOKEN.match(html, behind).group()
+        behind += len(t)
         if t[0] != "<" or t == "<":
             if fresh and not t.isspace():
-                path = ">".join(x[1] for x in stack)
+                path = stack[-1][1] if stack else ""
                 depth = next((i for i, x in enumerate(stack) if x[3]), None)
                 # a class or id never takes away the article or what holds it
                 outs = [i for i, x in enumerate(stack) if x[2] == 2 or x[2] and (depth is None or i > depth)]
@@ -108,11 +122,13 @@ def parse(html: str | None) -> tuple[list[Block], list[str]]:
             continue
         if t[1] in "!?":
             continue
-        name = _NAME.match(t).group(1).lower()
+        name = _name(t)
         if t[1] == "/":
-            at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
-            if at is not None:
-                tags.append(">".join(x[1] for x in stack[: at + 1]) + "/")
+            at = len(stack) - 1
+            while at >= 0 and stack[at][0] != name:
+                at -= 1
+            if at >= 0:
+                tags.append((stack[at][1] + "/", len(blocks)))
                 del stack[at:]
             if name in BLOCKS:
                 fresh = True
@@ -130,50 +146,105 @@ def parse(html: str | None) -> tuple[list[Block], list[str]]:
                 if stack[i][0] in BLOCKS:
                     break
         e = _element(t)
-        tags.append(">".join(x[1] for x in stack) + ">" + e[1])
+        path = f"{stack[-1][1]}>{e[1]}" if stack else e[1]
+        tags.append((path, len(blocks)))
         if name in RAW:
             if not t.endswith("/>"):  # its content is no text: go on behind its own end tag, whatever lies between
                 end = _RAW_END[name].search(html, behind)
                 behind = end.end() if end else len(html)
         elif name not in VOID and not (t.endswith("/>") and name not in BLOCKS):
-            stack.append(e)
+            stack.append((name, path, e[2], e[3]))
             if e[2] and name not in BLOCKS:  # an inline element that is not main ends the block around it
                 fresh = True
     return blocks, tags
 
 
-def _hash(kind: str, path: str, s: str) -> int:
-    return xxhash.xxh64_intdigest(f"{kind}\t{path}\t{s}") - (1 << 63)
-
-
-def page_tokens(html: str | None) -> Counter:
-    """Occurrences of each token of a page; the empty token occurs once in every page."""
+@lru_cache(maxsize=50_000)
+def _path(kind: str, path: str) -> int:
+    return xxhash.xxh64_intdigest(f"{kind}\t{path}")
+
+
+def page_tokens(blocks: list[Block], tags: list[tuple[str, int]]) -> tuple[list[int], list[tuple[int, int]]]:
+    """The tokens of a page in order (a tag inside a block follows the block's words), and where each block's words lie."""
+    out: list[int] = []
+    spans = []
+    at = 0
+    for i, b in enumerate(blocks):
+        while at < len(tags) and tags[at][1] <= i:
+            out.append(_path("t", tags[at][0]) - (1 << 63))
+            at += 1
+        first, seed = len(out), _path("w", b.path)
+        out += [xxhash.xxh64_intdigest(w, seed) - (1 << 63) for w in b.text().split()]
+        spans.append((first, len(out)))
+    out += [_path("t", x) - (1 << 63) for x, _ in tags[at:]]
+    return out, spans
+
+
+class Template:
+    """The root tokens of a host in order, and the nested classes, each in the order of its tokens."""
+
+    def __init__(self, root, nested):
+        self.rank = {t: i for i, t in enumerate(root)}
+        self.nested = {t: (c, i) for c, x in enumerate(nested) for i, t in enumerate(x)}
+
+    def places(self, found: list[int]) -> list[bool]:
+        """Which tokens of a page are the template's, in its order and nesting."""
+        marked = [False] * len(found)
+        # the root tokens of the page: the longest run in the order of the template
+        ends: list[int] = []  # the least rank that ends a run of each length
+        last: list[int] = []  # and its place
+        before: dict[int, int] = {}
+        for i, t in enumerate(found):
+            r = self.rank.get(t)
+            if r is not None:
+                k = bisect_left(ends, r)
+                before[i] = last[k - 1] if k else -1
+                ends[k : k + 1] = [r]
+                last[k : k + 1] = [i]
+        i = last[-1] if last else -1
+        while i >= 0:
+            marked[i] = True
+            i = before[i]
+        # the nested classes: in every slot of the root, their tokens repeat in one order
+        slot: dict[int, list[tuple[int, int]]] = {}
+
+        def close() -> None:
+            for x in slot.values():
+                order = [j for j, _ in x]
+                n = next((k for k in range(1, len(order)) if order[k] <= order[k - 1]), len(order))
+                if len(order) % n == 0 and order == order[:n] * (len(order) // n):
+                    for _, i in x:
+                        marked[i] = True
+            slot.clear()
+
+        if self.nested:
+            for i, t in enumerate(found):
+                if marked[i]:
+                    close()
+                elif (own := self.nested.get(t)) is not None:
+                    slot.setdefault(own[0], []).append((own[1], i))
+            close()
+        return marked
+
+
+def main_text(html: str | None, template: Template | None = None) -> str:
+    """The blocks of the article that hold a slot of the template, each with single spaces, joined by two line feeds."""
     blocks, tags = parse(html)
-    found: Counter = Counter({0: 1})
-    for path, n in Counter(tags).items():
-        found[_hash("t", path, "")] += n
-    for (path, word), n in Counter((b.path, w) for b in blocks for w in b.text().split()).items():
-        found[_hash("w", path, word)] += n
-    return found
-
-
-def main_text(html: str | None, template: frozenset = frozenset()) -> str:
-    """The blocks of the article, each with single spaces, joined by two line feeds."""
-    blocks, _ = parse(html)
+    whole = [False] * len(blocks)  # nothing but template
+    if template is not None:
+        found, spans = page_tokens(blocks, tags)
+        marked = template.places(found)
+        whole = [all(marked[a:b]) for a, b in spans]
     inside = any(b.inside and not b.out for b in blocks)
     out = []
-    for b in blocks:
+    for b, fixed in zip(blocks, whole):
         if b.out and not (b.own_header and b.path.rsplit(">", 1)[-1].split(".")[0] in HEADINGS):
             continue
-        if inside and not b.inside:
+        if fixed or inside and not b.inside:
             continue
         text = b.text()
-        if not text:
-            continue
-        if template and not (b.inside and any(x.split(".", 1)[0] in PROSE for x in b.path.split(">"))):
-            if all(_hash("w", b.path, w) in template for w in text.split()):
-                continue
-        out.append(text)
+        if text:
+            out.append(text)
     return "\n\n".join(out)
 
 
@@ -181,74 +252,144 @@ def host_of(url: Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), _HOST, 1))
 
 
-def occurrences(pages: DataFrame) -> DataFrame:
-    """``host``, ``token``, ``pages`` (that have it) and ``signature``, of the tokens that some task found in all its pages of the host."""
+def _least(pages: int, share: float) -> int:
+    return math.ceil(pages * share - 1e-9)
+
+
+def candidates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+    """``host`` and the ``known`` tokens that may occur in ``min_share`` of its pages; the token 0 occurs in every page with words."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict[str, dict[int, list[int]]] = {}
+        held: dict[str, Counter] = {}
         size = 0
 
         def rows() -> pd.DataFrame:
-            out = [(h, t, n, s) for h, found in held.items() for t, (n, s) in found.items()]
-            return pd.DataFrame(out, columns=["host", "token", "pages", "signature"]).astype({"host": object})
+            out = []
+            for host, found in held.items():
+                least = _least(found[0], min_share)
+                out += [(host, t, n, least - 1) for t, n in found.items() if n >= least]
+            return pd.DataFrame(out, columns=["host", "token", "pages", "unseen"]).astype({"host": object})
 
         for b in batches:
-            for host, key, html in zip(b["host"], b["page"], b["html"]):
-                counts = page_tokens(html)
-                mark = {n: xxhash.xxh64_intdigest(f"{key}\t{n}") - (1 << 63) for n in set(counts.values())}
-                before = held.get(host)
-                if before is None:
-                    held[host] = {t: [1, mark[n]] for t, n in counts.items()}
-                    size += len(counts)
-                else:
-                    size -= len(before)
-                    held[host] = before = {t: x for t, x in before.items() if t in counts}
-                    for t, x in before.items():
-                        x[0] += 1
-                        x[1] ^= mark[counts[t]]
-                    size += len(before)
+            for host, html in zip(b["host"], b["html"]):
+                blocks, tags = parse(html)
+                tokens, spans = page_tokens(blocks, tags)
+                if not any(a < z for a, z in spans):
+                    continue
+                if host not in held:
+                    held[host] = Counter()
+                found = held[host]
+                size -= len(found)
+                found.update({0, *tokens})
+                size += len(found)
             if size > _FLUSH:
                 yield rows()
                 held, size = {}, 0
         yield rows()
 
-    parts = pages.mapInPandas(run, "host string, token long, pages long, signature long")
-    return parts.groupBy("host", "token").agg(F.sum("pages").alias("pages"), F.bit_xor("signature").alias("signature"))
+    different = pages.groupBy("host").agg(F.count_distinct(F.xxhash64("html")).alias("different")).where(F.col("different") >= min_pages)
+    parts = pages.mapInPandas(run, "host string, token long, pages long, unseen long")
+    found = parts.groupBy("host", "token").agg(F.sum("pages").alias("pages"), F.sum("unseen").alias("unseen"))
+    found = saved(found, "page-tokens")
+    # a task that left a token out saw it in fewer pages than its share
+    whole = found.where("token = 0").select("host", F.col("pages").alias("all"), F.col("unseen").alias("bound")).join(different, "host")
+    least = F.ceil(F.col("all") * min_share - 1e-9)
+    return (
+        found.join(whole, "host").where(F.col("pages") + F.col("bound") - F.col("unseen") >= least)
+        .groupBy("host").agg(F.collect_list("token").alias("known"))
+    )
+
 
+def occurrences(pages: DataFrame, known: DataFrame) -> DataFrame:
+    """``host``, ``token``, ``pages`` (that have it), ``times`` (it occurs), ``signature`` and ``best`` (its first place on the page with most) of the known tokens."""
 
-def templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_class: int = MIN_CLASS) -> DataFrame:
-    """``host`` and the ``tokens`` of its valid classes (``root``: those of single occurrences)."""
-    different = pages.groupBy("host").agg(F.count(F.lit(1)).alias("all"), F.count_distinct(F.xxhash64("html")).alias("different"))
-    found = occurrences(pages).join(different, "host").where((F.col("pages") == F.col("all")) & (F.col("different") >= min_pages))
-    # the tokens of a class lie in every page of the host, so a class is no larger than its smallest page
-    classes = found.groupBy("host", "signature").agg(F.collect_list("token").alias("tokens"))
-    valid = classes.where((F.size("tokens") >= min_class) | F.array_contains("tokens", F.lit(0).cast("long")))
-    return valid.groupBy("host").agg(
-        F.flatten(F.collect_list("tokens")).alias("tokens"),
-        F.flatten(F.collect_list(F.when(F.array_contains("tokens", F.lit(0).cast("long")), F.col("tokens")))).alias("root"),
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[str, dict[int, list[int]]] = {}
+        wanted: dict[str, frozenset] = {}
+        for b in batches:
+            for host, key, html, known in zip(b["host"], b["page"], b["html"], b["known"]):
+                blocks, tags = parse(html)
+                tokens, spans = page_tokens(blocks, tags)
+                if not any(a < z for a, z in spans):
+                    continue
+                if host not in wanted:
+                    wanted[host], held[host] = frozenset(known.tolist()), {}
+                own, before = wanted[host], held[host]
+                counts = Counter(t for t in tokens if t in own)
+                first: dict[int, tuple[int, int]] = {0: (0, 0)}
+                rank = 0  # single known tokens before, which no long slot between moves
+                for i, t in enumerate(tokens):
+                    if t in own:
+                        first.setdefault(t, (rank, i))
+                        rank += counts[t] == 1
+                counts[0] = 1
+                # 1 is always among the counts: the token 0
+                mark = {n: xxhash.xxh64_intdigest(f"{key}\t{n}") - (1 << 63) for n in set(counts.values())}
+                for t, n in counts.items():
+                    x, place = before.get(t), (rank, mark[1], *first[t])
+                    if x is None:
+                        before[t] = [1, n, mark[n], place]
+                    else:
+                        x[0] += 1
+                        x[1] += n
+                        x[2] ^= mark[n]
+                        x[3] = max(x[3], place)
+        out = [(h, t, x[0], x[1], x[2], *x[3]) for h, found in held.items() for t, x in found.items()]
+        yield pd.DataFrame(out, columns=["host", "token", "pages", "times", "signature", "singles", "page", "rank", "at"]).astype({"host": object})
+
+    parts = join_narrow(pages, known, "host", "inner", bound=2_000).mapInPandas(
+        run, "host string, token long, pages long, times long, signature long, singles long, page long, rank long, at long"
+    )
+    return parts.groupBy("host", "token").agg(
+        F.sum("pages").alias("pages"), F.sum("times").alias("times"), F.bit_xor("signature").alias("signature"),
+        F.max(F.struct("singles", "page", "rank", "at")).alias("best"),
+    )
+
+
+def templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_class: int = MIN_CLASS, min_share: float = MIN_SHARE) -> DataFrame:
+    """``host`` and the ``tokens`` of its valid classes: ``root`` (of single occurrences) and ``nested`` (a list for each other class), in order."""
+    known = saved(candidates(pages, min_pages, min_share), "known-tokens")
+    place = F.struct("best.rank", "best.at", "token")
+    # the tokens of a class lie in most pages of the host, so a class is no larger than a page
+    classes = occurrences(pages, known).groupBy("host", "signature", "pages", "times").agg(F.sort_array(F.collect_list(place)).alias("own"))
+    classes = classes.withColumn("every", F.exists("own", lambda x: x["token"] == 0))
+    valid = classes.groupBy("host").agg(
+        F.max("pages").alias("all"), F.sort_array(F.collect_list(F.struct("pages", "times", "every", "own"))).alias("classes")
+    )
+    supported = F.filter(
+        "classes", lambda x: (x["pages"] >= F.ceil(F.col("all") * min_share - 1e-9)) & (x["every"] | (F.size(x["own"]) >= min_class))
+    )
+    valid = valid.select("host", supported.alias("classes"))
+    once = F.sort_array(F.flatten(F.transform(F.filter("classes", lambda x: x["times"] == x["pages"]), lambda x: x["own"])))
+    out = valid.select(
+        "host",
+        F.transform(once, lambda x: x["token"]).alias("root"),
+        F.transform(F.filter("classes", lambda x: x["times"] > x["pages"]), lambda x: F.transform(x["own"], lambda y: y["token"])).alias("nested"),
     )
+    return out.select("host", F.concat("root", F.flatten("nested")).alias("tokens"), "root", "nested")
 
 
 def extract(
-    pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", min_pages: int = MIN_PAGES, min_class: int = MIN_CLASS
-) -> DataFrame:
+    pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", min_pages: int = MIN_PAGES, min_class: int = MIN_CLASS,
+    min_share: float = MIN_SHARE,
+) -> DataFrame:
     """One row per page: ``page_id``, ``url``, ``text``, ``n_chars``."""
     own = with_place(pages).select(
         F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.coalesce(F.col(html), F.lit("")).alias("html"),
         host_of(F.col(url)).alias("host"), F.concat_ws("#", "file", "pos").alias("page"),
     )
-    found = saved(templates(own.select("host", "page", "html"), min_pages, min_class), "templates")
-    rows = join_narrow(own.drop("page"), found.select("host", "tokens"), "host", "left", bound=2_000)
+    found = saved(templates(own.select("host", "page", "html"), min_pages, min_class, min_share), "templates")
+    rows = join_narrow(own.drop("page"), found.select("host", "root", "nested"), "host", "left", bound=2_000)
 
     @F.pandas_udf("string")
-    def cut(htmls: pd.Series, hosts: pd.Series, tokens: pd.Series) -> pd.Series:
-        known: dict[str, frozenset] = {}
+    def cut(htmls: pd.Series, hosts: pd.Series, roots: pd.Series, nested: pd.Series) -> pd.Series:
+        known: dict[str, Template | None] = {}
         out = []
-        for page, host, t in zip(htmls, hosts, tokens):
+        for page, host, r, n in zip(htmls, hosts, roots, nested):
             if host not in known:
-                known[host] = frozenset(np.asarray(t, np.int64).tolist()) if t is not None else frozenset()
+                known[host] = Template(r.tolist(), [x.tolist() for x in n]) if r is not None else None
             out.append(main_text(page, known[host]))
         return pd.Series(out, dtype=object)
 
-    text = rows.select("page_id", "url", cut("html", "host", "tokens").alias("text"))
+    text = rows.select("page_id", "url", cut("html", "host", "root", "nested").alias("text"))
     return text.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
