@@ -35,8 +35,8 @@ from pyspark.sql import functions as F
 from .common import fold, saved
 
 TABLE_WORDS = 250_000  # words whose counts are broadcast for scoring, at most
-CLASSES = 40
-OWN_CLASSES = 15  # words that are a class of their own; class 0 is the end of a text
+CLASSES = 64
+OWN_CLASSES = 23  # words that are a class of their own; class 0 is the end of a text
 OWN_ROWS = 2048  # words with a feature number of their own; others share one by their last letters
 SHARED_ROWS = 512
 PAIR_ROWS = 1 << 13
