@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .labelled import labelled_sample
+from .labelled import held_out, labelled_sample
 
 MAX_TRAIN = 6_000  # labelled rows, at most half of them toxic
 MAX_LINES = 8_000  # training lines, at most half of them with a toxic token
@@ -248,7 +248,7 @@ def spans(model: Field, text: str | None, marginal: float = SPAN_MARGINAL) -> li
 
 
 def _calibrate(model: Field, x: np.ndarray, y: np.ndarray, share: float) -> None:
-    """Logistic map from evidence to the label, classes weighted to their share among all labels."""
+    """Logistic map from evidence to the label, classes weighted to their share among all labels that are not held out."""
     if not 0 < share < 1 or not len(y) or not 0 < y.mean() < 1:
         model.slope, model.shift = np.zeros(2), float(np.log(max(share, 1e-4) / max(1 - share, 1e-4)))
         return
@@ -330,7 +330,9 @@ def train(
         found = sample.mapInPandas(weighed, f"doc_id {kind}, label int, evidence array<double>").toPandas().sort_values("doc_id", kind="stable")
     finally:
         sample.unpersist()
-    share = labels.where(F.col(label).isNotNull()).agg(F.avg((F.col(label) > 0).cast("double"))).first()[0]
+    key = names.get("doc_id", "doc_id")
+    known = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull() & ~held_out(key))
+    share = known.groupBy(key).agg(F.max((F.col(label) > 0).cast("double")).alias("one")).agg(F.avg("one")).first()[0]
     _calibrate(model, np.array(found["evidence"].tolist()).reshape(-1, 2), found["label"].to_numpy(float), share or 0.0)
     return model
 

@@ -1,8 +1,10 @@
 """What the models may learn from, and how large they are."""
 
+import zlib
+
 import numpy as np
 
-from metaweave.llm import maxent_lm
+from metaweave.llm import maxent_lm, toxicity_crf
 
 
 def test_frequent_words_are_classes_of_their_own():
@@ -10,3 +12,11 @@ def test_frequent_words_are_classes_of_their_own():
     n = maxent_lm.CLASSES
     v = maxent_lm.Vocabulary(words, np.arange(80, 40, -1), 32000, 40, np.full(n, 500.0), np.ones(n))
     assert n == 64 and (maxent_lm.Index(v).inside[:23] == 0).all() and (maxent_lm.Index(v).inside[23:40] < 0).all()
+
+
+def test_held_out_labels_do_not_move_the_calibration(spark):
+    held = lambda i: zlib.crc32(str(i).encode()) % 5 == 0
+    docs = spark.createDataFrame([(i, f"some plain words {i}") for i in range(40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(held(i))) for i in range(40)], "doc_id long, toxic int")
+    assert any(map(held, range(40)))
+    assert toxicity_crf.train(docs, labels).shift == float(np.log(1e-4))
