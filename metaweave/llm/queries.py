@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 from . import quality_fm, sql, toxicity_crf
 from .byte_bpe import round_trip_digests
 from .common import importable, split_pattern, table, tokenizer_path
+from .fill_middle import fill_in_middle, restored
 from .labelled import held_out
 from .line_frequency import line_frequency
 from .maxent_lm import held_out_fold, lm_scores
+from .minmax_dedup import near_duplicates
 from .packing import pack_documents
 from .page_template import extract
 from .simhash import simhash_groups
+from .spelling import spelling_variants
 from .stream_dedup import exact_dedup
 from .warc_zip import round_trip
 
@@ -72,6 +75,20 @@ def op10_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_frequency(table(spark, sf_dir, "documents"))
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle(table(spark, sf_dir, "documents"))
+    back = F.sha2(restored(F.col("output"), F.col("form")), 256).alias("restored_sha256")
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), back)
+
+
+def op12_spelling_gram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op13_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 _ALL = [
     op1_maxent_lm,
     op2_stream_exact_dedup,
@@ -83,6 +100,9 @@ _ALL = [
     op8_page_template,
     op9_simhash_multi_index,
     op10_line_frequency,
+    op11_fill_middle,
+    op12_spelling_gram,
+    op13_minmax_dedup,
 ]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: importable(f) for f in _ALL}
@@ -91,4 +111,7 @@ ORACLE_SQL: dict[str, str] = {
     "op2_stream_exact_dedup": sql.EXACT_DEDUP,
     "op7_zip_warc": sql.WARC_RECORDS,
     "op10_line_frequency": sql.LINE_FREQUENCY,
+    "op11_fill_middle": sql.FILL_MIDDLE,
+    "op12_spelling_gram": sql.SPELLING,
+    "op13_minmax_dedup": sql.NEAR_DUPLICATES,
 }
