@@ -9,7 +9,9 @@ Equal sets are one entry from the start. Every entry is first compared with the
 buckets, and the links found this way give components. Buckets whose entries lie in one component are done. In
 the others, entries outside the bucket's largest component are compared with all entries of other components. So a
 dense group costs links in proportion to its size, and no pair that shares a bucket and could join two components is left
-out. Every link is confirmed on the full sets (64-bit hashes of all shingles), which are made for the candidates only.
+out. Before pairs leave that comparison, a parity sketch of the sets rules out those that differ in too many members; it
+never rules out a pair that is alike. Every link is confirmed on the full sets (64-bit hashes of all shingles), which are
+made once, for the candidates only.
 
 Defined results: NULL, empty and blank texts have an empty set, ``n_shingles`` 0, and are linked with nothing, not even each
 other. A text of one word has that word as its set. Rows with equal sets share a component whatever their
@@ -34,6 +36,7 @@ SHINGLE = 2
 PERMUTATIONS = 120
 ROWS = 6  # signature values in a band
 SEED = 42
+SKETCH = 32  # 64-bit words
 _CHUNK = 2048
 _FILE, _POS = "file", "pos"
 
@@ -99,9 +102,23 @@ def signed(text: Column, shingle: int, permutations: int, rows: int, seed: int)
     return F.pandas_udf(batch, "n long, digest binary, keys array<long>")(text)
 
 
+def parity_sketch(members: np.ndarray, words: int = SKETCH) -> np.ndarray:
+    """``words`` * 64 bits; every member flips one.
+
+    Two sketches differ in no more bits than their sets have members that the other lacks.
+    """
+    flips = np.bincount((members & np.uint64(words * 64 - 1)).astype(np.int64), minlength=words * 64) & 1
+    return np.packbits(flips.astype(np.uint8), bitorder="little").view("<i8")
+
+
 def full_set(text: Column, shingle: int) -> Column:
-    """The hashes of all different shingles."""
-    return F.pandas_udf(lambda texts: pd.Series([shingle_hashes(t, shingle).view(np.int64) for t in texts]), "array<long>")(text)
+    """A struct of the hashes of all different shingles (``members``) and their parity ``sketch``."""
+
+    def batch(texts: pd.Series) -> pd.DataFrame:
+        sets = [shingle_hashes(t, shingle) for t in texts]
+        return pd.DataFrame({"members": [s.view(np.int64) for s in sets], "sketch": [parity_sketch(s) for s in sets]})
+
+    return F.pandas_udf(batch, "members array<long>, sketch array<long>")(text)
 
 
 def _alike(n: str, m: str, similarity: int) -> Column:
@@ -109,22 +126,19 @@ def _alike(n: str, m: str, similarity: int) -> Column:
     return 100 * F.least(n, m) >= similarity * F.greatest(n, m)
 
 
-class _Confirm:
-    """Checks pairs ``a``, ``b`` of set numbers on their full sets."""
+def _may_be(x: str, y: str, n: str, m: str, similarity: int) -> Column:
+    """Sketches that allow the similarity at all: exact, since they never differ in too many bits."""
+    differ = sum((F.bit_count(F.get(x, F.lit(i)).bitwiseXOR(F.get(y, F.lit(i)))) for i in range(SKETCH)), F.lit(0))
+    return (100 + similarity) * differ <= (100 - similarity) * (F.col(n) + F.col(m))
 
-    def __init__(self, docs: DataFrame, sets: DataFrame, shingle: int, similarity: int):
-        self.docs, self.sets, self.shingle, self.similarity = docs, sets, shingle, similarity
 
-    def __call__(self, pairs: DataFrame) -> DataFrame:
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
-        places = saved(self.sets.join(wanted, "sid").select("sid", f"place.{_FILE}", f"place.{_POS}"), "near-wanted")
-        texts = join_narrow(self.docs, places, [_FILE, _POS], "inner")
-        full = saved(texts.select("sid", full_set(F.col("text"), self.shingle).alias("members")), "near-sets")
-        left = full.select(F.col("sid").alias("a"), F.col("members").alias("x"))
-        right = full.select(F.col("sid").alias("b"), F.col("members").alias("y"))
-        both = F.size(F.array_intersect("x", "y"))
-        sure = 100 * both >= self.similarity * (F.size("x") + F.size("y") - both)
-        return saved(pairs.join(left, "a").join(right, "b").where(sure).select("a", "b"), "near-links")
+def _confirmed(pairs: DataFrame, full: DataFrame, similarity: int) -> DataFrame:
+    """The pairs ``a``, ``b`` whose full sets are alike."""
+    left = full.select(F.col("sid").alias("a"), F.col("members").alias("x"))
+    right = full.select(F.col("sid").alias("b"), F.col("members").alias("y"))
+    both = F.size(F.array_intersect("x", "y"))
+    sure = 100 * both >= similarity * (F.size("x") + F.size("y") - both)
+    return saved(pairs.join(left, "a").join(right, "b").where(sure).select("a", "b"), "near-links")
 
 
 def _crowded(sets: DataFrame) -> DataFrame:
@@ -134,17 +148,29 @@ def _crowded(sets: DataFrame) -> DataFrame:
     return entries.join(hubs, "key")
 
 
-def _across(entries: DataFrame, roots: DataFrame, similarity: int) -> DataFrame:
-    """Pairs that share a bucket, lie in different components and were not compared yet."""
+def _full_sets(docs: DataFrame, sets: DataFrame, entries: DataFrame, shingle: int) -> DataFrame:
+    """``sid``, ``members`` and ``sketch`` of every set that shares a bucket."""
+    places = sets.join(entries.select("sid").distinct(), "sid").select("sid", f"place.{_FILE}", f"place.{_POS}")
+    texts = join_narrow(docs, saved(places, "near-places"), [_FILE, _POS], "inner")
+    full = texts.select("sid", full_set(F.col("text"), shingle).alias("x"))
+    return saved(full.select("sid", "x.members", "x.sketch"), "near-sets")
+
+
+def _across(entries: DataFrame, roots: DataFrame, full: DataFrame, similarity: int) -> DataFrame:
+    """Pairs that share a bucket, lie in different components, were not compared yet, and may be alike."""
     own = entries.join(roots.select(F.col("node").alias("sid"), "root"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     own = saved(own, "near-marked")
     each = own.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c"))
     main = each.groupBy("key").agg(F.max_by("root", F.struct("c", "root")).alias("main"), F.count(F.lit(1)).alias("roots"))
-    own = saved(own.join(main.where("roots > 1").drop("roots"), "key"), "near-mixed")
-    probes = own.where("root <> main").select("key", F.col("sid").alias("p"), F.col("n").alias("m"), F.col("root").alias("p_root"))
+    own = own.join(main.where("roots > 1").drop("roots"), "key")
+    own = saved(own.join(full.select("sid", "sketch"), "sid"), "near-mixed")
+    probes = own.where("root <> main").select(
+        "key", F.col("sid").alias("p"), F.col("n").alias("m"), F.col("root").alias("p_root"), F.col("sketch").alias("p_sketch")
+    )
     once = (F.col("root") == F.col("main")) | (F.col("p") < F.col("sid"))
     new = (F.col("sid") != F.col("hub")) & (F.col("p") != F.col("hub"))
-    found = probes.join(own, "key").where((F.col("p_root") != F.col("root")) & once & new & _alike("n", "m", similarity))
+    fit = _alike("n", "m", similarity) & _may_be("sketch", "p_sketch", "n", "m", similarity)
+    found = probes.join(own, "key").where((F.col("p_root") != F.col("root")) & once & new & fit)
     return found.select(F.least("p", "sid").alias("a"), F.greatest("p", "sid").alias("b")).distinct()
 
 
@@ -167,15 +193,14 @@ def near_duplicates(
     )
     sets = saved(sets.withColumn("sid", F.monotonically_increasing_id()), "near-unique")
 
-    confirm = _Confirm(own, sets, shingle, similarity)
     entries = saved(_crowded(sets), "near-entries")
+    full = _full_sets(own, sets, entries, shingle)
     sized = sets.select(F.col("sid").alias("hub"), F.col("n").alias("m"))
     stars = entries.where("hub < sid").select("hub", "sid", "n").distinct().join(sized, "hub").where(_alike("n", "m", similarity))
-    links = confirm(saved(stars.select(F.col("hub").alias("a"), F.col("sid").alias("b")), "near-pairs"))
+    links = _confirmed(stars.select(F.col("hub").alias("a"), F.col("sid").alias("b")), full, similarity)
     roots = components(links, "a", "b")
-    more = saved(_across(entries, roots, similarity), "near-pairs")
+    more = _confirmed(_across(entries, roots, full, similarity), full, similarity)
     if not more.isEmpty():
-        more = confirm(more)
         roots = components(more.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))), "a", "b")
 
     placed = sets.select("digest", "sid", "least").join(roots, F.col("sid") == F.col("node"), "left")
