@@ -146,8 +146,8 @@ def near_pairs(words: list[str], blocks: np.ndarray, choice: np.ndarray, tiles:
     spelled = np.zeros((len(words), base + 1), np.uint8)
     spelled[np.arange(base + 1) < lengths[:, None]] = flat
     used = np.flatnonzero(counts.any(0))
-    # sums of products stay exact: below 2^24 in single precision, below 2^53 in double
-    x = counts[:, used].astype(np.float32 if (base + 1) ** 2 < 1 << 24 else np.float64)
+    # twice the sums of products stay exact: below 2^24 in single precision, below 2^53 in double
+    x = counts[:, used].astype(np.float32 if (base + 1) ** 2 < 1 << 23 else np.float64)
     norm = (x * x).sum(1)
     short = np.flatnonzero(lengths == base)
     hashes = by.hashes(counts)

@@ -15,11 +15,13 @@ COLUMNS = {
     "op6": "doc_id n_tokens ids_sha256 decoded_sha256",
     "op8": "page_id url text n_chars",
     "op9": "doc_id fingerprint component_id",
+    "op11": "doc_id n form prefix_chars middle_chars output_sha256 restored_sha256",
+    "op13": "doc_id n_shingles component_id kept",
 }
 
 
 def test_all_are_registered():
-    assert [f"op{n}" for n in range(1, 11)] == sorted((q.split("_")[0] for q in QUERIES), key=lambda x: int(x[2:]))
+    assert [f"op{n}" for n in range(1, 14)] == sorted((q.split("_")[0] for q in QUERIES), key=lambda x: int(x[2:]))
     assert set(QUERIES) | {"pipeline"} <= set(queries()) and set(ORACLE_SQL) <= set(oracle_sql())
     assert queries()["pipeline"] is corpus_pipeline.run
 
