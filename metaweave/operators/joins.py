@@ -27,6 +27,11 @@ from pyspark.sql.types import StringType
 from metaweave.operators.schema import c
 from metaweave.session import materialize
 
+#: Rows of a table with the same key that an N-way join gathers in one place.
+CELL_ROWS = 10_000
+#: Hot keys that are listed in the plan; more of them are joined as a table.
+HOT_LISTED = 10_000
+
 _HOW = {"inner", "left", "right", "full", "left_semi", "left_anti"}
 
 
@@ -178,15 +183,16 @@ def full_join_na(left: DataFrame, right: DataFrame, by: Sequence[str] | None = N
 
 
 def join_all_na(tables: Mapping[str, DataFrame], by: Sequence[str] | None = None, how: str = "full",
-                pattern: str | None = "id") -> DataFrame:
+                pattern: str | None = "id", unique: Sequence[str] = (), cell_rows: int = CELL_ROWS) -> DataFrame:
     """N-way join of a catalogue on the same ``by`` keys (or on the names that all tables share and that match ``pattern``).
 
     Suffix policy: a non-key column that appears in more than one table (names compared as the session
     does) is renamed ``{column}_{table}`` in every table that has it, so no name depends on the fold order. Keys of
     different types are brought to their common type, text if one of them is text.
 
-    Folds ``join_na`` left to right; for ``how='full'`` each step writes its inputs once, so the
-    plan does not grow with the number of tables and a hot key of any table is split.
+    ``full``, ``inner`` and ``left`` joins move every row once, whatever the number of tables (:func:`_join_cells`); no input is
+    written. Tables named in ``unique`` hold each key once, which is checked on the way (a repeated key raises); the others are
+    first searched for hot keys in a job of their own. The other kinds fold ``join_na`` left to right.
     """
     names = list(tables)
     if not names:
@@ -216,9 +222,87 @@ def join_all_na(tables: Mapping[str, DataFrame], by: Sequence[str] | None = None
             else:
                 cols.append(c(x).alias(f"{x}_{name}" if seen[norm(x)] > 1 else x))
         shaped.append(df.select(*cols))
+    if how in ("full", "inner", "left") and len(shaped) > 1:
+        return _join_cells(shaped, by, how, cell_rows, [x in unique for x in names])
     return reduce(lambda a, b: join_na(a, b, by, how=how), shaped)
 
 
+def _hot_keys(tables: Sequence[DataFrame], by: Sequence[str], cell_rows: int, single: Sequence[bool]) -> DataFrame | None:
+    """The keys (``__k0``, ...) of which a table holds more than ``cell_rows`` rows, and the cuts of each table (``__s0``, ...).
+
+    One job over the key columns, combined before the shuffle. No more than ``HOT_LISTED`` keys come to the driver; if there
+    are more, the counts stay a table of the plan. None if there are no such keys. Tables with ``single`` rows are not read.
+    """
+    keys = [f"__k{i}" for i in range(len(by))]
+    parts = [df.select(*[c(k).alias(x) for k, x in zip(by, keys)], F.lit(i).alias("__t")) for i, df in enumerate(tables) if not single[i]]
+    if not parts:
+        return None
+    cuts = [F.ceil(F.count_if(F.col("__t") == i) / cell_rows) for i in range(len(tables))]
+    each = reduce(DataFrame.unionAll, parts).groupBy(*keys)
+    hot = each.agg(*[F.greatest(F.lit(1), x).cast("long").alias(f"__s{i}") for i, x in enumerate(cuts)])
+    hot = hot.where(F.greatest(*[F.col(f"__s{i}") for i in range(len(tables))]) > 1)
+    listed = hot.limit(HOT_LISTED + 1).collect()
+    if not listed:
+        return None
+    if len(listed) > HOT_LISTED:
+        return hot
+    return F.broadcast(tables[0].sparkSession.createDataFrame(listed, hot.schema))
+
+
+def _join_cells(tables: Sequence[DataFrame], by: Sequence[str], how: str, cell_rows: int, single: Sequence[bool]) -> DataFrame:
+    """N-way join in one exchange: rows tagged by table, gathered by key, and each group expanded by table.
+
+    A key with more than ``cell_rows`` rows in a table is dealt over a grid: table ``i`` is cut into ``s_i`` parts by a hash of
+    the row, and a row of part ``j`` goes to all cells whose ``i``-th coordinate is ``j``. Every combination of rows
+    meets in exactly one cell, and no cell holds more than about ``cell_rows`` rows of a table (rows that are equal in all
+    columns share a part). Where a table lacks the key, its columns are NULL (``full``; ``left`` but for the
+    first table), or the key is left out.
+    """
+    n, keys = len(tables), [f"__k{i}" for i in range(len(by))]
+    values = [[x for x in df.columns if x not in by] for df in tables]
+    packed = []
+    for i, df in enumerate(tables):
+        fields = [c(x).alias(f"v{j}") for j, x in enumerate(values[i])] or [F.lit(True).alias("v0")]
+        packed.append(df.select(*[c(k).alias(x) for k, x in zip(by, keys)], F.struct(*fields).alias("__v")))
+    kinds = [df.schema["__v"].dataType for df in packed]
+    tagged = reduce(DataFrame.unionAll, [
+        df.select(*keys, F.lit(i).alias("__t"), *[F.col("__v") if j == i else F.lit(None).cast(kinds[j]).alias(f"__v{j}") for j in range(n)])
+        .toDF(*keys, "__t", *[f"__v{j}" for j in range(n)])
+        for i, df in enumerate(packed)
+    ])
+    cells, cuts = [], [F.lit(1)] * n
+    hot = _hot_keys(tables, by, cell_rows, single)
+    if hot is not None:
+        hot = hot.toDF(*[f"__h{x}" for x in keys], *[f"__s{i}" for i in range(n)])
+        same = reduce(lambda a, b: a & b, [F.col(x).eqNullSafe(F.col(f"__h{x}")) for x in keys])
+        tagged = tagged.join(hot, same, "left").fillna(1, [f"__s{i}" for i in range(n)])
+        row = F.xxhash64(*[f"__v{i}" for i in range(n)])
+        cuts = [F.col(f"__s{i}") for i in range(n)]
+        for i, cut in enumerate(cuts):
+            own = F.when(F.col("__t") == i, F.array(F.pmod(row, cut))).otherwise(F.sequence(F.lit(0).cast("long"), cut - 1))
+            tagged = tagged.withColumn(f"__c{i}", F.explode(own))
+            cells += [f"__c{i}", f"__s{i}"]
+    out = tagged.groupBy(*keys, *cells).agg(*[F.collect_list(f"__v{i}").alias(f"__l{i}") for i in range(n)])
+    for i, cut in enumerate(cuts):
+        rows = F.col(f"__l{i}")
+        if single[i]:
+            twice = F.concat(F.lit(f"join_all_na: table {i} is not unique on {list(by)}: "), F.to_json(F.struct(*keys)))
+            one = F.when(F.size(rows) > 1, F.raise_error(twice).cast(kinds[i])).otherwise(F.get(rows, F.lit(0)))
+            out = out.withColumn(f"__x{i}", one).drop(f"__l{i}")
+            if how == "inner" or (how == "left" and i == 0):
+                out = out.where(F.col(f"__x{i}").isNotNull())
+            continue
+        if how == "full" or (how == "left" and i > 0):
+            # a table that is cut has the key, so an empty part of it adds nothing
+            rows = F.when((F.size(rows) == 0) & (cut == 1), F.array(F.lit(None).cast(kinds[i]))).otherwise(rows)
+        out = out.withColumn(f"__x{i}", F.explode(rows)).drop(f"__l{i}")
+    cols = {k: c(x) for k, x in zip(by, keys)}
+    picked = [cols.get(x, F.col(f"__x0.v{values[0].index(x)}") if x in values[0] else None).alias(x) for x in tables[0].columns]
+    for i in range(1, n):
+        picked += [F.col(f"__x{i}.v{j}").alias(x) for j, x in enumerate(values[i])]
+    return out.select(*picked)
+
+
 # ----------------------------------------------------------------------------- membership
 
 def _key(df: DataFrame, on: str | Column, derive: Callable[[Column], Column] | None) -> Column:

@@ -132,5 +132,5 @@ def join_all_found_keys(spark: SparkSession, d: str) -> DataFrame:
     o = table(spark, d, "orders").groupBy(F.col("o_custkey").alias("cust_id")).agg(F.count(F.lit(1)).alias("N"))
     e = table(spark, d, "events").groupBy(F.col("user_id").alias("cust_id")).agg(F.count(F.lit(1)).alias("n"))
     cu = table(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("cust_id"), "c_name")
-    out = join_all_na({"customer": cu, "orders": o, "events": e})
+    out = join_all_na({"customer": cu, "orders": o, "events": e}, unique=("customer", "orders", "events"))
     return out.toDF("cust_id", "c_name", "n_orders", "n_events")

@@ -177,7 +177,7 @@ def join_all_fold(spark: SparkSession, d: str) -> DataFrame:
     o = table(spark, d, "orders").groupBy(shifted("o_custkey", F.col("o_orderstatus") == "P")).agg(F.count(F.lit(1)).alias("n"), F.max("o_totalprice").alias("top"))
     ev = table(spark, d, "events").groupBy(F.col("user_id").alias("cust_id")).agg(
         F.count(F.lit(1)).alias("n"), F.max("value").alias("top"))
-    return join_all_na({"customer": cu, "orders": o, "events": ev}, by=["cust_id"])
+    return join_all_na({"customer": cu, "orders": o, "events": ev}, by=["cust_id"], unique=("customer", "orders", "events"))
 
 
 def _docs(spark: SparkSession, d: str) -> DataFrame:

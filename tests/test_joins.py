@@ -1,6 +1,9 @@
+import itertools
+
 import pytest
 from pyspark.sql import functions as F
 
+from metaweave.operators import joins  # noqa: F401
 from metaweave.operators import (
     flag_membership, full_join_na, join_all_na, join_na, join_on, match_any, natural_join, restrict_to, shared_keys,
 )
@@ -190,3 +193,73 @@ def test_join_all_matches_pairwise_fold_with_dups_and_nulls(spark):
     assert nway.columns == fold.columns == ["k", "x", "y", "z"]
     assert rows(nway) == rows(fold)
     assert len(rows(nway)) == 4 + 1 + 3  # key 1: 2x1x2, NULL: 1x1x1, keys 2, 3, 4 one row each
+
+
+def _product(tables, how):
+    """Every combination of the rows of a key; a table without the key counts as one row of NULLs (``how`` permitting)."""
+    out = []
+    for k in {r[0] for t in tables for r in t}:
+        parts = [[r[1:] for r in t if r[0] == k] for t in tables]
+        if how == "inner" and not all(parts) or how == "left" and not parts[0]:
+            continue
+        parts = [p or [(None,) * (len(t[0]) - 1)] for p, t in zip(parts, tables)]
+        out += [(k, *[v for r in combo for v in r]) for combo in itertools.product(*parts)]
+    return sorted(out, key=str)
+
+
+def _three_tables(n_hot=60):
+    a = [(1, "a1")] * 2 + [(None, f"n{i}") for i in range(7)] + [(5, f"h{i}") for i in range(n_hot)] + [(2, None)]
+    b = [(1, 10), (None, 11), (5, None), (9, 12)] + [(5, i) for i in range(25)]
+    d = [(5, 0.5), (5, 1.5), (2, 2.5), (7, 3.5), (None, 4.5)]
+    return a, b, d
+
+
+@pytest.mark.parametrize("how", ["full", "inner", "left"])
+@pytest.mark.parametrize("cell_rows,listed", [(10_000, 100), (10, 100), (10, 0), (1, 100)])
+def test_join_all_equals_the_product_of_each_key(spark, monkeypatch, how, cell_rows, listed):
+    """At any number of cells, with hot keys listed or joined as a table."""
+    monkeypatch.setattr(joins, "HOT_LISTED", listed)
+    tables = _three_tables()
+    frames = {n: spark.createDataFrame(t, s) for n, t, s in zip("abd", tables, ("k int, x string", "k int, y long", "k int, z double"))}
+    out = join_all_na(frames, by=["k"], how=how, cell_rows=cell_rows)
+    assert out.columns == ["k", "x", "y", "z"]
+    assert sorted(map(tuple, out.collect()), key=str) == _product(tables, how)
+
+
+def test_join_all_moves_rows_once(spark):
+    frames = {f"t{i}": spark.range(0, 2000).select((F.col("id") * (i + 1)).alias("k"), F.col("id").alias(f"v{i}")) for i in range(5)}
+    out = join_all_na(frames, by=["k"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+    assert out.count() == len({k * (i + 1) for i in range(5) for k in range(2000)})
+
+
+def test_join_all_deals_a_hot_key_over_cells(spark):
+    """A third of the rows share a key; no group holds more than a few cells' worth of them."""
+    n = 6000
+    a = spark.range(0, n).select(F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id")).alias("k"), F.col("id").alias("a"))
+    b = spark.createDataFrame([(None, 1), (None, 2), (4, 3)], "k long, b int")
+    d = spark.range(0, 10).select(F.col("id").alias("k"), F.col("id").alias("d"))
+    out = join_all_na({"a": a, "b": b, "d": d}, by=["k"], cell_rows=100)
+    assert out.where("k IS NULL").count() == 2 * n // 3
+    assert out.where("k IS NULL AND d IS NOT NULL").count() == 0 and out.where("k = 4").count() == 1
+    counts = out.groupBy("a").count().where("a % 3 = 0").agg(F.min("count"), F.max("count")).first()
+    assert tuple(counts) == (2, 2)
+
+
+def test_join_all_of_tables_with_keys_only_and_empty_tables(spark):
+    a = spark.createDataFrame([(1,), (1,), (None,)], "k int")
+    b = spark.createDataFrame([], "k int, y int")
+    assert rows(join_all_na({"a": a, "b": b}, by=["k"])) == [(None, None), (1, None), (1, None)]
+    assert join_all_na({"a": a, "b": b}, by=["k"], how="inner").count() == 0
+    assert join_all_na({"a": b, "b": b}, by=["k"]).columns == ["k", "y_a", "y_b"]
+
+
+@pytest.mark.parametrize("how", ["full", "inner", "left"])
+def test_join_all_of_unique_tables_needs_no_search_and_checks_them(spark, how):
+    tables = [[(1, "a"), (None, "n"), (2, "b")], [(1, 10), (3, 11)], [(1, 0.5), (1, 1.5), (2, 2.5), (None, 1.0)]]
+    frames = {n: spark.createDataFrame(t, s) for n, t, s in zip("abd", tables, ("k int, x string", "k int, y long", "k int, z double"))}
+    out = join_all_na(frames, by=["k"], how=how, unique=["a", "b"])
+    assert sorted(map(tuple, out.collect()), key=str) == _product(tables, how)
+    with pytest.raises(Exception, match="not unique"):
+        join_all_na(frames, by=["k"], how=how, unique=["a", "b", "d"]).collect()
