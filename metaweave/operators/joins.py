@@ -346,20 +346,77 @@ def flag_membership(df: DataFrame, ids: DataFrame, on: str | Column, out: str, i
     return joined.withColumn(out, flag).drop("__mk", "__fk", "__hit")
 
 
+#: Stands for anything that is not a required literal while a pattern is taken apart; in no way part of a literal.
+_GAP = "\u0001"
+_LITERAL = 3  # code points of the literals that are indexed
+#: Patterns without a required literal that are sent to every task; more of them are dealt into blocks.
+LOOSE_PATTERNS = 10_000
+
+
+def required_literals(pattern: Column) -> Column:
+    """Literals that any match of a Java regex holds, as their pieces of three code points; empty if none is certain.
+
+    Escapes, classes, groups, wildcards, anchors and whatever a quantifier makes optional are cut out; what is left between
+    the cuts must occur as it stands. Flags, alternatives, back references and the like are not taken apart.
+    """
+    unsure = pattern.contains("(?") | F.regexp_like(pattern, F.lit(r"\\[pPxucNkQE0-9]|\[\^?\]|\[[^\]]*\["))
+    s = pattern
+    for cut in (r"(?s)\\.", r"\[[^\]]*\]", *[r"\([^()]*\)(?:[?*+]|\{[^}]*\})?[?+]?"] * 4, r"(?s).(?:\?|\*|\{[^}]*\})[?+]?", r"\+[?+]?", r"[\^$.{}]"):
+        s = F.regexp_replace(s, cut, _GAP)
+    unsure = unsure | F.regexp_like(s, F.lit(r"[()|\[\]]")) | pattern.contains(_GAP)
+    pieces = F.transform(F.split(s, _GAP), _pieces)
+    return F.when(unsure, F.array().cast("array<string>")).otherwise(F.array_distinct(F.flatten(pieces)))
+
+
+def _pieces(text: Column) -> Column:
+    """All stretches of three code points."""
+    n = F.length(text) - (_LITERAL - 1)
+    every = F.transform(F.sequence(F.lit(1), n), lambda i: F.substring(text, i, _LITERAL))
+    return F.when(n > 0, every).otherwise(F.array().cast("array<string>"))
+
+
+def _match_regexes(values: DataFrame, pats: DataFrame, blocks: int) -> DataFrame:
+    """The values ``__x`` that hold a match of any pattern ``__p``."""
+    # a plain alternative is a pattern of its own
+    parts = F.when(F.regexp_like("__p", F.lit(r"[(\[\\]")), F.array("__p")).otherwise(F.split("__p", r"\|"))
+    pats = pats.select(F.explode(parts).alias("__p")).distinct().withColumn("__g", required_literals(F.col("__p")))
+
+    # index: the pieces that patterns ask for, and the values that hold them
+    asked = pats.select("__p", F.explode("__g").alias("__g"))
+    held = values.select("__x", F.explode(F.array_distinct(_pieces(F.col("__x")))).alias("__g")).join(asked.select("__g").distinct(), "__g", "left_semi")
+    found = held.groupBy("__g").agg(F.count(F.lit(1)).alias("__n"))
+    # a pattern with a piece that no value holds matches none; of the others the rarest piece leads to the candidates
+    rated = asked.join(found, "__g", "left").groupBy("__p").agg(F.min(F.struct(F.coalesce("__n", F.lit(0)).alias("n"), F.col("__g").alias("g"))).alias("r"))
+    rarest = rated.where("r.n > 0").select("__p", F.col("r.g").alias("__g"))
+    matched = held.join(rarest, "__g").where(F.regexp_like("__x", F.col("__p"))).select("__x")
+
+    loose = pats.where(F.size("__g") == 0).select("__p")
+    listed = loose.limit(LOOSE_PATTERNS + 1).collect()
+    if listed and len(listed) <= LOOSE_PATTERNS:
+        bounded = F.broadcast(loose.sparkSession.createDataFrame(listed, loose.schema))
+        matched = matched.unionByName(values.join(bounded, F.regexp_like("__x", F.col("__p")), "left_semi"))
+    elif listed:
+        dealt = loose.select("__p", F.pmod(F.xxhash64("__p"), F.lit(blocks)).alias("__pb"))
+        each = values.select("__x", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("__xb"))
+        hit = (F.col("__xb") == F.col("__pb")) & F.regexp_like(F.col("__x"), F.col("__p"))
+        matched = matched.unionByName(each.join(dealt, hit, "left_semi").select("__x"))
+    return matched.distinct()
+
+
 def match_any(df: DataFrame, column: str, patterns: DataFrame, pattern_column: str | None = None,
               mode: str = "regex", keep: bool = True, blocks: int = 32) -> DataFrame:
     """Keep (or drop) rows whose ``column`` matches any pattern of a pattern table.
 
     ``mode='prefix'``: patterns are literal prefixes. Every value is cut at the lengths that occur among
     the patterns (a join with the table of lengths) and the cuts are semi joined: equi-joins only.
-    ``mode='regex'``: Java regexes searched anywhere. Every value meets every pattern, which no index
-    avoids; the patterns are dealt into ``blocks`` by hash and the values go to each block, an equi-join
-    on the block that AQE may broadcast when it measures a small side.
-
-    One plan for any number of patterns, without a job at build time. Matching runs on the distinct values of
-    ``column`` and the result is semi/anti joined back, so each row is kept at most once. NULL
-    values never match and are dropped in both modes (a NULL match result filters the row out).
-    An empty pattern table matches nothing.
+    ``mode='regex'``: Java regexes searched anywhere. Patterns are indexed by the rarest stretch of three characters that each of them
+    must contain; values meet their candidates by an equi-join and are verified, so a value is tested
+    against few patterns however many there are. Patterns without such a stretch (counted; a small job of its own)
+    are tested against every value: sent to all tasks, or beyond ``LOOSE_PATTERNS`` dealt into ``blocks`` by hash.
+
+    Matching runs on the distinct values of ``column`` and the result is semi/anti joined back, so each row is kept at
+    most once. NULL values never match and are dropped in both modes (a NULL match result filters the row out).
+    An empty pattern table matches nothing. A pattern that is not a regex raises when a value is tested against it.
     """
     pattern_column = pattern_column or patterns.columns[0]
     pats = patterns.select(c(pattern_column).alias("__p")).filter(F.col("__p").isNotNull()).distinct()
@@ -371,10 +428,7 @@ def match_any(df: DataFrame, column: str, patterns: DataFrame, pattern_column: s
         cuts = cuts.select("__x", F.expr("substring(__x, 1, __n)").alias("__p"))
         matched = cuts.join(pats, "__p", "left_semi").select("__x").distinct()
     elif mode == "regex":
-        dealt = pats.select("__p", F.pmod(F.xxhash64("__p"), F.lit(blocks)).alias("__pb"))
-        each = values.select("__x", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("__xb"))
-        hit = (F.col("__xb") == F.col("__pb")) & F.regexp_like(F.col("__x"), F.col("__p"))
-        matched = each.join(dealt, hit, "left_semi").select("__x").distinct()
+        matched = _match_regexes(values, pats, blocks)
     else:
         raise ValueError(f"match_any: unknown mode {mode!r}")
 

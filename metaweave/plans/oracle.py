@@ -314,6 +314,17 @@ WHERE NOT EXISTS (SELECT 1 FROM customer e WHERE e.c_acctbal < 0 AND e.c_mktsegm
                   AND left(e.c_name, length(e.c_name) - 1) = left(c.c_name, length(c.c_name) - 1))"""
     q["match_any_pattern"] = """
 SELECT p_partkey, p_name FROM part WHERE regexp_matches(p_name, '^red') OR regexp_matches(p_name, '^blue')"""
+    q["match_any_regex_set"] = """
+WITH l AS (
+  SELECT p_partkey, concat_ws(' ', p_name, p_brand, p_type, lpad(CAST(p_partkey AS VARCHAR), 7, '0')) AS label, p_size, p_name, p_brand, p_type,
+         lpad(CAST(p_partkey AS VARCHAR), 7, '0') AS k FROM part
+), p AS (
+  SELECT CASE p_partkey % 4 WHEN 0 THEN '^' || p_name || '.*' || k || '$' WHEN 1 THEN p_brand || ' [A-Z]+ ' || k
+              WHEN 2 THEN k || '$|^no such part|' || p_type || ' ' || k
+              ELSE p_type || '( |-)0+' || CAST(p_partkey AS VARCHAR) || '$' END AS pattern
+  FROM l WHERE p_size <= 25
+)
+SELECT p_partkey, label FROM l WHERE EXISTS (SELECT 1 FROM p WHERE regexp_matches(l.label, p.pattern))"""
     q["match_any_prefix"] = """
 SELECT c_custkey, c_name FROM customer c
 WHERE EXISTS (SELECT 1 FROM customer p WHERE p.c_acctbal > 9000

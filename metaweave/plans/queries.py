@@ -253,6 +253,23 @@ def match_any_pattern(spark: SparkSession, d: str) -> DataFrame:
     return match_any(table(spark, d, "part").select("p_partkey", "p_name"), "p_name", patterns, mode="regex")
 
 
+@query
+def match_any_regex_set(spark: SparkSession, d: str) -> DataFrame:
+    """A pattern for about every second part, searched in the labels of all parts."""
+    parts = table(spark, d, "part")
+    key = F.lpad(F.col("p_partkey").cast("string"), 7, "0")
+    labels = parts.select("p_partkey", F.concat_ws(" ", "p_name", "p_brand", "p_type", key).alias("label"))
+    some = parts.where("p_size <= 25")
+    kind = F.col("p_partkey") % 4
+    patterns = some.select(
+        F.when(kind == 0, F.concat(F.lit("^"), "p_name", F.lit(".*"), key, F.lit("$")))
+        .when(kind == 1, F.concat("p_brand", F.lit(" [A-Z]+ "), key))
+        .when(kind == 2, F.concat(key, F.lit("$|^no such part|"), "p_type", F.lit(" "), key))
+        .otherwise(F.concat("p_type", F.lit("( |-)0+"), F.col("p_partkey").cast("string"), F.lit("$"))).alias("pattern")
+    )
+    return match_any(labels, "label", patterns, mode="regex")
+
+
 @query
 def match_any_prefix(spark: SparkSession, d: str) -> DataFrame:
     cu = table(spark, d, "customer")

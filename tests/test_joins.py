@@ -1,4 +1,6 @@
 import itertools
+import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -263,3 +265,42 @@ def test_join_all_of_unique_tables_needs_no_search_and_checks_them(spark, how):
     assert sorted(map(tuple, out.collect()), key=str) == _product(tables, how)
     with pytest.raises(Exception, match="not unique"):
         join_all_na(frames, by=["k"], how=how, unique=["a", "b", "d"]).collect()
+
+
+LITERALS = [
+    ("^s001x", ["s00", "001", "01x"]), ("ab+cde", ["cde"]), ("abc?", []), ("abcd?", ["abc"]), ("abc{2}def", ["def"]), ("a.bcd", ["bcd"]),
+    (r"abc\.def", ["abc", "def"]), ("[abc]defg", ["def", "efg"]), ("(abc)+def", ["def"]), ("(ab(c|d)e)?fgh", ["fgh"]), ("(?i)abc", []), ("abc|def", []),
+    (r"\x41bcd", []), (r"\Qabc\E", []), ("[]a]bcd", []), ("[a[b]]bcd", []), ("", []), ("ab", []), ("abc*?def", ["def"]), ("(abc", []), ("éüö", ["éüö"]),
+]
+
+
+def test_required_literals(spark):
+    df = spark.createDataFrame([(p,) for p, _ in LITERALS], "p string")
+    got = {r[0]: sorted(r[1]) for r in df.select("p", joins.required_literals(F.col("p"))).collect()}
+    assert got == {p: sorted(x) for p, x in LITERALS}
+
+
+REGEXES = ["^al.ha", "bet[ab]", "gam+a", "x?delta", "(eps|zeta)1", "eta|theta$", "(?i)IOTA", r"kap\.pa", r"\d{3}-lam", "m.", "nu{2,}xx", "", "a|", "omicron.*pi", "rho+", "sig(ma)?", "^$", "tau\\b"]
+
+
+@pytest.mark.parametrize("loose", [10_000, 2])
+@pytest.mark.parametrize("regexes", [REGEXES, [r for r in REGEXES if r not in ("", "a|")], REGEXES[:4], ["zzz", "qqq"]])
+def test_match_any_regex_equals_brute_force(spark, monkeypatch, regexes, loose):
+    monkeypatch.setattr(joins, "LOOSE_PATTERNS", loose)
+    rng = random.Random(1)
+    words = ["alpha", "alha", "beta", "betb", "gamma", "gama", "delta", "xdelta", "eps1", "zeta1", "eta", "theta", "thetax", "iota", "IoTa", "kap.pa", "kappa", "123-lam", "12-lam", "m", "mx", "nuuxx", "nuxx", "omicron", "pi", "rhooo", "rh", "sig", "sigma", "", "tau", "taux"]
+    values = ["".join(rng.choices(words, k=rng.randint(0, 3))) for _ in range(300)] + [" ".join(rng.choices(words, k=3)) for _ in range(200)]
+    df = spark.createDataFrame(list(enumerate(values)) + [(-1, None)], "id int, name string")
+    pats = spark.createDataFrame([(r,) for r in regexes] + [(None,), (regexes[0],)], "p string")
+    want = {i for i, v in enumerate(values) if any(re.search(r, v) for r in regexes)}
+    assert {r["id"] for r in match_any(df, "name", pats).collect()} == want
+    assert {r["id"] for r in match_any(df, "name", pats, keep=False).collect()} == set(range(500)) - want
+
+
+def test_match_any_regex_meets_few_patterns(spark):
+    """10,000 patterns over 20,000 values: the index leads each value to a handful of them."""
+    df = spark.range(20_000).select("id", F.format_string("sample-%05d-x", "id").alias("name"))
+    pats = spark.range(0, 20_000, 2).select(F.format_string("^sample-%05d-[xy]$", "id").alias("p"))
+    out = match_any(df, "name", pats)
+    assert out.agg(F.count(F.lit(1)), F.sum(F.col("id") % 2)).first()[:] == (10_000, 0)
+    assert "NestedLoop" not in out._jdf.queryExecution().executedPlan().toString()
