@@ -21,8 +21,11 @@ WITH d AS (
   FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
 ), dup AS (
   SELECT uid, count(*) - count(DISTINCT line) AS n_dup_lines FROM lw GROUP BY uid
+), hosts AS (
+  SELECT source, greatest(5, 0.05 * count(DISTINCT t)) AS most FROM d GROUP BY source
 ), freq AS (
-  SELECT source, norm FROM lw GROUP BY source, norm HAVING count(DISTINCT uid) > 20
+  SELECT lw.source, norm FROM lw JOIN d USING (uid) JOIN hosts ON lw.source IS NOT DISTINCT FROM hosts.source
+  GROUP BY lw.source, norm, most HAVING count(DISTINCT t) > most
 ), lost AS (
   SELECT lw.uid, sum(length(lw.norm) - length(replace(lw.norm, ' ', '')) + 1) AS n_removed_words
   FROM lw JOIN freq ON lw.norm = freq.norm AND lw.source IS NOT DISTINCT FROM freq.source GROUP BY lw.uid
