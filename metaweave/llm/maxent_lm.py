@@ -208,9 +208,9 @@ def vocabulary(counts: DataFrame, table_words: int = TABLE_WORDS) -> Vocabulary:
     held = np.cumsum([v for _, v in bins])
     fit = int(np.searchsorted(held, table_words, side="right"))
     least = bins[fit - 1][0] if fit else None
-    top = counts.where("word <> ''").where(size >= least if fit else F.lit(False)).toPandas()
-    top = top.sort_values(["n", "word"], ascending=[False, True])
-    own = top["word"].tolist()[:OWN_CLASSES]
+    top = counts.where("word <> ''").where(size >= least if fit else F.lit(False)).select("word", "n").toArrow()
+    top = top.sort_by([("n", "descending"), ("word", "ascending")])
+    own = top["word"][:OWN_CLASSES].to_pylist()
     cls = F.when(F.col("word") == "", F.lit(0))
     for i, w in enumerate(own):
         cls = cls.when(F.col("word") == w, F.lit(i + 1))
@@ -218,9 +218,8 @@ def vocabulary(counts: DataFrame, table_words: int = TABLE_WORDS) -> Vocabulary:
     totals, words = np.zeros(CLASSES), np.zeros(CLASSES)
     for r in per:
         totals[r["c"]], words[r["c"]] = r["n"], r["v"]
-    return Vocabulary(
-        [w.encode() for w in top["word"]], top["n"].to_numpy(np.int64), int(totals.sum()), int(words.sum()), totals, words
-    )
+    known = top["word"].cast("binary").to_pylist()
+    return Vocabulary(known, top["n"].to_numpy().astype(np.int64), int(totals.sum()), int(words.sum()), totals, words)
 
 
 def _summed(parts: DataFrame, n: int) -> np.ndarray | None:
@@ -236,12 +235,11 @@ def _summed(parts: DataFrame, n: int) -> np.ndarray | None:
         if total is not None:
             yield pd.DataFrame({"w": [total.tobytes()], "weight": [seen]})
 
-    while n > FAN_IN:
+    while n > 1:
         n = -(-n // FAN_IN)
         parts = parts.repartition(n).mapInPandas(add, "w binary, weight double")
-    rows = parts.collect()
-    seen = sum(r["weight"] for r in rows)
-    return sum(np.frombuffer(r["w"], np.float32).astype(np.float64) for r in rows) / seen if seen else None
+    rows = parts.toArrow()  # one row, or none
+    return np.frombuffer(rows["w"][0].as_py(), np.float32) / np.float32(rows["weight"][0].as_py()) if len(rows) else None
 
 
 def train_weights(train: DataFrame, text: str, vocab, prior: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
@@ -274,7 +272,7 @@ def train_weights(train: DataFrame, text: str, vocab, prior: np.ndarray, rounds:
         step = _summed(parts, n)
         if step is not None:
             w = (w + step.reshape(w.shape)).astype(np.float32)
-        shared.unpersist()
+        shared.destroy()  # the driver's copies go too
     return w
 
 
@@ -333,6 +331,8 @@ def lm_scores(
         run, fields + ", uid long, n_tokens long, n_known long, base_score double, score double, rare array<struct<word:string,k:long>>"
     )
     scored = saved(scored, "lm-scored")
+    vocab.destroy()
+    weights.destroy()
     rare = scored.select("uid", F.explode("rare").alias("x")).select("uid", "x.word", "x.k")
     found = (
         rare.join(counts, "word").groupBy("uid")
