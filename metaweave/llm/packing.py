@@ -21,7 +21,7 @@ import heapq
 import os
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -36,7 +36,7 @@ END = 2
 LINEAR = 1.0
 QUADRATIC = 1 / (6 * 1024)  # 4 d n^2 against 24 d^2 n operations a layer, for width d = 1024
 BLOCK_TOKENS = 1 << 22
-MEMO_ENTRIES = 1_200_000  # about 200 bytes each
+MEMO_ENTRIES = 600_000  # about 200 bytes each
 
 
 class WordCoder:
@@ -47,14 +47,31 @@ class WordCoder:
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer, pre_tokenizers
+        self.path = path
+        self.memo: dict[bytes, bytes] = {}
+
+    def __getstate__(self):
+        return self.path
+
+    def __setstate__(self, path: str):
+        self.__init__(path)
+
+    @cached_property
+    def tokenizer(self):
+        from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        tokenizer = Tokenizer.from_file(self.path)
+        tokenizer.encode_special_tokens = True
+        return tokenizer
+
+    @cached_property
+    def letters(self):
+        """The tokenizer for words of plain letters."""
+        from tokenizers import Tokenizer, pre_tokenizers
+
         byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.letters = without_split(Tokenizer.from_file(path), byte_level)
-        self.memo: dict[bytes, bytes] = {}
+        return without_split(Tokenizer.from_file(self.path), byte_level)
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text, as little-endian unsigned 32-bit integers."""
@@ -93,12 +110,6 @@ class WordCoder:
             memo[w] = memo[core.encode()] + (memo[tail.encode()] if tail else b"")
 
 
-@lru_cache(maxsize=4)
-def word_coder(path: str) -> WordCoder:
-    """One coder for each worker process."""
-    return WordCoder(path)
-
-
 def piece_cost(n):
     return LINEAR * n + QUADRATIC * n * n
 
@@ -145,6 +156,8 @@ def pack_documents(
     ``offset``, ``sequence_cost`` (the estimate for its whole sequence), and ``ids`` if asked for."""
     own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind = own.schema["doc_id"].dataType.simpleString()
+    # one coder for each worker process, dropped with its memo when the worker goes on to other work
+    shared = docs.sparkSession.sparkContext.broadcast(WordCoder(tokenizer))
 
     def packed(keys: list, ids: list[bytes], first: int) -> tuple[pd.DataFrame, int]:
         pieces = pack([len(x) // 4 for x in ids], capacity)
@@ -168,7 +181,7 @@ def pack_documents(
         return frame, first + len(costs)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        coder, close = word_coder(tokenizer), np.array([end], "<u4").tobytes()
+        coder, close = shared.value, np.array([end], "<u4").tobytes()
         first = TaskContext.get().partitionId() << 36
         keys, ids, held = [], [], 0
         for batch in batches:
