@@ -150,27 +150,46 @@ class Index:
         return place, rows, self.cls[flat[place]]
 
 
-def log_softmax(w: np.ndarray, rows: np.ndarray) -> np.ndarray:
+def _logits(w: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """By token and class, the largest of each token zero."""
     z = w[rows[:, 0]]
     z += w[rows[:, 1]]
     z += w[rows[:, 2]]
     z += w[-1]
     z -= z.max(1, keepdims=True)
+    return z
+
+
+def log_softmax(w: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    z = _logits(w, rows)
     z -= np.log(np.exp(z).sum(1, keepdims=True))
     return z
 
 
+def log_chance(w: np.ndarray, rows: np.ndarray, cls: np.ndarray) -> np.ndarray:
+    """The log probability of each token's own class."""
+    z = _logits(w, rows)
+    own = z[np.arange(len(cls)), cls]
+    return own - np.log(np.exp(z, out=z).sum(1))
+
+
 def gradient_steps(w: np.ndarray, scale: np.ndarray, rows: np.ndarray, cls: np.ndarray, rate: float = RATE) -> None:
     """One adaptive step for a batch; changes ``w`` and the per-row ``scale`` in place."""
-    g = np.exp(log_softmax(w, rows))
+    g = _logits(w, rows)
+    np.exp(g, out=g)
+    g /= g.sum(1, keepdims=True)
     g[np.arange(len(cls)), cls] -= 1
+    classes = g.shape[1]
+    each, column = g.astype(np.float64).ravel(), np.arange(classes)
     for k in range(rows.shape[1]):
         key = rows[:, k].astype(np.uint16)  # a key of 16 bits is sorted by radix
         order = np.argsort(key, kind="stable")
         r = key[order]
-        first = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1]]))
-        used = r[first]
-        part = np.add.reduceat(g[order], first, axis=0)
+        new = np.concatenate([[True], r[1:] != r[:-1]])
+        used, place = r[new], np.empty(len(r), np.int64)
+        place[order] = np.cumsum(new) - 1
+        # sums by feature row and class, as one count of weighted cells
+        part = np.bincount((place[:, None] * classes + column).ravel(), each, len(used) * classes).reshape(-1, classes).astype(np.float32)
         scale[used] += np.einsum("ij,ij->i", part, part)
         part *= (rate / np.sqrt(scale[used] + 1.0))[:, None]
         w[used] -= part
@@ -307,8 +326,7 @@ def lm_scores(
                 place, rows, cls = index.examples(flat)
                 said = np.empty(len(cls))
                 for j in range(0, len(cls), _BATCH):
-                    z = log_softmax(w, rows[j : j + _BATCH])
-                    said[j : j + _BATCH] = z[np.arange(len(z)), cls[j : j + _BATCH]]
+                    said[j : j + _BATCH] = log_chance(w, rows[j : j + _BATCH], cls[j : j + _BATCH])
                 number = flat[place]
                 said = said / np.log(10) + index.inside[number]
                 at = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])[:-1]
