@@ -152,9 +152,9 @@ class Index:
 
 def _logits(w: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """By token and class, the largest of each token zero."""
-    z = w[rows[:, 0]]
-    z += w[rows[:, 1]]
-    z += w[rows[:, 2]]
+    z = w.take(rows[:, 0], axis=0)
+    z += w.take(rows[:, 1], axis=0)
+    z += w.take(rows[:, 2], axis=0)
     z += w[-1]
     z -= z.max(1, keepdims=True)
     return z
@@ -317,6 +317,7 @@ def lm_scores(
         index, w = Index(vocab.value), weights.value
         base = np.log10(vocab.value.counts + 1) - unit
         end_base = np.log10(vocab.value.class_totals[0] + 1) - unit
+        table = np.concatenate([base, [end_base, 0.0]])
         uid = TaskContext.get().partitionId() << 36
         for b in batches:
             for i in range(0, len(b), _DOCS):
@@ -330,9 +331,10 @@ def lm_scores(
                 number = flat[place]
                 said = said / np.log(10) + index.inside[number]
                 at = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])[:-1]
-                table = np.concatenate([base, [end_base, 0.0]])
                 plain = np.where(number < index.in_table, table[np.minimum(number, index.in_table - 1)], -unit)
-                rare = [Counter(x for x in number[a : a + len(t) + 1].tolist() if x >= index.in_table) for a, t in zip(at, texts)]
+                spots = np.flatnonzero(number >= index.in_table)
+                cuts = np.searchsorted(spots, at[1:])
+                rare = [Counter(x.tolist()) for x in np.split(number[spots], cuts)]
                 out = piece.drop(columns="text").reset_index(drop=True)
                 out["uid"] = np.arange(uid, uid + len(out))
                 out["n_tokens"] = [len(t) + 1 for t in texts]
