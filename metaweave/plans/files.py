@@ -45,22 +45,44 @@ def csv_index_round_trip(spark: SparkSession, d: str) -> DataFrame:
     return readers.read_csv(spark, path).withColumnRenamed("_c0", "row_index")
 
 
+@query
+def orders_types_guessed(spark: SparkSession, d: str) -> DataFrame:
+    path = _folder(spark)
+    writers.write_tsv(table(spark, d, "orders"), path)
+    return readers.read_tsv(spark, path, guess=True)
+
+
+@query
+def lineitem_types_guessed(spark: SparkSession, d: str) -> DataFrame:
+    """Types of all rows of a wide table; a day without time, a flag and an identifier with zeros among them."""
+    path = _folder(spark)
+    li = table(spark, d, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_returnflag", F.to_date("l_shipdate").alias("ship_day"),
+        (F.col("l_tax") > 0).alias("taxed"), F.lpad(F.col("l_partkey").cast("string"), 9, "0").alias("part_code"),
+        F.when(F.col("l_linenumber") > 1, F.col("l_suppkey")).alias("supplier"),
+    )
+    writers.write_tsv(li, path)
+    return readers.read_tsv(spark, path, guess=True)
+
+
 @query
 def tables_round_trip(spark: SparkSession, d: str) -> DataFrame:
     """Several tables saved twice to one place, the second time over the first, and reloaded."""
     folder = _folder(spark)
-    regions = table(spark, d, "region").select("r_regionkey", "r_name")
-    writers.save_tables({"nation": regions, "region": regions}, folder)
-    paths = writers.save_tables({"nation": table(spark, d, "nation"), "region": regions}, folder)
-    nation, region = (readers.read_checkpoint(spark, paths[x]) for x in ("nation", "region"))
-    return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "n_name", "r_name")
+    customers = table(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    writers.save_tables({"orders": customers, "customer": customers}, folder)
+    paths = writers.save_tables({"orders": _orders(spark, d), "customer": customers}, folder)
+    keys = table(spark, d, "orders").select("o_orderkey", "o_custkey")
+    orders, customer = (readers.read_checkpoint(spark, paths[x]) for x in ("orders", "customer"))
+    joined = orders.join(keys, "o_orderkey").join(customer, F.col("o_custkey") == F.col("c_custkey"))
+    return joined.select("o_orderkey", "o_orderstatus", "c_name", "c_mktsegment")
 
 
 @query
 def catalog_round_trip(spark: SparkSession, d: str) -> DataFrame:
     """A folder of TSVs read as a catalogue by listing it: rows and columns of each table."""
     folder = _folder(spark)
-    for name in ("nation", "region", "supplier"):
+    for name in ("customer", "orders", "supplier"):
         writers.write_tsv(table(spark, d, name), f"{folder}/{name}.tsv")
     parts = [
         df.agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("n_rows"), F.lit(len(df.columns)).alias("n_columns"))
@@ -74,22 +96,31 @@ def catalog_round_trip(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def commented_tsv(spark: SparkSession, d: str) -> DataFrame:
-    """Lines with comments before, between and behind the fields' line; the comments are cut."""
+    """Every task writes a file with a commented header, comment lines and comments behind cells; the comments are cut."""
     path = _folder(spark)
-    nation = table(spark, d, "nation")
-    note = F.when(F.col("n_nationkey") % 3 == 0, F.lit("  # a note\twith a tab")).otherwise(F.lit(""))
-    body = nation.select(F.concat(F.concat_ws("\t", F.col("n_nationkey").cast("string"), "n_name"), note).alias("line"))
-    head = spark.createDataFrame([("# made for a test",), ("n_nationkey\tn_name # names",), ("# rows",)], "line string")
-    head.coalesce(1).unionByName(body).coalesce(1).write.text(path)
+    orders = table(spark, d, "orders")
+    note = F.when(F.col("o_orderkey") % 3 == 0, F.lit("  # a note, with more")).otherwise(F.lit(""))
+    name = "o_orderpriority # names"
+    rows = orders.select(F.col("o_orderkey").cast("string").alias("o_orderkey"), F.concat("o_orderpriority", note).alias(name))
+    remarks = orders.where("o_orderstatus = 'P'").select(F.lit("# a line of its own").alias("o_orderkey"), F.lit(None).cast("string").alias(name))
+    writers.write_tsv(rows.unionByName(remarks), path)
     return readers.read_commented_tsv(spark, path)
 
 
+#: Objects of one JSON array, so that no task gathers more.
+ARRAY_ROWS = 20_000
+
+
 @query
 def json_array_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """Orders as files of one JSON array each; there are as many files as the table needs."""
     path = _folder(spark)
-    nation = table(spark, d, "nation").select("n_nationkey", "n_name")
-    nation.agg(F.to_json(F.collect_list(F.struct("n_nationkey", "n_name"))).alias("value")).write.text(path)
-    return readers.read_json_array(spark, path, "n_nationkey long, n_name string")
+    orders = table(spark, d, "orders").select("o_orderkey", "o_orderpriority")
+    files = orders.count() // ARRAY_ROWS + 1
+    bucket = F.pmod(F.xxhash64("o_orderkey"), F.lit(files)).alias("bucket")
+    arrays = orders.groupBy(bucket).agg(F.to_json(F.collect_list(F.struct("o_orderkey", "o_orderpriority"))).alias("value"))
+    arrays.write.partitionBy("bucket").text(path)
+    return readers.read_json_array(spark, path, "o_orderkey long, o_orderpriority string").select("o_orderkey", "o_orderpriority")
 
 
 @query
@@ -111,7 +142,14 @@ def conform_template(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def catalog_names(spark: SparkSession, d: str) -> DataFrame:
-    return catalog_columns(spark, {x: table(spark, d, x) for x in ("nation", "customer")}).select("table", "position", "column")
+    """The columns of every table of a catalogue, with the rows of the table and the values of the column."""
+    tables = {x: table(spark, d, x) for x in ("customer", "orders")}
+    counts = None
+    for name, df in tables.items():
+        held = df.agg(F.count(F.lit(1)).alias("n_rows"), *[F.count(F.col(x)).alias(x) for x in df.columns])
+        tall = held.unpivot("n_rows", df.columns, "column", "n_values").withColumn("table", F.lit(name))
+        counts = tall if counts is None else counts.unionByName(tall)
+    return catalog_columns(spark, tables).join(counts, ["table", "column"]).select("table", "position", "column", "n_rows", "n_values")
 
 
 @query

@@ -565,14 +565,19 @@ SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus, NULLIF(o_orderp
     q["csv_round_trip"] = q["tsv_round_trip"]
     q["csv_index_round_trip"] = """
 SELECT CAST(row_number() OVER (ORDER BY c_name, c_mktsegment) AS VARCHAR) AS row_index, c_name, c_mktsegment FROM customer"""
+    q["orders_types_guessed"] = "SELECT * FROM orders"
+    q["lineitem_types_guessed"] = """
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_quantity, l_discount, l_returnflag, CAST(l_shipdate AS DATE) AS ship_day,
+       l_tax > 0 AS taxed, lpad(CAST(l_partkey AS VARCHAR), 9, '0') AS part_code, CASE WHEN l_linenumber > 1 THEN l_suppkey END AS supplier
+FROM lineitem"""
     q["tables_round_trip"] = """
-SELECT n_nationkey, n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey"""
+SELECT o_orderkey, o_orderstatus, c_name, c_mktsegment FROM orders JOIN customer ON o_custkey = c_custkey"""
     q["catalog_round_trip"] = "\nUNION ALL\n".join(
         f"SELECT '{t}' AS name, (SELECT count(*) FROM {t}) AS n_rows, CAST(count(*) AS INT) AS n_columns FROM (DESCRIBE SELECT * FROM {t})"
-        for t in ("nation", "region", "supplier")
+        for t in ("customer", "orders", "supplier")
     )
-    q["commented_tsv"] = "SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name FROM nation"
-    q["json_array_round_trip"] = "SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, n_name FROM nation"
+    q["commented_tsv"] = "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderpriority FROM orders"
+    q["json_array_round_trip"] = "SELECT o_orderkey, o_orderpriority FROM orders"
     q["literal_id_set"] = f"""
 SELECT o_orderkey, o_orderstatus, NULLIF(o_orderpriority, {SENT}) AS o_orderpriority FROM orders
 WHERE o_orderpriority IN ('1-URGENT', '5-LOW', {SENT})"""
@@ -582,9 +587,12 @@ SELECT o_orderkey, o_orderstatus || '/' || CASE WHEN o_orderpriority = {SENT} TH
 SELECT NULLIF(o_orderpriority, {SENT}) AS o_orderpriority, CAST(NULL AS VARCHAR) AS "Country",
        CAST(o_orderkey AS VARCHAR) AS o_orderkey, TRY_CAST(o_orderstatus AS INT) AS o_orderstatus FROM orders"""
     q["catalog_names"] = "\nUNION ALL\n".join(
-        f"""SELECT '{t}' AS "table", CAST(row_number() OVER () AS INT) AS position, column_name AS "column"
-FROM (DESCRIBE SELECT * FROM {t})"""
-        for t in ("nation", "customer")
+        f"""SELECT '{t}' AS "table", CAST({i + 1} AS INT) AS position, '{x}' AS "column", count(*) AS n_rows, count({x}) AS n_values FROM {t}"""
+        for t, xs in (
+            ("customer", ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]),
+            ("orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]),
+        )
+        for i, x in enumerate(xs)
     )
     q["sorted_positions"] = "SELECT o_orderkey, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS place FROM orders"
     parts = []

@@ -14,10 +14,12 @@ from metaweave.sources.readers import (
     read_tsv,
     sanitize_names,
 )
+from metaweave.sources.types import guess_types, typed
 from metaweave.sources.writers import save_tables, write_csv, write_csv_indexed, write_tsv
 
 __all__ = [
     "as_schema",
+    "guess_types",
     "id_table",
     "list_table_files",
     "null_scaffold",
@@ -30,6 +32,7 @@ __all__ = [
     "read_tsv",
     "sanitize_names",
     "save_tables",
+    "typed",
     "write_csv",
     "write_csv_indexed",
     "write_tsv",

@@ -1,8 +1,8 @@
 """Readers with one missing-value policy.
 
 Policy: the literal text ``NA`` and blank cells are NULL on every reader; columns
-are read as strings unless a schema is given, and typed later with ``try_cast``
-(ANSI mode raises on a bad ``cast``). Each file of a catalogue gets its own reader
+are read as strings unless a schema is given or ``guess`` asks for types by all rows (:mod:`.types`),
+and typed later with ``try_cast`` (ANSI mode raises on a bad ``cast``). Each file of a catalogue gets its own reader
 because the files have different schemas.
 """
 
@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructField, StructType
 
+from metaweave.sources.types import guess_types, typed
+
 NA_TEXT = "NA"
 
 
@@ -38,22 +40,27 @@ def _delimited(spark: SparkSession, path: str, sep: str, schema: StructType | st
     return reader.csv(path)
 
 
-def read_tsv(spark: SparkSession, path: str, schema: StructType | str | None = None, **options: Any) -> DataFrame:
-    """Tab-separated file with a header (strings unless ``schema`` is given)."""
-    return _delimited(spark, path, "\t", schema, None, **options)
+def _guessed(df: DataFrame, guess: bool) -> DataFrame:
+    return typed(df, guess_types(df)) if guess else df
+
+
+def read_tsv(spark: SparkSession, path: str, schema: StructType | str | None = None, guess: bool = False, **options: Any) -> DataFrame:
+    """Tab-separated file with a header (strings unless ``schema`` is given, or types guessed from all rows)."""
+    return _guessed(_delimited(spark, path, "\t", schema, None, **options), guess)
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None, sanitize: bool = False,
-             drop_index: bool = False, **options: Any) -> DataFrame:
+             drop_index: bool = False, guess: bool = False, **options: Any) -> DataFrame:
     """Comma-separated file with a header.
 
     ``sanitize`` turns ``A.B`` names into ``A_B``; ``drop_index`` removes the leading
-    row-number column of a file written with an index (its blank header reads as ``_c0``).
+    row-number column of a file written with an index (its blank header reads as ``_c0``). ``guess`` settles
+    the types by all rows, in a pass of its own.
     """
     df = _delimited(spark, path, ",", schema, None, **options)
     if drop_index and df.columns and df.columns[0] in ("_c0", ""):
         df = df.drop(df.columns[0])
-    return sanitize_names(df) if sanitize else df
+    return _guessed(sanitize_names(df) if sanitize else df, guess)
 
 
 def read_commented_tsv(spark: SparkSession, path: str, comment: str = "#") -> DataFrame:

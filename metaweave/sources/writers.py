@@ -58,6 +58,7 @@ def write_tsv(df: DataFrame, path: str, single_file: bool = False) -> None:
         .option("sep", "\t")
         .option("nullValue", NA_TEXT)
         .option("quote", "")
+        .option("comment", "\u0001")  # else the writer sets apart cells that begin with its own comment character, #
         .csv(path)
     )
 

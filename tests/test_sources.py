@@ -1,3 +1,4 @@
+from metaweave import sources
 import glob
 import json
 import os
@@ -118,3 +119,52 @@ def test_json_lines_and_positions(spark, tmpdir_path):
     wide = spark.createDataFrame([(1, 2, 3, 4)], "w int, x int, y int, z int")
     assert select_positions(wide, [1, 2]).columns == ["w", "x"]
     assert drop_positions(wide, [1, 2]).columns == ["y", "z"]
+
+
+def test_types_are_guessed_from_all_rows(spark):
+    n = 3000
+    last = F.col("id") == n - 1
+    text = lambda x: F.col("id").cast("string") if x is None else x
+    df = spark.range(0, n, 1, 7).select(
+        "id",
+        text(None).alias("whole"),
+        F.when(last, "1.5").otherwise(text(None)).alias("real"),
+        F.when(last, "x").otherwise(text(None)).alias("late_text"),
+        F.when(last, "9223372036854775808").otherwise(text(None)).alias("too_long"),
+        F.when(last, "007").otherwise(text(None)).alias("code"),
+        F.when(last, F.lit(None)).otherwise("T").alias("flag"),
+        F.lit("2020-02-29").alias("day"),
+        F.when(last, "2020-02-28 10:11:12.5").otherwise("2020-02-29").alias("moment"),
+        F.when(last, "2021-02-29").otherwise("2020-02-29").alias("no_day"),
+        F.when(last, "true").otherwise("1").alias("mixed"),
+        F.lit(None).cast("string").alias("nothing"),
+        F.when(last, "-Inf").otherwise("1e-3").alias("science"),
+        F.lit("").alias("blank"),
+    )
+    types = sources.guess_types(df)
+    assert types == {
+        "whole": "bigint", "real": "double", "late_text": "string", "too_long": "double", "code": "string", "flag": "boolean", "day": "date",
+        "moment": "timestamp_ntz", "no_day": "string", "mixed": "string", "nothing": "string", "science": "double", "blank": "string",
+    }
+    out = sources.typed(df, types)
+    assert {f.name: f.dataType.simpleString() for f in out.schema.fields if f.name != "id"} == types
+    assert out.agg(F.sum("whole"), F.count("flag"), F.min("science")).first()[:] == (n * (n - 1) // 2, n - 1, float("-inf"))
+
+
+def test_guessing_reads_files_and_odd_tables(spark, tmpdir_path):
+    df = spark.createDataFrame([(1, "a", None, 2.5), (2, None, None, None)], "k int, s string, e string, v double")
+    sources.write_tsv(df, tmpdir_path + "/t")
+    out = sources.read_tsv(spark, tmpdir_path + "/t", guess=True)
+    assert [f.dataType.simpleString() for f in out.schema.fields] == ["bigint", "string", "string", "double"]
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(map(tuple, df.collect()), key=str)
+    sources.write_csv(df, tmpdir_path + "/c")
+    assert sources.read_csv(spark, tmpdir_path + "/c", guess=True).schema == out.schema
+    assert sources.guess_types(df.limit(0)) == {"s": "string", "e": "string"} and sources.guess_types(df.select("k")) == {}
+    assert sources.guess_types(df, ["s", "k"]) == {"s": "string"}
+
+
+def test_tsv_cells_that_begin_with_a_comment_character_are_written_plain(spark, tmpdir_path):
+    df = spark.createDataFrame([("# x", "#"), ("y", "z # w")], "a string, b string")
+    sources.write_tsv(df, tmpdir_path + "/t")
+    assert "\x00" not in "".join(r[0] for r in spark.read.text(tmpdir_path + "/t").collect())
+    assert sorted(map(tuple, sources.read_tsv(spark, tmpdir_path + "/t").collect())) == [("# x", "#"), ("y", "z # w")]
