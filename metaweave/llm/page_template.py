@@ -14,10 +14,11 @@ that can have the support: one that has the share of a host's pages has it in th
 what tasks left out is bounded by what they say. The second pass counts these tokens exactly. One row a
 token and task is shuffled, however many pages a host has.
 
-A block all of whose words are template tokens in their place is dropped, inside the article too; a block with a slot is
-kept whole. Place then chooses among these blocks: inside the article (or main) element if the page has one, never
-inside menus, headers, footers, sidebars, notices, adverts, forms, comments, scripts or styles (told by
-element, role, and whole names of class and id that neither the article nor what holds it is judged by).
+Place tells menus, headers, footers, sidebars, notices, adverts, forms, comments, scripts and styles (by element, role,
+and names of class and id) and the article or main element. Such an inline element takes out its own text only, and what holds the only
+article is not judged. The template decides on what place leaves open: all blocks of a page without an article and, inside
+articles, blocks of links and those that only an id marks. Such a block goes if all its words are template tokens in their place, and
+is kept whole if it has a slot. Other blocks of an article stay, also if every page has them.
 
 Defined results: a NULL page or one without text gives empty text. A NULL url is a host of its own. A host of few or of
 equal pages has no template; its pages are cut by place alone. Unclosed elements end with their container.
@@ -33,6 +34,7 @@ from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 from html import unescape
+from typing import NamedTuple
 
 import pandas as pd
 import xxhash
@@ -45,21 +47,31 @@ MIN_PAGES = 10
 MIN_CLASS = 3
 MIN_SHARE = 0.9  # of the pages of a host that have words
 _FLUSH = 400_000
+WEAK, STRONG = 1, 2  # signs of what is not main
+DROP, KEEP, ASK = 0, 1, 2  # verdicts on blocks
 
 #: Fixed values of HTML: elements that start a block, that have no content, whose content is no text.
 BLOCKS = frozenset("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html li main menu nav ol option p pre section select summary table tbody td tfoot th thead title tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea noscript template iframe noframes xmp title".split())
 #: Elements, roles and whole names of class or id that mark what is not the article.
-NOT_MAIN_ELEMENTS = frozenset("nav header footer aside form head title button select option dialog menu svg canvas object".split())
+NOT_MAIN_ELEMENTS = frozenset("nav header footer aside form head title button select option dialog menu canvas object".split())
 NOT_MAIN_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog alertdialog menu menubar toolbar".split())
 NOT_MAIN_WORDS = frozenset("ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter notice notices notification overlay pagination pager popup promo promoted promotion recommended related replies reply respond search share sharing sidebar signup skip social sponsor sponsored subscribe toolbar tooltip widget".split())
+#: Words that stand before or behind those in a compound name (site-footer, related-posts).
+PLACE_WORDS = frozenset("site main top bottom left right primary secondary global sub side mobile desktop sticky".split())
+HOLDER_WORDS = frozenset("area articles bar block body box btn button buttons container content entry form holder icons inner item items links list message meta panel posts section slot stories text thread title toggle unit wrap wrapper".split())
+#: Names that mark reader comments, and ids that name no topic of an article.
+COMMENT_WORDS = frozenset("comment comments commentlist disqus replies reply respond".split())
+OWN_IDS = frozenset("ad ads advert adverts advertisement comment comments commentlist disqus disqus_thread respond sidebar".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z][^\s/>]*(?:[^>\"']|\"[^\"]*\"|'[^']*')*>|</?[a-zA-Z][^>]*(?:>|\Z)|[^<]+|<", re.S)
 _RAW_END = {x: re.compile(rf"</{x}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for x in RAW}
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 _ATTRIBUTE = re.compile(r"\s(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
+_PARTS = re.compile(r"[-_]+|(?<=[a-z0-9])(?=[A-Z])")
+_SVG = re.compile(r"<(/?)svg(?=[\s/>])[^>]*>", re.I)
 _HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#]*)"
 
 
@@ -68,26 +80,57 @@ def _name(tag: str) -> str:
     return _NAME.match(tag).group(1).lower()
 
 
+def _not_main_name(name: str) -> bool:
+    """Whether a name of class or id is made of a word of what is not main, with words of place before and of holders behind it at most."""
+    parts = [x.lower() for x in _PARTS.split(name) if x and not x.isdigit()]
+    first = next((i for i, x in enumerate(parts) if x not in PLACE_WORDS), len(parts))
+    rest = first
+    while rest < len(parts) and parts[rest] in NOT_MAIN_WORDS:
+        rest += 1
+    return rest > first and all(x in HOLDER_WORDS for x in parts[rest:])
+
+
 @lru_cache(maxsize=20_000)
 def _element(tag: str) -> tuple[str, str, int, bool]:
-    """Name, signature (name, class, id), whether it is not main (1: only its class or id says so), whether it is the main part, of an opening tag."""
+    """Name, signature (name, class, id), whether it is not main (WEAK: only an id that may name a topic says so), whether it is the main part, of an opening tag."""
     name = _NAME.match(tag).group(1).lower()
     said = {k.lower(): (v or "").strip("\"'") for k, v in _ATTRIBUTE.findall(tag)} if " " in tag or "\n" in tag or "\t" in tag else {}
-    marks = {w.lower() for k in ("class", "id") for w in said.get(k, "").split()}
+    classes, ids = said.get("class", "").split(), said.get("id", "").split()
     role = said.get("role", "").lower()
-    hidden = "hidden" in said or said.get("aria-hidden") == "true" or "display:none" in said.get("style", "").replace(" ", "").lower()
-    main = name in ("article", "main") or role in ("article", "main")
-    out = 2 if hidden or name in NOT_MAIN_ELEMENTS or role in NOT_MAIN_ROLES else int(bool(marks & NOT_MAIN_WORDS) and name not in ("html", "body"))
+    hidden = "hidden" in said or said.get("aria-hidden", "").lower() == "true" or "display:none" in said.get("style", "").replace(" ", "").lower()
+    main = name == "main" or role == "main"
+    if name == "article" or role == "article":  # blog software marks comments as articles too
+        main = not any(w.lower().split("-")[0] in COMMENT_WORDS and _not_main_name(w) for w in classes + ids)
+    out = 0
+    if hidden or name in NOT_MAIN_ELEMENTS or role in NOT_MAIN_ROLES:
+        out = STRONG
+    elif name not in ("html", "body"):
+        if any(_not_main_name(w) for w in classes) or any(w.lower() in OWN_IDS for w in ids):
+            out = STRONG
+        elif any(_not_main_name(w) for w in ids):
+            out = WEAK
     return name, f"{name}.{said.get('class', '')}#{said.get('id', '')}", out, main
 
 
+class Open(NamedTuple):
+    """An open element."""
+
+    name: str
+    path: str
+    chain: tuple  # of the elements around it and itself that are not main or the main part: number, name, out, main
+    kind: str  # the nearest block element
+    link: bool
+    apart: bool  # an inline element that is not main
+    around: Block | None  # the block that was open before it
+
+
 class Block:
-    """Text between two block boundaries: its path, and where it lies."""
+    """Text between two block boundaries: its path, the elements around it that mark or hold the main part, and its nearest block element."""
 
-    __slots__ = ("path", "inside", "out", "own_header", "kind", "parts", "own")
+    __slots__ = ("path", "chain", "kind", "parts", "linked", "own")
 
-    def __init__(self, path: str, inside: bool, out: bool, own_header: bool, kind: str):
-        self.path, self.inside, self.out, self.own_header, self.kind, self.parts, self.own = path, inside, out, own_header, kind, [], None
+    def __init__(self, path: str, chain: tuple, kind: str):
+        self.path, self.chain, self.kind, self.parts, self.linked, self.own = path, chain, kind, [], True, None
 
     def text(self) -> str:
         if self.own is None:  # asked for once the page is read
@@ -95,12 +138,24 @@ class Block:
         return self.own
 
 
+def _behind_svg(html: str, at: int) -> int:
+    """Where a drawing ends that begins before ``at``; -1 if it does not."""
+    depth = 1
+    for x in _SVG.finditer(html, at):
+        if not x.group().endswith("/>"):
+            depth += -1 if x.group(1) else 1
+            if not depth:
+                return x.end()
+    return -1
+
+
 def parse(html: str | None) -> tuple[list[Block], list[tuple[str, int]]]:
     """The blocks of a page in order, and its tags with their paths and the number of blocks begun before."""
-    stack: list[tuple[str, str, int, bool]] = []  # name, path, out, main
+    stack: list[Open] = []
     blocks: list[Block] = []
     tags: list[tuple[str, int]] = []
-    fresh, html, behind = True, html or "", 0
+    now: Block | None = None  # the block that is open
+    html, behind, drawings = html or "", 0, True
     while behind < len(html):
         if html[behind] != "<":
             end = html.find("<", behind)
@@ -109,56 +164,100 @@ def parse(html: str | None) -> tuple[list[Block], list[tuple[str, int]]]:
             t = _TOKEN.match(html, behind).group()
         behind += len(t)
         if t[0] != "<" or t == "<":
-            if fresh and not t.isspace():
-                path = stack[-1][1] if stack else ""
-                depth = next((i for i, x in enumerate(stack) if x[3]), None)
-                # a class or id never takes away the article or what holds it
-                outs = [i for i, x in enumerate(stack) if x[2] == 2 or x[2] and (depth is None or i > depth)]
-                own = depth is not None and bool(outs) and all(stack[i][0] == "header" and i > depth for i in outs)
-                blocks.append(Block(path, depth is not None, bool(outs), own, stack[-1][0] if stack else ""))
-                fresh = False
-            if not fresh:
-                blocks[-1].parts.append(t)
+            if now is None and not t.isspace():
+                now = Block(stack[-1].path, stack[-1].chain, stack[-1].kind) if stack else Block("", (), "")
+                blocks.append(now)
+            if now is not None:
+                now.parts.append(t)
+                if now.linked and not (stack and stack[-1].link) and not t.isspace():
+                    now.linked = False
             continue
         if t[1] in "!?":
             continue
         name = _name(t)
         if t[1] == "/":
             at = len(stack) - 1
-            while at >= 0 and stack[at][0] != name:
+            while at >= 0 and stack[at].name != name:
                 at -= 1
             if at >= 0:
-                tags.append((stack[at][1] + "/", len(blocks)))
+                tags.append((stack[at].path + "/", len(blocks)))
+                # behind an inline element that is not main, the block around it goes on
+                now = next((x.around for x in stack[at:] if x.apart), now)
                 del stack[at:]
             if name in BLOCKS:
-                fresh = True
+                now = None
             continue
         if name == "br":
-            if not fresh:
-                blocks[-1].parts.append(" ")
+            if now is not None:
+                now.parts.append(" ")
             continue
-        if name in BLOCKS:
-            fresh = True
+        if name in BLOCKS and name not in RAW:
+            now = None
             for i in range(len(stack) - 1, -1, -1):  # a block ends an open paragraph, an entry the entry before
-                if stack[i][0] == "p" or stack[i][0] == name and name in ("li", "dt", "dd", "tr", "td", "th", "option"):
+                if stack[i].name == "p" or stack[i].name == name and name in ("li", "dt", "dd", "tr", "td", "th", "option"):
                     del stack[i:]
                     break
-                if stack[i][0] in BLOCKS:
+                if stack[i].name in BLOCKS:
                     break
-        e = _element(t)
-        path = f"{stack[-1][1]}>{e[1]}" if stack else e[1]
+        _, sign, out, main = _element(t)
+        path = f"{stack[-1].path}>{sign}" if stack else sign
         tags.append((path, len(blocks)))
         if name in RAW:
             if not t.endswith("/>"):  # its content is no text: go on behind its own end tag, whatever lies between
                 end = _RAW_END[name].search(html, behind)
                 behind = end.end() if end else len(html)
+        elif name == "svg":
+            if drawings and not t.endswith("/>"):
+                end = _behind_svg(html, behind)
+                behind, drawings = max(end, behind), end >= 0
         elif name not in VOID and not (t.endswith("/>") and name not in BLOCKS):
-            stack.append((name, path, e[2], e[3]))
-            if e[2] and name not in BLOCKS:  # an inline element that is not main ends the block around it
-                fresh = True
+            chain = stack[-1].chain if stack else ()
+            if out or main:
+                chain = (*chain, (len(tags), name, out, main))
+            kind = name if name in BLOCKS else stack[-1].kind if stack else ""
+            apart = out > WEAK and name not in BLOCKS
+            stack.append(Open(name, path, chain, kind, name == "a" or bool(stack) and stack[-1].link, apart, now))
+            if apart:
+                now = None
     return blocks, tags
 
 
+def judge(blocks: list[Block]) -> list[int]:
+    """For every block DROP, KEEP, or ASK (it goes if the template has all its words).
+
+    If every main part lies in something that is not main, what holds the largest of them is not judged.
+    """
+    mains = {c: next((i for i, x in enumerate(c) if x[3]), len(c)) for c in {b.chain for b in blocks}}
+    below = {c: any(x[2] > WEAK for x in c[at + 1 :]) for c, at in mains.items()}
+    sizes: Counter = Counter()  # by main part, and what holds it that is not main
+    for b in blocks:
+        at = mains[b.chain]
+        if at < len(b.chain) and not below[b.chain]:
+            sizes[b.chain[at][0], tuple(x[0] for x in b.chain[: at + 1] if x[2])] += len(b.text())
+    sizes = +sizes
+    spared: tuple = ()
+    if sizes and all(holders for _, holders in sizes):
+        spared = max((n, -m, holders) for (m, holders), n in sizes.items())[2]
+    places = {}
+    for c, at in mains.items():
+        outs = [(i, x) for i, x in enumerate(c) if x[2] and x[0] not in spared]
+        strong = [(i, x) for i, x in outs if x[2] > WEAK or i <= at]
+        if strong:  # of the header of an article, its headings stay
+            places[c] = DROP if any(i <= at or x[1] != "header" for i, x in strong) else None
+        else:
+            places[c] = ASK if at == len(c) or outs else KEEP
+    verdicts = []
+    for b in blocks:
+        v = places[b.chain]
+        if v is None:
+            v = KEEP if b.kind in HEADINGS else DROP
+        verdicts.append(ASK if v == KEEP and b.linked else v)
+    inside = [mains[b.chain] < len(b.chain) for b in blocks]
+    if any(v != DROP and x for v, x in zip(verdicts, inside)):
+        verdicts = [v if x else DROP for v, x in zip(verdicts, inside)]
+    return verdicts
+
+
 @lru_cache(maxsize=50_000)
 def _path(kind: str, path: str) -> int:
     return xxhash.xxh64_intdigest(f"{kind}\t{path}")
@@ -228,24 +327,14 @@ class Template:
 
 
 def main_text(html: str | None, template: Template | None = None) -> str:
-    """The blocks of the article that hold a slot of the template, each with single spaces, joined by two line feeds."""
+    """The blocks of the article, and those that place leaves open if they hold a slot of the template, each with single spaces, joined by two line feeds."""
     blocks, tags = parse(html)
-    whole = [False] * len(blocks)  # nothing but template
-    if template is not None:
+    verdicts = judge(blocks)
+    if template is not None and ASK in verdicts:
         found, spans = page_tokens(blocks, tags)
         marked = template.places(found)
-        whole = [all(marked[a:b]) for a, b in spans]
-    inside = any(b.inside and not b.out for b in blocks)
-    out = []
-    for b, fixed in zip(blocks, whole):
-        if b.out and not (b.own_header and b.path.rsplit(">", 1)[-1].split(".")[0] in HEADINGS):
-            continue
-        if fixed or inside and not b.inside:
-            continue
-        text = b.text()
-        if text:
-            out.append(text)
-    return "\n\n".join(out)
+        verdicts = [DROP if v == ASK and all(marked[a:z]) else v for v, (a, z) in zip(verdicts, spans)]
+    return "\n\n".join(x for x in (b.text() for b, v in zip(blocks, verdicts) if v != DROP) if x)
 
 
 def host_of(url: Column) -> Column:
@@ -288,7 +377,8 @@ def candidates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float =
         yield rows()
 
     different = pages.groupBy("host").agg(F.count_distinct(F.xxhash64("html")).alias("different")).where(F.col("different") >= min_pages)
-    parts = pages.mapInPandas(run, "host string, token long, pages long, unseen long")
+    different = saved(different, "page-hosts")
+    parts = join_narrow(pages, different.select("host"), "host", "left_semi").mapInPandas(run, "host string, token long, pages long, unseen long")
     found = parts.groupBy("host", "token").agg(F.sum("pages").alias("pages"), F.sum("unseen").alias("unseen"))
     found = saved(found, "page-tokens")
     # a task that left a token out saw it in fewer pages than its share
@@ -306,6 +396,12 @@ def occurrences(pages: DataFrame, known: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict[str, dict[int, list[int]]] = {}
         wanted: dict[str, frozenset] = {}
+        size = 0
+
+        def rows() -> pd.DataFrame:
+            out = [(h, t, x[0], x[1], x[2], *x[3]) for h, found in held.items() for t, x in found.items()]
+            return pd.DataFrame(out, columns=["host", "token", "pages", "times", "signature", "singles", "page", "rank", "at"]).astype({"host": object})
+
         for b in batches:
             for host, key, html, known in zip(b["host"], b["page"], b["html"], b["known"]):
                 blocks, tags = parse(html)
@@ -313,7 +409,11 @@ def occurrences(pages: DataFrame, known: DataFrame) -> DataFrame:
                 if not any(a < z for a, z in spans):
                     continue
                 if host not in wanted:
+                    if size > _FLUSH:  # what a task says in parts is summed like what tasks say
+                        yield rows()
+                        held, wanted, size = {}, {}, 0
                     wanted[host], held[host] = frozenset(known.tolist()), {}
+                    size += len(wanted[host])
                 own, before = wanted[host], held[host]
                 counts = Counter(t for t in tokens if t in own)
                 first: dict[int, tuple[int, int]] = {0: (0, 0)}
@@ -334,8 +434,7 @@ def occurrences(pages: DataFrame, known: DataFrame) -> DataFrame:
                         x[1] += n
                         x[2] ^= mark[n]
                         x[3] = max(x[3], place)
-        out = [(h, t, x[0], x[1], x[2], *x[3]) for h, found in held.items() for t, x in found.items()]
-        yield pd.DataFrame(out, columns=["host", "token", "pages", "times", "signature", "singles", "page", "rank", "at"]).astype({"host": object})
+        yield rows()
 
     parts = join_narrow(pages, known, "host", "inner", bound=2_000).mapInPandas(
         run, "host string, token long, pages long, times long, signature long, singles long, page long, rank long, at long"

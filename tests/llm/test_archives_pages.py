@@ -142,3 +142,82 @@ def test_classes_do_not_depend_on_partitions(spark):
     own = df.selectExpr("'h' as host", "cast(page_id as string) as page", "html")
     found = [page_template.templates(own.repartition(n, "page")).collect() for n in (1, 7)]
     assert set(found[0][0]["tokens"]) == set(found[1][0]["tokens"]) and len(found[0][0]["root"]) > 5
+
+
+PLACES = [
+    ('<p>Before <span class="ad">Buy</span> after the advert. <b>Bold</b> end.</p>', "Before after the advert. Bold end."),
+    ('<p>x <button>OK</button> now <span class="share">S</span>then<svg><title>i</title><text>t</text></svg>.</p>', "x now then."),
+    ("<p>an <svg><path/></svg> icon <svg>and one that never ends</p>", "an icon and one that never ends"),
+    ("<body><form><nav>menu</nav><article><p>The text</p></article><aside>side</aside></form>", "The text"),
+    ('<div aria-hidden="true"><main><p>The text</p></main></div>', "The text"),
+    ('<div class="search"><article><p>The text</p></article></div><div>no</div>', "The text"),
+    ('<div class="sidebar"><article><p>A longer teaser than the text</p></article></div><article><p>The text</p></article>', "The text"),
+    ('<main><section id="search"><p>How search works</p></section></main>', "How search works"),
+    ('<article><p>T</p></article><section id="comments"><article class="comment"><p>Nice</p></article></section>', "T"),
+    ('<article><p>T</p></article><article class="comment-body"><p>Nice</p></article>', "T"),
+    ('<div><p>T</p></div><div class="related-posts">r</div><div class="menu-bar">m</div><div class="siteFooter">f</div>', "T"),
+    ('<div class="layout has-sidebar no-search"><p>T</p></div><p class="search-result-text">r</p>', "T\n\nr"),
+    ('<article><header><h1><a href="x">Head</a></h1><p>by</p></header><p>b</p></article>', "Head\n\nb"),
+    ('<article hidden><p>gone</p></article><article><p>T</p></article>', "T"),
+]
+
+
+@pytest.mark.parametrize("html, text", PLACES)
+def test_places(html, text):
+    """Inline elements take out their own text only; nothing that holds the only article is judged; whole and compound names."""
+    assert page_template.main_text(html) == text
+
+
+ENTRY = (
+    "<html><body><div>Welcome to our site</div><article><h2>Summary</h2><p>Entry {0} says {0}</p><p>Read the method</p>"
+    '<p><a href="/">Back to the list</a></p><p><a href="/{0}">more on {0}</a></p><section id="search"><p>Search this site</p></section></article></body></html>'
+)
+
+
+def test_template_inside_articles(spark):
+    """In an article the template takes blocks of links and those that an id marks; headings and sentences of every page stay."""
+    rows = [(i, f"https://a.example/{i}", ENTRY.format(f"n{i}")) for i in range(12)]
+    got = page_template.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r["page_id"]: r["text"] for r in got} == {
+        i: f"Summary\n\nEntry n{i} says n{i}\n\nRead the method\n\nmore on n{i}" for i in range(12)
+    }
+
+
+def naive_classes(htmls, share=page_template.MIN_SHARE, least=page_template.MIN_CLASS):
+    """Every occurrence vector written out, tokens grouped by equal vectors."""
+    pages = [page_template.page_tokens(*page_template.parse(h)) for h in htmls]
+    pages = [t for t, spans in pages if any(a < z for a, z in spans)]
+    vectors = {t: tuple(p.count(t) for p in pages) for t in {t for p in pages for t in p}}
+    groups = {}
+    for t, v in [(0, (1,) * len(pages)), *vectors.items()]:
+        groups.setdefault(v, set()).add(t)
+    return {frozenset(g): v for v, g in groups.items() if sum(map(bool, v)) >= len(pages) * share - 1e-9 and (0 in g or len(g) >= least)}
+
+
+@pytest.mark.parametrize("flush", [page_template._FLUSH, 1])
+def test_classes_equal_occurrence_vectors(spark, monkeypatch, flush):
+    """The signatures form the classes that the written-out vectors form, also if tasks say what they hold in parts."""
+    monkeypatch.setattr(page_template, "_FLUSH", flush)
+    item = "<li><b>Item</b> number {} of many</li>"
+    htmls = {
+        "a": [ENTRY.format(f"n{i}").replace("</article>", "<ul>" + "".join(item.format(j) for j in range(1 + i % 3)) + "</ul></article>") for i in range(20)],
+        "b": [h for _, _, h in host_pages(11)] + ["", "<p></p>", "<p>odd page</p>"],
+    }
+    rows = [(h, f"{h}{i}", x) for h, own in htmls.items() for i, x in enumerate(own)]
+    df = spark.createDataFrame(rows, "host string, page string, html string").repartition(3, "page")
+    found = {r["host"]: r for r in page_template.templates(df).collect()}
+    for host, own in htmls.items():
+        classes = naive_classes(own)
+        once = {t for g, v in classes.items() if max(v) == 1 for t in g}
+        assert set(found[host]["root"]) == once and len(once) > 5
+        assert {frozenset(x) for x in found[host]["nested"]} == {g for g, v in classes.items() if max(v) > 1}
+    assert found["a"]["nested"]
+
+
+def test_odd_pages(spark):
+    """Repeated rows, a very long page, columns whose names clash with those of the operator."""
+    long = "<article>" + "<p>word &amp; <span class='ad'>ad</span> more</p>" * 50_000 + "</article>"
+    rows = [(1, "u", long, "x", 1, "y"), (2, "u", "<p>T</p>", "x", 2, "y"), (2, "u", "<p>T</p>", "x", 2, "y"), (3, None, None, None, None, None)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, host string, page long, text string")
+    got = sorted((r["page_id"], r["n_chars"], r["text"][:13]) for r in page_template.extract(df).collect())
+    assert got == [(1, 50_000 * 11 + 49_999 * 2, "word & more\n\n"), (2, 1, "T"), (2, 1, "T"), (3, 0, "")]
