@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from metaweave.functions.nulls import concat_na
@@ -12,7 +12,7 @@ from metaweave.operators import catalog_columns, conform, histogram, join_all_na
 from metaweave.plans.queries import query
 from metaweave.plans.standins import SENTINEL, table
 from metaweave.session import ensure_checkpoint_dir
-from metaweave.sources import readers, writers
+from metaweave.sources import read_json_array_ranges, readers, writers
 
 
 def _folder(spark: SparkSession) -> str:
@@ -123,6 +123,30 @@ def json_array_round_trip(spark: SparkSession, d: str) -> DataFrame:
     return readers.read_json_array(spark, path, "o_orderkey long, o_orderpriority string").select("o_orderkey", "o_orderpriority")
 
 
+#: Objects of one large file; its rows go through one task as they are written, but are never held.
+FILE_ROWS = 2_000_000
+
+
+@query
+def json_array_by_ranges(spark: SparkSession, d: str) -> DataFrame:
+    """Orders as one array a file, with nested objects and texts full of quotes and braces, read by byte ranges."""
+    path = _folder(spark)
+    orders = table(spark, d, "orders")
+    files = orders.count() // FILE_ROWS + 1
+    odd = F.when(F.col("o_orderkey") % 5 == 0, F.lit(' "}, {\\"a\\": [')).otherwise(F.lit(""))
+    fields = F.struct(
+        "o_orderkey", F.concat("o_orderpriority", odd).alias("note"), F.when(F.col("o_orderkey") % 3 == 0, F.struct("o_custkey", "o_orderstatus")).alias("who")
+    )
+    rows = orders.select(F.pmod(F.xxhash64("o_orderkey"), F.lit(files)).alias("bucket"), F.lit(1).alias("part"), F.to_json(fields).alias("value"))
+    ends = spark.range(files).select(F.col("id").alias("bucket"), F.explode(F.array(F.lit(0), F.lit(2))).alias("part"))
+    rows = rows.unionByName(ends.withColumn("value", F.when(F.col("part") == 0, F.lit("[")).otherwise(F.lit("]"))))
+    place = F.row_number().over(Window.partitionBy("bucket").orderBy("part", "value"))
+    comma = F.when((F.col("part") == 1) & (place > 2), F.lit(",")).otherwise(F.lit(""))
+    rows.select("bucket", F.concat(comma, "value").alias("value")).write.partitionBy("bucket").option("lineSep", " ").text(path)
+    back = read_json_array_ranges(spark, path, "o_orderkey long, note string, who struct<o_custkey: long, o_orderstatus: string>")
+    return back.select("o_orderkey", "note", F.col("who.o_custkey").alias("custkey"), F.col("who.o_orderstatus").alias("status"))
+
+
 @query
 def literal_id_set(spark: SparkSession, d: str) -> DataFrame:
     ids = readers.id_table(spark, ["1-URGENT", "5-LOW", None])

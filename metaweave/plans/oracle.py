@@ -578,6 +578,9 @@ SELECT o_orderkey, o_orderstatus, c_name, c_mktsegment FROM orders JOIN customer
     )
     q["commented_tsv"] = "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderpriority FROM orders"
     q["json_array_round_trip"] = "SELECT o_orderkey, o_orderpriority FROM orders"
+    q["json_array_by_ranges"] = """
+SELECT o_orderkey, o_orderpriority || CASE WHEN o_orderkey % 5 = 0 THEN ' "}, {\\"a\\": [' ELSE '' END AS note,
+       CASE WHEN o_orderkey % 3 = 0 THEN o_custkey END AS custkey, CASE WHEN o_orderkey % 3 = 0 THEN o_orderstatus END AS status FROM orders"""
     q["literal_id_set"] = f"""
 SELECT o_orderkey, o_orderstatus, NULLIF(o_orderpriority, {SENT}) AS o_orderpriority FROM orders
 WHERE o_orderpriority IN ('1-URGENT', '5-LOW', {SENT})"""

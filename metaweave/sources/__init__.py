@@ -1,5 +1,6 @@
 """Readers and writers (delimited, JSON, Parquet checkpoints)."""
 
+from metaweave.sources.json_ranges import read_json_array_ranges
 from metaweave.sources.readers import (
     as_schema,
     id_table,
@@ -28,6 +29,7 @@ __all__ = [
     "read_commented_tsv",
     "read_csv",
     "read_json_array",
+    "read_json_array_ranges",
     "read_json_lines",
     "read_tsv",
     "sanitize_names",

@@ -81,8 +81,7 @@ def read_commented_tsv(spark: SparkSession, path: str, comment: str = "#") -> Da
 def read_json_array(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
     """A file holding one JSON array of flat objects -> one flat table.
 
-    ``multiLine`` files are not splittable; at scale land JSON lines and use
-    ``read_json_lines``.
+    ``multiLine`` files are one task each; :func:`.json_ranges.read_json_array_ranges` reads large ones by byte ranges.
     """
     reader = spark.read.option("multiLine", "true")
     if schema is not None:

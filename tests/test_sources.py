@@ -3,13 +3,14 @@ import glob
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from pyspark.sql.types import StringType
 
 from metaweave.operators import add_constants, apply_by_type, catalog_columns, conform, relocate, select_range
 from metaweave.sources import (
-    id_table, read_checkpoint, null_scaffold, read_catalog, read_commented_tsv, read_csv, read_json_array, read_tsv, save_tables,
+    id_table, read_checkpoint, null_scaffold, read_catalog, read_commented_tsv, read_csv, read_json_array, read_json_array_ranges, read_tsv, save_tables,
     write_csv, write_csv_indexed, write_tsv,
 )
 from tests.conftest import rows
@@ -65,6 +66,40 @@ def test_json_array(spark, tmpdir_path):
     assert df.count() == 3 and dict(df.dtypes)["file_size"] == "bigint"
 
 
+ODD = [
+    {"k": 1, "s": "plain", "o": None}, {"k": 2, "s": 'a "}", {"b": [', "o": {"x": [1, 2], "y": "}]"}}, {"k": 3, "s": "\\\\\"", "o": {"x": [], "y": None}},
+    {"k": 4, "s": "}}}}{{{{", "o": {"x": [3], "y": "[[["}}, {"k": 5, "s": "zwei\nZeilen \u00e4 ]", "o": None}, {"k": None, "s": None, "o": {"x": None, "y": "\\\\"}},
+    {"k": 7, "s": ",,[", "o": {"x": [7], "y": "{"}},
+]
+
+
+@pytest.mark.parametrize("size", [7, 64, 100_000])
+@pytest.mark.parametrize("indent", [None, 2])
+def test_json_array_by_ranges(spark, tmpdir_path, size, indent):
+    """Ranges of a few bytes, so that strings, escapes and objects lie across their borders; two files with states of their own."""
+    objs = [ODD[i % len(ODD)] for i in range(40)]
+    folder = os.path.join(tmpdir_path, "arrays")
+    os.mkdir(folder)
+    for name, own, ascii_only in (("a.json", objs, True), ("b.json", objs[:9], False), ("none.json", [], True)):
+        _write(os.path.join(folder, name), json.dumps(own, indent=indent, ensure_ascii=ascii_only))
+    _write(os.path.join(folder, "empty.json"), "")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    try:
+        got = read_json_array_ranges(spark, folder, "k long, s string, o struct<x: array<long>, y: string>").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    want = objs + objs[:9]
+    assert sorted(json.dumps(r.asDict(True), sort_keys=True) for r in got) == sorted(json.dumps(x, sort_keys=True) for x in want)
+
+
+@pytest.mark.parametrize("text", ['[{"k": 1}, {"k": 2', '[{"k": 1}, "a"]', '[{"k": "text"}]', '[1, {"k": 1}]', "[[{\"k\": 1}]]"])
+def test_json_array_by_ranges_refuses(spark, tmpdir_path, text):
+    p = _write(os.path.join(tmpdir_path, "bad.json"), text)
+    with pytest.raises(Exception):
+        read_json_array_ranges(spark, p, "k long").collect()
+
+
 def test_writers_na_policy(spark, tmpdir_path):
     df = spark.createDataFrame([("a", None), ("b", "x")], "k string, v string").withColumn("z", F.lit(None))
     write_tsv(df, os.path.join(tmpdir_path, "t"))
