@@ -17,49 +17,59 @@ from metaweave.llm.packing import pack_documents
 from metaweave.llm.simhash import simhash_groups
 from metaweave.llm.stream_dedup import exact_dedup
 
-#: Names of columns that the stages add for themselves and drop again.
-_FILE, _POS, _SCORE = "__file", "__pos", "__score"
+
+def _free(docs: DataFrame, *names: str) -> list[str]:
+    """Names for columns that a stage adds for itself and drops again, none of which ``docs`` has."""
+    taken = {x.lower() for x in docs.columns}
+    mark = "__"
+    while any(mark + x in taken for x in names):
+        mark += "_"
+    return [mark + x for x in names]
 
 
 @importable
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject."""
     model = quality_fm.train(docs, table(spark, sf_dir, "labels"))
-    scored = docs.withColumn(_SCORE, quality_fm.score(F.col("text"), model, spark))
-    return scored.where(F.col(_SCORE) >= quality_fm.THRESHOLD).drop(_SCORE)
+    (own,) = _free(docs, "score")
+    scored = docs.withColumn(own, quality_fm.score(F.col("text"), model, spark))
+    return scored.where(F.col(own) >= quality_fm.THRESHOLD).drop(own)
 
 
 @importable
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not toxic."""
     model = toxicity_crf.train(docs, table(spark, sf_dir, "labels"))
-    scored = docs.withColumn(_SCORE, toxicity_crf.score(F.col("text"), model, spark))
-    return scored.where(F.col(_SCORE) < toxicity_crf.THRESHOLD).drop(_SCORE)
+    (own,) = _free(docs, "score")
+    scored = docs.withColumn(own, toxicity_crf.score(F.col("text"), model, spark))
+    return scored.where(F.col(own) < toxicity_crf.THRESHOLD).drop(own)
 
 
-def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+def _without(docs: DataFrame, dropped: DataFrame, place: list[str]) -> DataFrame:
     """The rows that are not listed by their place."""
-    return join_narrow(docs, saved(dropped.select(_FILE, _POS), "dropped"), [_FILE, _POS], "left_anti").drop(_FILE, _POS)
+    return join_narrow(docs, saved(dropped.select(*place), "dropped"), place, "left_anti").drop(*place)
 
 
 @importable
 def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts, the document with the largest identifier."""
-    rows = with_place(docs, _FILE, _POS)
-    groups = exact_dedup(rows, place=(_FILE, _POS))
-    return _without(rows, groups.where("not kept").select(F.col("file").alias(_FILE), F.col("pos").alias(_POS)))
+    file, pos = place = _free(docs, "file", "pos")
+    rows = with_place(docs, file, pos)
+    groups = exact_dedup(rows, place=(file, pos))
+    return _without(rows, groups.where("not kept").select(F.col("file").alias(file), F.col("pos").alias(pos)), place)
 
 
 @importable
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of every group of near duplicates, the document with the smallest identifier."""
-    rows = with_place(docs, _FILE, _POS)
-    groups = saved(simhash_groups(rows, carry=[_FILE, _POS]), "near-groups")
+    place = _free(docs, "file", "pos")
+    rows = with_place(docs, *place)
+    groups = saved(simhash_groups(rows, carry=place), "near-groups")
     # of rows that bear the group's identifier (none if no row has one), the first stays
     bearers = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    stay = bearers.groupBy("component").agg(F.min(F.struct(_FILE, _POS)).alias("first"))
-    stay = stay.select(f"first.{_FILE}", f"first.{_POS}")
-    return _without(rows, groups.join(stay, [_FILE, _POS], "left_anti"))
+    stay = bearers.groupBy("component").agg(F.min(F.struct(*place)).alias("first"))
+    stay = stay.select("first.*")
+    return _without(rows, groups.join(stay, place, "left_anti"), place)
 
 
 @importable
