@@ -49,3 +49,19 @@ def test_repeated_rows_leave_one(spark):
     twice = spark.createDataFrame([(1, "equal words here"), (1, "equal  words here"), (None, "no id"), (None, "NO id")], "doc_id long, text string")
     near = saved(pipeline.near_duplicates(spark, twice, SF), "stage")
     assert near.count() == 2
+
+
+def test_columns_with_the_stages_own_names_pass(spark):
+    """Further columns stay as they are, also those named like the columns that a stage adds for itself."""
+    small = "/root/testdata/sf0.001"
+    plain = spark.read.parquet(f"{small}/documents.parquet")
+    extra = ["__file", "__POS", "__score", "file", "pos", "score", "component", "kept"]
+    docs = saved(plain.withColumns({x: F.concat(F.lit(x), F.col("doc_id").cast("string")) for x in extra}), "docs")
+    for name, stage in pipeline.STAGES[:-1]:
+        after, bare = (saved(stage(spark, x, small), "stage") for x in (docs, plain))
+        assert after.columns == docs.columns, name
+        assert after.select(plain.columns).exceptAll(bare).isEmpty() and after.count() == bare.count() > 0
+        assert after.where(" or ".join(f"`{x}` != concat('{x}', cast(doc_id as string))" for x in extra)).isEmpty()
+        docs, plain = after, bare
+    packed = pipeline.packing(spark, docs, small)
+    assert packed.select("doc_id").distinct().count() == docs.count()
