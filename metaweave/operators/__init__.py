@@ -13,7 +13,7 @@ from metaweave.operators.aggregates import (
     pair_count,
     row_sum,
 )
-from metaweave.operators.annotate import annotate_match, attach_registry
+from metaweave.operators.annotate import annotate_levels, annotate_match, attach_registry
 from metaweave.operators.clean import (
     DEFAULT_SENTINELS,
     all_null_columns,
@@ -36,6 +36,7 @@ from metaweave.operators.joins import (
     restrict_to,
     shared_keys,
 )
+from metaweave.operators.position import first_appearance, stable_sort_index, with_position
 from metaweave.operators.quality import long_values, histogram, profile, reconcile, top_values
 from metaweave.operators.reshape import keep_first, pivot_wider, unpivot_longer
 from metaweave.operators.schema import (
@@ -52,5 +53,7 @@ from metaweave.operators.schema import (
     select_positions,
     select_range,
 )
+from metaweave.operators.sketches import merge_profiles, profile_parts
+from metaweave.operators.template import CheckedRows, TemplateField, check_template
 
 __all__ = [name for name in dir() if not name.startswith("_")]

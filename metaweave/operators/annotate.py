@@ -39,6 +39,46 @@ def annotate_match(
     return flagged.withColumn(out, label).drop(*drop)
 
 
+def annotate_levels(df: DataFrame, other: DataFrame, out: str, levels: Sequence[tuple[str, str | Column, str | Column]]) -> DataFrame:
+    """Label each row by the finest of any number of key levels on which ``other`` holds a match.
+
+    ``levels`` lists ``(label, key in df, key in other)`` from the finest to the coarsest; a key is a column name or an
+    expression over it (a barcode without its vial, say). ``out`` is the label of the first level whose key occurs in
+    ``other``, NULL if none does. A NULL key matches nothing. Rows are neither lost nor multiplied.
+
+    The plan has two joins at any number of levels. All keys of ``other`` form one index of different (level, key)
+    pairs, read in one pass; the different key tuples of ``df`` meet it in one equi-join, and the smallest level of each
+    tuple is joined back to the rows. A key that many rows share counts once in the first join, and is on the left of
+    the second, where skewed partitions are split.
+    """
+    if not levels:
+        raise ValueError("annotate_levels: no levels")
+    if out in df.columns:
+        raise ValueError(f"annotate_levels: column {out!r} is there already")
+
+    def keys(side: int, name: str = "__key") -> list[Column]:
+        exprs = [level[side] if isinstance(level[side], Column) else c(level[side]) for level in levels]
+        return [x.cast("string").alias(f"{name}{i}") for i, x in enumerate(exprs)]
+
+    def pairs(frame: DataFrame, *carried: Column) -> DataFrame:
+        each = F.array(*[F.struct(F.lit(i).alias("__level"), F.col(f"__key{i}").alias("__key")) for i in range(len(levels))])
+        return frame.select(*carried, F.inline(each)).where(F.col("__key").isNotNull())
+
+    index = pairs(other.select(*keys(2))).distinct()
+    names = [f"__key{i}" for i in range(len(levels))]
+    tuples = df.select(*keys(1)).distinct()
+    found = pairs(tuples, *[F.col(x).alias(f"__of{i}") for i, x in enumerate(names)]).join(index, ["__level", "__key"])
+    best = found.groupBy(*[f"__of{i}" for i in range(len(levels))]).agg(F.min("__level").alias("__best"))
+    rows = df.select("*", *keys(1))
+    same = [F.col(x).eqNullSafe(F.col(f"__of{i}")) for i, x in enumerate(names)]
+    condition = same[0]
+    for x in same[1:]:
+        condition = condition & x
+    label = F.element_at(F.array(*[F.lit(level[0]) for level in levels]), F.col("__best") + 1)
+    joined = rows.join(best, condition, "left")
+    return joined.select(*[c(x) for x in df.columns], F.when(F.col("__best").isNotNull(), label).alias(out))
+
+
 def attach_registry(
     df: DataFrame,
     registry: DataFrame,

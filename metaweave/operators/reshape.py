@@ -45,12 +45,14 @@ def pivot_wider(
     names_sep: str = "_",
     unlisted: str = "error",
     max_names: int = 10_000,
+    sort_names: bool = True,
 ) -> DataFrame:
     """``pivot_wider``: one row per ``id_cols`` (default: every other column), in one aggregation.
 
-    New columns follow the sorted order of ``values``; without them one extra job finds the names (at
-    most ``max_names``, else an error; a schema cannot grow with the data). A NULL name becomes the last
-    column, ``NA``. With several ``values_from`` the names are ``{value_column}{names_sep}{key}``.
+    New columns follow the sorted order of ``values``, or the given one without ``sort_names`` (names in the order of their
+    first appearance: ``position.first_appearance``); without ``values`` one extra job finds the names (at
+    most ``max_names``, else an error; a schema cannot grow with the data). A NULL name becomes the column ``NA``, the last
+    one if names are sorted. With several ``values_from`` the names are ``{value_column}{names_sep}{key}``.
 
     The action raises for a name that is not listed, unless ``unlisted='drop'``, and for a cell with
     several rows under ``on_duplicate='error'``. ``'first'`` keeps one whole row of the cell, the one with the
@@ -73,7 +75,10 @@ def pivot_wider(
             known = known | c(names_from).isNull()
         message = F.concat(F.lit(f"pivot_wider: a name of {names_from} is not listed: "), F.coalesce(c(names_from).cast("string"), F.lit("NULL")))
         df = df.withColumn(names_from, F.when(known, c(names_from)).otherwise(F.raise_error(message)))
-    values = sorted(v for v in values if v is not None) + ([None] if any(v is None for v in values) else [])
+    if sort_names:
+        values = sorted(v for v in values if v is not None) + ([None] if any(v is None for v in values) else [])
+    else:
+        values = list(dict.fromkeys(values))
     row = F.struct(*[c(v).alias(f"v{i}") for i, v in enumerate(vcols)])
     if on_duplicate == "list":
         value = F.collect_list(row)

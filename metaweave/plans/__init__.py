@@ -1,6 +1,6 @@
 """Driver queries, their DuckDB oracles, and the table-building compositions."""
 
-from metaweave.plans import files  # noqa: F401  registers its queries
+from metaweave.plans import curated, files  # noqa: F401  register their queries
 from metaweave.plans.oracle import oracle_sql
 from metaweave.plans.queries import queries
 

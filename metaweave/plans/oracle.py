@@ -597,6 +597,61 @@ SELECT NULLIF(o_orderpriority, {SENT}) AS o_orderpriority, CAST(NULL AS VARCHAR)
         )
         for i, x in enumerate(xs)
     )
+    q["match_four_levels"] = """
+WITH r AS (SELECT *, strftime(l_shipdate, '%Y-%m') AS m FROM lineitem WHERE l_returnflag = 'R' AND l_quantity >= 40),
+l AS (SELECT *, strftime(l_shipdate, '%Y-%m') AS m FROM lineitem WHERE l_returnflag <> 'R')
+SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber,
+       CASE WHEN EXISTS (SELECT 1 FROM r WHERE r.l_orderkey = l.l_orderkey AND r.l_partkey = l.l_partkey) THEN 'ALIQUOT'
+            WHEN EXISTS (SELECT 1 FROM r WHERE r.l_orderkey = l.l_orderkey) THEN 'SAMPLE'
+            WHEN EXISTS (SELECT 1 FROM r WHERE r.l_partkey = l.l_partkey AND r.l_suppkey = l.l_suppkey) THEN 'DONOR'
+            WHEN EXISTS (SELECT 1 FROM r WHERE r.l_partkey = l.l_partkey AND r.m = l.m) THEN 'SITE' END AS level
+FROM l"""
+    checked = f"""
+SELECT o_orderkey, o_orderstatus, NULLIF(o_orderpriority, {SENT}) AS o_orderpriority,
+       CASE WHEN o_orderstatus = 'P' THEN 'P' ELSE '' END || o_orderkey AS batch FROM orders"""
+    fits = "coalesce(regexp_full_match(o_orderpriority, '[1-3]-[A-Z ]+'), FALSE)"
+    q["template_conforming"] = f"""
+SELECT o_orderkey, o_orderstatus, o_orderpriority, TRY_CAST(batch AS BIGINT) AS batch, CAST(NULL AS VARCHAR) AS "Country" FROM ({checked})
+WHERE o_orderstatus IN ('F', 'O') AND {fits} AND TRY_CAST(batch AS BIGINT) IS NOT NULL"""
+    q["template_problems"] = f"""
+WITH c AS ({checked})
+SELECT o_orderkey, 'o_orderstatus' AS "column", o_orderstatus AS value, 'allowed' AS rule FROM c WHERE o_orderstatus NOT IN ('F', 'O')
+UNION ALL SELECT o_orderkey, 'o_orderpriority', o_orderpriority, 'required' FROM c WHERE o_orderpriority IS NULL
+UNION ALL SELECT o_orderkey, 'o_orderpriority', o_orderpriority, 'pattern' FROM c WHERE o_orderpriority IS NOT NULL AND NOT {fits}
+UNION ALL SELECT o_orderkey, 'batch', batch, 'type' FROM c WHERE TRY_CAST(batch AS BIGINT) IS NULL"""
+    q["published_tables"] = """
+SELECT o_orderkey, o_orderstatus, count(l_orderkey) AS n_lines FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY ALL"""
+    q["published_manifest"] = """
+WITH o AS (SELECT count(*) AS n FROM orders), l AS (SELECT count(*) AS n FROM lineitem)
+SELECT CAST(v AS BIGINT) AS version, name, n AS rows, CAST(k AS INT) AS n_checks, CASE WHEN k > 0 THEN n END AS expected, CASE WHEN k > 0 THEN n END AS actual
+FROM (SELECT 1 AS v, 'orders' AS name, n, 0 AS k FROM o UNION ALL SELECT 1, 'lines', n, 0 FROM l
+      UNION ALL SELECT 2, 'orders', n, 1 FROM o UNION ALL SELECT 2, 'lines', n, 0 FROM l)"""
+    q["stable_codes"] = """
+WITH v AS (SELECT c_name, bool_or(c_mktsegment = 'BUILDING') AS early FROM customer GROUP BY c_name),
+k AS (SELECT c_name, row_number() OVER (ORDER BY early DESC, c_name) AS code FROM v)
+SELECT c_custkey, code FROM customer JOIN k USING (c_name)"""
+    q["profile_merged_years"] = """
+WITH t AS (SELECT CAST(year(l_shipdate) AS INT) AS year, l_quantity, CASE WHEN l_discount > 0 THEN l_extendedprice END AS price, l_returnflag FROM lineitem),
+s AS (
+  SELECT year, 'l_quantity' AS "column", count(*) AS n, count(l_quantity) AS k, avg(l_quantity) AS a, stddev_samp(l_quantity) AS s,
+         min(l_quantity) AS lo, max(l_quantity) AS hi, TRUE AS num FROM t GROUP BY year
+  UNION ALL
+  SELECT year, 'price', count(*), count(price), avg(price), stddev_samp(price), min(price), max(price), count(price) > 0 FROM t GROUP BY year
+  UNION ALL
+  SELECT year, 'l_returnflag', count(*), count(l_returnflag), NULL, NULL, NULL, NULL, FALSE FROM t GROUP BY year)
+SELECT year, "column", metric, round(value, 4) AS value FROM (
+  SELECT year, "column", 'n_missing' AS metric, CAST(n - k AS DOUBLE) AS value FROM s
+  UNION ALL SELECT year, "column", 'complete_rate', 1.0::DOUBLE - CAST(n - k AS DOUBLE) / n FROM s
+  UNION ALL SELECT year, "column", 'mean', a FROM s WHERE num
+  UNION ALL SELECT year, "column", 'sd', s FROM s WHERE num
+  UNION ALL SELECT year, "column", 'p0', lo FROM s WHERE num
+  UNION ALL SELECT year, "column", 'p100', hi FROM s WHERE num)"""
+    seen = "SELECT *, row_number() OVER () AS pos FROM lineitem"  # rows as they stand in the file
+    q["stable_sort"] = f"""
+SELECT l_orderkey, l_partkey, l_linenumber, row_number() OVER (ORDER BY l_shipdate, pos) AS place FROM ({seen})"""
+    q["pivot_first_seen"] = f"""
+SELECT CAST(row_number() OVER (ORDER BY min(pos)) AS INT) AS place, strftime(l_shipdate, '%Y-%m') AS month, count(*) AS n
+FROM ({seen}) GROUP BY strftime(l_shipdate, '%Y-%m')"""
     q["sorted_positions"] = "SELECT o_orderkey, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS place FROM orders"
     parts = []
     for x in ("l_quantity", "l_linenumber"):
