@@ -3,7 +3,7 @@
 The tags are T (toxic) and O. Labels mark documents, so tokens are labelled first:
 a feature of a token (the word, or its first 3 to 6 letters) marks toxic tokens if it
 occurs in enough toxic documents of the training sample and hardly in any clean one (near copies in the
-sample count once). Lines labelled so train the field: log-likelihood gradients from
+sample, rows of one label that agree in 10 of 16 minima of word-shingle hashes, count once; counted by the executors). Lines labelled so train the field: log-likelihood gradients from
 forward-backward marginals, Adam steps. The sample and the lines are bounded by
 ``MAX_TRAIN`` and ``MAX_LINES``; features are computed by the executors.
 
@@ -23,6 +23,7 @@ import re
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 from zlib import crc32
 
 import numpy as np
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 from .labelled import held_out, labelled_sample
 
 MAX_TRAIN = 6_000  # labelled rows, at most half of them toxic
-MAX_LINES = 8_000  # training lines, at most half of them with a toxic token
+MAX_LINES = 12_000  # training lines, at most half of them with a toxic token
 MIN_SHARE = 0.012  # of the toxic documents that a marking feature must occur in
 MIN_DOCS = 5  # and at least so many
 MIN_RATIO = 25.0  # how much likelier it must be in toxic documents
@@ -43,16 +44,24 @@ THRESHOLD = 0.5
 SPAN_MARGINAL = 0.5
 MEMO_ENTRIES = 400_000  # about 180 bytes each
 _CHUNK = 1_500_000  # characters at once; a longer text is a chunk of its own
+_PRIME = 4294967291
+_MULTIPLY, _ADD = np.random.default_rng(7).integers(1, _PRIME, (2, 16)).tolist()  # sixteen orders of shingle hashes
+_ALIKE = 10  # of their minima that near copies have in common
 _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 
 
 def normal(token: bytes) -> str:
     """Lower case, without signs at the ends."""
-    return _EDGES.sub("", token.decode().lower())
+    s = token.decode().lower()
+    return s if s.isalnum() else _EDGES.sub("", s)
+
+
+_SEEDS = {kind: crc32(f"{kind}\t".encode()) for kind in ("bias", "shape", "s3", "w", "p3", "p4", "p5", "p6", "lw", "lp", "rw", "rp")}
 
 
 def _number(kind: str, s: str) -> int:
-    return crc32(f"{kind}\t{s}".encode()) % BUCKETS
+    """A hash of ``kind``, tab and ``s``."""
+    return crc32(s.encode(), _SEEDS[kind]) % BUCKETS
 
 
 def marking_features(s: str) -> list[int]:
@@ -60,9 +69,13 @@ def marking_features(s: str) -> list[int]:
     return [_number("w", s)] + [_number(f"p{k}", s[:k]) for k in range(3, min(6, len(s)) + 1)] if len(s) > 2 else []
 
 
-def own_features(s: str) -> list[int]:
+def shape(s: str) -> str:
     kind = "-" if not s else "l" if s.isalpha() else "d" if s.isdigit() else "m"
-    return [_number("bias", ""), _number("shape", f"{kind}{min(len(s), 12)}"), _number("s3", s[-3:])] + marking_features(s)
+    return f"{kind}{min(len(s), 12)}"
+
+
+def own_features(s: str) -> list[int]:
+    return [_number("bias", ""), _number("shape", shape(s)), _number("s3", s[-3:])] + marking_features(s)
 
 
 def near_features(side: str, s: str) -> list[int]:
@@ -70,6 +83,17 @@ def near_features(side: str, s: str) -> list[int]:
     return [_number(f"{side}w", s), _number(f"{side}p", s[:4])]
 
 
+class _Parts(dict):
+    """The weight of a part of words, which many words share, found once."""
+
+    def __init__(self, weight):
+        self.weight = weight
+
+    def __missing__(self, s: str) -> float:
+        self[s] = found = self.weight(s)
+        return found
+
+
 @dataclass
 class Field:
     """Weights for T against O, transitions [from, to] for O = 0 and T = 1, and the calibration of document scores."""
@@ -90,22 +114,35 @@ class Field:
         self.__dict__.update(state)
         self.__post_init__()
 
-    def numbers(self, tokens: list[bytes]) -> Iterator[int]:
-        memo, (own, left, right) = self.memo, self.table
-        for t in set(tokens).difference(memo):
+    def remember(self, tokens: set[bytes]) -> None:
+        """Sum the weights of ``own_features`` and ``near_features`` of each token."""
+        if not self.memo:
+            w = self.plain = self.w.tolist()  # read one by one, a list is faster
+            first = w[_number("bias", "")]
+            self.parts = (
+                _Parts(lambda x: first + w[_number("shape", x)]),
+                _Parts(lambda x: w[_number("s3", x)]),
+                _Parts(lambda x: sum(w[_number(f"p{k}", x[:k])] for k in range(3, len(x) + 1))),
+                _Parts(lambda x: w[_number("lp", x)]),
+                _Parts(lambda x: w[_number("rp", x)]),
+            )
+        plain, memo, (own, left, right) = self.plain, self.memo, self.table
+        shapes, tails, heads, left_heads, right_heads = self.parts
+        for t in tokens:
             s = normal(t)
             memo[t] = len(own)
-            for side, features in ((own, own_features(s)), (left, near_features("l", s)), (right, near_features("r", s))):
-                side.append(sum(map(self.plain.__getitem__, features)))
-        return map(memo.__getitem__, tokens)
+            e = shapes[shape(s)] + tails[s[-3:]]
+            own.append(e + plain[_number("w", s)] + heads[s[:6]] if len(s) > 2 else e)
+            left.append(plain[_number("lw", s)] + left_heads[s[:4]])
+            right.append(plain[_number("rw", s)] + right_heads[s[:4]])
 
     def emissions(self, texts: list[list[bytes]]) -> np.ndarray:
         """One log-odds of T for every token of the texts in a row."""
         if len(self.memo) > MEMO_ENTRIES:
             self.__post_init__()
-        if not self.memo:
-            self.plain = self.w.tolist()  # read one by one, a list is faster
-        flat = np.fromiter((i for t in texts for i in self.numbers(t)), np.int32, sum(map(len, texts)))
+        tokens = list(chain.from_iterable(texts))
+        self.remember(set(tokens).difference(self.memo))
+        flat = np.fromiter(map(self.memo.__getitem__, tokens), np.int32, len(tokens))
         if not len(flat):
             return np.zeros(0)
         own, left, right = (np.array(x)[flat] for x in self.table)
@@ -262,29 +299,55 @@ def _calibrate(model: Field, x: np.ndarray, y: np.ndarray, share: float) -> None
 
 
 def _sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Per document: its different marking features, and four minima of word-shingle hashes (to tell near copies)."""
+    """Per document: its different marking features and -1, and the minima of its word-shingle hashes (to tell near copies)."""
     for b in batches:
         feats, mins = [], []
         for t in b["text"]:
             words = [normal(x) for x in set(t.encode().split())]
-            feats.append(np.unique(np.array([f for s in words for f in marking_features(s)], np.int32)))
+            feats.append(np.unique(np.array([-1, *(f for s in words for f in marking_features(s))], np.int32)))
             w = t.encode().lower().split()
             h = np.array([crc32(b" ".join(w[i : i + 5])) for i in range(max(1, len(w) - 4))], np.uint64)
-            mins.append([int(((h * np.uint64(k)) % np.uint64(4294967291)).min()) for k in (1, 2654435761, 40503, 2246822519)])
+            mins.append([int(((h * np.uint64(k) + np.uint64(b)) % np.uint64(_PRIME)).min()) for k, b in zip(_MULTIPLY, _ADD)])
         yield pd.DataFrame({"doc_id": b["doc_id"], "label": b["label"], "feats": feats, "mins": mins})
 
 
-def lexicon(rows: pd.DataFrame, min_share: float = MIN_SHARE, min_ratio: float = MIN_RATIO) -> np.ndarray:
-    """The marking features: frequent in toxic documents, near copies counted once, and rare in clean ones."""
-    counts, totals = np.zeros((2, BUCKETS)), np.zeros(2)
-    seen: set = set()
-    for label, feats, mins in zip(rows["label"], rows["feats"], rows["mins"]):
-        if seen.isdisjoint(enumerate(mins)):
-            counts[label, np.asarray(feats, np.int64)] += 1
-            totals[label] += 1
-        seen.update(enumerate(mins))
-    ratio = ((counts[1] + 0.5) / (totals[1] + 1)) / ((counts[0] + 0.5) / (totals[0] + 1))
-    return (counts[1] >= max(MIN_DOCS, min_share * totals[1])) & (ratio >= min_ratio)
+def unlike(mins: np.ndarray) -> np.ndarray:
+    """The rows, in order, that agree in fewer than ``_ALIKE`` minima with every row picked before."""
+    picked, held = [], np.empty_like(mins)
+    for i, row in enumerate(mins):
+        if not len(picked) or ((held[: len(picked)] == row).sum(1) < _ALIKE).all():
+            held[len(picked)] = row
+            picked.append(i)
+    return np.array(picked, np.int64)
+
+
+def lexicon(sample: DataFrame, min_share: float = MIN_SHARE, min_ratio: float = MIN_RATIO) -> np.ndarray:
+    """The marking features: frequent in toxic documents, near copies counted once, and rare in clean ones.
+
+    The driver is sent sixteen numbers a row of the bounded sample, to pick one row of each group of near copies, and two
+    counts for each feature that enough toxic documents hold (of ``BUCKETS`` at most).
+    """
+    kind = sample.schema["doc_id"].dataType.simpleString()
+    rows = sample.mapInPandas(_sketch, f"doc_id {kind}, label int, feats array<int>, mins array<long>")
+    rows = rows.groupBy("doc_id", "label").agg(F.min(F.struct("mins", "feats")).alias("least")).persist()
+    try:
+        mins = rows.select("doc_id", "label", "least.mins").toPandas().sort_values("doc_id", kind="stable")
+        once = []
+        for _, some in mins.groupby("label"):
+            once += some["doc_id"].iloc[unlike(np.array(some["mins"].tolist(), np.int64))].tolist()
+        once = sample.sparkSession.createDataFrame([(x,) for x in once], f"doc_id {kind}")
+        each = rows.join(F.broadcast(once), "doc_id").select("label", F.explode("least.feats").alias("feature"))
+        counts = each.groupBy("feature").agg(*[F.count_if(F.col("label") == y).alias(x) for y, x in enumerate(("clean", "toxic"))])
+        counts = counts.where((F.col("feature") < 0) | (F.col("toxic") >= MIN_DOCS)).toPandas()
+    finally:
+        rows.unpersist()
+    every = counts["feature"].to_numpy() < 0  # -1 is in every document
+    clean, toxic = (float(counts.loc[every, x].sum()) for x in ("clean", "toxic"))
+    found = counts[~every]
+    ratio = ((found["toxic"] + 0.5) / (toxic + 1)) / ((found["clean"] + 0.5) / (clean + 1))
+    marks = np.zeros(BUCKETS, bool)
+    marks[found["feature"][(found["toxic"] >= min_share * toxic) & (ratio >= min_ratio)].to_numpy(np.int64)] = True
+    return marks
 
 
 def train(
@@ -295,11 +358,7 @@ def train(
     sample = labelled_sample(docs, labels, label, max_train, by_class=True, **names).persist()
     try:
         kind = sample.schema["doc_id"].dataType.simpleString()
-        rows = sample.mapInPandas(_sketch, f"doc_id {kind}, label int, feats array<int>, mins array<long>").toPandas()
-        rows = rows.sort_values("doc_id", kind="stable")
-        marks = np.packbits(lexicon(rows)) if len(rows) else np.zeros(BUCKETS // 8, np.uint8)
-        del rows
-        shared = spark.sparkContext.broadcast(marks)
+        shared = spark.sparkContext.broadcast(np.packbits(lexicon(sample)))
 
         def tagged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             toxic = np.unpackbits(shared.value).astype(bool)
