@@ -348,14 +348,20 @@ def flag_membership(df: DataFrame, ids: DataFrame, on: str | Column, out: str, i
 
 #: Stands for anything that is not a required literal while a pattern is taken apart; in no way part of a literal.
 _GAP = "\u0001"
-_LITERAL = 3  # code points of the literals that are indexed
+_LITERAL = 3  # code points of the shortest literals that are indexed
+#: Lengths of the pieces that are indexed; a literal is cut at the largest that it reaches, since longer pieces are rarer.
+_LENGTHS = (_LITERAL, 5, 7)
+#: Up to so many patterns, their pieces are broadcast; with more of them, pieces of patterns and values meet by a shuffle.
+FEW_PATTERNS = 10_000
 #: Patterns without a required literal that are sent to every task; more of them are dealt into blocks.
 LOOSE_PATTERNS = 10_000
 
 
-def required_literals(pattern: Column) -> Column:
+def required_literals(pattern: Column, lengths: Sequence[int] = (_LITERAL,)) -> Column:
     """Literals that any match of a Java regex holds, as their pieces of three code points; empty if none is certain.
 
+    With more ``lengths`` (ascending), a literal is given as its pieces of the largest length that it reaches.
+
     Escapes, classes, groups, wildcards, anchors and whatever a quantifier makes optional are cut out; what is left between
     the cuts must occur as it stands. Flags, alternatives, back references and the like are not taken apart.
     """
@@ -364,31 +370,53 @@ def required_literals(pattern: Column) -> Column:
     for cut in (r"(?s)\\.", r"\[[^\]]*\]", *[r"\([^()]*\)(?:[?*+]|\{[^}]*\})?[?+]?"] * 4, r"(?s).(?:\?|\*|\{[^}]*\})[?+]?", r"\+[?+]?", r"[\^$.{}]"):
         s = F.regexp_replace(s, cut, _GAP)
     unsure = unsure | F.regexp_like(s, F.lit(r"[()|\[\]]")) | pattern.contains(_GAP)
-    pieces = F.transform(F.split(s, _GAP), _pieces)
+
+    def longest(text: Column) -> Column:
+        out = _pieces(text, lengths[0])
+        for n in lengths[1:]:
+            out = F.when(F.length(text) >= n, _pieces(text, n)).otherwise(out)
+        return out
+
+    pieces = F.transform(F.split(s, _GAP), longest)
     return F.when(unsure, F.array().cast("array<string>")).otherwise(F.array_distinct(F.flatten(pieces)))
 
 
-def _pieces(text: Column) -> Column:
-    """All stretches of three code points."""
-    n = F.length(text) - (_LITERAL - 1)
-    every = F.transform(F.sequence(F.lit(1), n), lambda i: F.substring(text, i, _LITERAL))
+def _pieces(text: Column, size: int = _LITERAL) -> Column:
+    """All stretches of ``size`` code points."""
+    n = F.length(text) - (size - 1)
+    every = F.transform(F.sequence(F.lit(1), n), lambda i: F.substring(text, i, size))
     return F.when(n > 0, every).otherwise(F.array().cast("array<string>"))
 
 
 def _match_regexes(values: DataFrame, pats: DataFrame, blocks: int) -> DataFrame:
-    """The values ``__x`` that hold a match of any pattern ``__p``."""
+    """The values ``__x`` that hold a match of any pattern ``__p``.
+
+    Up to the last two joins only numbers move: the hashes of pieces and of values, and the row numbers of written
+    patterns. Hashes that clash lead to more candidates, which are verified. The sizes that the planner guesses for exploded
+    pieces are far too small, so every join of tables that grow is told to be a merge join.
+    """
     # a plain alternative is a pattern of its own
     parts = F.when(F.regexp_like("__p", F.lit(r"[(\[\\]")), F.array("__p")).otherwise(F.split("__p", r"\|"))
-    pats = pats.select(F.explode(parts).alias("__p")).distinct().withColumn("__g", required_literals(F.col("__p")))
+    pats = pats.select(F.explode(parts).alias("__p")).distinct().withColumn("__g", required_literals(F.col("__p"), _LENGTHS))
+    pats = pats.select(F.monotonically_increasing_id().alias("__i"), "__p", F.transform("__g", lambda g: F.xxhash64(g)).alias("__g"))
+    pats = materialize(pats)
+    few = pats.count() <= FEW_PATTERNS
 
     # index: the pieces that patterns ask for, and the values that hold them
-    asked = pats.select("__p", F.explode("__g").alias("__g"))
-    held = values.select("__x", F.explode(F.array_distinct(_pieces(F.col("__x")))).alias("__g")).join(asked.select("__g").distinct(), "__g", "left_semi")
+    asked = pats.select("__i", F.explode("__g").alias("__g"))
+    numbered = values.select(F.xxhash64("__x").alias("__v"), "__x")
+    every = F.array_distinct(F.concat(*[_pieces(F.col("__x"), n) for n in _LENGTHS]))
+    held = numbered.select("__v", F.explode(every).alias("__g")).select("__v", F.xxhash64("__g").alias("__g"))
+    if few:
+        held = held.join(F.broadcast(asked.select("__g").distinct()), "__g", "left_semi")
     found = held.groupBy("__g").agg(F.count(F.lit(1)).alias("__n"))
     # a pattern with a piece that no value holds matches none; of the others the rarest piece leads to the candidates
-    rated = asked.join(found, "__g", "left").groupBy("__p").agg(F.min(F.struct(F.coalesce("__n", F.lit(0)).alias("n"), F.col("__g").alias("g"))).alias("r"))
-    rarest = rated.where("r.n > 0").select("__p", F.col("r.g").alias("__g"))
-    matched = held.join(rarest, "__g").where(F.regexp_like("__x", F.col("__p"))).select("__x")
+    rated = asked.join(found.hint("merge"), "__g", "left").groupBy("__i")
+    rated = rated.agg(F.min(F.struct(F.coalesce("__n", F.lit(0)).alias("n"), F.col("__g").alias("g"))).alias("r"))
+    rarest = materialize(rated.where("r.n > 0").select("__i", F.col("r.g").alias("__g")))
+    met = held.join(F.broadcast(rarest) if few else rarest.hint("merge"), "__g").select("__v", "__i")
+    met = met.join(pats.select("__i", "__p").hint("merge"), "__i").select("__v", "__p")
+    matched = met.join(numbered.hint("merge"), "__v").where(F.regexp_like("__x", F.col("__p"))).select("__x")
 
     loose = pats.where(F.size("__g") == 0).select("__p")
     listed = loose.limit(LOOSE_PATTERNS + 1).collect()
@@ -409,8 +437,8 @@ def match_any(df: DataFrame, column: str, patterns: DataFrame, pattern_column: s
 
     ``mode='prefix'``: patterns are literal prefixes. Every value is cut at the lengths that occur among
     the patterns (a join with the table of lengths) and the cuts are semi joined: equi-joins only.
-    ``mode='regex'``: Java regexes searched anywhere. Patterns are indexed by the rarest stretch of three characters that each of them
-    must contain; values meet their candidates by an equi-join and are verified, so a value is tested
+    ``mode='regex'``: Java regexes searched anywhere. Patterns are indexed by the rarest stretch of three, five or seven characters that
+    each of them must contain; values meet their candidates by an equi-join and are verified, so a value is tested
     against few patterns however many there are. Patterns without such a stretch (counted; a small job of its own)
     are tested against every value: sent to all tasks, or beyond ``LOOSE_PATTERNS`` dealt into ``blocks`` by hash.
 

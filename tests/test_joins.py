@@ -304,3 +304,18 @@ def test_match_any_regex_meets_few_patterns(spark):
     out = match_any(df, "name", pats)
     assert out.agg(F.count(F.lit(1)), F.sum(F.col("id") % 2)).first()[:] == (10_000, 0)
     assert "NestedLoop" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_match_any_regex_broadcasts_no_pieces_of_values(spark):
+    """More patterns than are broadcast: whatever sizes the planner guesses, pieces, patterns and values meet by merge joins."""
+    df = spark.range(21_000).select("id", F.format_string("part %07d", "id").alias("name"))
+    pats = spark.range(2, 21_002, 2).select(F.format_string("^part( |-)0*%d$", "id").alias("p"))
+    out = match_any(df, "name", pats)
+    assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
+    assert out.agg(F.count(F.lit(1)), F.sum(F.col("id") % 2)).first()[:] == (10_499, 0)
+
+
+def test_required_literals_of_several_lengths(spark):
+    df = spark.createDataFrame([("^part.*0012345$",), ("ab.cde",), ("abcdefgh.xyzuv",)], "p string").coalesce(1)
+    got = [sorted(r[0]) for r in df.select(joins.required_literals(F.col("p"), (3, 5, 7))).collect()]
+    assert got == [["0012345", "art", "par"], ["cde"], ["abcdefg", "bcdefgh", "xyzuv"]]
