@@ -19,9 +19,11 @@ from __future__ import annotations
 
 import heapq
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from functools import cached_property
+from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
@@ -29,18 +31,44 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .plain_words import encode_words, is_letters, split_tail, without_split
+from .plain_words import encode_words, is_letters, split_tail
 
 CAPACITY = 4096
 END = 2
 LINEAR = 1.0
 QUADRATIC = 1 / (6 * 1024)  # 4 d n^2 against 24 d^2 n operations a layer, for width d = 1024
 BLOCK_TOKENS = 1 << 22
-MEMO_ENTRIES = 600_000  # about 200 bytes each
+MEMO_ENTRIES = 500_000  # about 160 bytes each
+MEMO_KEPT = 300_000  # of a full memo, the words that came first stay, most frequent words among them
+#: Letters whose lower case is one letter of the same range, then a run of ASCII signs; all of them take the same way through :meth:`WordCoder._learn`.
+_PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+)([!-/:-@\\[-`{-~]*)").fullmatch
+
+
+class _Numbers(dict):
+    """Numbers of words; a word that is new gets the next one."""
+
+    def __init__(self, known=()):
+        super().__init__(known)
+        self.new: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        n = self[word] = len(self)
+        self.new.append(word)
+        return n
+
+
+class _ByteLevel(dict):
+    """By code point, the characters that stand for its bytes in the vocabulary."""
+
+    def __missing__(self, c: int) -> str:
+        from tokenizers import pre_tokenizers
+
+        s = self[c] = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str(chr(c))[0][0]
+        return s
 
 
 class WordCoder:
-    """Ids of whole texts, for tokenizers that drop white space; remembers the ids of words seen.
+    """Ids of whole texts, for tokenizers that drop white space; remembers the ids of words seen, all of them in one array.
 
     White space always ends a match of the split pattern and leaves no token, so a text's
     ids are those of its words in a row.
@@ -48,7 +76,10 @@ class WordCoder:
 
     def __init__(self, path: str):
         self.path = path
-        self.memo: dict[bytes, bytes] = {}
+        self.number = _Numbers()
+        self.ends = np.zeros(1, np.int64)  # of the ids of each word, by number; the first one is their start
+        self.flat = np.zeros(0, "<u4")
+        self.byte_level = _ByteLevel()
 
     def __getstate__(self):
         return self.path
@@ -66,48 +97,73 @@ class WordCoder:
         return tokenizer
 
     @cached_property
-    def letters(self):
-        """The tokenizer for words of plain letters."""
-        from tokenizers import Tokenizer, pre_tokenizers
-
-        byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        return without_split(Tokenizer.from_file(self.path), byte_level)
+    def model(self):
+        """The merges alone, for words of plain letters."""
+        model = self.tokenizer.model
+        model._resize_cache(0)  # each word comes once
+        return model
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text, as little-endian unsigned 32-bit integers."""
-        cut = [(t or "").encode().split() for t in texts]
         out = []
-        for i in range(0, len(cut), 256):
-            part = cut[i : i + 256]
-            if len(self.memo) > MEMO_ENTRIES:
-                self.memo = {}
-            self._learn(set().union(*part).difference(self.memo))
-            out += [b"".join(map(self.memo.__getitem__, w)) for w in part]
+        for i in range(0, len(texts), 256):
+            cut = [(t or "").encode().split() for t in texts[i : i + 256]]
+            if len(self.number) > MEMO_ENTRIES:
+                self._forget()
+            counts = np.array([len(w) for w in cut])
+            numbers = np.fromiter(map(self.number.__getitem__, chain.from_iterable(cut)), np.int64, counts.sum())
+            if self.number.new:
+                self._learn(self.number.new)
+                self.number.new = []
+            first, last = self.ends[numbers], self.ends[numbers + 1]
+            upto = np.concatenate([[0], np.cumsum(last - first)])
+            spots = np.repeat(first - upto[:-1], last - first)
+            spots += np.arange(len(spots))
+            raw = self.flat[spots].tobytes()
+            bounds = (4 * upto[np.concatenate([[0], np.cumsum(counts)])]).tolist()
+            out += [raw[a:b] for a, b in zip(bounds, bounds[1:])]
         return out
 
-    def _learn(self, new: set[bytes]) -> None:
+    def _learn(self, new: list[bytes]) -> None:
         """The tokenizer lower-cases letters itself; a run of signs at the end of a word has ids of its own."""
-        cut, letters, others = {}, set(), set()
+        cut, letters, others = [], set(), set()
         for w in new:
-            core, tail = split_tail(w.decode())
-            if is_letters(core):
-                low = core.lower()
-                if is_letters(low):
-                    core = low
+            s = w.decode()
+            if plain := _PLAIN(s):
+                core, tail = plain.groups()
+                core = core.lower()
+                letters.add(core)
+            else:
+                core, tail = split_tail(s)
+                if is_letters(core) and is_letters(core.lower()):
+                    core = core.lower()
                     letters.add(core)
                 else:
                     others.add(core)
-            else:
-                others.add(core)
             if tail:
                 others.add(tail)
-            cut[w] = core, tail
-        memo = self.memo
-        for tokenizer, words in ((self.letters, letters), (self.tokenizer, others)):
-            for x, ids in encode_words(tokenizer, [x for x in words if x.encode() not in memo]):
-                memo[x.encode()] = ids
-        for w, (core, tail) in cut.items():
-            memo[w] = memo[core.encode()] + (memo[tail.encode()] if tail else b"")
+            cut.append((core, tail))
+        ids, learnt, unknown = {"": ()}, len(self.ends) - 1, []
+        tokenize, byte_level = self.model.tokenize, self.byte_level
+        for x in chain(letters, others):
+            n = self.number.get(x.encode(), learnt)
+            if n < learnt:
+                ids[x] = self.flat[self.ends[n] : self.ends[n + 1]].tolist()
+            elif x in letters:
+                ids[x] = [t.id for t in tokenize(x.translate(byte_level))]
+            else:
+                unknown.append(x)
+        for x, raw in encode_words(self.tokenizer, unknown):
+            ids[x] = np.frombuffer(raw, "<u4").tolist()
+        sizes = np.fromiter((len(ids[core]) + len(ids[tail]) for core, tail in cut), np.int64, len(cut))
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
+        flat = np.fromiter(chain.from_iterable(ids[x] for pair in cut for x in pair), "<u4", sizes.sum())
+        self.flat = np.concatenate([self.flat, flat])
+
+    def _forget(self) -> None:
+        self.number = _Numbers(islice(self.number.items(), MEMO_KEPT))
+        self.ends = self.ends[: MEMO_KEPT + 1].copy()
+        self.flat = self.flat[: self.ends[-1]].copy()
 
 
 def piece_cost(n):

@@ -255,3 +255,23 @@ def test_line_rules_empty(no_docs):
 def test_line_rules_run_without_python(docs):
     plan = line_frequency.line_frequency(docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_word_coder_learns_frequent_words_once_and_forgets_the_last(monkeypatch):
+    """A full memo keeps the words that came first; whatever it holds, ids are those of the library."""
+    from tokenizers import Tokenizer
+
+    path = tokenizer_path("word_bpe_49k.json")
+    common = "The house, the HOUSE! Déjà-vu ŉa ſs Ⱥb ǅx İstanbul a1, ,, x́y Ωσς, ÿŸ... 日本語。 <|endoftext|> don't"
+    texts = [f"{common} rare{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}{i}, Zß{i}" for i in range(2000)] + [None, "", " \n"]
+    monkeypatch.setattr(packing, "MEMO_ENTRIES", 600)
+    monkeypatch.setattr(packing, "MEMO_KEPT", 100)
+    coder = packing.WordCoder(path)
+    learnt = []
+    real = coder._learn
+    monkeypatch.setattr(coder, "_learn", lambda new: (learnt.extend(new), real(new)))
+    got = [np.frombuffer(x, "<u4").tolist() for x in coder.ids(texts)]
+    library = Tokenizer.from_file(path)
+    library.encode_special_tokens = True
+    assert got == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert learnt.count(b"HOUSE!") == 1 and len(coder.number) < 600 + 2 * 256 + 20
