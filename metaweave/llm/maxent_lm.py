@@ -23,7 +23,8 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
+from functools import cached_property
+from itertools import chain, islice
 from zlib import crc32
 
 import numpy as np
@@ -71,6 +72,11 @@ class Vocabulary:
     class_totals: np.ndarray  # [class]: tokens
     class_words: np.ndarray  # [class]: different words
 
+    @cached_property
+    def index(self) -> Index:
+        """One for all tasks of a worker, whose copy of the broadcast keeps it; never made on the driver."""
+        return Index(self)
+
     def priors(self) -> np.ndarray:
         return np.log((self.class_totals + 1) / (self.class_totals.sum() + CLASSES)).astype(np.float32)
 
@@ -78,9 +84,9 @@ class Vocabulary:
 class _Numbers(dict):
     """Numbers of words; a word that is new gets the next one."""
 
-    def __init__(self, known: dict[bytes, int]):
+    def __init__(self, known):
         super().__init__(known)
-        self.next, self.new = len(known), []
+        self.next, self.new = len(self), []
 
     def __missing__(self, word: bytes) -> int:
         n = self[word] = self.next
@@ -89,15 +95,25 @@ class _Numbers(dict):
         return n
 
 
+class _Hashes(dict):
+    """By the last letters of words, a hash below ``size`` counted from ``first``."""
+
+    def __init__(self, size: int, first: int):
+        super().__init__()
+        self.size, self.first = size, first
+
+    def __missing__(self, tail: str) -> int:
+        n = self[tail] = crc32(tail.encode()) % self.size + self.first
+        return n
+
+
 class Index:
     """Word numbers with their class, feature number and count, for one worker; grows with the words it meets."""
 
     def __init__(self, v: Vocabulary):
-        self.v = v
-        self.reset()
-
-    def reset(self) -> None:
-        v, m = self.v, len(self.v.words)
+        self.v, m = v, len(v.words)
+        self.tail_class = _Hashes(CLASSES - OWN_CLASSES - 1, OWN_CLASSES + 1)
+        self.tail_row = _Hashes(SHARED_ROWS, OWN_ROWS)
         self.end, self.begin = m, m + 1
         self.number = _Numbers({w: i for i, w in enumerate(v.words)})
         self.number[b""] = m  # no word is empty: the end of a text
@@ -109,13 +125,19 @@ class Index:
         inside[cls <= OWN_CLASSES] = 0
         self.inside = np.concatenate([inside, [0, 0]])
         self.known = np.concatenate([v.counts > 0, [v.total > 0, False]])
-        self.in_table = len(self.cls)
+        self.in_table = self.filled = len(self.cls)
         self.extra = self.number.new
 
+    def reset(self) -> None:
+        """Forget all words but those of the vocabulary."""
+        n = self.filled = self.in_table
+        self.number = _Numbers(islice(self.number.items(), n - 1))  # no word has the number of the beginning
+        self.number.next, self.extra = n, self.number.new
+
     def _describe(self, words: list[bytes], first: int) -> tuple[np.ndarray, np.ndarray]:
-        tails = [w.decode() for w in words]
-        cls = np.array([crc32(t[-2:].encode()) % (CLASSES - OWN_CLASSES - 1) + OWN_CLASSES + 1 for t in tails], np.int64)
-        fid = np.array([OWN_ROWS + crc32(t[-3:].encode()) % SHARED_ROWS for t in tails], np.int64)
+        tails = [w.decode()[-3:] for w in words]
+        cls = np.array([self.tail_class[t[-2:]] for t in tails], np.int64)
+        fid = np.array([self.tail_row[t] for t in tails], np.int64)
         if first == 0:
             n = min(OWN_CLASSES, len(words))
             cls[:n] = np.arange(1, n + 1)
@@ -133,12 +155,15 @@ class Index:
         firsts = np.cumsum(lengths) - lengths
         spots[firsts] = spots[firsts + 1] = False
         flat[spots] = np.fromiter(map(self.number.__getitem__, chain.from_iterable(chain(t, (b"",)) for t in texts)), np.int32, spots.sum())
-        new = self.extra[len(self.cls) - self.in_table :]
+        new = self.extra[self.filled - self.in_table :]
         if new:
             cls, fid = self._describe(new, 1)
-            self.cls, self.fid = np.concatenate([self.cls, cls]), np.concatenate([self.fid, fid])
-            self.inside = np.concatenate([self.inside, -np.log10(self.v.class_totals[cls] + self.v.class_words[cls] + 1)])
-            self.known = np.concatenate([self.known, np.zeros(len(new), bool)])
+            inside = -np.log10(self.v.class_totals[cls] + self.v.class_words[cls] + 1)
+            n = self.filled = self.filled + len(new)
+            if n > len(self.cls):  # room for as many again, so that arrays are seldom copied
+                self.cls, self.fid, self.inside, self.known = (np.resize(x, 2 * n) for x in (self.cls, self.fid, self.inside, self.known))
+            at = slice(n - len(new), n)
+            self.cls[at], self.fid[at], self.inside[at], self.known[at] = cls, fid, inside, False
         return flat
 
     def examples(self, flat: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -181,15 +206,17 @@ def gradient_steps(w: np.ndarray, scale: np.ndarray, rows: np.ndarray, cls: np.n
     g[np.arange(len(cls)), cls] -= 1
     classes = g.shape[1]
     each, column = g.astype(np.float64).ravel(), np.arange(classes)
+    cells = np.empty(g.shape, np.int64)
     for k in range(rows.shape[1]):
         key = rows[:, k].astype(np.uint16)  # a key of 16 bits is sorted by radix
         order = np.argsort(key, kind="stable")
         r = key[order]
         new = np.concatenate([[True], r[1:] != r[:-1]])
         used, place = r[new], np.empty(len(r), np.int64)
-        place[order] = np.cumsum(new) - 1
+        place[order] = (np.cumsum(new) - 1) * classes
         # sums by feature row and class, as one count of weighted cells
-        part = np.bincount((place[:, None] * classes + column).ravel(), each, len(used) * classes).reshape(-1, classes).astype(np.float32)
+        np.add(place[:, None], column, out=cells)
+        part = np.bincount(cells.ravel(), each, len(used) * classes).reshape(-1, classes).astype(np.float32)
         scale[used] += np.einsum("ij,ij->i", part, part)
         part *= (rate / np.sqrt(scale[used] + 1.0))[:, None]
         w[used] -= part
@@ -272,7 +299,7 @@ def train_weights(train: DataFrame, text: str, vocab, prior: np.ndarray, rounds:
         shared = spark.sparkContext.broadcast(w)
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            index, weights = Index(vocab.value), shared.value.copy()
+            index, weights = vocab.value.index, shared.value.copy()
             scale, seen = np.zeros(len(weights), np.float32), 0
             rng = np.random.default_rng(11)
             for b in batches:
@@ -314,7 +341,7 @@ def lm_scores(
     unit = float(np.log10(v.total + v.different + 1))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        index, w = Index(vocab.value), weights.value
+        index, w = vocab.value.index, weights.value
         base = np.log10(vocab.value.counts + 1) - unit
         end_base = np.log10(vocab.value.class_totals[0] + 1) - unit
         table = np.concatenate([base, [end_base, 0.0]])
@@ -341,24 +368,25 @@ def lm_scores(
                 out["n_known"] = np.add.reduceat(index.known[number].astype(np.int64), at)
                 out["base_score"] = np.add.reduceat(plain, at)
                 out["score"] = np.add.reduceat(said, at)
-                out["rare"] = [[{"word": index.extra[x - index.in_table].decode(), "k": k} for x, k in c.items()] for c in rare]
+                out["rare"] = [[index.extra[x - index.in_table].decode() for x in c] for c in rare]
+                out["often"] = [list(c.values()) for c in rare]
                 uid += len(out)
                 yield out
 
     own = docs.select(F.col(doc_id).alias("doc_id"), *[c.alias(k) for k, c in extra.items()], F.col(text).alias("text"))
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in own.schema.fields if f.name != "text")
     scored = own.mapInPandas(
-        run, fields + ", uid long, n_tokens long, n_known long, base_score double, score double, rare array<struct<word:string,k:long>>"
+        run, fields + ", uid long, n_tokens long, n_known long, base_score double, score double, rare array<string>, often array<long>"
     )
     scored = saved(scored, "lm-scored")
     vocab.destroy()
     weights.destroy()
-    rare = scored.select("uid", F.explode("rare").alias("x")).select("uid", "x.word", "x.k")
+    rare = scored.select("uid", F.explode(F.arrays_zip("rare", "often")).alias("x")).select("uid", F.col("x.rare").alias("word"), F.col("x.often").alias("k"))
     found = (
         rare.join(counts, "word").groupBy("uid")
         .agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.log10(F.col("n") + 1)).alias("more"))
     )
-    out = scored.drop("rare").join(found, "uid", "left")
+    out = scored.drop("rare", "often").join(found, "uid", "left")
     more, k = F.coalesce("more", F.lit(0.0)), F.coalesce("k", F.lit(0))
     return out.select(
         "doc_id", *extra, "n_tokens", (F.col("n_known") + k).alias("n_known"), F.lit(v.total).cast("long").alias("train_tokens"),

@@ -77,6 +77,23 @@ def test_lm_numbers_after_the_memo_is_emptied(monkeypatch):
     assert seen(maxent_lm.Index(v)) == want
 
 
+def test_lm_index_is_kept_by_the_worker_and_a_reset_keeps_the_vocabulary(monkeypatch):
+    """All tasks of a worker share one index; a full one forgets other words without describing the vocabulary again."""
+    import pickle
+
+    v = maxent_lm.Vocabulary([b"the", b"a"], np.array([5, 3]), 20, 9, np.full(maxent_lm.CLASSES, 2.0), np.ones(maxent_lm.CLASSES))
+    sent = pickle.loads(pickle.dumps(v))
+    assert sent.index is sent.index
+    described = []
+    real = maxent_lm.Index._describe
+    monkeypatch.setattr(maxent_lm.Index, "_describe", lambda self, words, first: (described.extend(words), real(self, words, first))[1])
+    monkeypatch.setattr(maxent_lm, "_MEMO", 10)
+    for i in range(40):
+        flat = sent.index.numbers([[b"the", f"x{i}".encode()], [b"a"]])
+        assert flat.tolist()[2] == 0 and flat.tolist()[4] == sent.index.end and sent.index.filled < 20
+    assert len(described) == 40 and b"the" not in described
+
+
 def test_lm_beats_its_base_on_held_out_text(spark):
     rng = random.Random(3)
     a, b = [f"al{i}" for i in range(40)], [f"{i}be" for i in range(40)]
