@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from metaweave.llm import quality_fm, toxicity_crf
-from metaweave.llm.common import importable, join_narrow, saved, table, tokenizer_path, with_place
+from metaweave.llm.common import importable, join_narrow, saved, small_batches, table, tokenizer_path, with_place
 from metaweave.llm.packing import pack_documents
 from metaweave.llm.simhash import simhash_groups
 from metaweave.llm.stream_dedup import exact_dedup
@@ -28,6 +28,7 @@ def _free(docs: DataFrame, *names: str) -> list[str]:
 
 
 @importable
+@small_batches
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject."""
     model = quality_fm.train(docs, table(spark, sf_dir, "labels"))
@@ -37,6 +38,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 @importable
+@small_batches
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not toxic."""
     model = toxicity_crf.train(docs, table(spark, sf_dir, "labels"))
@@ -60,6 +62,7 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 @importable
+@small_batches
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of every group of near duplicates, the document with the smallest identifier."""
     place = _free(docs, "file", "pos")
@@ -73,6 +76,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 @importable
+@small_batches
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents that are left, in sequences of 4096 tokens."""
     return pack_documents(docs, tokenizer_path("word_bpe_49k.json"))

@@ -38,8 +38,8 @@ END = 2
 LINEAR = 1.0
 QUADRATIC = 1 / (6 * 1024)  # 4 d n^2 against 24 d^2 n operations a layer, for width d = 1024
 BLOCK_TOKENS = 1 << 22
-MEMO_ENTRIES = 500_000  # about 160 bytes each
-MEMO_KEPT = 300_000  # of a full memo, the words that came first stay, most frequent words among them
+MEMO_ENTRIES = 400_000  # about 160 bytes each
+MEMO_KEPT = 250_000  # of a full memo, the words that came first stay, most frequent words among them
 #: Letters whose lower case is one letter of the same range, then a run of ASCII signs; all of them take the same way through :meth:`WordCoder._learn`.
 _PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+)([!-/:-@\\[-`{-~]*)").fullmatch
 

@@ -65,3 +65,21 @@ def test_columns_with_the_stages_own_names_pass(spark):
         docs, plain = after, bare
     packed = pipeline.packing(spark, docs, small)
     assert packed.select("doc_id").distinct().count() == docs.count()
+
+
+def test_workers_of_the_stages_get_few_texts_at_once(spark):
+    """Executors and workers hold a batch of whole texts several times over; a smaller setting of the session stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    docs = spark.range(5000).selectExpr("id AS doc_id", "concat('text ', id) AS text").coalesce(1)
+    before = spark.conf.get(name)
+    try:
+        spark.conf.set(name, 10_000)
+        packed = pipeline.packing(spark, docs, "")
+        assert packed.agg(F.countDistinct("doc_id")).first()[0] == 5000
+        sizes = docs.mapInPandas(lambda batches: (b.assign(n=len(b))[["n"]][:1] for b in batches), "n long")
+        assert sizes.agg(F.max("n"), F.sum("n")).first()[:] == (2048, 5000)
+        spark.conf.set(name, 100)
+        pipeline.packing(spark, docs, "")
+        assert spark.conf.get(name) == "100"
+    finally:
+        spark.conf.set(name, before)
