@@ -18,6 +18,12 @@ from metaweave.llm.simhash import simhash_groups
 from metaweave.llm.stream_dedup import exact_dedup
 
 
+#: Words that a Python worker of a stage remembers. The stages share their executors' memory, so they remember fewer than the
+#: operators do by themselves; of the full memo of packing, the words that came first stay.
+MEMO_WORDS = 150_000
+MEMO_KEPT = 100_000
+
+
 def _free(docs: DataFrame, *names: str) -> list[str]:
     """Names for columns that a stage adds for itself and drops again, none of which ``docs`` has."""
     taken = {x.lower() for x in docs.columns}
@@ -42,6 +48,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not toxic."""
     model = toxicity_crf.train(docs, table(spark, sf_dir, "labels"))
+    model.entries = MEMO_WORDS
     (own,) = _free(docs, "score")
     scored = docs.withColumn(own, toxicity_crf.score(F.col("text"), model, spark))
     return scored.where(F.col(own) < toxicity_crf.THRESHOLD).drop(own)
@@ -79,7 +86,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 @small_batches
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents that are left, in sequences of 4096 tokens."""
-    return pack_documents(docs, tokenizer_path("word_bpe_49k.json"))
+    return pack_documents(docs, tokenizer_path("word_bpe_49k.json"), memo=(MEMO_WORDS, MEMO_KEPT))
 
 
 STAGES = [

@@ -74,18 +74,19 @@ class WordCoder:
     ids are those of its words in a row.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, entries: int | None = None, kept: int | None = None):
         self.path = path
+        self.entries, self.kept = entries or MEMO_ENTRIES, kept or MEMO_KEPT
         self.number = _Numbers()
         self.ends = np.zeros(1, np.int64)  # of the ids of each word, by number; the first one is their start
         self.flat = np.zeros(0, "<u4")
         self.byte_level = _ByteLevel()
 
     def __getstate__(self):
-        return self.path
+        return self.path, self.entries, self.kept
 
-    def __setstate__(self, path: str):
-        self.__init__(path)
+    def __setstate__(self, state: tuple[str, int, int]):
+        self.__init__(*state)
 
     @cached_property
     def tokenizer(self):
@@ -108,7 +109,7 @@ class WordCoder:
         out = []
         for i in range(0, len(texts), 256):
             cut = [(t or "").encode().split() for t in texts[i : i + 256]]
-            if len(self.number) > MEMO_ENTRIES:
+            if len(self.number) > self.entries:
                 self._forget()
             counts = np.array([len(w) for w in cut])
             numbers = np.fromiter(map(self.number.__getitem__, chain.from_iterable(cut)), np.int64, counts.sum())
@@ -161,8 +162,8 @@ class WordCoder:
         self.flat = np.concatenate([self.flat, flat])
 
     def _forget(self) -> None:
-        self.number = _Numbers(islice(self.number.items(), MEMO_KEPT))
-        self.ends = self.ends[: MEMO_KEPT + 1].copy()
+        self.number = _Numbers(islice(self.number.items(), self.kept))
+        self.ends = self.ends[: self.kept + 1].copy()
         self.flat = self.flat[: self.ends[-1]].copy()
 
 
@@ -207,13 +208,16 @@ def pack_documents(
     end: int = END,
     block_tokens: int = BLOCK_TOKENS,
     with_ids: bool = False,
+    memo: tuple[int, int] | None = None,
 ) -> DataFrame:
     """One row per piece: ``doc_id``, ``start``, ``length``, ``ids_crc32``, ``doc_tokens``, ``sequence_id``,
-    ``offset``, ``sequence_cost`` (the estimate for its whole sequence), and ``ids`` if asked for."""
+    ``offset``, ``sequence_cost`` (the estimate for its whole sequence), and ``ids`` if asked for.
+
+    ``memo`` is how many words a worker remembers, and how many of them a full memo keeps."""
     own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind = own.schema["doc_id"].dataType.simpleString()
     # one coder for each worker process, dropped with its memo when the worker goes on to other work
-    shared = docs.sparkSession.sparkContext.broadcast(WordCoder(tokenizer))
+    shared = docs.sparkSession.sparkContext.broadcast(WordCoder(tokenizer, *memo or ()))
 
     def packed(keys: list, ids: list[bytes], first: int) -> tuple[pd.DataFrame, int]:
         pieces = pack([len(x) // 4 for x in ids], capacity)

@@ -23,7 +23,7 @@ import re
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import chain
+from itertools import chain, islice
 from zlib import crc32
 
 import numpy as np
@@ -102,13 +102,15 @@ class Field:
     trans: np.ndarray
     slope: np.ndarray = field(default_factory=lambda: np.array([0.5, 0.5]))
     shift: float = 0.0
+    entries: int | None = None  # tokens to remember; MEMO_ENTRIES if not given
 
     def __post_init__(self):
+        self.parts: tuple[_Parts, ...] = ()
         self.memo: dict[bytes, int] = {}
         self.table = tuple(array("d") for _ in range(3))  # of each known token: its own weight, and what it adds to the next and to the one before
 
     def __getstate__(self):
-        return {"w": self.w, "trans": self.trans, "slope": self.slope, "shift": self.shift}
+        return {"w": self.w, "trans": self.trans, "slope": self.slope, "shift": self.shift, "entries": self.entries}
 
     def __setstate__(self, state):
         self.__dict__.update(state)
@@ -116,7 +118,7 @@ class Field:
 
     def remember(self, tokens: set[bytes]) -> None:
         """Sum the weights of ``own_features`` and ``near_features`` of each token."""
-        if not self.memo:
+        if not self.parts:
             w = self.plain = self.w.tolist()  # read one by one, a list is faster
             first = w[_number("bias", "")]
             self.parts = (
@@ -136,10 +138,16 @@ class Field:
             left.append(plain[_number("lw", s)] + left_heads[s[:4]])
             right.append(plain[_number("rw", s)] + right_heads[s[:4]])
 
+    def forget(self, kept: int) -> None:
+        """All but the tokens that came first, most frequent tokens among them."""
+        self.memo = dict(islice(self.memo.items(), kept))
+        self.table = tuple(x[:kept] for x in self.table)
+        self.parts = ()
+
     def emissions(self, texts: list[list[bytes]]) -> np.ndarray:
         """One log-odds of T for every token of the texts in a row."""
-        if len(self.memo) > MEMO_ENTRIES:
-            self.__post_init__()
+        if len(self.memo) > (most := self.entries or MEMO_ENTRIES):
+            self.forget(most // 2)
         tokens = list(chain.from_iterable(texts))
         self.remember(set(tokens).difference(self.memo))
         flat = np.fromiter(map(self.memo.__getitem__, tokens), np.int32, len(tokens))

@@ -1,9 +1,13 @@
 """The pipeline's stages against their operators, and odd tables."""
 
+import pickle
+
+import numpy as np
 from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
-from metaweave.llm.common import saved
+from metaweave.llm import packing, stream_dedup, toxicity_crf
+from metaweave.llm.common import saved, tokenizer_path
 
 SF = "/root/testdata/sf0.01"
 
@@ -83,3 +87,26 @@ def test_workers_of_the_stages_get_few_texts_at_once(spark):
         assert spark.conf.get(name) == "100"
     finally:
         spark.conf.set(name, before)
+
+
+def test_a_small_memo_gives_the_same_pieces_and_scores(spark):
+    """Stages that share memory remember fewer words; a full memo keeps those that came first and changes no result."""
+    docs = spark.range(600).selectExpr("id AS doc_id", "concat('Common words, rare', id, ' und Öl', id % 7, '!') AS text").coalesce(1)
+    want, got = (packing.pack_documents(docs, tokenizer_path("word_bpe_49k.json"), memo=x).collect() for x in (None, (100, 20)))
+    assert got == want
+    rng = np.random.default_rng(5)
+    model = toxicity_crf.Field(rng.normal(size=toxicity_crf.BUCKETS), np.zeros((2, 2)))
+    small = pickle.loads(pickle.dumps(toxicity_crf.Field(model.w, model.trans, entries=40)))
+    texts = [[b"first", b"words", *(f"rare{i}x{k}".encode() for k in range(30))] for i in range(10)]
+    for x in texts * 2:
+        assert np.array_equal(small.emissions([x]), model.emissions([x]))
+        assert len(small.memo) <= 40 + len(x) and set(list(small.memo)[:20]) <= set(texts[0]) and len(small.table[0]) == len(small.memo)
+
+
+def test_stores_of_the_stream_close_with_their_tasks(spark):
+    """An executor that keeps the stores of all partitions open holds the buffers of all of them."""
+    name = "spark.sql.streaming.stateStore.unloadOnCommit"
+    before = spark.conf.get(name)
+    with stream_dedup._rocksdb(spark):
+        assert spark.conf.get(name) == "true"
+    assert spark.conf.get(name) == before
