@@ -181,7 +181,7 @@ def _logits(w: np.ndarray, rows: np.ndarray) -> np.ndarray:
     z += w.take(rows[:, 1], axis=0)
     z += w.take(rows[:, 2], axis=0)
     z += w[-1]
-    z -= z.max(1, keepdims=True)
+    z -= z[np.arange(len(z)), z.argmax(1)][:, None]  # numpy finds the place of the largest faster than its value
     return z
 
 
@@ -198,28 +198,39 @@ def log_chance(w: np.ndarray, rows: np.ndarray, cls: np.ndarray) -> np.ndarray:
     return own - np.log(np.exp(z, out=z).sum(1))
 
 
+def row_sums(g: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different feature rows and the sums of ``g`` over the tokens that have them, added in the order of the tokens.
+
+    Most rows of a batch occur once, so only the others are summed: in each round those that occur once more.
+    """
+    key = rows.T.astype(np.uint16).ravel()  # a key of 16 bits is sorted by radix
+    order = np.argsort(key, kind="stable")
+    key, token = key[order], order % len(rows)
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    times = np.diff(first, append=len(key))
+    most = np.argsort(-times, kind="stable")
+    first, times = first[most], times[most]
+    part = g.take(token[first], axis=0)
+    left = np.searchsorted(-times, -np.arange(1, times[0]), side="left").tolist()  # rows that occur more than 1, 2, ... times
+    if left:
+        more = part[: left[0]].astype(np.float64)
+        for k, n in enumerate(left, 1):
+            more[:n] += g.take(token[first[:n] + k], axis=0)
+        part[: left[0]] = more
+    return key[first], part
+
+
 def gradient_steps(w: np.ndarray, scale: np.ndarray, rows: np.ndarray, cls: np.ndarray, rate: float = RATE) -> None:
     """One adaptive step for a batch; changes ``w`` and the per-row ``scale`` in place."""
     g = _logits(w, rows)
     np.exp(g, out=g)
     g /= g.sum(1, keepdims=True)
     g[np.arange(len(cls)), cls] -= 1
-    classes = g.shape[1]
-    each, column = g.astype(np.float64).ravel(), np.arange(classes)
-    cells = np.empty(g.shape, np.int64)
-    for k in range(rows.shape[1]):
-        key = rows[:, k].astype(np.uint16)  # a key of 16 bits is sorted by radix
-        order = np.argsort(key, kind="stable")
-        r = key[order]
-        new = np.concatenate([[True], r[1:] != r[:-1]])
-        used, place = r[new], np.empty(len(r), np.int64)
-        place[order] = (np.cumsum(new) - 1) * classes
-        # sums by feature row and class, as one count of weighted cells
-        np.add(place[:, None], column, out=cells)
-        part = np.bincount(cells.ravel(), each, len(used) * classes).reshape(-1, classes).astype(np.float32)
-        scale[used] += np.einsum("ij,ij->i", part, part)
-        part *= (rate / np.sqrt(scale[used] + 1.0))[:, None]
-        w[used] -= part
+    used, part = row_sums(g, rows)
+    held = scale[used] + np.einsum("ij,ij->i", part, part)
+    scale[used] = held
+    part *= (rate / np.sqrt(held + 1.0))[:, None]
+    w[used] -= part
     part = g.sum(0)
     scale[-1] += (part * part).sum()
     w[-1] -= rate * part / np.sqrt(scale[-1] + 1.0)

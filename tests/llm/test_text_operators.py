@@ -94,6 +94,21 @@ def test_lm_index_is_kept_by_the_worker_and_a_reset_keeps_the_vocabulary(monkeyp
     assert len(described) == 40 and b"the" not in described
 
 
+def test_lm_gradient_sums_of_rows_that_occur_once_and_often():
+    """Each feature row once, its sum over its tokens added in double precision and in their order."""
+    rng = np.random.default_rng(3)
+    for tokens, most in ((1, 1), (300, 40), (300, 10**4), (64, 1)):
+        g = rng.normal(size=(tokens, 8)).astype(np.float32)
+        rows = np.stack([rng.integers(0, most, tokens), 20_000 + rng.integers(0, most, tokens), 40_000 + np.arange(tokens)], 1)
+        used, part = maxent_lm.row_sums(g, rows)
+        want = defaultdict(lambda: np.zeros(8))
+        for i, k in enumerate(rows.tolist()):
+            for x in k:
+                want[x] = want[x] + g[i].astype(np.float64)
+        assert sorted(used.tolist()) == sorted(want) and part.dtype == np.float32
+        assert all(np.array_equal(p, want[k].astype(np.float32)) for k, p in zip(used.tolist(), part))
+
+
 def test_lm_beats_its_base_on_held_out_text(spark):
     rng = random.Random(3)
     a, b = [f"al{i}" for i in range(40)], [f"{i}be" for i in range(40)]
