@@ -29,6 +29,8 @@ from zlib import crc32
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -49,6 +51,7 @@ _ROWS = 2 * _WORDS + PAIR_ROWS + 1
 _BATCH = 1024
 _DOCS = 256
 _FLUSH = 300_000
+_COUNTED = 1024  # texts counted at once
 _MEMO = 900_000  # words that a worker remembers, about 200 bytes each
 
 
@@ -236,24 +239,37 @@ def gradient_steps(w: np.ndarray, scale: np.ndarray, rows: np.ndarray, cls: np.n
     w[-1] -= rate * part / np.sqrt(scale[-1] + 1.0)
 
 
+def word_counts(texts: pa.Array) -> pa.Table:
+    """``word`` and its count ``n`` of the :func:`tokens` of all texts."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts.drop_null()))
+    found = pc.value_counts(pc.list_flatten(split))
+    found = pa.table({"word": found.field("values").cast(pa.string()), "n": found.field("counts")})
+    return found.filter(pc.not_equal(found["word"], ""))  # beside white space at either end of a text
+
+
+def _combined(parts: list[pa.Table]) -> pa.Table:
+    found = pa.concat_tables(parts).group_by("word", use_threads=False).aggregate([("n", "sum")])
+    return pa.table({"word": found["word"], "n": found["n_sum"]})
+
+
 def count_words(train: DataFrame, text: str) -> DataFrame:
     """``word`` and its count ``n`` in all training texts; the end of a text is the empty word."""
 
-    def counted(held: Counter) -> pd.DataFrame:
-        return pd.DataFrame({"word": pd.Series([w.decode() for w in held], dtype=object), "n": list(held.values())})
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: Counter = Counter()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, texts = [], 0
         for b in batches:
-            for t in b["text"]:
-                held.update(tokens(t))
-                held[b""] += 1
-                if len(held) >= _FLUSH:
-                    yield counted(held)
-                    held = Counter()
-        yield counted(held)
-
-    parts = train.select(F.col(text).alias("text")).mapInPandas(run, "word string, n long")
+            texts += len(b)
+            for i in range(0, len(b), _COUNTED):
+                held.append(word_counts(b.column(0).slice(i, _COUNTED)))
+                if sum(map(len, held)) >= _FLUSH:
+                    held = [_combined(held)]
+                    if len(held[0]) >= _FLUSH:
+                        yield from held.pop().to_batches()
+        if texts:
+            ends = pa.table({"word": pa.array([""], pa.string()), "n": pa.array([texts], pa.int64())})
+            yield from _combined([*held, ends]).to_batches()
+
+    parts = train.select(F.col(text).alias("text")).mapInArrow(run, "word string, n long")
     return parts.groupBy("word").agg(F.sum("n").alias("n"))
 
 

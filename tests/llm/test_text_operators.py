@@ -94,6 +94,19 @@ def test_lm_index_is_kept_by_the_worker_and_a_reset_keeps_the_vocabulary(monkeyp
     assert len(described) == 40 and b"the" not in described
 
 
+def test_lm_counts_words_as_tokens_do(spark, monkeypatch):
+    """Upper and lower case, all white space, signs, null and empty texts; parts that are flushed add up."""
+    texts = [" The the\tTHE\x0b\x0cÀ à\r\nend ", None, "", " \n ", "a\x1cb\x85c\u00a0d nul\x00l", "ÉÉ éé İ 日本 🙂 🙂"] + [f"w{i % 40} W{i}" for i in range(50)]
+    want = Counter(w.decode() for t in texts for w in [*maxent_lm.tokens(t), b""])
+    df = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
+    for flush, at_once in ((maxent_lm._FLUSH, 1024), (10, 3), (1, 1)):
+        monkeypatch.setattr(maxent_lm, "_FLUSH", flush)
+        monkeypatch.setattr(maxent_lm, "_COUNTED", at_once)
+        rows = maxent_lm.count_words(df, "text").collect()
+        assert len(rows) == len(want) and {r["word"]: r["n"] for r in rows} == want
+    assert maxent_lm.count_words(df.limit(0), "text").isEmpty()
+
+
 def test_lm_gradient_sums_of_rows_that_occur_once_and_often():
     """Each feature row once, its sum over its tokens added in double precision and in their order."""
     rng = np.random.default_rng(3)
